@@ -45,15 +45,17 @@ def measure_stats(m: str) -> list[Column]:
 def daily_cell(df: DataFrame, measures: list[str] | None = None,
                order: list[str] | None = None, id_col: str = "id",
                provider_sep: str = ", ", first_ignore_nulls: bool = False,
-               providers_first_seen: bool = False) -> DataFrame:
+               providers_first_seen: bool = False, by: list[str] | None = None) -> DataFrame:
     """A4 (and A5 with ``provider_sep=' '``, ``first_ignore_nulls=True``,
     ``providers_first_seen=True``): one row per (day, cell).
 
     mean / min / max / sample std / non-null count of each measure present;
     the distinct providers joined (sorted, or in first-seen order); position,
-    area, depth and fishery flag of the earliest row by ``order``.
+    area, depth and fishery flag of the earliest row by ``order``. ``by``
+    adds grouping keys (e.g. the feed, to build mergeable partials for A7).
     """
     order = order or ["time"]
+    by = list(by or [])
     ms = _present(df, measures)
     base = df.where(F.col(id_col).isNotNull()).withColumn("_day", F.to_date("time"))
     aggs = []
@@ -64,19 +66,19 @@ def daily_cell(df: DataFrame, measures: list[str] | None = None,
         aggs.extend(measure_stats(m))
     if not providers_first_seen:
         aggs.append(_providers(F.collect_set("data_provider"), provider_sep).alias("data_provider"))
-    out = base.groupBy("_day", F.col(id_col).alias("grid_id")).agg(*aggs)
+    out = base.groupBy("_day", F.col(id_col).alias("grid_id"), *by).agg(*aggs)
     if providers_first_seen:
         # Pre-aggregate to one row per (day, cell, provider) first, so the
         # list built per cell-day holds at most one entry per provider.
         firsts = (base.where(F.col("data_provider").isNotNull())
-                  .groupBy("_day", F.col(id_col).alias("grid_id"), "data_provider")
+                  .groupBy("_day", F.col(id_col).alias("grid_id"), *by, "data_provider")
                   .agg(F.min(_order_struct(order)).alias("_o")))
-        plist = (firsts.groupBy("_day", "grid_id")
+        plist = (firsts.groupBy("_day", "grid_id", *by)
                  .agg(F.array_sort(F.collect_list(F.struct("_o", "data_provider"))).alias("_p"))
-                 .select("_day", "grid_id",
+                 .select("_day", "grid_id", *by,
                          F.array_join(F.transform("_p", lambda s: s["data_provider"]), provider_sep)
                          .alias("data_provider")))
-        out = out.join(plist, ["_day", "grid_id"], "left")
+        out = out.join(plist, ["_day", "grid_id", *by], "left")
     return out.withColumnRenamed("_day", "time")
 
 

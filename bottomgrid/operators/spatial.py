@@ -231,10 +231,12 @@ def drop_unlocated(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def assign_grid(df: DataFrame, grid: DataFrame, tile: float | None = None,
+                tiles: GridTiles | None = None, grid_rows: int | None = None,
                 lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """C11: point in cell, then cell attributes, then drop unlocated rows."""
-    located = within_cells(df, grid, tile, lat=lat, lon=lon)
-    return drop_unlocated(attach_cell(located, grid, lat=lat, lon=lon), ["id", lat])
+    located = within_cells(df, tiles or grid, tile, lat=lat, lon=lon)
+    return drop_unlocated(attach_cell(located, grid, grid_rows=grid_rows, lat=lat, lon=lon),
+                          ["id", lat])
 
 
 # --------------------------------------------------------------------------
