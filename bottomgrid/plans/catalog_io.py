@@ -71,15 +71,21 @@ def q_stage_roundtrip(spark, sf):
         "id", "time", "latitude", "longitude", "temperature", "data_provider", "stat_area"))
 
 
+# A re-published day is replaced as a whole; a day the new run has no rows
+# for keeps its old content.
+REPLACED_DAYS = ("SELECT * FROM old_p WHERE time NOT IN (SELECT time FROM new_p)\n"
+                 "UNION ALL SELECT * FROM new_p")
+
 REPUBLISH_LO, REPUBLISH_HI = "2024-01-10", "2024-01-15"
 _IN_WIN = f"time BETWEEN DATE '{REPUBLISH_LO}' AND DATE '{REPUBLISH_HI}'"
 
 
 @query("publish_days", sql([OBS, GRID, LOCATED, daily_cte("full_d", rounded_=False),
                             "sub AS (SELECT * FROM located WHERE data_provider <> 'error')",
-                            daily_cte("sub_d", src="sub", rounded_=False)],
-                           product_body("full_d", f"NOT ({_IN_WIN})") + "\nUNION ALL\n"
-                           + product_body("sub_d", _IN_WIN)))
+                            daily_cte("sub_d", src="sub", rounded_=False),
+                            f"old_p AS ({product_body('full_d')})",
+                            f"new_p AS ({product_body('sub_d', _IN_WIN)})"],
+                           REPLACED_DAYS))
 def q_publish_days(spark, sf):
     """K3: publish every day, then publish a corrected run for six days only
     (fewer rows): those days are replaced, all other days stay as they were."""
@@ -312,9 +318,10 @@ _REFRESH_WIN = "time BETWEEN DATE '2024-01-15' AND DATE '2024-01-20'"
 
 @query("refresh_publish", sql([OBS, GRID, LOCATED, daily_cte("full_d", rounded_=False),
                                "sub AS (SELECT * FROM located WHERE data_provider <> 'error')",
-                               daily_cte("sub_d", src="sub", rounded_=False)],
-                              product_body("sub_d", f"NOT ({_REFRESH_WIN})") + "\nUNION ALL\n"
-                              + product_body("full_d", _REFRESH_WIN)))
+                               daily_cte("sub_d", src="sub", rounded_=False),
+                               f"old_p AS ({product_body('sub_d')})",
+                               f"new_p AS ({product_body('full_d', _REFRESH_WIN)})"],
+                              REPLACED_DAYS))
 def q_refresh_publish(spark, sf):
     """A stale product (one provider's rows missing) is refreshed on
     2024-01-20: the daily window (5 days back) is recomputed from all staged
