@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sizing import broadcast_if_small
+
 # --- fixed values: glider institution -> provider code, and the default ----
 INSTITUTION_DEFAULT = "glider_other"
 INSTITUTION_CODES = {
@@ -55,10 +57,17 @@ def map_default(df: DataFrame, col: str, mapping: dict[str, str] | DataFrame | N
     """``out = mapping[col]``, or ``default`` when the key is absent or NULL.
 
     The map is a small fixed table (33 rows for gliders), broadcast in a left
-    join, so the big side is never shuffled."""
+    join after its row count is known, so the big side is never shuffled; a
+    map too large to broadcast is joined by shuffle instead."""
     if mapping is None:
         mapping = INSTITUTION_CODES
-    table = mapping if isinstance(mapping, DataFrame) else mapping_frame(df.sparkSession, mapping)
-    joined = df.join(F.broadcast(table), df[col] == table["_key"], "left")
+    if isinstance(mapping, DataFrame):
+        table = mapping.select(F.col(mapping.columns[0]).alias("_key"),
+                               F.col(mapping.columns[1]).alias("_code"))
+        rows = table.count()
+    else:
+        table, rows = mapping_frame(df.sparkSession, mapping), len(mapping)
+    table, _ = broadcast_if_small(table, rows, 160)
+    joined = df.join(table, df[col] == table["_key"], "left")
     return (joined.withColumn(out, F.coalesce(F.col("_code"), F.lit(default)))
                   .drop("_key", "_code"))

@@ -122,35 +122,39 @@ class GridTiles:
     tiles: DataFrame       # (_tx, _ty, id, ring) one row per cell x covered tile
     tile: float
     broadcast: bool
+    cells: int             # number of grid cells (sizes the attribute broadcast)
 
 
 def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
                ring: str = "ring") -> GridTiles:
     """Explode each cell's bounding box into the square tiles it touches.
 
-    One aggregate over the grid (a dimension) gives the typical cell extent,
-    used as tile edge when none is given, and the exact number of tile rows
-    plus the longest ring, which bound the broadcast size."""
+    One aggregate over the grid (a dimension) gives the median cell extent
+    (the tile edge when none is given), the cell count, the largest extents
+    and the longest ring. From these the number of tile rows is bounded by
+    ``cells * (max_w / t + 2) * (max_h / t + 2)``, which decides broadcast
+    versus shuffle before anything is shipped."""
     bb = ring_bbox(F.col(ring))
     cells = grid.select(F.col(id_col).alias("id"), F.col(ring).alias("ring"),
                         *[v.alias(k) for k, v in bb.items()])
+    w, h = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
+    st = cells.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("t"),
+                   F.count(F.lit(1)).alias("n"), F.max(w).alias("mw"), F.max(h).alias("mh"),
+                   F.max(F.size("ring")).alias("verts")).first()
+    n = int(st["n"] or 0)
     if tile is None:
-        stats = cells.agg(F.percentile_approx(
-            F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")), 0.5)
-            .alias("t")).first()
-        tile = float(stats["t"] or 1.0)
+        tile = float(st["t"] or 1.0) or 1.0
     t = F.lit(tile)
     tx0, tx1 = F.floor(F.col("min_x") / t), F.floor(F.col("max_x") / t)
     ty0, ty1 = F.floor(F.col("min_y") / t), F.floor(F.col("max_y") / t)
-    size = cells.agg(F.sum((tx1 - tx0 + 1) * (ty1 - ty0 + 1)).alias("rows"),
-                     F.max(F.size("ring")).alias("verts")).first()
     tiles = (cells
              .withColumn("_tx", F.explode(F.sequence(tx0, tx1)))
              .withColumn("_ty", F.explode(F.sequence(ty0, ty1)))
              .select("_tx", "_ty", "id", "ring"))
-    rows, verts = int(size["rows"] or 0), int(size["verts"] or 5)
-    tiles, is_bc = broadcast_if_small(tiles, rows, 40 + 24 * verts)
-    return GridTiles(tiles, tile, is_bc)
+    bound = n * (int((st["mw"] or 0) / tile) + 2) * (int((st["mh"] or 0) / tile) + 2)
+    verts = int(st["verts"] or 5)
+    tiles, is_bc = broadcast_if_small(tiles, bound, 40 + 24 * verts)
+    return GridTiles(tiles, tile, is_bc, n)
 
 
 def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | None = None,
@@ -234,8 +238,10 @@ def assign_grid(df: DataFrame, grid: DataFrame, tile: float | None = None,
                 tiles: GridTiles | None = None, grid_rows: int | None = None,
                 lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """C11: point in cell, then cell attributes, then drop unlocated rows."""
-    located = within_cells(df, tiles or grid, tile, lat=lat, lon=lon)
-    return drop_unlocated(attach_cell(located, grid, grid_rows=grid_rows, lat=lat, lon=lon),
+    tiles = tiles or grid_tiles(grid, tile)
+    located = within_cells(df, tiles, lat=lat, lon=lon)
+    rows = grid_rows if grid_rows is not None else tiles.cells
+    return drop_unlocated(attach_cell(located, grid, grid_rows=rows, lat=lat, lon=lon),
                           ["id", lat])
 
 

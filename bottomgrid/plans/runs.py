@@ -20,6 +20,7 @@ from ..operators.spatial import assign_grid, grid_tiles, raster_axes
 from ..operators.union import union_feeds, union_with_sideloads
 from ..registry import FEEDS
 from ..schemas import STANDARD_SCHEMA
+from ..session import path_exists
 from ..sinks.logs import append_diagnostics, append_run_log, diagnostics_rows, run_log_rows
 from ..sinks.publish import archive, log_archive, publish_days, stage
 from ..sources.feeds import read_feeds, sideload_frame
@@ -100,12 +101,7 @@ def run_step2(spark: SparkSession, staged_path: str, product_path: str, archive_
     t0 = _time.time()
     now = now or dt.datetime.now(dt.timezone.utc)
     phases = {}
-    try:
-        spark.read.parquet(product_path).limit(0).collect()
-        has_prev = True
-    except Exception:  # noqa: BLE001  (no previous product yet)
-        has_prev = False
-    if has_prev:
+    if path_exists(spark, product_path):
         snap, size = archive(spark, product_path, archive_root, version, now, doi)
         log_archive(spark, catalogue_path, snap, snap, now, version, doi, reload_type, size)
         phases["archive"] = _time.time() - t0

@@ -4,20 +4,37 @@ archive snapshot (K4) and archive catalogue (K5)."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ARCHIVE_SCHEMA
 
 
-def stage(df: DataFrame, path: str) -> None:
-    """K1: overwrite the hand-off table with the gridded observations that
-    have a cell (no geometry is ever carried)."""
+STAGE_DAY = "day"
+
+
+def _staged_rows(df: DataFrame) -> DataFrame:
     out = df.na.drop(subset=["id"])
     if "geometry" in out.columns:
         out = out.drop("geometry")
-    out.write.mode("overwrite").parquet(path)
+    return out.withColumn(STAGE_DAY, F.to_date("time"))
+
+
+def stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K1: overwrite the hand-off table with the gridded observations that
+    have a cell (no geometry is ever carried). The table is partitioned by
+    observation day, so readers that recompute some days (T1, T2) list and
+    read only those day folders (partition pruning, dynamic when the day
+    list comes from a join)."""
+    (_staged_rows(df).hint("rebalance", STAGE_DAY)
+     .write.mode(mode).partitionBy(STAGE_DAY).parquet(path))
+
+
+def stage_append(df: DataFrame, path: str) -> None:
+    """K1 for late files: add rows to the hand-off table in the same layout."""
+    stage(df, path, mode="append")
 
 
 def publish_days(df: DataFrame, path: str, day_col: str = "time") -> list[int]:
@@ -29,13 +46,16 @@ def publish_days(df: DataFrame, path: str, day_col: str = "time") -> list[int]:
     rows into several files and merge small days, so neither a hot day nor
     many tiny days dictate the task layout. Returns the written days."""
     d = F.date_from_unix_date(F.col(day_col))
-    out = (df.withColumn("year", F.year(d)).withColumn("month", F.month(d))
+    seen = Observation(f"published-days-{uuid.uuid4().hex}")
+    out = (df.observe(seen, F.collect_set(F.col(day_col)).alias("days"))
+             .withColumn("year", F.year(d)).withColumn("month", F.month(d))
              .hint("rebalance", day_col)
              .sortWithinPartitions(day_col, "grid_id"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", day_col).parquet(path))
-    days = df.select(day_col).distinct().collect()
-    return sorted(int(r[0]) for r in days)
+    # the day list is gathered while writing (one small set per task), so
+    # the product is not computed a second time to report it
+    return sorted(int(x) for x in (seen.get.get("days") or []))
 
 
 def files_size_mb(spark: SparkSession, path: str) -> float:

@@ -40,12 +40,16 @@ def reconcile(df: DataFrame, required: list[str] = STAGED_REQUIRED,
     return df.select(*cols)
 
 
-def read_staged(spark: SparkSession, path: str) -> DataFrame:
-    """The hand-off table written by K1, reconciled; the union order of the
-    sources (``source_ord``) is kept when present, it defines "first"."""
+def reconcile_staged(df: DataFrame) -> DataFrame:
+    """S8 for the hand-off table; the union order of the sources
+    (``source_ord``) is kept when present, it defines "first"."""
     types = dict(STAGED_TYPES, source_ord=T.IntegerType())
-    return reconcile(spark.read.parquet(path), optional=STAGED_OPTIONAL + ["source_ord"],
-                     types=types)
+    return reconcile(df, optional=STAGED_OPTIONAL + ["source_ord"], types=types)
+
+
+def read_staged(spark: SparkSession, path: str) -> DataFrame:
+    """The hand-off table written by K1, reconciled."""
+    return reconcile_staged(spark.read.parquet(path))
 
 
 def read_previous(spark: SparkSession, path: str) -> DataFrame:

@@ -19,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.runs import product_frame, window_for
 from ..schemas import STAGED_TYPES
 from ..session import scratch_path
-from ..sinks.publish import publish_days
-from ..sources.staged import read_staged
+from ..operators.sizing import broadcast_if_small
+from ..sinks.publish import STAGE_DAY, publish_days
+from ..sources.staged import reconcile_staged
 
 
 def staged_schema(spark: SparkSession, staged_path: str):
@@ -28,14 +29,16 @@ def staged_schema(spark: SparkSession, staged_path: str):
 
 
 def publish_touched_days(spark: SparkSession, staged_path: str, product_path: str,
-                         days: DataFrame) -> list[int]:
+                         days: DataFrame, n_days: int) -> list[int]:
     """Recompute and publish the given days (a frame with a ``day`` date
-    column, at most one row per day) from every staged row of those days.
-    The day list is a small broadcast side of a semi join that prunes the
-    staged scan to the touched days."""
-    staged = read_staged(spark, staged_path)
-    touched = staged.join(F.broadcast(days), F.to_date(staged["time"]) == days["day"], "left_semi")
-    return publish_days(product_frame(touched), product_path)
+    column, one row per day) from every staged row of those days. The staged
+    table is partitioned by ``day``: the day list (counted, then broadcast
+    when small) drives a semi join on the partition column, so dynamic
+    partition pruning reads only the touched day folders."""
+    raw = spark.read.parquet(staged_path)
+    days, _ = broadcast_if_small(days, n_days, 16)
+    touched = raw.join(days, raw[STAGE_DAY] == days["day"], "left_semi")
+    return publish_days(product_frame(reconcile_staged(touched)), product_path)
 
 
 def publish_stream(spark: SparkSession, staged_path: str, product_path: str,
@@ -47,10 +50,12 @@ def publish_stream(spark: SparkSession, staged_path: str, product_path: str,
     stream = spark.readStream.schema(schema).parquet(staged_path)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select(F.to_date("time").alias("day")).where(F.col("day").isNotNull()).distinct()
-        if days.limit(1).count() == 0:
+        days = (batch.select(F.col(STAGE_DAY).alias("day")).where(F.col("day").isNotNull())
+                .distinct().checkpoint())
+        n = days.count()
+        if n == 0:
             return
-        publish_touched_days(batch.sparkSession, staged_path, product_path, days)
+        publish_touched_days(batch.sparkSession, staged_path, product_path, days, n)
 
     w = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -62,8 +67,10 @@ def refresh(spark: SparkSession, staged_path: str, product_path: str, run_date:
     """Recompute every day from the refresh window's start (R1) to the
     run date from the staged rows, replacing those days only."""
     _, start = window_for(spark, run_date, force_full)
-    staged = read_staged(spark, staged_path)
+    raw = spark.read.parquet(staged_path)
     lo = F.lit(start).cast(STAGED_TYPES["time"])
-    part = staged.where((F.col("time") >= lo)
-                        & (F.to_date("time") <= F.lit(run_date)))
-    return publish_days(product_frame(part), product_path)
+    # the day bounds are on the partition column: only the window's day
+    # folders are listed and read
+    part = raw.where(F.col(STAGE_DAY).between(F.to_date(lo), F.lit(run_date))
+                     & (F.col("time") >= lo))
+    return publish_days(product_frame(reconcile_staged(part)), product_path)

@@ -9,7 +9,7 @@ from bottomgrid.operators.daily import daily_cell, merge_daily
 from bottomgrid.plans import fixtures as fx
 from bottomgrid.plans.queries import located
 from bottomgrid.plans.runs import product_frame
-from bottomgrid.sinks.publish import publish_days, stage
+from bottomgrid.sinks.publish import publish_days, stage, stage_append
 from bottomgrid.streaming.publish_stream import publish_stream
 
 SF = "/root/testdata/sf0.001"
@@ -73,7 +73,7 @@ def test_stream_replay_and_new_files(spark, tmp_out):
     after_first = _rows(spark, prod)
     publish_stream(spark, staged, prod, checkpoint=ckpt).awaitTermination()   # nothing new
     assert _rows(spark, prod) == after_first
-    late.write.mode("append").parquet(staged)
+    stage_append(late, staged)
     publish_stream(spark, staged, prod, checkpoint=ckpt).awaitTermination()
     direct = f"{tmp_out}/direct"
     publish_days(product_frame(loc), direct)
