@@ -59,8 +59,8 @@ FEEDS: tuple[Feed, ...] = (
     Feed("ooi-cp03issm-mfd37-04-dostad000", "ooi", _OOI_VARS),
 )
 
-# The previous product is registered too; it is scanned whole for the archive.
-PREVIOUS_PRODUCT = "fishbot_realtime"
+# The previous product is scanned whole for the archive (S9); its location
+# is a deployment setting, passed to the runs as ``product_path``.
 
 # Side-loaded CSV feeds (already carrying a grid cell id), in union order.
 SIDELOADS = ("gmgi", "study_fleet")

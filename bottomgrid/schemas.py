@@ -116,7 +116,7 @@ COLUMN_ATTRS = {
              "comment": "Days since the Unix epoch (UTC)"},
     "depth": {"units": "meters", "standard_name": "depth", "long_name": "inferred_depth",
               "comment": "Depth of the grid cell from bathymetry"},
-    "stat_area": {"units": "", "long_name": "NEFSC_statistical_area",
+    "stat_area": {"units": "", "long_name": "statistical_area",
                   "comment": "Statistical area of the grid cell"},
     "data_provider": {"units": "", "long_name": "data_provider",
                       "comment": "Providers contributing to the cell-day, sorted, comma separated"},
@@ -126,11 +126,11 @@ COLUMN_ATTRS = {
                           "comment": "1 = fishery dependent, 0 = independent collection"},
 }
 
-# --- fixed values: dataset-level attributes of the product --------------------
+# Dataset-level attributes of the product; a deployment sets its own.
 DATASET_ATTRS = {
-    "title": "Fishing Industry Shared Bottom Oceanographic Timeseries",
-    "description": "Gridded daily observations of demersal oceanographic observations and related metrics.",
-    "institution": "CFRF | NOAA NEFSC",
+    "title": "Daily gridded bottom observations",
+    "description": "Daily per-cell statistics of bottom temperature, dissolved oxygen and salinity.",
+    "institution": "",
 }
 
 RUN_LOG_SCHEMA = T.StructType([
