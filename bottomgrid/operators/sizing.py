@@ -43,3 +43,14 @@ def broadcast_if_small(df: DataFrame, rows: int, width: int | None = None,
     if rows * width <= limit:
         return F.broadcast(df), True
     return df, False
+
+
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that arrives in fewer splits than the session has task
+    slots (one large file, one row group) over all of them before row-wise
+    heavy work. A real input of many files already has enough splits, and
+    then this is a no-op: no shuffle is added."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

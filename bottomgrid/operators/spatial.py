@@ -119,17 +119,18 @@ def nearest_raster(df: DataFrame, raster: DataFrame, axes: RasterAxes | None = N
 
 @dataclass(frozen=True)
 class GridTiles:
-    tiles: DataFrame       # (_tx, _ty, id, ring) one row per cell x covered tile
+    tiles: DataFrame       # (_tx, _ty, id, ring, bbox) one row per cell x covered tile
     tile: float
     broadcast: bool
     cells: int             # number of grid cells (sizes the attribute broadcast)
+    max_points: int        # longest ring (chooses the unrolled containment test)
 
 
 def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
                ring: str = "ring") -> GridTiles:
     """Explode each cell's bounding box into the square tiles it touches.
 
-    One aggregate over the grid (a dimension) gives the median cell extent
+    One aggregate over the grid (a dimension) gives the mean cell extent
     (the tile edge when none is given), the cell count, the largest extents
     and the longest ring. From these the number of tile rows is bounded by
     ``cells * (max_w / t + 2) * (max_h / t + 2)``, which decides broadcast
@@ -138,7 +139,7 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
     cells = grid.select(F.col(id_col).alias("id"), F.col(ring).alias("ring"),
                         *[v.alias(k) for k, v in bb.items()])
     w, h = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
-    st = cells.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("t"),
+    st = cells.agg(F.avg(F.greatest(w, h)).alias("t"),
                    F.count(F.lit(1)).alias("n"), F.max(w).alias("mw"), F.max(h).alias("mh"),
                    F.max(F.size("ring")).alias("verts")).first()
     n = int(st["n"] or 0)
@@ -150,11 +151,11 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
     tiles = (cells
              .withColumn("_tx", F.explode(F.sequence(tx0, tx1)))
              .withColumn("_ty", F.explode(F.sequence(ty0, ty1)))
-             .select("_tx", "_ty", "id", "ring"))
+             .select("_tx", "_ty", "id", "ring", "min_x", "max_x", "min_y", "max_y"))
     bound = n * (int((st["mw"] or 0) / tile) + 2) * (int((st["mh"] or 0) / tile) + 2)
     verts = int(st["verts"] or 5)
-    tiles, is_bc = broadcast_if_small(tiles, bound, 40 + 24 * verts)
-    return GridTiles(tiles, tile, is_bc, n)
+    tiles, is_bc = broadcast_if_small(tiles, bound, 72 + 24 * verts)
+    return GridTiles(tiles, tile, is_bc, n, verts)
 
 
 def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | None = None,
@@ -171,10 +172,15 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
     p = (points.withColumn("_tx", F.floor(F.col(lon) / t))
                .withColumn("_ty", F.floor(F.col(lat) / t)))
     g = gt.tiles.withColumnRenamed("id", "_cell_id")
-    cond = ((p["_tx"] == g["_tx"]) & (p["_ty"] == g["_ty"])
-            & strictly_within(g["ring"], p[lon], p[lat]))
+    px, py = p[lon], p[lat]
+    # open bounding box first: cheap comparisons reject most candidates
+    # before the exact ring test runs
+    in_box = (px > g["min_x"]) & (px < g["max_x"]) & (py > g["min_y"]) & (py < g["max_y"])
+    cond = ((p["_tx"] == g["_tx"]) & (p["_ty"] == g["_ty"]) & in_box
+            & strictly_within(g["ring"], px, py, gt.max_points))
     joined = p.join(g, cond, how)
-    return (joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"]).drop("ring")
+    return (joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"])
+            .drop("ring", "min_x", "max_x", "min_y", "max_y")
             .withColumnRenamed("_cell_id", id_col))
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sizing import spread_small_input
+
 OBS_EXPRS = [
     "event_id AS obs_id",
     "event_type AS dataset_id",
@@ -71,7 +73,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*OBS_EXPRS)
+    # the driver's files are single row groups: spread them over the cores
+    return spread_small_input(table(spark, sf_dir, "events")).selectExpr(*OBS_EXPRS)
 
 
 def grid_corners(spark: SparkSession, sf_dir: str) -> DataFrame:

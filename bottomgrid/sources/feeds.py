@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.columns import nan_to_null
+from ..operators.sizing import spread_small_input
 from ..registry import FEEDS, Feed
+from ..session import path_exists
 
 _OPS = {
     ">=": operator.ge, "<=": operator.le, "!=": None, "=": operator.eq,
@@ -94,6 +96,8 @@ def scan_feed(spark: SparkSession, f: Feed, root: str, lo=None, hi=None,
               schema: T.StructType | None = None) -> FeedScan:
     """One feed: read the landed files, constrain, normalize, window."""
     path = f"{root}/{f.feed_id}"
+    if not path_exists(spark, path):
+        return FeedScan(f, None, "missing")
     try:
         reader = spark.read
         if schema is not None:
@@ -111,6 +115,7 @@ def scan_feed(spark: SparkSession, f: Feed, root: str, lo=None, hi=None,
                             f.variables, f.time_col)
         if lo is not None:
             df = time_window(df, lo, hi)
+        df = spread_small_input(df)
     except AnalysisException as e:
         return FeedScan(f, None, f"error: {str(e)[:200]}")
     return FeedScan(f, df, "ok")
