@@ -32,7 +32,7 @@ def row_width(df: DataFrame, array_len: int = 8, string_len: int = 64) -> int:
 
 
 def broadcast_if_small(df: DataFrame, rows: int, width: int | None = None,
-                       limit: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+                       limit: int | None = None) -> tuple[DataFrame, bool]:
     """Return ``(df with a broadcast hint, True)`` when ``rows x width`` is
     under ``limit``; otherwise the frame unchanged, to be joined by shuffle.
 
@@ -40,6 +40,7 @@ def broadcast_if_small(df: DataFrame, rows: int, width: int | None = None,
     so the decision rests on the real size and not on an estimate.
     """
     width = width or row_width(df)
+    limit = DEFAULT_BROADCAST_BYTES if limit is None else limit
     if rows * width <= limit:
         return F.broadcast(df), True
     return df, False

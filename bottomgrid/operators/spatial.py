@@ -68,23 +68,31 @@ def raster_axes(raster: DataFrame, lat_idx="lat_idx", lon_idx="lon_idx",
                       Axis(lon_idx, lon, r["e"], r["f"], r["g"], r["h"]), r["n"])
 
 
+def axis_pairs(raster: DataFrame, axis: Axis) -> DataFrame:
+    """``(_c0, _v0, _c1, _v1)``: every axis index with its coordinate and the
+    next index (clamped at the top end) with its coordinate. Built from the
+    raster's own axis values (a dimension of ``axis.n`` rows)."""
+    vals = raster.select(F.col(axis.idx_col).alias("_i"), F.col(axis.val_col).alias("_v")).distinct()
+    nxt = vals.select(F.col("_i").alias("_c1"), F.col("_v").alias("_v1"))
+    nxt, _ = broadcast_if_small(nxt, axis.n, 24)
+    c1 = F.least(F.col("_i") + 1, F.lit(axis.hi_idx))
+    return (vals.join(nxt, c1 == nxt["_c1"], "left")
+                .select(F.col("_i").alias("_c0"), F.col("_v").alias("_v0"), "_c1", "_v1"))
+
+
 def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out: str) -> DataFrame:
     """Index of the axis value nearest to ``x``; a tie goes to the larger
     axis value and points beyond the ends clamp to the edge.
 
-    Arithmetic gives two candidate indices; their exact coordinates come from
-    the raster's own axis (a broadcast of at most ``axis.n`` rows), so the
-    distance comparison uses the stored values, not a re-computed step.
+    Arithmetic gives the lower candidate index; one equi-join with the axis
+    pair table (at most ``axis.n`` rows, broadcast) brings the exact stored
+    coordinates of both candidates, so the distance comparison uses the
+    raster's own values, not a re-computed step.
     """
-    table = raster.select(F.col(axis.idx_col).alias("_i"), F.col(axis.val_col).alias("_v")).distinct()
-    table, _ = broadcast_if_small(table, axis.n, 24)
+    pairs, _ = broadcast_if_small(axis_pairs(raster, axis), axis.n, 40)
     lo, hi = F.lit(axis.lo_idx), F.lit(axis.hi_idx)
-    c0 = F.floor(axis.approx_index(F.col(x)))
-    clamp = lambda c: F.least(F.greatest(c, lo), hi)
-    df = df.withColumn("_c0", clamp(c0)).withColumn("_c1", clamp(c0 + 1))
-    a0 = table.select(F.col("_i").alias("_c0"), F.col("_v").alias("_v0"))
-    a1 = table.select(F.col("_i").alias("_c1"), F.col("_v").alias("_v1"))
-    df = df.join(a0, "_c0", "left").join(a1, "_c1", "left")
+    c0 = F.least(F.greatest(F.floor(axis.approx_index(F.col(x))), lo), hi)
+    df = df.withColumn("_c0", c0).join(pairs, "_c0", "left")
     d0 = F.abs(F.col(x) - F.col("_v0"))
     d1 = F.abs(F.col(x) - F.col("_v1"))
     pick = (F.when(F.col(x).isNull(), F.lit(None))
