@@ -147,7 +147,7 @@ def _runlog_oracle() -> str:
         body.append(f"""SELECT c.dataset_id, c.observation_count, c.post_filter_count,
   TIMESTAMP '{r:%Y-%m-%d %H:%M:%S}' AS runtime, '1' AS version, CAST(NULL AS VARCHAR) AS data_provider,
   'tabledap' AS file_protocol, 'daily' AS reload_type, 1 AS fetch_erddap_success,
-  0.0 AS execution_time_seconds, '' AS doi FROM c""")
+  CAST(0.0 AS DOUBLE) AS execution_time_seconds, '' AS doi FROM c""")
     return sql([OBS, RASTER, *nearest_ctes("obs", ["obs_id"], "n"), """c AS (
   SELECT o.dataset_id, count(*) AS observation_count,
     count(*) FILTER (WHERE o.depth IS NOT NULL AND n.inferred_depth IS NOT NULL
