@@ -338,10 +338,15 @@ def q_refresh_publish(spark, sf):
 RUN_DATE = dt.date(2024, 1, 25)
 _STEP1_LO = "TIMESTAMP '2024-01-20 00:00:00'"
 _STEP1_HI = "TIMESTAMP '2024-01-25 23:59:59.999999'"
-
-
-@query("fetch_and_stage", sql([
-    f"obs_all AS ({fx.OBS_SQL})",
+_IN_CELL_S = ("s.latitude > g.y0 AND s.latitude < g.y0 + g.h "
+              "AND s.longitude > g.x0 + (s.latitude - g.y0) * g.shear / g.h "
+              "AND s.longitude < g.x0 + g.w + (s.latitude - g.y0) * g.shear / g.h")
+_STAGED_COLS = ("dataset_id, time, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, "
+                "round(temperature, 6) AS temperature, round(dissolved_oxygen, 6) AS dissolved_oxygen, "
+                "data_provider, fishery_dependent, id, stat_area, round(depth, 6) AS depth, source_ord")
+
+FETCH_AND_STAGE_SQL = sql([
+    OBS.replace("obs AS", "obs_all AS", 1),
     f"obs AS (SELECT * FROM obs_all WHERE time >= {_STEP1_LO} AND time <= {_STEP1_HI})",
     GRID, RASTER,
     """e_h AS (
@@ -351,31 +356,67 @@ _STEP1_HI = "TIMESTAMP '2024-01-25 23:59:59.999999'"
     *nearest_ctes("e_h", ["tow_id", "time"], "n"),
     """std AS (
   SELECT 'eMOLT_RT' AS dataset_id, h.time, h.latitude, h.longitude, h.temperature,
-    CAST(NULL AS DOUBLE) AS salinity, CAST(NULL AS DOUBLE) AS dissolved_oxygen,
-    'eMOLT' AS data_provider, 1 AS fishery_dependent
+    CAST(NULL AS DOUBLE) AS dissolved_oxygen, 'eMOLT' AS data_provider, 1 AS fishery_dependent
   FROM e_h h JOIN n_nr n USING (tow_id, time)
-  WHERE h.depth IS NOT NULL AND n.inferred_depth IS NOT NULL AND h.depth - n.inferred_depth < 20)""",
-], f"""SELECT s.dataset_id, s.time, round(g.centroid_lat, 6) AS latitude, round(g.centroid_lon, 6) AS longitude,
-  round(s.temperature, 6) AS temperature, s.data_provider, s.fishery_dependent, g.id, g.stat_area,
-  round(g.depth, 6) AS depth, 2 AS source_ord
-FROM std s JOIN grid g ON {'s.latitude > g.y0 AND s.latitude < g.y0 + g.h AND s.longitude > g.x0 + (s.latitude - g.y0) * g.shear / g.h AND s.longitude < g.x0 + g.w + (s.latitude - g.y0) * g.shear / g.h'}"""))
-def q_fetch_and_stage(spark, sf):
-    """Refresh window for 2024-01-25 (daily, from 2024-01-20) -> scan
-    the registry (eMOLT_RT landed, every other feed missing) -> standardize
-    -> union -> grid assignment -> stage + run log; staged rows read back."""
-    root = _scratch(spark, "landing")
+  WHERE h.depth IS NOT NULL AND n.inferred_depth IS NOT NULL AND h.depth - n.inferred_depth < 20
+  UNION ALL
+  SELECT 'fixed_gear_oceanography', time, latitude, longitude, temperature, dissolved_oxygen, 'CFRF', 1
+  FROM (SELECT *, avg(dissolved_oxygen) OVER (PARTITION BY tow_id) AS mu,
+          stddev_samp(dissolved_oxygen) OVER (PARTITION BY tow_id) AS sd FROM obs)
+  WHERE NOT (tow_id IS NOT NULL AND coalesce(abs(dissolved_oxygen - mu) > 3 * sd, false))
+  UNION ALL
+  SELECT 'wind_farm_acoustic_receivers', time, latitude, longitude, temperature,
+    CAST(NULL AS DOUBLE), 'CFRF', 0 FROM obs)""",
+    f"""gridded AS (
+  SELECT s.dataset_id, s.time, g.centroid_lat AS latitude, g.centroid_lon AS longitude, s.temperature,
+    s.dissolved_oxygen, s.data_provider, s.fishery_dependent, g.id, g.stat_area, g.depth, 2 AS source_ord
+  FROM std s JOIN grid g ON {_IN_CELL_S})""",
+    f"""side AS (
+  SELECT CAST(NULL AS VARCHAR) AS dataset_id, s.time, g.centroid_lat AS latitude,
+    g.centroid_lon AS longitude, s.temperature, s.dissolved_oxygen, s.data_provider,
+    s.fishery_dependent, g.id, g.stat_area, g.depth, 0 AS source_ord
+  FROM obs_all s JOIN grid g ON {_IN_CELL_S}
+  WHERE s.time > {_STEP1_LO})"""],
+    f"SELECT {_STAGED_COLS} FROM gridded UNION ALL SELECT {_STAGED_COLS} FROM side")
+
+
+def land_step1_feeds(spark, sf, root: str) -> None:
+    """Land three registry feeds shaped from obs, as providers deliver them."""
     o = fx.obs(spark, sf)
     (o.select("time", "latitude", "longitude", "temperature",
               F.col("tow_id").cast("string").alias("tow_id"), "depth",
               F.when(F.col("dataset_id") == "error", 2).otherwise(3).alias("segment_type"))
       .write.mode("overwrite").parquet(f"{root}/{registry_feed('eMOLT_RT').feed_id}"))
+    (o.select("time", "latitude", "longitude", "temperature", "dissolved_oxygen", "tow_id")
+      .write.mode("overwrite").parquet(f"{root}/fixed_gear_oceanography"))
+    (o.select("time", "latitude", "longitude", F.col("dataset_id").alias("station_id"), "temperature")
+      .write.mode("overwrite").parquet(f"{root}/wind_farm_acoustic_receivers"))
+
+
+@query("fetch_and_stage", FETCH_AND_STAGE_SQL)
+def q_fetch_and_stage(spark, sf):
+    """Refresh window for 2024-01-25 (daily, from 2024-01-20) -> scan the
+    registry (three feeds landed, the others missing) -> standardize (C1, C4,
+    C5) -> union -> grid assignment -> union with a side-loaded CSV that
+    carries cell ids (strict ``time > start``) -> stage + run log; the staged
+    rows are read back."""
+    root = _scratch(spark, "landing")
+    land_step1_feeds(spark, sf, root)
+    csv = _scratch(spark, "gmgi")
+    (located(spark, sf)
+     .select("id", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"),
+             "latitude", "longitude", "temperature", "salinity", "dissolved_oxygen",
+             "data_provider", "fishery_dependent")
+     .write.option("header", True).csv(csv))
+    from ..sources.feeds import SIDELOAD_SCHEMA
+    gmgi = spark.read.schema(SIDELOAD_SCHEMA).option("header", True).csv(csv)
     staged = _scratch(spark, "staged")
     run_step1(spark, root, fx.grid(spark, sf), fx.raster(spark, sf), RUN_DATE, staged,
-              _scratch(spark, "runlog"))
+              _scratch(spark, "runlog"), sideloads={"gmgi": gmgi})
     s = spark.read.parquet(staged)
     return rounded(s.select("dataset_id", "time", "latitude", "longitude", "temperature",
-                            "data_provider", "fishery_dependent", "id", "stat_area", "depth",
-                            "source_ord"))
+                            "dissolved_oxygen", "data_provider", "fishery_dependent", "id",
+                            "stat_area", "depth", "source_ord"))
 
 
 @query("aggregate_and_publish", PRODUCT_SQL)
