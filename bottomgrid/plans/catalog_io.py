@@ -18,7 +18,7 @@ from ..operators.spatial import nearest_raster, within_cells
 from ..registry import feed as registry_feed
 from ..session import scratch_path
 from ..sinks.logs import append_diagnostics, append_run_log, diagnostics_rows, run_log_rows
-from ..sinks.publish import archive, catalogue_view, export_catalogue, log_archive, publish_days, stage
+from ..sinks.publish import archive, export_catalogue, log_archive, publish_days, stage
 from ..sources.dims import read_grid, read_raster
 from ..sources.feeds import read_feeds, read_sideload
 from ..sources.staged import read_previous, read_staged

@@ -6,7 +6,6 @@ import math
 from pyspark.sql import functions as F
 
 from bottomgrid.operators.daily import daily_cell, merge_daily
-from bottomgrid.plans import fixtures as fx
 from bottomgrid.plans.queries import located
 from bottomgrid.plans.runs import product_frame
 from bottomgrid.sinks.publish import publish_days, stage, stage_append
