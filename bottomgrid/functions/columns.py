@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import COLUMN_ATTRS, PRODUCT_TYPES, STANDARD_SCHEMA
+from ..schemas import COLUMN_ATTRS, DATASET_ATTRS, PRODUCT_TYPES, STANDARD_SCHEMA
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -96,3 +96,10 @@ def with_metadata(df: DataFrame, attrs: dict | None = None) -> DataFrame:
     attrs = attrs or COLUMN_ATTRS
     return df.select(*[F.col(c).alias(c, metadata=attrs[c]) if c in attrs else F.col(c)
                        for c in df.columns])
+
+
+def dataset_attributes(spark, version: str, attrs: dict | None = None) -> DataFrame:
+    """P9 (dataset level): title, description, institution and version as a
+    one-row side table written next to the product."""
+    row = dict(DATASET_ATTRS if attrs is None else attrs, version=version)
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} string" for k in row))

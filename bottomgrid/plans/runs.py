@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import refresh_window
-from ..functions.columns import epoch_day, narrow, to_standard, with_metadata
+from ..functions.columns import dataset_attributes, epoch_day, narrow, to_standard, with_metadata
 from ..operators.daily import daily_cell
 from ..operators.qc import gross_range
 from ..operators.runlog import feed_counts
@@ -78,12 +78,26 @@ def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame
     kept = union_feeds(kept_counted) if kept_counted else spark.createDataFrame([], "dataset_id string")
     counts = feed_counts(raw, kept, feeds=[f.feed_id for f in FEEDS])
     statuses = {fid: s.status for fid, s in scans.items()}
-    rows = run_log_rows(counts, dt.datetime.now(dt.timezone.utc), version, kind, statuses,
-                        doi=doi, elapsed=_time.time() - t0)
+    now = dt.datetime.now(dt.timezone.utc)
+    rows = run_log_rows(counts, now, version, kind, statuses, doi=doi, elapsed=_time.time() - t0)
     append_run_log(rows, log_path)
+    # step 1's own diagnostics travel with the hand-off; step 2 appends them
+    # ahead of its own row (K6)
+    diag = diagnostics_rows(spark, now, "step1", version, _time.time() - t0, phases)
+    diag.write.mode("overwrite").parquet(upstream_diagnostics_path(staged_path))
     return Step1Result(kind, start, statuses, staged_path, phases)
 
 
+def upstream_diagnostics_path(staged_path: str) -> str:
+    return staged_path.rstrip("/") + "_diagnostics"
+
+
+def attributes_path(product_path: str) -> str:
+    """The one-row dataset attribute table (P9) inside the product folder; the
+    leading underscore keeps it out of the product's partition discovery."""
+    return product_path.rstrip("/") + "/_attributes"
+
+
 def product_frame(staged: DataFrame, order: list[str] | None = None) -> DataFrame:
     """C13 without the write: A4 -> P12 -> P6 -> P8 -> P9."""
     order = order or (["source_ord", "time"] if "source_ord" in staged.columns else ["time"])
@@ -106,7 +120,10 @@ def run_step2(spark: SparkSession, staged_path: str, product_path: str, archive_
         log_archive(spark, catalogue_path, snap, snap, now, version, doi, reload_type, size)
         phases["archive"] = _time.time() - t0
     days = publish_days(product_frame(read_staged(spark, staged_path)), product_path)
+    dataset_attributes(spark, version).write.mode("overwrite").parquet(attributes_path(product_path))
     phases["publish"] = _time.time() - t0 - phases.get("archive", 0.0)
+    up = upstream_diagnostics_path(staged_path)
+    upstream = spark.read.parquet(up) if path_exists(spark, up) else None
     append_diagnostics(diagnostics_rows(spark, now, "step2", version, _time.time() - t0,
-                                        phases, len(days)), diag_path)
+                                        phases, len(days)), diag_path, upstream)
     return days

@@ -96,4 +96,7 @@ def test_both_jobs_end_to_end(spark, tmp_out):
     run_step2(spark, staged, prod, arch, cat, diag, now=now)
     assert spark.read.parquet(cat).count() == 1
     assert spark.read.parquet(f"{arch}/archive_date=2024-01-31").count() == n
-    assert spark.read.parquet(diag).count() == 2
+    programs = [r.program for r in spark.read.parquet(diag).collect()]
+    assert sorted(programs) == ["step1", "step1", "step2", "step2"]
+    attrs = spark.read.parquet(f"{prod}/_attributes").first()
+    assert attrs.version == "1" and attrs.title
