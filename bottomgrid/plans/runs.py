@@ -15,7 +15,7 @@ from ..functions.calendar import refresh_window
 from ..functions.columns import dataset_attributes, epoch_day, narrow, to_standard, with_metadata
 from ..operators.daily import daily_cell
 from ..operators.qc import gross_range
-from ..operators.runlog import feed_counts
+from ..operators.runlog import counted, counts_frame
 from ..operators.spatial import assign_grid, grid_tiles, raster_axes
 from ..operators.union import union_feeds, union_with_sideloads
 from ..registry import FEEDS
@@ -25,7 +25,7 @@ from ..sinks.logs import append_diagnostics, append_run_log, diagnostics_rows, r
 from ..sinks.publish import archive, log_archive, publish_days, stage
 from ..sources.feeds import read_feeds, sideload_frame
 from ..sources.staged import read_staged
-from .standardize import Dims, standardize
+from .standardize import Dims, known_feed, standardize
 
 
 def window_for(spark: SparkSession, run_date: dt.date, force_full: bool = False) -> tuple[str, dt.datetime]:
@@ -58,28 +58,39 @@ def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame
     scans = read_feeds(spark, root, start, hi)
     dims = Dims(grid=grid, raster=raster, axes=raster_axes(raster))
     tiles = grid_tiles(grid)
-    std, raw_counted, kept_counted = [], [], []
+    std, raw_n, kept_n = [], {}, {}
     for fid, scan in scans.items():
         if scan.frame is None:
             continue
-        s = standardize(fid, scan.frame, dims)
+        if not known_feed(fid):
+            raw_n[fid], kept_n[fid] = 0, 0        # C10: nothing is standardized
+            continue
+        frame, raw_n[fid] = counted(scan.frame, f"raw-{fid}")
+        s, kept_n[fid] = counted(standardize(fid, frame, dims), f"kept-{fid}")
         std.append(s.withColumn("dataset_id", F.lit(fid)))
-        raw_counted.append(scan.frame.select(F.lit(fid).alias("dataset_id")))
-        kept_counted.append(s.select(F.lit(fid).alias("dataset_id")))
     phases["standardize"] = _time.time() - t0
     empty = spark.createDataFrame([], STANDARD_SCHEMA).withColumn("dataset_id", F.lit(None).cast("string"))
     feeds = union_feeds(std) if std else empty
     gridded = assign_grid(to_standard(feeds, keep=["dataset_id"]), grid, tiles=tiles)
-    side = {k: sideload_frame(v, grid, start) for k, v in (sideloads or {}).items()}
+    side = {}
+    for k, v in (sideloads or {}).items():
+        side[k], raw_n[k] = counted(sideload_frame(v, grid, start), f"side-{k}")
+        kept_n[k] = raw_n[k]                       # side-loads are not filtered further
     allrows = union_with_sideloads(side.get("gmgi"), side.get("study_fleet"), gridded)
     stage(allrows, staged_path)
     phases["stage"] = _time.time() - t0 - phases["standardize"]
-    raw = union_feeds(raw_counted) if raw_counted else spark.createDataFrame([], "dataset_id string")
-    kept = union_feeds(kept_counted) if kept_counted else spark.createDataFrame([], "dataset_id string")
-    counts = feed_counts(raw, kept, feeds=[f.feed_id for f in FEEDS])
+    # The counts were observed while the stage was written (no second pass)
+    for f in FEEDS:
+        raw_n.setdefault(f.feed_id, 0)
+    counts = counts_frame(spark, raw_n, kept_n)
     statuses = {fid: s.status for fid, s in scans.items()}
+    providers = {f.feed_id: f.group for f in FEEDS}
+    protocols = {f.feed_id: "erddap" for f in FEEDS}
+    for k in side:
+        statuses[k], providers[k], protocols[k] = "side-load", k, "local"
     now = dt.datetime.now(dt.timezone.utc)
-    rows = run_log_rows(counts, now, version, kind, statuses, doi=doi, elapsed=_time.time() - t0)
+    rows = run_log_rows(counts, now, version, kind, statuses, providers=providers,
+                        protocols=protocols, doi=doi, elapsed=_time.time() - t0)
     append_run_log(rows, log_path)
     # step 1's own diagnostics travel with the hand-off; step 2 appends them
     # ahead of its own row (K6)

@@ -139,6 +139,10 @@ STANDARDIZERS: dict[str, Callable] = {
 }
 
 
+def known_feed(feed_id: str) -> bool:
+    return feed_id.startswith("ooi-") or feed_id in STANDARDIZERS
+
+
 def standardize(feed_id: str, df: DataFrame, dims: Dims, **kw) -> DataFrame:
     """Dispatch by feed id; ``ooi-*`` share one chain; an unknown feed gives
     the empty standard frame (C10)."""

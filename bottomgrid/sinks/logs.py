@@ -13,29 +13,32 @@ from ..schemas import DIAG_SCHEMA, RUN_LOG_SCHEMA
 
 def run_log_rows(counts: DataFrame, runtime: dt.datetime, version: str, reload_type: str,
                  statuses: dict[str, str] | None = None, providers: dict[str, str] | None = None,
-                 protocol: str = "tabledap", doi: str = "", elapsed: float = 0.0) -> DataFrame:
+                 protocol: str = "tabledap", doi: str = "", elapsed: float = 0.0,
+                 protocols: dict[str, str] | None = None) -> DataFrame:
     """K2 rows from A8's per-feed counts: one row per feed with the run
-    stamp, the outcome flag (1 = scanned, 0 = missing or failed), doi and
-    elapsed seconds."""
+    stamp, the outcome flag (1 = fetched from the registry and scanned, 0 =
+    missing, failed or side-loaded), the provider group, the protocol, doi and
+    elapsed seconds. The per-feed settings are a small table (one row per
+    registered feed) joined to the counts."""
     spark = counts.sparkSession
     out = counts
     if statuses:
-        st = spark.createDataFrame([(k, 1 if v == "ok" else 0) for k, v in statuses.items()],
-                                   "dataset_id string, fetch_erddap_success int")
+        meta = [(k, 1 if v == "ok" else 0, (providers or {}).get(k),
+                 (protocols or {}).get(k, protocol)) for k, v in statuses.items()]
+        st = spark.createDataFrame(meta, "dataset_id string, fetch_erddap_success int, "
+                                         "_prov string, _proto string")
         out = out.join(st, "dataset_id", "full")
     else:
-        out = out.withColumn("fetch_erddap_success", F.lit(1))
-    prov = F.lit(None).cast("string")
-    if providers:
-        m = F.create_map(*[x for k, v in providers.items() for x in (F.lit(k), F.lit(v))])
-        prov = m[F.col("dataset_id")]
+        out = (out.withColumn("fetch_erddap_success", F.lit(1))
+                  .withColumn("_prov", F.lit(None).cast("string")).withColumn("_proto", F.lit(protocol)))
     out = out.select(
         "dataset_id",
         F.coalesce("observation_count", F.lit(0)).cast("bigint").alias("observation_count"),
         F.coalesce("post_filter_count", F.lit(0)).cast("bigint").alias("post_filter_count"),
         F.lit(runtime.replace(tzinfo=None)).cast("timestamp_ntz").alias("runtime"),
-        F.lit(version).alias("version"), prov.alias("data_provider"),
-        F.lit(protocol).alias("file_protocol"), F.lit(reload_type).alias("reload_type"),
+        F.lit(version).alias("version"), F.col("_prov").alias("data_provider"),
+        F.coalesce(F.col("_proto"), F.lit(protocol)).alias("file_protocol"),
+        F.lit(reload_type).alias("reload_type"),
         F.coalesce("fetch_erddap_success", F.lit(0)).cast("int").alias("fetch_erddap_success"),
         F.lit(float(elapsed)).alias("execution_time_seconds"), F.lit(doi).alias("doi"))
     return out.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG_SCHEMA.fields])

@@ -71,6 +71,10 @@ def test_both_jobs_end_to_end(spark, tmp_out):
     assert len(logged) == len(FEEDS)
     assert logged["wind_farm_profiles_1m_binned"].fetch_erddap_success == 0
     assert logged["fixed_gear_oceanography"].observation_count == 1000
+    assert logged["fixed_gear_oceanography"].data_provider == "cfrf"
+    lowell = fx.obs(spark, SF).where("dissolved_oxygen > 0 AND temperature > 0 AND temperature < 27")
+    assert logged["eMOLT_RT_LOWELL"].observation_count == lowell.count()
+    assert logged["fixed_gear_oceanography"].file_protocol == "erddap"
     per_feed = {r.dataset_id: r["count"] for r in
                 spark.read.parquet(staged).groupBy("dataset_id").count().collect()}
     for fid in feeds:
