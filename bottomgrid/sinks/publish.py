@@ -50,7 +50,7 @@ def publish_days(df: DataFrame, path: str, day_col: str = "time") -> list[int]:
     out = (df.observe(seen, F.collect_set(F.col(day_col)).alias("days"))
              .withColumn("year", F.year(d)).withColumn("month", F.month(d))
              .hint("rebalance", day_col)
-             .sortWithinPartitions(day_col, "grid_id"))
+             .sortWithinPartitions(day_col, *[c for c in ("grid_id",) if c in df.columns]))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", day_col).parquet(path))
     # the day list is gathered while writing (one small set per task), so
