@@ -300,16 +300,18 @@ def albers_xy(lat: Column, lon: Column, p: dict = ALBERS) -> tuple[Column, Colum
 
 def nearest_centroid(points: DataFrame, areas: DataFrame, x: str = "x", y: str = "y",
                      px: str = "px", py: str = "py", key: str = "stat_area",
-                     out: str = "stat_area", max_areas: int = 100_000) -> DataFrame:
-    """Label each point with the key of the nearest area centroid.
-
-    The areas are a small fixed dimension (statistical areas). Their count is
-    checked, they are shipped once as a constant array (like a broadcast), and
-    every row folds over that array in one native expression: no join, no
-    point x area pair rows, no shuffle. Ties go to the smaller key."""
+                     out: str = "stat_area", max_areas: int = 10_000) -> DataFrame:
+    """Label each point with the key of the nearest area centroid (ties
+    go to the smaller key).
+
+    Statistical areas are a small fixed dimension: their count is checked,
+    they are shipped once as a constant array (like a broadcast), and every
+    row folds over that array in one native expression: no join, no pair
+    rows, no shuffle. Beyond ``max_areas`` the exact tiled search
+    :func:`nearest_centroid_tiled` runs instead."""
     n = areas.count()
     if n > max_areas:
-        raise ValueError(f"nearest_centroid needs a small area table; got {n} rows")
+        return nearest_centroid_tiled(points, areas, x, y, px, py, key, out)
     rows = areas.select(F.col(key).alias("k"), F.col(x).alias("x"), F.col(y).alias("y")) \
         .orderBy("k").collect()
     arr = F.array(*[F.struct(F.lit(r["k"]).alias("k"), F.lit(float(r["x"])).alias("x"),
@@ -324,3 +326,58 @@ def nearest_centroid(points: DataFrame, areas: DataFrame, x: str = "x", y: str =
 
     best = F.aggregate(arr, zero, better)["k"]
     return points.withColumn(out, F.when(F.col(px).isNotNull() & F.col(py).isNotNull(), best))
+
+
+def nearest_centroid_tiled(points: DataFrame, areas: DataFrame, x: str = "x", y: str = "y",
+                           px: str = "px", py: str = "py", key: str = "stat_area",
+                           out: str = "stat_area", tile: float | None = None) -> DataFrame:
+    """J6 for an area table too large to ship whole: an exact search over
+    square tiles.
+
+    Areas are keyed by tile. Each distinct point position looks at the tiles
+    within ``k`` tiles of its own (an equi-join on the tile key, so only
+    nearby areas are paired with it) and keeps the nearest by ``min_by``.
+    The answer is exact once the best distance is at most ``k * tile``: every
+    area outside the searched square is farther than that. Positions not yet
+    settled search again with ``k`` doubled, until ``k`` covers the whole
+    extent of the areas (then every area has been seen)."""
+    a = areas.select(F.col(key).alias("_k"), F.col(x).alias("_ax"), F.col(y).alias("_ay"))
+    st = a.agg(F.count(F.lit(1)).alias("n"), F.min("_ax").alias("x0"), F.max("_ax").alias("x1"),
+               F.min("_ay").alias("y0"), F.max("_ay").alias("y1")).first()
+    pts_ext = points.agg(F.min(px).alias("x0"), F.max(px).alias("x1"),
+                         F.min(py).alias("y0"), F.max(py).alias("y1")).first()
+    if not st["n"] or pts_ext["x0"] is None:
+        return points.withColumn(out, F.lit(None).cast(areas.schema[key].dataType))
+    w, h = max(st["x1"] - st["x0"], 1e-9), max(st["y1"] - st["y0"], 1e-9)
+    tile = tile or max(math.sqrt(w * h / st["n"]) * 2, 1e-9)   # about four areas per tile
+    span = max(st["x1"], pts_ext["x1"]) - min(st["x0"], pts_ext["x0"])
+    span = max(span, max(st["y1"], pts_ext["y1"]) - min(st["y0"], pts_ext["y0"]))
+    k_max = int(math.ceil(span / tile)) + 1
+    t = F.lit(tile)
+    a = a.withColumn("_tx", F.floor(F.col("_ax") / t)).withColumn("_ty", F.floor(F.col("_ay") / t))
+    pos = (points.select(F.col(px).alias("_px"), F.col(py).alias("_py"))
+           .where(F.col("_px").isNotNull() & F.col("_py").isNotNull()).dropDuplicates())
+    pos = pos.withColumn("_ptx", F.floor(F.col("_px") / t)).withColumn("_pty", F.floor(F.col("_py") / t))
+    settled, k = None, 1
+    while True:
+        off = F.sequence(F.lit(-k), F.lit(k))
+        cand = (pos.withColumn("_dx", F.explode(off)).withColumn("_dy", F.explode(off))
+                   .withColumn("_tx", F.col("_ptx") + F.col("_dx"))
+                   .withColumn("_ty", F.col("_pty") + F.col("_dy")))
+        d2 = (F.col("_px") - F.col("_ax")) ** 2 + (F.col("_py") - F.col("_ay")) ** 2
+        best = (cand.join(a, ["_tx", "_ty"])
+                    .groupBy("_px", "_py")
+                    .agg(F.min_by(F.struct(d2.alias("d"), F.col("_k").alias("k")),
+                                  F.struct(d2.alias("d"), F.col("_k").alias("k"))).alias("_b")))
+        last = k >= k_max
+        ok = best.where(F.lit(last) | (F.sqrt(F.col("_b.d")) <= F.lit(k * tile)))
+        ok = ok.select("_px", "_py", F.col("_b.k").alias(out)).checkpoint()
+        settled = ok if settled is None else settled.unionByName(ok)
+        if last:
+            break
+        pos = pos.join(ok.select("_px", "_py"), ["_px", "_py"], "left_anti").checkpoint()
+        if pos.limit(1).count() == 0:
+            break
+        k = min(k * 2, k_max)
+    cond = (points[px].eqNullSafe(settled["_px"])) & (points[py].eqNullSafe(settled["_py"]))
+    return points.join(settled, cond, "left").drop("_px", "_py")

@@ -270,3 +270,16 @@ def test_nearest_centroid_and_albers(spark):
     x, y = albers_xy(F.lit(23.0), F.lit(-96.0))
     r = spark.range(1).select(x.alias("x"), y.alias("y")).first()
     assert abs(r.x) < 1e-6 and abs(r.y) < 1e-6
+
+
+def test_nearest_centroid_tiled_matches_array_form(spark):
+    from bottomgrid.operators.spatial import nearest_centroid_tiled
+    import random
+    rnd = random.Random(5)
+    areas = spark.createDataFrame([(i, rnd.uniform(0, 10), rnd.uniform(0, 10)) for i in range(60)],
+                                  "stat_area long, x double, y double")
+    pts = spark.createDataFrame([(i, rnd.uniform(-5, 15), rnd.uniform(-5, 15)) for i in range(300)]
+                                + [(999, None, 1.0)], "k int, px double, py double")
+    a = {r.k: r.stat_area for r in nearest_centroid(pts, areas).collect()}
+    b = {r.k: r.stat_area for r in nearest_centroid_tiled(pts, areas).collect()}
+    assert a == b and a[999] is None
