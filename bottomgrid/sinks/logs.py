@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.times import ntz_lit, utc_naive
 from ..schemas import DIAG_SCHEMA, RUN_LOG_SCHEMA
 
 
@@ -35,7 +36,7 @@ def run_log_rows(counts: DataFrame, runtime: dt.datetime, version: str, reload_t
         "dataset_id",
         F.coalesce("observation_count", F.lit(0)).cast("bigint").alias("observation_count"),
         F.coalesce("post_filter_count", F.lit(0)).cast("bigint").alias("post_filter_count"),
-        F.lit(runtime.replace(tzinfo=None)).cast("timestamp_ntz").alias("runtime"),
+        ntz_lit(runtime).alias("runtime"),
         F.lit(version).alias("version"), F.col("_prov").alias("data_provider"),
         F.coalesce(F.col("_proto"), F.lit(protocol)).alias("file_protocol"),
         F.lit(reload_type).alias("reload_type"),
@@ -54,7 +55,7 @@ def diagnostics_rows(spark: SparkSession, runtime: dt.datetime, program: str, ve
                      files_created: int | None = None) -> DataFrame:
     """K6 row: per-phase seconds as a map, serialised to JSON by Spark."""
     src = spark.createDataFrame(
-        [(runtime.replace(tzinfo=None), program, version, float(total_seconds),
+        [(utc_naive(runtime), program, version, float(total_seconds),
           {k: float(v) for k, v in phases.items()}, files_created)],
         T.StructType([
             T.StructField("runtime", T.TimestampNTZType()), T.StructField("program", T.StringType()),

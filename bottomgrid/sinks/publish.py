@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import ntz_lit, utc_naive
 from ..schemas import ARCHIVE_SCHEMA
 
 
@@ -81,7 +82,7 @@ def archive(spark: SparkSession, product_path: str, archive_root: str, version:
     snap = f"{archive_root}/archive_date={when.date().isoformat()}"
     prev = spark.read.parquet(product_path)
     (prev.withColumns({"version": F.lit(version),
-                       "archive_time": F.lit(when.replace(tzinfo=None)).cast("timestamp_ntz"),
+                       "archive_time": ntz_lit(when),
                        "doi": F.lit(doi or ""), "citation_url": F.lit(citation_url(doi))})
          .write.mode("overwrite").parquet(snap))
     return snap, files_size_mb(spark, snap)
@@ -91,7 +92,7 @@ def log_archive(spark: SparkSession, catalogue_path: str, snapshot: str, public_
                 when: dt.datetime, version: str, doi: str | None, reload_type: str,
                 size_mb: float) -> DataFrame:
     """K5: append one catalogue row per archive."""
-    row = [(snapshot, public_url, when.replace(tzinfo=None), version, doi or "",
+    row = [(snapshot, public_url, utc_naive(when), version, doi or "",
             citation_url(doi), reload_type, float(size_mb))]
     df = spark.createDataFrame(row, ARCHIVE_SCHEMA)
     df.write.mode("append").parquet(catalogue_path)

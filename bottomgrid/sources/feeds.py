@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.columns import nan_to_null
+from ..functions.times import ntz_lit, parse_time
 from ..operators.sizing import spread_small_input
 from ..registry import FEEDS, Feed
 from ..session import path_exists
@@ -52,9 +53,9 @@ def time_window(df: DataFrame, lo, hi=None, time: str = "time",
                 lo_inclusive: bool = True) -> DataFrame:
     """S3: ``lo <= time <= hi`` (``lo < time`` for side-loads)."""
     t = F.col(time)
-    cond = (t >= F.lit(lo)) if lo_inclusive else (t > F.lit(lo))
+    cond = (t >= ntz_lit(lo)) if lo_inclusive else (t > ntz_lit(lo))
     if hi is not None:
-        cond = cond & (t <= F.lit(hi))
+        cond = cond & (t <= ntz_lit(hi))
     return df.where(cond)
 
 
@@ -63,13 +64,6 @@ def strip_units(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.split(" ")[0] for c in df.columns])
 
 
-def parse_time(c: Column, dtype: T.DataType) -> Column:
-    """Text or zoned time -> ``timestamp_ntz`` in UTC; unparseable -> NULL."""
-    if isinstance(dtype, T.StringType):
-        return F.try_to_timestamp(c).cast("timestamp_ntz")
-    return c.cast("timestamp_ntz")
-
-
 def normalize_scan(df: DataFrame, variables: list[str] | tuple[str, ...],
                    time_col: str = "time") -> DataFrame:
     """Strip unit suffixes, keep the requested variables, rename the time

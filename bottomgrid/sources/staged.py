@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.times import parse_time
 from ..schemas import STAGED_OPTIONAL, STAGED_REQUIRED, STAGED_TYPES
 
 HANDOFF_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -29,10 +30,10 @@ def reconcile(df: DataFrame, required: list[str] = STAGED_REQUIRED,
         if c == "time":
             src = df.schema[c].dataType
             if isinstance(src, T.StringType):
-                cols.append(F.coalesce(F.try_to_timestamp(F.col(c), F.lit(HANDOFF_TIME_FORMAT)),
-                                       F.try_to_timestamp(F.col(c))).cast("timestamp_ntz").alias(c))
+                cols.append(F.coalesce(parse_time(F.col(c), src, HANDOFF_TIME_FORMAT),
+                                       parse_time(F.col(c), src)).alias(c))
             else:
-                cols.append(F.col(c).cast("timestamp_ntz").alias(c))
+                cols.append(parse_time(F.col(c), src).alias(c))
         elif t is not None:
             cols.append(F.col(c).try_cast(t).alias(c))
         else:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.runs import product_frame, window_for
-from ..schemas import STAGED_TYPES
+from ..functions.times import ntz_lit
 from ..session import scratch_path
 from ..operators.sizing import broadcast_if_small
 from ..sinks.publish import STAGE_DAY, publish_days
@@ -68,7 +68,7 @@ def refresh(spark: SparkSession, staged_path: str, product_path: str, run_date:
     run date from the staged rows, replacing those days only."""
     _, start = window_for(spark, run_date, force_full)
     raw = spark.read.parquet(staged_path)
-    lo = F.lit(start).cast(STAGED_TYPES["time"])
+    lo = ntz_lit(start)
     # the day bounds are on the partition column: only the window's day
     # folders are listed and read
     part = raw.where(F.col(STAGE_DAY).between(F.to_date(lo), F.lit(run_date))
