@@ -283,3 +283,22 @@ def test_nearest_centroid_tiled_matches_array_form(spark):
     a = {r.k: r.stat_area for r in nearest_centroid(pts, areas).collect()}
     b = {r.k: r.stat_area for r in nearest_centroid_tiled(pts, areas).collect()}
     assert a == b and a[999] is None
+
+
+def test_times_do_not_depend_on_session_zone(spark):
+    from bottomgrid.sources.feeds import time_window
+    df = spark.createDataFrame([("2024-01-01T00:00:00Z",), ("2024-01-01T05:30:00+02:00",),
+                                ("2024-01-01 10:00:00",)], "`time (UTC)` string")
+    results = []
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            n = normalize_scan(df, ["time"])
+            w = time_window(n, dt.datetime(2024, 1, 1, 3, 30), dt.datetime(2024, 1, 1, 10, 0))
+            results.append(([r.time for r in n.collect()], w.count()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert results[0] == results[1] == results[2]
+    assert results[0] == ([dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 3, 30),
+                           dt.datetime(2024, 1, 1, 10, 0)], 2)
