@@ -83,8 +83,8 @@ def strictly_within(ring: Column, px: Column, py: Column, max_points: int | None
 
 
 def ring_bbox(ring: Column) -> dict[str, Column]:
-    xs = F.transform(ring, lambda p: p["x"])
-    ys = F.transform(ring, lambda p: p["y"])
+    # field extraction over the array of structs (no lambda, so code-generated)
+    xs, ys = ring["x"], ring["y"]
     return {"min_x": F.array_min(xs), "max_x": F.array_max(xs),
             "min_y": F.array_min(ys), "max_y": F.array_max(ys)}
 

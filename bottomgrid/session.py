@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
+    # collect_set / min_by aggregates keep up to this many keys per task in a
+    # hash map before switching to sort-based aggregation (default 128)
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
