@@ -296,6 +296,22 @@ def q_previous_product(spark, sf):
     return read_previous(spark, path)
 
 
+@query("product_recent_published", sql([OBS, GRID, LOCATED, daily_cte("d0", rounded_=False),
+                                        f"p AS ({product_body()})"], """
+SELECT time, temperature, stat_area FROM p
+WHERE time >= (SELECT max(time) FROM p) - 14 AND time <= (SELECT max(time) FROM p)"""))
+def q_product_recent_published(spark, sf):
+    """S10 on the published product: the last 14 days of temperature and
+    area, read with partition pruning on the day folders."""
+    path = _scratch(spark, "product")
+    publish_days(product_frame(located(spark, sf)), path)
+    prod = read_previous(spark, path)
+    last = prod.agg(F.max("time")).first()[0]
+    now = dt.date(1970, 1, 1) + dt.timedelta(days=int(last))
+    from ..sources.staged import recent
+    return recent(prod, ["time", "temperature", "stat_area"], 14, now)
+
+
 # ---------------------------------------------------------------------------
 # streams and the scheduled runs
 # ---------------------------------------------------------------------------

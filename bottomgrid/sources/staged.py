@@ -62,8 +62,14 @@ def recent(product: DataFrame, cols: list[str] | None, days: int,
            now: dt.date | str, time: str = "time") -> DataFrame:
     """Chosen columns over the last ``days`` days up to ``now``.
 
-    On a day-partitioned product the predicate is on the partition column
-    ``time`` (a date), so only the touched day folders are listed and read."""
+    ``time`` may be a date (the daily frame) or days since epoch (the
+    published product, where it is the partition column): the bounds are
+    written in the same form, so on the published product the predicate is a
+    partition filter and only the matching day folders are listed and read."""
     now_d = F.to_date(F.lit(str(now)))
-    out = product.where(F.col(time).between(F.date_sub(now_d, days), now_d))
+    lo, hi = F.date_sub(now_d, days), now_d
+    dtype = product.schema[time].dataType
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType)):
+        lo, hi = F.unix_date(lo), F.unix_date(hi)
+    out = product.where(F.col(time).between(lo, hi))
     return out.select(*cols) if cols else out

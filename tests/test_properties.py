@@ -83,3 +83,21 @@ def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
     assert df.count() > 0 and "temperature" in df.columns
+
+
+def test_recent_prunes_published_days(spark, tmp_out):
+    import datetime as dt
+    import contextlib
+    import io
+    from bottomgrid.sources.staged import recent
+    p = product_frame(located(spark, SF))
+    publish_days(p, tmp_out)
+    prod = spark.read.parquet(tmp_out)
+    out = recent(prod, ["time", "temperature", "stat_area"], 3, dt.date(2024, 1, 20))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert "PartitionFilters: [isnotnull(time" in buf.getvalue()
+    days = sorted({r.time for r in out.collect()})
+    lo, hi = (dt.date(2024, 1, 17) - dt.date(1970, 1, 1)).days, (dt.date(2024, 1, 20) - dt.date(1970, 1, 1)).days
+    assert days and days[0] >= lo and days[-1] <= hi
