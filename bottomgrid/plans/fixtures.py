@@ -61,13 +61,6 @@ RASTER_SQL = "SELECT " + ", ".join(RASTER_EXPRS) + f" FROM ({RASTER_INNER}) b"
 RUN_LOG_SQL = "SELECT " + ", ".join(RUN_LOG_EXPRS) + " FROM orders"
 
 
-def with_views(sql: str, *names: str) -> str:
-    """Prefix an oracle query with the fixture views it uses as CTEs."""
-    defs = {"obs": OBS_SQL, "grid": GRID_SQL, "raster": RASTER_SQL, "run_log": RUN_LOG_SQL}
-    ctes = ",\n".join(f"{n} AS ({defs[n]})" for n in names)
-    return f"WITH {ctes}\n{sql}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -62,9 +62,6 @@ FEEDS: tuple[Feed, ...] = (
 # The previous product is scanned whole for the archive (S9); its location
 # is a deployment setting, passed to the runs as ``product_path``.
 
-# Side-loaded CSV feeds (already carrying a grid cell id), in union order.
-SIDELOADS = ("gmgi", "study_fleet")
-
 
 def feed(feed_id: str) -> Feed:
     for f in FEEDS:

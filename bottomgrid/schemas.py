@@ -4,16 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-TIME = "time"
-LAT = "latitude"
-LON = "longitude"
-
 # --- fixed values: the standard observation columns, in order ---------------
-STANDARD_COLUMNS = [
-    "time", "latitude", "longitude", "temperature",
-    "salinity", "dissolved_oxygen", "data_provider", "fishery_dependent",
-]
-
 STANDARD_SCHEMA = T.StructType([
     T.StructField("time", T.TimestampNTZType()),
     T.StructField("latitude", T.DoubleType()),
@@ -166,13 +157,3 @@ DIAG_SCHEMA = T.StructType([
     T.StructField("phase_durations", T.StringType()),
     T.StructField("nc_files_created", T.IntegerType()),
 ])
-
-GRID_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("ring", T.ArrayType(T.StructType([
-        T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])), False),
-    T.StructField("stat_area", T.LongType()),
-    T.StructField("depth", T.DoubleType()),
-    T.StructField("centroid_lon", T.DoubleType()),
-    T.StructField("centroid_lat", T.DoubleType()),
-])
