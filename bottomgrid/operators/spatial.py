@@ -269,33 +269,38 @@ ALBERS = {"lat1": 29.5, "lat2": 45.5, "lat0": 23.0, "lon0": -96.0,
           "a": 6378137.0, "f": 1 / 298.257222101}
 
 
-def albers_xy(lat: Column, lon: Column, p: dict = ALBERS) -> tuple[Column, Column]:
-    """Forward Albers equal-area projection as column arithmetic (metres)."""
+def albers_constants(p: dict = ALBERS) -> dict:
+    """e, n, C, rho0 of the Albers equal-area conic for parameters ``p``."""
     a, f = p["a"], p["f"]
     e2 = f * (2 - f)
     e = math.sqrt(e2)
 
-    def q_py(phi):
+    def q(phi):
         s = math.sin(phi)
         return (1 - e2) * (s / (1 - e2 * s * s) - (1 / (2 * e)) * math.log((1 - e * s) / (1 + e * s)))
 
-    def m_py(phi):
+    def m(phi):
         s = math.sin(phi)
         return math.cos(phi) / math.sqrt(1 - e2 * s * s)
 
     p1, p2, p0 = (math.radians(p[k]) for k in ("lat1", "lat2", "lat0"))
-    m1, m2 = m_py(p1), m_py(p2)
-    q0, q1, q2 = q_py(p0), q_py(p1), q_py(p2)
-    n = (m1 * m1 - m2 * m2) / (q2 - q1)
-    c = m1 * m1 + n * q1
-    rho0 = a * math.sqrt(c - n * q0) / n
-    phi = F.radians(lat)
-    s = F.sin(phi)
-    q = F.lit(1 - e2) * (s / (F.lit(1.0) - F.lit(e2) * s * s)
-                         - F.lit(1 / (2 * e)) * F.log((F.lit(1.0) - F.lit(e) * s) / (F.lit(1.0) + F.lit(e) * s)))
-    rho = F.lit(a / n) * F.sqrt(F.lit(c) - F.lit(n) * q)
-    theta = F.lit(n) * (F.radians(lon) - F.lit(math.radians(p["lon0"])))
-    return rho * F.sin(theta), F.lit(rho0) - rho * F.cos(theta)
+    n = (m(p1) ** 2 - m(p2) ** 2) / (q(p2) - q(p1))
+    c = m(p1) ** 2 + n * q(p1)
+    return {"a": a, "e2": e2, "e": e, "n": n, "c": c, "rho0": a * math.sqrt(c - n * q(p0)) / n,
+            "lon0": math.radians(p["lon0"])}
+
+
+def albers_xy(lat: Column, lon: Column, p: dict = ALBERS) -> tuple[Column, Column]:
+    """Forward Albers equal-area projection as column arithmetic (metres)."""
+    k = albers_constants(p)
+    e, e2, n = k["e"], k["e2"], k["n"]
+    s = F.sin(F.radians(lat))
+    one = F.lit(1.0)
+    q = F.lit(1 - e2) * (s / (one - F.lit(e2) * s * s)
+                         - F.lit(1 / (2 * e)) * F.log((one - F.lit(e) * s) / (one + F.lit(e) * s)))
+    rho = F.lit(k["a"] / n) * F.sqrt(F.lit(k["c"]) - F.lit(n) * q)
+    theta = F.lit(n) * (F.radians(lon) - F.lit(k["lon0"]))
+    return rho * F.sin(theta), F.lit(k["rho0"]) - rho * F.cos(theta)
 
 
 def nearest_centroid(points: DataFrame, areas: DataFrame, x: str = "x", y: str = "y",

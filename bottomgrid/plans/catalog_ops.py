@@ -18,8 +18,8 @@ from ..operators.qc import (drop_outliers, gross_range, min_group_size, missing_
                             positive, retention_curve, running_median, seabed_check)
 from ..operators.reduce import deepest, hourly_by_station, hourly_mean
 from ..operators.runlog import feed_counts, last_full_run, latest_run
-from ..operators.spatial import (attach_cell, drop_unlocated, nearest_centroid, nearest_raster,
-                                 once_per_key, within_cells)
+from ..operators.spatial import (albers_xy, attach_cell, drop_unlocated, nearest_centroid,
+                                 nearest_raster, once_per_key, within_cells)
 from ..operators.union import distinct_positions, union_feeds, union_with_sideloads
 from ..sources.feeds import apply_constraints, normalize_scan, time_window
 from ..sources.staged import reconcile, recent
@@ -260,22 +260,40 @@ def q_distinct_positions(spark, sf):
     return distinct_positions(fx.obs(spark, sf))
 
 
-AREAS = f"""areas AS (SELECT CAST(stat_area AS BIGINT) AS stat_area, avg(centroid_lon) AS x,
-   avg(centroid_lat) AS y FROM grid GROUP BY 1)"""
+def _albers_sql(lat: str, lon: str) -> tuple[str, str]:
+    """The same projection written as DuckDB arithmetic (oracle side)."""
+    from ..operators.spatial import albers_constants
+    k = albers_constants()
+    s = f"sin(radians({lat}))"
+    q = (f"({1 - k['e2']!r} * ({s} / (1 - {k['e2']!r} * {s} * {s}) - {1 / (2 * k['e'])!r} * "
+         f"ln((1 - {k['e']!r} * {s}) / (1 + {k['e']!r} * {s}))))")
+    rho = f"({k['a'] / k['n']!r} * sqrt({k['c']!r} - {k['n']!r} * {q}))"
+    theta = f"({k['n']!r} * (radians({lon}) - {k['lon0']!r}))"
+    return f"{rho} * sin({theta})", f"{k['rho0']!r} - {rho} * cos({theta})"
 
 
-@query("nearest_centroid", sql([OBS, GRID, AREAS], """
+_CX, _CY = _albers_sql("centroid_lat", "centroid_lon")
+_PX, _PY = _albers_sql("latitude", "longitude")
+AREAS = f"""areas AS (SELECT CAST(stat_area AS BIGINT) AS stat_area, avg({_CX}) AS x, avg({_CY}) AS y
+   FROM grid GROUP BY 1)"""
+
+
+@query("nearest_centroid", sql([OBS, GRID, AREAS, f"pp AS (SELECT obs_id, {_PX} AS px, {_PY} AS py FROM obs)"], """
 SELECT obs_id, stat_area FROM (
-  SELECT o.obs_id, a.stat_area, row_number() OVER (PARTITION BY o.obs_id ORDER BY
-    (o.longitude - a.x) * (o.longitude - a.x) + (o.latitude - a.y) * (o.latitude - a.y), a.stat_area) AS rn
-  FROM obs o, areas a) WHERE rn = 1"""))
+  SELECT p.obs_id, a.stat_area, row_number() OVER (PARTITION BY p.obs_id ORDER BY
+    (p.px - a.x) * (p.px - a.x) + (p.py - a.y) * (p.py - a.y), a.stat_area) AS rn
+  FROM pp p, areas a) WHERE rn = 1"""))
 def q_nearest_centroid(spark, sf):
-    """Nearest statistical-area centroid (area centroids = mean of their
-    cells' centroids, derived from the grid), planar distance."""
+    """Nearest statistical-area centroid in the Albers equal-area
+    projection of the contiguous US (area centroid = mean of its cells'
+    projected centroids, derived from the grid)."""
     g = fx.grid(spark, sf)
-    areas = g.groupBy("stat_area").agg(F.avg("centroid_lon").alias("x"), F.avg("centroid_lat").alias("y"))
-    o = fx.obs(spark, sf).select("obs_id", F.col("longitude").alias("px"), F.col("latitude").alias("py"))
-    return nearest_centroid(o, areas).select("obs_id", "stat_area")
+    cx, cy = albers_xy(F.col("centroid_lat"), F.col("centroid_lon"))
+    areas = g.groupBy("stat_area").agg(F.avg(cx).alias("x"), F.avg(cy).alias("y"))
+    o = fx.obs(spark, sf)
+    px, py = albers_xy(F.col("latitude"), F.col("longitude"))
+    pts = o.select("obs_id", px.alias("px"), py.alias("py"))
+    return nearest_centroid(pts, areas).select("obs_id", "stat_area")
 
 
 # ---------------------------------------------------------------------------

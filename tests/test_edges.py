@@ -302,3 +302,14 @@ def test_times_do_not_depend_on_session_zone(spark):
     assert results[0] == results[1] == results[2]
     assert results[0] == ([dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 3, 30),
                            dt.datetime(2024, 1, 1, 10, 0)], 2)
+
+
+def test_albers_matches_published_example(spark):
+    # worked example of the Albers equal-area conic (Clarke 1866 ellipsoid,
+    # parallels 29.5 / 45.5, origin 23 N 96 W): 35 N 75 W -> (1885472.7, 1535925.0)
+    from bottomgrid.operators.spatial import ALBERS
+    e2 = 0.00676866
+    p = dict(ALBERS, a=6378206.4, f=1 - math.sqrt(1 - e2))
+    x, y = albers_xy(F.lit(35.0), F.lit(-75.0), p)
+    r = spark.range(1).select(x.alias("x"), y.alias("y")).first()
+    assert round(r.x, 1) == 1885472.7 and round(r.y, 1) == 1535925.0
