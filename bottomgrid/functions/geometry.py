@@ -41,44 +41,42 @@ def on_boundary(ring: Column, px: Column, py: Column) -> Column:
     return F.exists(_edges(ring), on_edge)
 
 
-# Rings up to this many points are tested with an unrolled expression.
-UNROLL_MAX_POINTS = 32
-
-
-def _edge_terms(ring: Column, px: Column, py: Column, i: int):
-    # get() gives NULL past the end of a shorter ring (plain indexing raises
-    # under ANSI mode even behind a guard)
-    a, b = F.get(ring, F.lit(i)), F.get(ring, F.lit(i + 1))
-    ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
-    exists = F.lit(i) < F.size(ring) - 1
-    straddles = (ay > py) != (by > py)
-    x_cross = (bx - ax) * (py - ay) / F.nullif(by - ay, F.lit(0.0)) + ax
-    crosses = exists & straddles & F.coalesce(px < x_cross, F.lit(False))
-    cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
-    touches = (exists & (cross == F.lit(0.0))
-               & px.between(F.least(ax, bx), F.greatest(ax, bx))
-               & py.between(F.least(ay, by), F.greatest(ay, by)))
-    return crosses, touches
-
-
-def strictly_within_unrolled(ring: Column, px: Column, py: Column, max_points: int) -> Column:
-    """Same predicate as :func:`strictly_within` for rings of at most
-    ``max_points`` points, written edge by edge with plain array indexing, so
-    it compiles inside whole-stage code generation (lambda functions do not).
-    Edges past the ring's own length are switched off by a guard."""
+# Rings up to this many points are tested with an unrolled expression over
+# vertex columns (longer rings use the higher-order-function form).
+UNROLL_MAX_POINTS = 8
+
+
+def vertex_columns(ring: Column, max_points: int) -> dict[str, Column]:
+    """``_x0.._x{m-1}``, ``_y0..``: the ring's vertices as plain columns,
+    NULL past the ring's own length. Computed once on the dimension side."""
+    out = {}
+    for i in range(max_points):
+        v = F.get(ring, F.lit(i))
+        out[f"_x{i}"], out[f"_y{i}"] = v["x"], v["y"]
+    return out
+
+
+def strictly_within_vertices(xs: list[Column], ys: list[Column], px: Column, py: Column) -> Column:
+    """Same predicate as :func:`strictly_within` on vertex columns: plain
+    arithmetic, so it compiles inside whole-stage code generation. An edge
+    whose end vertex is NULL (past the ring's length) is switched off."""
     parity, boundary = F.lit(False), F.lit(False)
-    for i in range(max_points - 1):
-        crosses, touches = _edge_terms(ring, px, py, i)
+    for i in range(len(xs) - 1):
+        ax, ay, bx, by = xs[i], ys[i], xs[i + 1], ys[i + 1]
+        straddles = (ay > py) != (by > py)
+        x_cross = (bx - ax) * (py - ay) / F.nullif(by - ay, F.lit(0.0)) + ax
+        crosses = F.coalesce(straddles & (px < x_cross), F.lit(False))
+        cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+        touches = F.coalesce((cross == F.lit(0.0))
+                             & px.between(F.least(ax, bx), F.greatest(ax, bx))
+                             & py.between(F.least(ay, by), F.greatest(ay, by)), F.lit(False))
         parity = parity != crosses
-        boundary = boundary | F.coalesce(touches, F.lit(False))
+        boundary = boundary | touches
     return parity & ~boundary
 
 
-def strictly_within(ring: Column, px: Column, py: Column, max_points: int | None = None) -> Column:
-    """The 'within' predicate: interior only, the boundary matches nothing.
-    With a known small ``max_points`` the unrolled form is used."""
-    if max_points is not None and max_points <= UNROLL_MAX_POINTS:
-        return strictly_within_unrolled(ring, px, py, max_points)
+def strictly_within(ring: Column, px: Column, py: Column) -> Column:
+    """The 'within' predicate: interior only, the boundary matches nothing."""
     return crossing_inside(ring, px, py) & ~on_boundary(ring, px, py)
 
 

@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import ring_bbox, strictly_within
+from ..functions.geometry import (UNROLL_MAX_POINTS, ring_bbox, strictly_within,
+                                  strictly_within_vertices, vertex_columns)
 from .sizing import broadcast_if_small
 
 
@@ -127,7 +128,7 @@ def nearest_raster(df: DataFrame, raster: DataFrame, axes: RasterAxes | None = N
 
 @dataclass(frozen=True)
 class GridTiles:
-    tiles: DataFrame       # (_tx, _ty, id, ring, bbox) one row per cell x covered tile
+    tiles: DataFrame       # (_tx, _ty, id, bbox, ring or vertex columns) per cell x tile
     tile: float
     broadcast: bool
     cells: int             # number of grid cells (sizes the attribute broadcast)
@@ -156,12 +157,15 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
     t = F.lit(tile)
     tx0, tx1 = F.floor(F.col("min_x") / t), F.floor(F.col("max_x") / t)
     ty0, ty1 = F.floor(F.col("min_y") / t), F.floor(F.col("max_y") / t)
+    verts = int(st["verts"] or 5)
+    if verts <= UNROLL_MAX_POINTS:
+        # short rings (grid cells): vertices unpacked once here, so the join
+        # condition is plain column arithmetic
+        cells = cells.withColumns(vertex_columns(F.col("ring"), verts)).drop("ring")
     tiles = (cells
              .withColumn("_tx", F.explode(F.sequence(tx0, tx1)))
-             .withColumn("_ty", F.explode(F.sequence(ty0, ty1)))
-             .select("_tx", "_ty", "id", "ring", "min_x", "max_x", "min_y", "max_y"))
+             .withColumn("_ty", F.explode(F.sequence(ty0, ty1))))
     bound = n * (int((st["mw"] or 0) / tile) + 2) * (int((st["mh"] or 0) / tile) + 2)
-    verts = int(st["verts"] or 5)
     tiles, is_bc = broadcast_if_small(tiles, bound, 72 + 24 * verts)
     return GridTiles(tiles, tile, is_bc, n, verts)
 
@@ -184,12 +188,17 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
     # open bounding box first: cheap comparisons reject most candidates
     # before the exact ring test runs
     in_box = (px > g["min_x"]) & (px < g["max_x"]) & (py > g["min_y"]) & (py < g["max_y"])
-    cond = ((p["_tx"] == g["_tx"]) & (p["_ty"] == g["_ty"]) & in_box
-            & strictly_within(g["ring"], px, py, gt.max_points))
+    if "ring" in g.columns:
+        exact = strictly_within(g["ring"], px, py)
+    else:
+        m = gt.max_points
+        exact = strictly_within_vertices([g[f"_x{i}"] for i in range(m)],
+                                         [g[f"_y{i}"] for i in range(m)], px, py)
+    cond = (p["_tx"] == g["_tx"]) & (p["_ty"] == g["_ty"]) & in_box & exact
     joined = p.join(g, cond, how)
+    extra = [c for c in gt.tiles.columns if c not in ("id", "_tx", "_ty")]
     return (joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"])
-            .drop("ring", "min_x", "max_x", "min_y", "max_y")
-            .withColumnRenamed("_cell_id", id_col))
+            .drop(*extra).withColumnRenamed("_cell_id", id_col))
 
 
 # --------------------------------------------------------------------------
