@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # collect_set / min_by aggregates keep up to this many keys per task in a
     # hash map before switching to sort-based aggregation (default 128)
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # checkpoint files of the running median are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
