@@ -4,7 +4,8 @@
 Per-group rules are written so that a group holding a large share of all
 rows never has to sit in one task: group statistics are partial aggregates
 joined back (AQE splits a hot key on the row side), and the running median
-works on a globally range-sorted copy with five-row neighbour groups.
+sends groups above a size bound through a globally range-sorted copy with
+five-row neighbour groups.
 """
 
 from __future__ import annotations
@@ -66,20 +67,35 @@ def min_group_size(df: DataFrame, group: str, n: int = 10) -> DataFrame:
     return joined.where(F.col(group).isNotNull() & (F.col("_n") >= n)).drop("_n")
 
 
-def running_median(df: DataFrame, group: str, order: list[str], col: str,
-                   out: str | None = None, width: int = 5) -> DataFrame:
-    """``width``-point running median of ``col`` along ``order`` within
-    each group, zero-padded at both ends of the group (a group shorter than
-    the window is padded too). Rows without a group get NULL.
+# Groups above this many rows take the range-sorted path of the running
+# median; smaller ones use a per-group window (one task per group).
+MAX_WINDOW_GROUP_ROWS = 1_000_000
 
-    Plan: one global range sort on (group, order) spreads even a huge group
-    over many tasks; the sorted copy is checkpointed so the row positions are
-    stable; a count per partition gives every row a consecutive position;
-    every row is copied to the ``width`` positions it is a neighbour of, and
-    a group-by on the position collects at most ``width`` values. No group
-    of rows ever has to fit in one task.
-    """
-    out = out or col
+
+def _pad_median(values: Column, width: int) -> Column:
+    padded = F.concat(values, F.array_repeat(F.lit(0.0), F.lit(width) - F.size(values)))
+    return F.sort_array(padded)[width // 2]
+
+
+def _median_by_window(df: DataFrame, group: str, order: list[str], col: str, out: str,
+                      width: int) -> DataFrame:
+    """Per-group sliding window of ``width`` rows (for groups of bounded size)."""
+    half = width // 2
+    w = Window.partitionBy(group).orderBy(*order).rowsBetween(-half, half)
+    med = _pad_median(F.col("_nbv"), width)
+    return (df.withColumn("_nbv", F.collect_list(F.col(col)).over(w))
+              .withColumn(out, F.when(F.col(group).isNotNull() & F.col(col).isNotNull(), med))
+              .drop("_nbv"))
+
+
+def _median_by_position(df: DataFrame, group: str, order: list[str], col: str, out: str,
+                        width: int) -> DataFrame:
+    """Range-sorted path for groups of any size: one global sort spreads a
+    huge group over many tasks; the sorted copy is checkpointed so the row
+    positions are stable; a count per partition gives every row a
+    consecutive position; every row is copied to the ``width`` positions it
+    is a neighbour of, and a group-by on the position collects at most
+    ``width`` values."""
     half = width // 2
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -105,11 +121,33 @@ def running_median(df: DataFrame, group: str, order: list[str], col: str,
     nb = nb.where(F.col("_row").isNotNull())
     me = F.col("_row")[group]
     same = F.transform(F.filter("_nb", lambda e: e["g"] == me), lambda e: e["v"])
-    padded = F.concat(same, F.array_repeat(F.lit(0.0), F.lit(width) - F.size(same)))
-    med = F.sort_array(padded)[half]
-    med = F.when(me.isNotNull() & F.col("_row")[col].isNotNull(), med)
-    return nb.select(*[F.col("_row")[c].alias(c) for c in row_cols if c != out],
-                     med.alias(out))
+    med = F.when(me.isNotNull() & F.col("_row")[col].isNotNull(), _pad_median(same, width))
+    return nb.select(*[F.col("_row")[c].alias(c) for c in row_cols if c != out], med.alias(out))
+
+
+def running_median(df: DataFrame, group: str, order: list[str], col: str,
+                   out: str | None = None, width: int = 5,
+                   max_group_rows: int | None = None) -> DataFrame:
+    """``width``-point running median of ``col`` along ``order`` within
+    each group, zero-padded at both ends of the group (a group shorter than
+    the window is padded too). Rows without a group get NULL.
+
+    Hot groups are split off first: one partial aggregate counts the rows of
+    every group, and only groups above ``max_group_rows`` (at most
+    ``rows / max_group_rows`` of them, so the list is small) take the
+    range-sorted path that spreads one group over many tasks. All other
+    groups use a per-group sliding window, where a task holds at most
+    ``max_group_rows`` rows of one group."""
+    out = out or col
+    limit = MAX_WINDOW_GROUP_ROWS if max_group_rows is None else max_group_rows
+    sizes = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    hot = [r[0] for r in sizes.where(F.col("_n") > limit).select(group).collect()]
+    if not hot:
+        return _median_by_window(df, group, order, col, out, width)
+    is_hot = F.col(group).isin(hot)
+    cold = df.where(~is_hot | F.col(group).isNull())
+    return (_median_by_window(cold, group, order, col, out, width)
+            .unionByName(_median_by_position(df.where(is_hot), group, order, col, out, width)))
 
 
 def retention_curve(df: DataFrame, diff_col: str, max_threshold: int = 500) -> DataFrame:

@@ -30,13 +30,7 @@ def _medfilt_zero(x, k=5):
     return np.array([np.median(padded[j:j + k]) for j in range(len(x))])
 
 
-def test_running_median_hot_tow(spark):
-    df = skewed(spark).repartition(8)
-    out = running_median(df, "tow", ["time", "rid"], "v", out="m")
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        out.explain()
-    assert "Window" not in buf.getvalue()
+def _check_median(spark, out):
     got = out.select("rid", "m").toPandas().set_index("rid")["m"]
     pdf = skewed(spark).toPandas().sort_values(["tow", "time", "rid"])
     exp = pdf.groupby("tow", group_keys=False)["v"].apply(
@@ -44,6 +38,28 @@ def test_running_median_hot_tow(spark):
     assert got.sort_index().equals(exp.sort_index().rename("m"))
 
 
+def test_running_median_hot_tow_split_off(spark):
+    # the hot tow (10,000 rows) is above the bound and takes the range-sorted
+    # path; the 400 small tows use the per-tow window
+    df = skewed(spark).repartition(8)
+    out = running_median(df, "tow", ["time", "rid"], "v", out="m", max_group_rows=1000)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert "Window" in buf.getvalue() and "Union" in buf.getvalue()
+    _check_median(spark, out)
+
+
+def test_running_median_all_groups_small(spark):
+    out = running_median(skewed(spark), "tow", ["time", "rid"], "v", out="m")
+    _check_median(spark, out)
+
+
+def test_running_median_every_group_hot(spark):
+    out = running_median(skewed(spark), "tow", ["time", "rid"], "v", out="m", max_group_rows=0)
+    _check_median(spark, out)
+
+
 def test_outliers_and_deepest_hot_tow(spark):
     df = skewed(spark).withColumn("v", F.when(F.col("rid") == 3, 1e6).otherwise(F.col("v")))
     kept = {r.rid for r in drop_outliers(df, "tow", "v").select("rid").collect()}
