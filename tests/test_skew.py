@@ -70,3 +70,28 @@ def test_outliers_and_deepest_hot_tow(spark):
     d = {r.tow: r.rid for r in deepest(df, "tow", "v", tie="rid").collect()}
     exp = pdf.sort_values(["v", "rid"], ascending=[False, True]).groupby("tow").head(1)
     assert d == dict(zip(exp["tow"], exp["rid"]))
+
+
+def test_daily_cell_hot_cell_day(spark):
+    from bottomgrid.operators.daily import daily_cell
+    i = F.col("id")
+    df = spark.range(N).select(
+        F.when(i % 3 == 0, F.lit(7)).otherwise(i % 500).cast("long").alias("id"),
+        F.when(i % 3 == 0, F.lit("2024-01-05 12:00:00").cast("timestamp_ntz"))
+         .otherwise(F.timestamp_add("MINUTE", i, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
+         .alias("time"),
+        (((i * 7919) % 1000) / 10.0).alias("temperature"),
+        F.concat(F.lit("p"), (i % 4).cast("string")).alias("data_provider"),
+        i.alias("obs_id")).repartition(8)
+    got = {(r.time, r.grid_id): r for r in daily_cell(df, order=["time", "obs_id"]).collect()}
+    pdf = df.toPandas()
+    pdf["day"] = pdf["time"].dt.date
+    g = pdf.groupby(["day", "id"])
+    assert len(got) == g.ngroups
+    for (day, cid), part in g:
+        r = got[(day, cid)]
+        assert r.temperature_count == len(part)
+        assert abs(r.temperature - part["temperature"].mean()) < 1e-9
+        if len(part) > 1:
+            assert abs(r.temperature_std - part["temperature"].std()) < 1e-9
+        assert r.data_provider == ", ".join(sorted(part["data_provider"].unique()))
