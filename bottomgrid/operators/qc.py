@@ -47,7 +47,14 @@ def gross_range(df: DataFrame, depth: str = "depth", temperature: str = "tempera
 
 
 def _group_stats(df: DataFrame, group: str, aggs: list[Column]) -> DataFrame:
-    """Partial-aggregated statistics per group, joined back to every row."""
+    """Partial-aggregated statistics per group, joined back to every row.
+
+    The statistics pass reads only the group and value columns; with few
+    groups the statistics are broadcast back (planned, or by AQE from their
+    measured size), so rows are not shuffled at all; with many groups the
+    join shuffles and AQE splits a hot group on the row side. A window over
+    the group would instead shuffle every row and hold a whole group in one
+    task."""
     stats = df.where(F.col(group).isNotNull()).groupBy(group).agg(*aggs)
     return df.join(stats, group, "left")
 
