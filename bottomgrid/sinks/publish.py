@@ -27,8 +27,7 @@ def stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: overwrite the hand-off table with the gridded observations that
     have a cell (no geometry is ever carried). The table is partitioned by
     observation day, so readers that recompute some days (T1, T2) list and
-    read only those day folders (partition pruning, dynamic when the day
-    list comes from a join)."""
+    read only those day folders (partition pruning)."""
     (_staged_rows(df).hint("rebalance", STAGE_DAY)
      .write.mode(mode).partitionBy(STAGE_DAY).parquet(path))
 

@@ -28,16 +28,24 @@ def staged_schema(spark: SparkSession, staged_path: str):
     return spark.read.parquet(staged_path).schema
 
 
+# Day lists up to this size become a static IN filter on the partition column.
+MAX_LISTED_DAYS = 10_000
+
+
 def publish_touched_days(spark: SparkSession, staged_path: str, product_path: str,
                          days: DataFrame, n_days: int) -> list[int]:
     """Recompute and publish the given days (a frame with a ``day`` date
     column, one row per day) from every staged row of those days. The staged
-    table is partitioned by ``day``: the day list (counted, then broadcast
-    when small) drives a semi join on the partition column, so dynamic
-    partition pruning reads only the touched day folders."""
+    table is partitioned by ``day``: a counted, small day list becomes an
+    ``IN`` filter on the partition column, so only the touched day folders
+    are listed and read; a longer list is applied as a semi join."""
     raw = spark.read.parquet(staged_path)
-    days, _ = broadcast_if_small(days, n_days, 16)
-    touched = raw.join(days, raw[STAGE_DAY] == days["day"], "left_semi")
+    if n_days <= MAX_LISTED_DAYS:
+        listed = [r["day"] for r in days.collect()]
+        touched = raw.where(F.col(STAGE_DAY).isin(listed))
+    else:
+        days, _ = broadcast_if_small(days, n_days, 16)
+        touched = raw.join(days, raw[STAGE_DAY] == days["day"], "left_semi")
     return publish_days(product_frame(reconcile_staged(touched)), product_path)
 
 

@@ -101,3 +101,33 @@ def test_recent_prunes_published_days(spark, tmp_out):
     days = sorted({r.time for r in out.collect()})
     lo, hi = (dt.date(2024, 1, 17) - dt.date(1970, 1, 1)).days, (dt.date(2024, 1, 20) - dt.date(1970, 1, 1)).days
     assert days and days[0] >= lo and days[-1] <= hi
+
+
+def test_touched_days_prune_staged_partitions(spark, tmp_out):
+    import contextlib
+    import datetime as dt
+    import io
+    from bottomgrid.streaming import publish_stream as ps
+    loc = located(spark, SF)
+    stage(loc, f"{tmp_out}/staged")
+    day = sorted(r[0] for r in product_frame(loc).select("time").distinct().collect())[0]
+    date = dt.date(1970, 1, 1) + dt.timedelta(days=day)
+    days = spark.createDataFrame([(date,)], "day date")
+    captured = {}
+    real = ps.publish_days
+
+    def spy(df, path):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        captured["plan"] = buf.getvalue()
+        return real(df, path)
+
+    ps.publish_days = spy
+    try:
+        written = ps.publish_touched_days(spark, f"{tmp_out}/staged", f"{tmp_out}/product", days, 1)
+    finally:
+        ps.publish_days = real
+    filters = [line for line in captured["plan"].splitlines() if "PartitionFilters" in line]
+    assert filters and all(date.isoformat() in f or str(day) in f for f in filters), filters
+    assert written == [day]
