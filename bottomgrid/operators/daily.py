@@ -117,11 +117,12 @@ def merge_daily(df: DataFrame, measures: list[str] | None = None,
     """
     ms = _present(df, measures)
     w = Window.partitionBy(*keys)
-    base = df
+    merged_means = {}
     for m in ms:
         n, mean = F.col(f"{m}_count"), F.col(m)
         tot = F.sum(F.when(mean.isNotNull(), n)).over(w)
-        base = base.withColumn(f"_M_{m}", F.try_divide(F.sum(mean * n).over(w), tot))
+        merged_means[f"_M_{m}"] = F.try_divide(F.sum(mean * n).over(w), tot)
+    base = df.withColumns(merged_means)    # one Window node for all measures
     aggs = [F.min(c).alias(c) for c in META if c in df.columns]
     for m in ms:
         n, mean, std = F.col(f"{m}_count"), F.col(m), F.col(f"{m}_std")
