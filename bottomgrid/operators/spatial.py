@@ -355,6 +355,8 @@ def nearest_centroid_tiled(points: DataFrame, areas: DataFrame, x: str = "x", y:
     area outside the searched square is farther than that. Positions not yet
     settled search again with ``k`` doubled, until ``k`` covers the whole
     extent of the areas (then every area has been seen)."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(points.sparkSession)   # each round's settled points are checkpointed
     a = areas.select(F.col(key).alias("_k"), F.col(x).alias("_ax"), F.col(y).alias("_ay"))
     st = a.agg(F.count(F.lit(1)).alias("n"), F.min("_ax").alias("x0"), F.max("_ax").alias("x1"),
                F.min("_ay").alias("y0"), F.max("_ay").alias("y1")).first()

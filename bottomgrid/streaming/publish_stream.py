@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.runs import product_frame, window_for
 from ..functions.times import ntz_lit
-from ..session import scratch_path
+from ..session import checkpoint_dir, scratch_path
 from ..operators.sizing import broadcast_if_small
 from ..sinks.publish import STAGE_DAY, publish_days
 from ..sources.staged import reconcile_staged
@@ -53,6 +53,7 @@ def publish_stream(spark: SparkSession, staged_path: str, product_path: str,
                    checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     """File-source stream over the staged folder -> per batch, distinct
     days -> recompute those days from all staged rows -> publish."""
+    checkpoint_dir(spark)   # each batch checkpoints its (small) day list
     checkpoint = checkpoint or scratch_path(spark, "streams", "publish")
     schema = staged_schema(spark, staged_path)
     stream = spark.readStream.schema(schema).parquet(staged_path)
