@@ -104,3 +104,21 @@ def test_both_jobs_end_to_end(spark, tmp_out):
     assert sorted(programs) == ["step1", "step1", "step2", "step2"]
     attrs = spark.read.parquet(f"{prod}/_attributes").first()
     assert attrs.version == "1" and attrs.title
+
+
+def test_cli_runs_both_jobs(spark, tmp_out):
+    from bottomgrid.cli import main
+    land_all(spark, f"{tmp_out}/landing")
+    fx.grid(spark, SF).write.parquet(f"{tmp_out}/grid")
+    fx.raster(spark, SF).write.parquet(f"{tmp_out}/raster")
+    out1 = main(["step1", "--landing", f"{tmp_out}/landing", "--grid", f"{tmp_out}/grid",
+                 "--raster", f"{tmp_out}/raster", "--staged", f"{tmp_out}/staged",
+                 "--run-log", f"{tmp_out}/runlog", "--date", "2024-01-30", "--full"], spark=spark)
+    assert out1["reload_type"] == "manual_full"
+    out2 = main(["step2", "--staged", f"{tmp_out}/staged", "--product", f"{tmp_out}/product",
+                 "--archive", f"{tmp_out}/archive", "--catalogue", f"{tmp_out}/catalogue",
+                 "--diagnostics", f"{tmp_out}/diag"], spark=spark)
+    assert out2["days_published"] > 0
+    out3 = main(["refresh", "--staged", f"{tmp_out}/staged", "--product", f"{tmp_out}/product",
+                 "--date", "2024-01-20"], spark=spark)
+    assert 0 < out3["days_published"] <= 6
