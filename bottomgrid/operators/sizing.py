@@ -51,7 +51,9 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     slots (one large file, one row group) over all of them before row-wise
     heavy work. A real input of many files already has enough splits, and
     then this is a no-op: no shuffle is added."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session: leave the scan as it is)
+        return df
+    return df.repartition(target) if splits < target else df

@@ -57,13 +57,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     private folder is created only when the setting is absent (local tests).
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: the server owns the context)
+        sc = None
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="bottomgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
@@ -75,7 +79,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path
     names (local, HDFS, object store), through Hadoop's FileSystem API."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+    except Exception:  # noqa: BLE001  (no JVM gateway, e.g. Spark Connect)
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).count()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
