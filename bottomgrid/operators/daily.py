@@ -57,7 +57,9 @@ def daily_cell(df: DataFrame, measures: list[str] | None = None,
     order = order or ["time"]
     by = list(by or [])
     ms = _present(df, measures)
-    base = df.where(F.col(id_col).isNotNull()).withColumn("_day", F.to_date("time"))
+    # rows without a cell or a time have no (day, cell) group
+    base = (df.where(F.col(id_col).isNotNull() & F.col("time").isNotNull())
+              .withColumn("_day", F.to_date("time")))
     aggs = []
     for c in ("latitude", "longitude", "fishery_dependent", "stat_area", "depth"):
         if c in base.columns:
@@ -90,7 +92,8 @@ def daily_cell_precounted(df: DataFrame, measures: list[str] | None = None,
     unweighted, and the **sum** of each count column. No fishery flag."""
     order = order or ["time"]
     ms = _present(df, measures)
-    base = df.where(F.col(id_col).isNotNull()).withColumn("_day", F.to_date("time"))
+    base = (df.where(F.col(id_col).isNotNull() & F.col("time").isNotNull())
+              .withColumn("_day", F.to_date("time")))
     aggs = [_first(c, order, True).alias(c) for c in META if c in base.columns]
     for m in ms:
         aggs += [F.avg(m).alias(m), F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max"),

@@ -19,11 +19,11 @@ def hour_start(time: str = "time"):
 def hourly_mean(df: DataFrame, group: str | list[str], measures: list[str],
                 time: str = "time", counts: bool = False) -> DataFrame:
     """A1: mean of each measure per group and calendar hour (label = hour
-    start); rows without a group are dropped, empty hours never appear, and
+    start); rows without a group or a time are dropped, empty hours never appear, and
     hours whose means are all missing are dropped. ``counts`` adds the
     non-null count of each measure as ``<m>_count``."""
     groups = [group] if isinstance(group, str) else list(group)
-    base = df
+    base = df.where(F.col(time).isNotNull())      # no hour bin for a missing time
     for g in groups:
         base = base.where(F.col(g).isNotNull())
     aggs = [F.avg(m).alias(m) for m in measures]
