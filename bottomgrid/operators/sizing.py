@@ -46,13 +46,18 @@ def broadcast_if_small(df: DataFrame, rows: int, width: int | None = None,
     return df, False
 
 
+# A scan with at least this many splits is never re-spread.
+SPREAD_MAX_SPLITS = 32
+
+
 def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that arrives in fewer splits than the session has task
-    slots (one large file, one row group) over all of them before row-wise
-    heavy work. A real input of many files already has enough splits, and
-    then this is a no-op: no shuffle is added."""
+    """Spread a scan that arrives in very few splits (one large file, one row
+    group) over ``min(task slots, 32)`` partitions before row-wise heavy work.
+    An input of many files already has enough splits and is left as it is,
+    so on a large cluster at most 32 splits' worth of data is ever moved."""
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism,
+                                       SPREAD_MAX_SPLITS)
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001  (e.g. a Spark Connect session: leave the scan as it is)
         return df
