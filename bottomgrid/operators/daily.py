@@ -45,14 +45,17 @@ def measure_stats(m: str) -> list[Column]:
 def daily_cell(df: DataFrame, measures: list[str] | None = None,
                order: list[str] | None = None, id_col: str = "id",
                provider_sep: str = ", ", first_ignore_nulls: bool = False,
-               providers_first_seen: bool = False, by: list[str] | None = None) -> DataFrame:
+               providers_first_seen: bool = False, by: list[str] | None = None,
+               keep_first_key: bool = False) -> DataFrame:
     """A4 (and A5 with ``provider_sep=' '``, ``first_ignore_nulls=True``,
     ``providers_first_seen=True``): one row per (day, cell).
 
     mean / min / max / sample std / non-null count of each measure present;
     the distinct providers joined (sorted, or in first-seen order); position,
     area, depth and fishery flag of the earliest row by ``order``. ``by``
-    adds grouping keys (e.g. the feed, to build mergeable partials for A7).
+    adds grouping keys (e.g. the feed, to build mergeable partials for A7);
+    ``keep_first_key`` keeps that earliest order key as ``_first`` so that
+    partials merge their "first" columns exactly.
     """
     order = order or ["time"]
     by = list(by or [])
@@ -66,6 +69,8 @@ def daily_cell(df: DataFrame, measures: list[str] | None = None,
             aggs.append(_first(c, order, first_ignore_nulls).alias(c))
     for m in ms:
         aggs.extend(measure_stats(m))
+    if keep_first_key:
+        aggs.append(F.min(_order_struct(order)).alias("_first"))
     if not providers_first_seen:
         aggs.append(_providers(F.collect_set("data_provider"), provider_sep).alias("data_provider"))
     out = base.groupBy("_day", F.col(id_col).alias("grid_id"), *by).agg(*aggs)
@@ -107,7 +112,7 @@ def daily_cell_precounted(df: DataFrame, measures: list[str] | None = None,
 
 def merge_daily(df: DataFrame, measures: list[str] | None = None,
                 keys: tuple[str, str] = ("time", "grid_id"), sort: bool = True,
-                provider_sep: str = ", ") -> DataFrame:
+                provider_sep: str = ", ", first_key: str | None = None) -> DataFrame:
     """Merge partial daily statistics of the same (day, cell).
 
     count-weighted mean, min of mins, max of maxes, summed counts and the
@@ -116,7 +121,10 @@ def merge_daily(df: DataFrame, measures: list[str] | None = None,
     the same quantity as the textbook form, without its cancellation. ``M``
     comes from a window over the same keys, so the window and the aggregate
     share one shuffle. The std is NULL when the merged count is at most 1;
-    a zero total count gives a NULL mean. Metadata: first non-null by value.
+    a zero total count gives a NULL mean. Metadata: first non-null by value;
+    with ``first_key`` (the earliest order key each partial kept), position,
+    area, depth and the fishery flag come from the partial whose first row is
+    earliest, so merged partials equal the statistics of all rows.
     """
     ms = _present(df, measures)
     w = Window.partitionBy(*keys)
@@ -126,7 +134,12 @@ def merge_daily(df: DataFrame, measures: list[str] | None = None,
         tot = F.sum(F.when(mean.isNotNull(), n)).over(w)
         merged_means[f"_M_{m}"] = F.try_divide(F.sum(mean * n).over(w), tot)
     base = df.withColumns(merged_means)    # one Window node for all measures
-    aggs = [F.min(c).alias(c) for c in META if c in df.columns]
+    if first_key and first_key in df.columns:
+        carried = [c for c in META + ["fishery_dependent"] if c in df.columns]
+        aggs = [F.min_by(F.col(c), F.col(first_key)).alias(c) for c in carried]
+        aggs.append(F.min(first_key).alias(first_key))
+    else:
+        aggs = [F.min(c).alias(c) for c in META if c in df.columns]
     for m in ms:
         n, mean, std = F.col(f"{m}_count"), F.col(m), F.col(f"{m}_std")
         big_m = F.col(f"_M_{m}")
@@ -147,5 +160,5 @@ def merge_daily(df: DataFrame, measures: list[str] | None = None,
         var = F.try_divide(F.col(f"_v1_{m}") + F.col(f"_v2_{m}"), n - 1)
         out = (out.withColumn(m, F.try_divide(F.col(f"_ws_{m}"), F.col(f"_wn_{m}")))
                   .withColumn(f"{m}_std", F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))))
-    out = out.drop(*[c for c in out.columns if c.startswith("_")])
+    out = out.drop(*[c for c in out.columns if c.startswith("_") and c != first_key])
     return out.orderBy(*keys) if sort else out

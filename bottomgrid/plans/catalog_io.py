@@ -435,6 +435,23 @@ def q_fetch_and_stage(spark, sf):
                             "stat_area", "depth", "source_ord"))
 
 
+@query("incremental_publish", PRODUCT_SQL)
+def q_incremental_publish(spark, sf):
+    """T2 incremental: the feeds arrive as three batches (by provider, so the
+    same cell-day gets partials from several batches); each batch stores its
+    daily partials and re-publishes its days from the merge of all partials.
+    The result equals the product computed from all rows at once."""
+    from ..sinks.publish import stage_append
+    from ..streaming.incremental import incremental_stream
+    loc = located(spark, sf)
+    staged, parts = _scratch(spark, "staged"), _scratch(spark, "partials")
+    prod, ckpt = _scratch(spark, "product"), _scratch(spark, "incremental-ckpt")
+    for providers in (["view", "click"], ["purchase"], ["signup", "error"]):
+        stage_append(loc.where(F.col("data_provider").isin(providers)), staged)
+        incremental_stream(spark, staged, parts, prod, checkpoint=ckpt).awaitTermination()
+    return _read_product(spark, prod)
+
+
 @query("aggregate_and_publish", PRODUCT_SQL)
 def q_aggregate_and_publish(spark, sf):
     """C13 (flagship job): staged rows -> daily cell statistics -> epoch

@@ -90,3 +90,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return True
         except Exception:  # noqa: BLE001
             return False
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder recursively through Hadoop's FileSystem API (False
+    when it does not exist or no JVM gateway is available)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p) and fs.delete(p, True))
+    except Exception:  # noqa: BLE001
+        return False
