@@ -278,11 +278,14 @@ AREAS = f"""areas AS (SELECT CAST(stat_area AS BIGINT) AS stat_area, avg({_CX})
    FROM grid GROUP BY 1)"""
 
 
-@query("nearest_centroid", sql([OBS, GRID, AREAS, f"pp AS (SELECT obs_id, {_PX} AS px, {_PY} AS py FROM obs)"], """
+ORACLE_NEAREST_CENTROID = sql([OBS, GRID, AREAS, f"pp AS (SELECT obs_id, {_PX} AS px, {_PY} AS py FROM obs)"], """
 SELECT obs_id, stat_area FROM (
   SELECT p.obs_id, a.stat_area, row_number() OVER (PARTITION BY p.obs_id ORDER BY
     (p.px - a.x) * (p.px - a.x) + (p.py - a.y) * (p.py - a.y), a.stat_area) AS rn
-  FROM pp p, areas a) WHERE rn = 1"""))
+  FROM pp p, areas a) WHERE rn = 1""")
+
+
+@query("nearest_centroid", ORACLE_NEAREST_CENTROID)
 def q_nearest_centroid(spark, sf):
     """Nearest statistical-area centroid in the Albers equal-area
     projection of the contiguous US (area centroid = mean of its cells'
@@ -296,6 +299,23 @@ def q_nearest_centroid(spark, sf):
     return nearest_centroid(pts, areas).select("obs_id", "stat_area")
 
 
+def _centroid_inputs(spark, sf):
+    g = fx.grid(spark, sf)
+    cx, cy = albers_xy(F.col("centroid_lat"), F.col("centroid_lon"))
+    areas = g.groupBy("stat_area").agg(F.avg(cx).alias("x"), F.avg(cy).alias("y"))
+    px, py = albers_xy(F.col("latitude"), F.col("longitude"))
+    return fx.obs(spark, sf).select("obs_id", px.alias("px"), py.alias("py")), areas
+
+
+@query("nearest_centroid_tiled", ORACLE_NEAREST_CENTROID)
+def q_nearest_centroid_tiled(spark, sf):
+    """J6 through the path used when the area table is too large to ship:
+    an exact search over square tiles (radius doubled for unsettled points)."""
+    from ..operators.spatial import nearest_centroid_tiled
+    pts, areas = _centroid_inputs(spark, sf)
+    return nearest_centroid_tiled(pts, areas).select("obs_id", "stat_area")
+
+
 # ---------------------------------------------------------------------------
 # aggregations
 # ---------------------------------------------------------------------------
