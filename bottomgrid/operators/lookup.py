@@ -53,7 +53,8 @@ def mapping_frame(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
 
 
 def map_default(df: DataFrame, col: str, mapping: dict[str, str] | DataFrame | None = None,
-                default: str = INSTITUTION_DEFAULT, out: str = "data_provider") -> DataFrame:
+                default: str = INSTITUTION_DEFAULT, out: str = "data_provider",
+                broadcast_limit: int | None = None) -> DataFrame:
     """``out = mapping[col]``, or ``default`` when the key is absent or NULL.
 
     The map is a small fixed table (33 rows for gliders), broadcast in a left
@@ -67,7 +68,7 @@ def map_default(df: DataFrame, col: str, mapping: dict[str, str] | DataFrame | N
         rows = table.count()
     else:
         table, rows = mapping_frame(df.sparkSession, mapping), len(mapping)
-    table, _ = broadcast_if_small(table, rows, 160)
+    table, _ = broadcast_if_small(table, rows, 160, broadcast_limit)
     joined = df.join(table, df[col] == table["_key"], "left")
     return (joined.withColumn(out, F.coalesce(F.col("_code"), F.lit(default)))
                   .drop("_key", "_code"))

@@ -69,19 +69,20 @@ def raster_axes(raster: DataFrame, lat_idx="lat_idx", lon_idx="lon_idx",
                       Axis(lon_idx, lon, r["e"], r["f"], r["g"], r["h"]), r["n"])
 
 
-def axis_pairs(raster: DataFrame, axis: Axis) -> DataFrame:
+def axis_pairs(raster: DataFrame, axis: Axis, limit: int | None = None) -> DataFrame:
     """``(_c0, _v0, _c1, _v1)``: every axis index with its coordinate and the
     next index (clamped at the top end) with its coordinate. Built from the
     raster's own axis values (a dimension of ``axis.n`` rows)."""
     vals = raster.select(F.col(axis.idx_col).alias("_i"), F.col(axis.val_col).alias("_v")).distinct()
     nxt = vals.select(F.col("_i").alias("_c1"), F.col("_v").alias("_v1"))
-    nxt, _ = broadcast_if_small(nxt, axis.n, 24)
+    nxt, _ = broadcast_if_small(nxt, axis.n, 24, limit)
     c1 = F.least(F.col("_i") + 1, F.lit(axis.hi_idx))
     return (vals.join(nxt, c1 == nxt["_c1"], "left")
                 .select(F.col("_i").alias("_c0"), F.col("_v").alias("_v0"), "_c1", "_v1"))
 
 
-def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out: str) -> DataFrame:
+def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out: str,
+                     limit: int | None = None) -> DataFrame:
     """Index of the axis value nearest to ``x``; a tie goes to the larger
     axis value and points beyond the ends clamp to the edge.
 
@@ -90,7 +91,7 @@ def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out:
     coordinates of both candidates, so the distance comparison uses the
     raster's own values, not a re-computed step.
     """
-    pairs, _ = broadcast_if_small(axis_pairs(raster, axis), axis.n, 40)
+    pairs, _ = broadcast_if_small(axis_pairs(raster, axis, limit), axis.n, 40, limit)
     lo, hi = F.lit(axis.lo_idx), F.lit(axis.hi_idx)
     c0 = F.least(F.greatest(F.floor(axis.approx_index(F.col(x))), lo), hi)
     df = df.withColumn("_c0", c0).join(pairs, "_c0", "left")
@@ -106,19 +107,21 @@ def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out:
 
 def nearest_raster(df: DataFrame, raster: DataFrame, axes: RasterAxes | None = None,
                    lat: str = "latitude", lon: str = "longitude",
-                   value: str = "elevation", out: str = "inferred_depth") -> DataFrame:
+                   value: str = "elevation", out: str = "inferred_depth",
+                   broadcast_limit: int | None = None) -> DataFrame:
     """Attach ``abs(value)`` of the nearest raster cell, truncated to int.
 
     Nearest is taken on each axis independently. The raster join is an
     equi-join on the two indices: broadcast when the raster's counted size
-    allows, otherwise a shuffle join (AQE splits a hot cell)."""
+    allows (``broadcast_limit`` bytes, default ``sizing.DEFAULT_BROADCAST_BYTES``),
+    otherwise a shuffle join (AQE splits a hot cell)."""
     axes = axes or raster_axes(raster)
-    out_df = _nearest_on_axis(df, raster, axes.lat, lat, "_lat_i")
-    out_df = _nearest_on_axis(out_df, raster, axes.lon, lon, "_lon_i")
+    out_df = _nearest_on_axis(df, raster, axes.lat, lat, "_lat_i", broadcast_limit)
+    out_df = _nearest_on_axis(out_df, raster, axes.lon, lon, "_lon_i", broadcast_limit)
     cells = raster.select(F.col(axes.lat.idx_col).alias("_lat_i"),
                           F.col(axes.lon.idx_col).alias("_lon_i"),
                           F.abs(F.col(value)).cast("int").alias(out))
-    cells, _ = broadcast_if_small(cells, axes.cells, 40)
+    cells, _ = broadcast_if_small(cells, axes.cells, 40, broadcast_limit)
     return out_df.join(cells, ["_lat_i", "_lon_i"], "left").drop("_lat_i", "_lon_i")
 
 
@@ -136,7 +139,7 @@ class GridTiles:
 
 
 def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
-               ring: str = "ring") -> GridTiles:
+               ring: str = "ring", broadcast_limit: int | None = None) -> GridTiles:
     """Explode each cell's bounding box into the square tiles it touches.
 
     One aggregate over the grid (a dimension) gives the mean cell extent
@@ -166,7 +169,7 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
              .withColumn("_tx", F.explode(F.sequence(tx0, tx1)))
              .withColumn("_ty", F.explode(F.sequence(ty0, ty1))))
     bound = n * (int((st["mw"] or 0) / tile) + 2) * (int((st["mh"] or 0) / tile) + 2)
-    tiles, is_bc = broadcast_if_small(tiles, bound, 72 + 24 * verts)
+    tiles, is_bc = broadcast_if_small(tiles, bound, 72 + 24 * verts, broadcast_limit)
     return GridTiles(tiles, tile, is_bc, n, verts)
 
 
@@ -237,13 +240,14 @@ def grid_attributes(grid: DataFrame, id_col: str = "id") -> DataFrame:
 
 def attach_cell(df: DataFrame, grid: DataFrame, id_col: str = "id",
                 grid_rows: int | None = None,
-                lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+                lat: str = "latitude", lon: str = "longitude",
+                broadcast_limit: int | None = None) -> DataFrame:
     """The cell centroid replaces the position; stat_area and depth are
     added. Left join on id; the grid is broadcast when its row count allows."""
     attrs = grid_attributes(grid)
     if grid_rows is None:
         grid_rows = attrs.count()
-    attrs, _ = broadcast_if_small(attrs, grid_rows, 64)
+    attrs, _ = broadcast_if_small(attrs, grid_rows, 64, broadcast_limit)
     base = df.drop(*[c for c in (lat, lon, "stat_area", "depth") if c in df.columns])
     if id_col != "id":
         base = base.withColumnRenamed(id_col, "id")
@@ -259,13 +263,14 @@ def drop_unlocated(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def assign_grid(df: DataFrame, grid: DataFrame, tile: float | None = None,
                 tiles: GridTiles | None = None, grid_rows: int | None = None,
-                lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+                lat: str = "latitude", lon: str = "longitude",
+                broadcast_limit: int | None = None) -> DataFrame:
     """C11: point in cell, then cell attributes, then drop unlocated rows."""
-    tiles = tiles or grid_tiles(grid, tile)
+    tiles = tiles or grid_tiles(grid, tile, broadcast_limit=broadcast_limit)
     located = within_cells(df, tiles, lat=lat, lon=lon)
     rows = grid_rows if grid_rows is not None else tiles.cells
-    return drop_unlocated(attach_cell(located, grid, grid_rows=rows, lat=lat, lon=lon),
-                          ["id", lat])
+    return drop_unlocated(attach_cell(located, grid, grid_rows=rows, lat=lat, lon=lon,
+                                      broadcast_limit=broadcast_limit), ["id", lat])
 
 
 # --------------------------------------------------------------------------

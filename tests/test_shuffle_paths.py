@@ -52,3 +52,17 @@ def test_raster_and_attributes_shuffle_path(spark, monkeypatch):
         assert _rows(map_default(o, "dataset_id", {"view": "V"}).select("obs_id", "data_provider")) == exp_m
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_per_call_limit_forces_shuffle(spark):
+    pts = fx.obs(spark, SF).select("obs_id", "latitude", "longitude")
+    g = fx.grid(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = assign_grid(pts, g, broadcast_limit=0).select("obs_id", "id")
+        assert "BroadcastExchange" not in _plan(df)
+        r = fx.raster(spark, SF)
+        assert "BroadcastExchange" not in _plan(nearest_raster(pts, r, broadcast_limit=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert _rows(df) == _rows(assign_grid(pts, g).select("obs_id", "id"))
