@@ -102,3 +102,24 @@ def delete_path(spark: SparkSession, path: str) -> bool:
         return bool(fs.exists(p) and fs.delete(p, True))
     except Exception:  # noqa: BLE001
         return False
+
+
+def content_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes of the data files under ``path`` (files or folders whose names
+    start with ``_`` or ``.`` are bookkeeping and not counted); None without
+    a JVM gateway."""
+    try:
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        prefix = fs.makeQualified(root).toString().rstrip("/") + "/"
+        it = fs.listFiles(root, True)
+        total = 0
+        while it.hasNext():
+            st = it.next()
+            rel = st.getPath().toString()[len(prefix):]
+            if not any(part.startswith(("_", ".")) for part in rel.split("/")):
+                total += st.getLen()
+        return int(total)
+    except Exception:  # noqa: BLE001
+        return None

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import ntz_lit, utc_naive
+from ..session import content_bytes
 from ..schemas import ARCHIVE_SCHEMA
 
 
@@ -59,12 +60,17 @@ def publish_days(df: DataFrame, path: str, day_col: str = "time") -> list[int]:
 
 
 def files_size_mb(spark: SparkSession, path: str) -> float:
-    """Total size of the Parquet files under ``path`` in MB (1 decimal), from
-    the file metadata column (no data column is read)."""
-    files = (spark.read.parquet(path)
-             .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-             .distinct())
-    total = files.agg(F.sum("s")).first()[0] or 0
+    """Total size of the data files under ``path`` in MB (1 decimal).
+
+    Taken from the file system's content summary (a listing, no data read);
+    without a JVM gateway, from the distinct files of the ``_metadata``
+    column instead (a scan)."""
+    total = content_bytes(spark, path)
+    if total is None:
+        files = (spark.read.parquet(path)
+                 .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
+                 .distinct())
+        total = files.agg(F.sum("s")).first()[0] or 0
     return round(total / (1024 * 1024), 1)
 
 
