@@ -313,3 +313,19 @@ def test_albers_matches_published_example(spark):
     x, y = albers_xy(F.lit(35.0), F.lit(-75.0), p)
     r = spark.range(1).select(x.alias("x"), y.alias("y")).first()
     assert round(r.x, 1) == 1885472.7 and round(r.y, 1) == 1535925.0
+
+
+def test_read_feeds_records_missing_and_failing_sources(spark, tmp_out):
+    from bottomgrid.sources.feeds import read_feeds
+    root = f"{tmp_out}/landing"
+    ok = spark.createDataFrame([(dt.datetime(2024, 1, 2), 40.0, -70.0, 5.0, "a", 1)],
+                               "time timestamp_ntz, latitude double, longitude double, "
+                               "temperature double, station_id string, extra int")
+    ok.write.parquet(f"{root}/wind_farm_acoustic_receivers")
+    # eMOLT_RT's constraint needs segment_type, which this landing lacks
+    ok.write.parquet(f"{root}/eMOLT_RT")
+    scans = read_feeds(spark, root, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3))
+    assert scans["wind_farm_acoustic_receivers"].status == "ok"
+    assert scans["wind_farm_acoustic_receivers"].frame.count() == 1
+    assert scans["eMOLT_RT"].status.startswith("error")
+    assert scans["oleanderXbt"].status == "missing"
