@@ -139,17 +139,21 @@ class GridTiles:
 
 
 def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
-               ring: str = "ring", broadcast_limit: int | None = None) -> GridTiles:
+               ring: str = "ring", broadcast_limit: int | None = None,
+               carry: list[str] | None = None) -> GridTiles:
     """Explode each cell's bounding box into the square tiles it touches.
 
     One aggregate over the grid (a dimension) gives the mean cell extent
     (the tile edge when none is given), the cell count, the largest extents
     and the longest ring. From these the number of tile rows is bounded by
     ``cells * (max_w / t + 2) * (max_h / t + 2)``, which decides broadcast
-    versus shuffle before anything is shipped."""
+    versus shuffle before anything is shipped. ``carry`` lists cell columns
+    (e.g. the attributes J4 adds) that travel with every tile row, so one
+    join both locates a point and attaches its cell."""
     bb = ring_bbox(F.col(ring))
+    carry = list(carry or [])
     cells = grid.select(F.col(id_col).alias("id"), F.col(ring).alias("ring"),
-                        *[v.alias(k) for k, v in bb.items()])
+                        *[v.alias(k) for k, v in bb.items()], *carry)
     w, h = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
     st = cells.agg(F.avg(F.greatest(w, h)).alias("t"),
                    F.count(F.lit(1)).alias("n"), F.max(w).alias("mw"), F.max(h).alias("mh"),
@@ -169,13 +173,14 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
              .withColumn("_tx", F.explode(F.sequence(tx0, tx1)))
              .withColumn("_ty", F.explode(F.sequence(ty0, ty1))))
     bound = n * (int((st["mw"] or 0) / tile) + 2) * (int((st["mh"] or 0) / tile) + 2)
-    tiles, is_bc = broadcast_if_small(tiles, bound, 72 + 24 * verts, broadcast_limit)
+    tiles, is_bc = broadcast_if_small(tiles, bound, 72 + 24 * verts + 16 * len(carry),
+                                      broadcast_limit)
     return GridTiles(tiles, tile, is_bc, n, verts)
 
 
 def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | None = None,
                  lat: str = "latitude", lon: str = "longitude", id_col: str = "id",
-                 how: str = "left") -> DataFrame:
+                 how: str = "left", keep: list[str] | None = None) -> DataFrame:
     """Left-join each point to every cell that strictly contains it.
 
     The point gets one tile key, the cells are listed under every tile their
@@ -199,7 +204,7 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
                                          [g[f"_y{i}"] for i in range(m)], px, py)
     cond = (p["_tx"] == g["_tx"]) & (p["_ty"] == g["_ty"]) & in_box & exact
     joined = p.join(g, cond, how)
-    extra = [c for c in gt.tiles.columns if c not in ("id", "_tx", "_ty")]
+    extra = [c for c in gt.tiles.columns if c not in ("id", "_tx", "_ty", *(keep or []))]
     return (joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"])
             .drop(*extra).withColumnRenamed("_cell_id", id_col))
 
@@ -261,16 +266,30 @@ def drop_unlocated(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.na.drop(how="any", subset=cols)
 
 
+CELL_ATTRS = ["stat_area", "depth", "centroid_lon", "centroid_lat"]
+
+
 def assign_grid(df: DataFrame, grid: DataFrame, tile: float | None = None,
                 tiles: GridTiles | None = None, grid_rows: int | None = None,
                 lat: str = "latitude", lon: str = "longitude",
                 broadcast_limit: int | None = None) -> DataFrame:
-    """C11: point in cell, then cell attributes, then drop unlocated rows."""
-    tiles = tiles or grid_tiles(grid, tile, broadcast_limit=broadcast_limit)
-    located = within_cells(df, tiles, lat=lat, lon=lon)
-    rows = grid_rows if grid_rows is not None else tiles.cells
-    return drop_unlocated(attach_cell(located, grid, grid_rows=rows, lat=lat, lon=lon,
-                                      broadcast_limit=broadcast_limit), ["id", lat])
+    """C11: point in cell (J2), cell attributes (J4), drop unlocated rows.
+
+    The tile rows carry the cell attributes, so locating a point and
+    attaching its cell's centroid, area and depth is one join (with prebuilt
+    ``tiles`` that lack them, a second, size-checked join adds them)."""
+    if tiles is None:
+        tiles = grid_tiles(grid, tile, broadcast_limit=broadcast_limit, carry=CELL_ATTRS)
+    if not all(c in tiles.tiles.columns for c in CELL_ATTRS):
+        located = within_cells(df, tiles, lat=lat, lon=lon)
+        rows = grid_rows if grid_rows is not None else tiles.cells
+        return drop_unlocated(attach_cell(located, grid, grid_rows=rows, lat=lat, lon=lon,
+                                          broadcast_limit=broadcast_limit), ["id", lat])
+    base = df.drop(*[c for c in ("stat_area", "depth") if c in df.columns])
+    located = within_cells(base, tiles, lat=lat, lon=lon, keep=CELL_ATTRS)
+    located = (located.drop(lat, lon)
+               .withColumnRenamed("centroid_lon", lon).withColumnRenamed("centroid_lat", lat))
+    return drop_unlocated(located, ["id", lat])
 
 
 # --------------------------------------------------------------------------

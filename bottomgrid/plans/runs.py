@@ -16,7 +16,7 @@ from ..functions.columns import dataset_attributes, epoch_day, narrow, to_standa
 from ..operators.daily import daily_cell
 from ..operators.qc import gross_range
 from ..operators.runlog import counted, counts_frame
-from ..operators.spatial import assign_grid, grid_tiles, raster_axes
+from ..operators.spatial import CELL_ATTRS, assign_grid, grid_tiles, raster_axes
 from ..operators.union import union_feeds, union_with_sideloads
 from ..registry import FEEDS
 from ..schemas import STANDARD_SCHEMA
@@ -57,7 +57,7 @@ def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame
     hi = dt.datetime.combine(run_date, dt.time.max)
     scans = read_feeds(spark, root, start, hi)
     dims = Dims(grid=grid, raster=raster, axes=raster_axes(raster))
-    tiles = grid_tiles(grid)
+    tiles = grid_tiles(grid, carry=CELL_ATTRS)   # one join locates and attaches (C11)
     std, raw_n, kept_n = [], {}, {}
     for fid, scan in scans.items():
         if scan.frame is None:
