@@ -151,3 +151,14 @@ def test_incremental_partials_replay_is_idempotent(spark, tmp_out):
     assert _rows(spark, prod) == _rows(spark, direct)
     stage_batch_partials(b, parts, 1)
     assert spark.read.parquet(parts).count() == n_parts
+
+
+def test_archive_size_from_listing_matches_file_metadata(spark, tmp_out):
+    from bottomgrid.functions.columns import dataset_attributes
+    from bottomgrid.session import content_bytes
+    publish_days(product_frame(located(spark, SF)), tmp_out)
+    dataset_attributes(spark, "1").write.parquet(f"{tmp_out}/_attributes")   # not product data
+    files = (spark.read.parquet(tmp_out)
+             .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
+             .distinct())
+    assert content_bytes(spark, tmp_out) == files.agg(F.sum("s")).first()[0]
