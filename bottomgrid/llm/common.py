@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 def fresh(name: str) -> str:

@@ -14,9 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contaminated_items, mark_contamination
+from .licenses import scan_licenses
+from .line_rules import quality_rules
 from .pii_anchors import BASE_KINDS, find_pii
 from .secret_scan import BASE_RULES, find_secrets
-from .sentencepiece_viterbi import sentencepiece_decode, sentencepiece_encode
+from .sentencepiece_viterbi import sentencepiece_encode
 from .token_counts import over_limit, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,9 +54,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_sentencepiece(spark, sf_dir):
     """Token ids of every text, and what decoding them gives back."""
-    path = vocabulary(PIECE_MODEL)
-    out = sentencepiece_encode(documents(spark, sf_dir).select("doc_id", "text"), path)
-    out = sentencepiece_decode(out, path, "tokens", "decoded")
+    out = sentencepiece_encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary(PIECE_MODEL),
+                               decoded_col="decoded")
     return out.select(
         "doc_id", F.size("tokens").cast("long").alias("n_tokens"), "tokens",
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
@@ -79,3 +81,31 @@ def op8_pii(spark, sf_dir):
     """Personal data in every text."""
     out = find_pii(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans")
+
+
+@query
+def op3_decontamination(spark, sf_dir):
+    """Benchmark words in every text, and the items they come from."""
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    out = mark_contamination(documents(spark, sf_dir).select("doc_id", "text"), bench, words_col="words")
+    # only the words of texts with hits are needed from here on
+    out = out.select("doc_id", "n_words", "n_hit", "contaminated", "hits",
+                     F.when(F.size("hits") > 0, F.col("words")).alias("words"))
+    out = contaminated_items(out, bench, "doc_id")
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op7_quality_rules(spark, sf_dir):
+    """Line-first quality rules for every text."""
+    out = quality_rules(documents(spark, sf_dir).select("doc_id", "text"), cleaned_col=None)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
+
+
+@query
+def op10_licenses(spark, sf_dir):
+    """Licence notices in every text."""
+    out = scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "license", F.round("dice", 6).alias("dice"), "n_matches", "licenses")

@@ -160,32 +160,34 @@ def _viterbi(t: PieceTables, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Pieces of equally long words (rows of code points): the tokens, word by
     word, and the number of tokens of each word."""
     n, length = words.shape
-    acc = np.zeros((n, length + 1), np.uint64)
-    codes = (words.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25)
+    codes = np.ascontiguousarray(words.T).astype(np.uint64)  # one row per character
+    codes += np.uint64(1)
+    codes *= np.uint64(0x9FB21C651E98DF25)
+    acc = np.zeros((length + 1, n), np.uint64)
     power = powers(_P, t.max_len + 1)
-    last = np.full((n, length + 1), -1, np.int64)
-    back = np.zeros((n, length + 1), np.int16)
+    last = np.full((length + 1, n), -1, np.int32)
+    back = np.zeros((length + 1, n), np.int16)
     for j in range(1, length + 1):
-        acc[:, j] = acc[:, j - 1] * _P + codes[:, j - 1]
-        for k in range(min(j, t.max_len), 0, -1):
+        np.add(acc[j - 1] * _P, codes[j - 1], out=acc[j])
+        for k in range(1, min(j, t.max_len) + 1):
             i = j - k
-            rows, ids = t.ends_with(acc[:, j] - acc[:, i] * power[k], k)
+            rows, ids = t.ends_with(acc[j] - acc[i] * power[k], k)
             if k == 1 and len(rows) < n:  # a character outside the vocabulary
                 full = np.full(n, t.unknown)
                 full[rows] = ids
                 rows, ids = np.arange(n), full
             if i and len(rows):
-                ok = t.adjacent(last[rows, i], ids)
+                ok = t.adjacent(last[i][rows].astype(np.int64), ids)
                 rows, ids = rows[ok], ids[ok]
-            better = k > back[rows, j]  # the maximum; the longest of equals
-            back[rows[better], j] = k
-            last[rows[better], j] = ids[better]
+            better = k > back[j][rows]  # the maximum; the longest of equals
+            back[j][rows[better]] = k
+            last[j][rows[better]] = ids[better]
     out = np.full((n, length), -1, np.int64)
     pos = np.full(n, length)
     live = np.arange(n)
     while len(live):
-        out[live, pos[live] - 1] = last[live, pos[live]]
-        pos[live] -= back[live, pos[live]]
+        out[live, pos[live] - 1] = last[pos[live], live]
+        pos[live] -= back[pos[live], live]
         live = live[pos[live] > 0]
     flat = out.ravel()
     keep = flat >= 0
@@ -268,25 +270,53 @@ def _spaces(t: PieceTables, n: int) -> list[int]:
         parts[k:k + 2] = [parts[k] + parts[k + 1]]
 
 
-def encode_texts(t: PieceTables, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all texts, in order, and the number of each text's."""
-    seen: dict[str, int] = {}
-    index: list[int] = []
-    units_of = np.zeros(len(texts), np.int64)
-    for k, x in enumerate(texts):
-        if x:
-            got = _UNIT.findall(SPACE + x.replace(" ", SPACE))
-            index += [seen.setdefault(u, len(seen)) for u in got]
-            units_of[k] = len(got)
-    if not seen:
-        return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-    flat, size = _encode_units(t, list(seen))
-    idx = np.array(index)
-    start = np.cumsum(size) - size
-    ids = flat[_ragged(start[idx], size[idx])].astype(np.int32)
-    ends = np.concatenate(([0], np.cumsum(size[idx])))
-    stop = np.cumsum(units_of)
-    return ids, ends[stop] - ends[stop - units_of]
+class Encoder:
+    """Encodes lists of texts. Units that a list holds twice or more are kept
+    with their tokens for the next lists, up to ``keep`` of them."""
+
+    def __init__(self, t: PieceTables, keep: int = 150_000):
+        self.t, self.keep = t, keep
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.size = np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts, in order, and the number of each text's."""
+        seen: dict[str, int] = {}
+        index: list[int] = []
+        units_of = np.zeros(len(texts), np.int64)
+        for k, x in enumerate(texts):
+            if x:
+                got = _UNIT.findall(SPACE + x.replace(" ", SPACE))
+                index += [seen.setdefault(u, len(seen)) for u in got]
+                units_of[k] = len(got)
+        if not seen:
+            return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
+        units, idx = list(seen), np.array(index)
+        del seen, index
+        place = np.array([self.known.get(u, -1) for u in units])
+        new = np.flatnonzero(place < 0)
+        flat, size = self.flat, self.size
+        if len(new):
+            more, sizes = _encode_units(self.t, [units[i] for i in new])
+            more = more.astype(np.int32)
+            place[new] = len(size) + np.arange(len(new))
+            flat, size = np.concatenate([flat, more]), np.concatenate([size, sizes])
+            again = np.bincount(idx, minlength=len(units))[new] > 1
+            if len(self.known) + again.sum() > self.keep:
+                self._clear()
+            for n, i in enumerate(new[again], len(self.known)):
+                self.known[units[i]] = n
+            self.flat = np.concatenate([self.flat, more[np.repeat(again, sizes)]])
+            self.size = np.concatenate([self.size, sizes[again]])
+        idx = place[idx]
+        start = np.cumsum(size) - size
+        ids = flat[_ragged(start[idx], size[idx])]
+        ends = np.concatenate(([0], np.cumsum(size[idx])))
+        stop = np.cumsum(units_of)
+        return ids, ends[stop] - ends[stop - units_of]
 
 
 def decode_ids(t: PieceTables, ids: np.ndarray, counts: np.ndarray) -> list[str]:
@@ -302,15 +332,23 @@ def decode_ids(t: PieceTables, ids: np.ndarray, counts: np.ndarray) -> list[str]
 
 
 def sentencepiece_encode(df: DataFrame, model_file: str, text_col: str = "text",
-                         tokens_col: str = "tokens") -> DataFrame:
-    """``df`` plus the token ids (array<int>) of each text. ``model_file`` is
-    read on the driver; tasks get its tables as a broadcast of a few MB."""
+                         tokens_col: str = "tokens", decoded_col: str | None = None) -> DataFrame:
+    """``df`` plus the token ids (array<int>) of each text and, if wanted,
+    what they decode to. ``model_file`` is read on the driver; tasks get its
+    tables as a broadcast of a few MB."""
     tab = df.sparkSession.sparkContext.broadcast(tables(model_file))
-    schema = T.StructType([T.StructField(tokens_col, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField(tokens_col, T.ArrayType(T.IntegerType())),
+                           *([T.StructField(decoded_col, T.StringType())] if decoded_col else [])])
+    state: dict[str, Encoder] = {}
 
     def run(texts: list[str]) -> dict:
-        ids, counts = encode_texts(tab.value, texts)
-        return {tokens_col: list_array(ids, counts)}
+        if "encoder" not in state:
+            state["encoder"] = Encoder(tab.value)
+        ids, counts = state["encoder"](texts)
+        out = {tokens_col: list_array(ids, counts)}
+        if decoded_col:
+            out[decoded_col] = decode_ids(tab.value, ids, counts)
+        return out
 
     return add_from_text(df, text_col, schema, run)
 
