@@ -131,7 +131,8 @@ def contaminated_items(marked: DataFrame, benchmark: DataFrame, id_col: str, hit
                        words_col: str = "words", window: int = WINDOW) -> DataFrame:
     """``marked`` (with its words) plus ``n_items`` and ``items`` (sorted ids
     of the items whose windows occur). Only rows with hits take part in the
-    join; what is joined back is keyed by the id and the windows found."""
+    join; what is joined back is keyed by the id and the windows found.
+    ``marked`` is read twice, so give it as a written table (``as_table``)."""
     windows = benchmark_windows(benchmark, window=window)
     found, key = fresh("found"), fresh("key")
     out = marked.withColumn(found, F.array_sort(F.array_distinct(F.transform(

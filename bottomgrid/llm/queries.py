@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import as_table
 from .decontaminate import contaminated_items, mark_contamination
 from .licenses import scan_licenses
 from .line_rules import quality_rules
@@ -88,9 +89,10 @@ def op3_decontamination(spark, sf_dir):
     """Benchmark words in every text, and the items they come from."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     out = mark_contamination(documents(spark, sf_dir).select("doc_id", "text"), bench, words_col="words")
-    # only the words of texts with hits are needed from here on
-    out = out.select("doc_id", "n_words", "n_hit", "contaminated", "hits",
-                     F.when(F.size("hits") > 0, F.col("words")).alias("words"))
+    # only the words of texts with hits are needed from here on; written once,
+    # as the items are counted and joined back
+    out = as_table(out.select("doc_id", "n_words", "n_hit", "contaminated", "hits",
+                              F.when(F.size("hits") > 0, F.col("words")).alias("words")), "marked")
     out = contaminated_items(out, bench, "doc_id")
     return out.select("doc_id", "n_words", "n_hit", "n_items",
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
