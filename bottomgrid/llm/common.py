@@ -135,10 +135,13 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: list[str], breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], breaks: np.ndarray,
+                prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """Hashes of the words of all texts, in order, and the number of words of
     each text. Words are runs of bytes whose lower-cased (A-Z only) value is
-    not in ``breaks`` (256 booleans); no word crosses two texts."""
+    not in ``breaks`` (256 booleans, among them the line break); no word
+    crosses two texts. For each length in ``prefixes`` follow the hashes of
+    the words' first bytes (of the whole word where it is shorter)."""
     blobs = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join(blobs) + b"\n", np.uint8)  # a break between texts
     ends = np.cumsum([len(b) + 1 for b in blobs])
@@ -152,6 +155,18 @@ def word_hashes(texts: list[str], breaks: np.ndarray) -> tuple[np.ndarray, np.nd
     acc *= powers(_BASE, len(data))
     np.cumsum(acc, out=acc)
     before = np.where(starts > 0, acc[np.maximum(starts, 1) - 1], np.uint64(0))
-    h = acc[stops - 1] - before
-    h *= powers(_INV, len(data))[starts]
-    return mix(h), counts.astype(np.int64)
+    back = powers(_INV, len(data))[starts]
+    ends = [stops, *[np.minimum(stops, starts + k) for k in prefixes]]
+    first, *more = [mix((acc[e - 1] - before) * back) for e in ends]
+    return first, counts.astype(np.int64), *more
+
+
+def breaks_at(*ranges: tuple[int, int]) -> np.ndarray:
+    """256 booleans, true in the closed byte ranges."""
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a:b + 1] = True
+    return out
+
+
+WHITE = breaks_at((0x20, 0x20), (0x09, 0x0D))

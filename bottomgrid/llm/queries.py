@@ -19,9 +19,12 @@ from .decontaminate import contaminated_items, mark_contamination
 from .licenses import scan_licenses
 from .line_rules import quality_rules
 from .pii_anchors import BASE_KINDS, find_pii
+from .quality_zstd import score_quality, train_quality
 from .secret_scan import BASE_RULES, find_secrets
 from .sentencepiece_viterbi import sentencepiece_encode
 from .token_counts import over_limit, token_counts
+from .toxicity_chain import score_toxicity, train_toxicity
+from .training import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +114,26 @@ def op10_licenses(spark, sf_dir):
     """Licence notices in every text."""
     out = scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "license", F.round("dice", 6).alias("dice"), "n_matches", "licenses")
+
+
+QUALITY_SAMPLE = TOXICITY_SAMPLE = 6000  # labelled rows that a model learns from, at most
+
+
+@query
+def op6_quality(spark, sf_dir):
+    """Quality score of every text, with labels of the held-out fold unseen."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), sample=QUALITY_SAMPLE)
+    out = score_quality(docs, model)
+    return out.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    """Toxicity of every text by the classifier chain."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), sample=TOXICITY_SAMPLE)
+    out = score_toxicity(docs, model)
+    return out.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "p_toxic_prose", "p_toxic_junk",
+                      "p_toxic", "is_toxic")
