@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import as_table
 from .decontaminate import contaminated_items, mark_contamination
+from .jaccard_rtree import jaccard_groups
 from .licenses import scan_licenses
 from .line_rules import quality_rules
 from .pii_anchors import BASE_KINDS, find_pii
@@ -137,3 +138,10 @@ def op9_toxicity(spark, sf_dir):
     out = score_toxicity(docs, model)
     return out.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "p_toxic_prose", "p_toxic_junk",
                       "p_toxic", "is_toxic")
+
+
+@query
+def op2_ngram_jaccard(spark, sf_dir):
+    """Set size and component of every text."""
+    out = jaccard_groups(documents(spark, sf_dir))
+    return out.select("doc_id", "n_shingles", "component_id")
