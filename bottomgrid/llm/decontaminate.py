@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from .common import fresh, text_column, with_columns
 
 # The words of the contamination rule.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# the same words before they are lower-cased
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 13
 
@@ -161,10 +163,10 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text_col: str = "text", r
         out = out.where(~F.col("contaminated"))
     elif remove == "spans":
         t = f"`{text_col}`"
-        cut = F.expr(f"""array_join(concat(array(split({t}, '{_sql(WORD)}')[0]), filter(transform(
-            array_remove(split({t}, '{_sql(BREAK)}'), ''), (x, i) -> CASE
+        cut = F.expr(f"""array_join(concat(array(split({t}, '{_sql(RAW_WORD)}')[0]), filter(transform(
+            array_remove(split({t}, '{_sql(RAW_BREAK)}'), ''), (x, i) -> CASE
               WHEN exists({hits}, h -> i >= h.at AND i < h.at + h.n) THEN NULL
-              ELSE concat(x, split({t}, '{_sql(WORD)}')[i + 1]) END), x -> x IS NOT NULL)), '')""")
+              ELSE concat(x, split({t}, '{_sql(RAW_WORD)}')[i + 1]) END), x -> x IS NOT NULL)), '')""")
         out = out.withColumn(text_col, F.when(F.size(hits) > 0, cut).otherwise(F.col(t)))
     else:
         raise ValueError("remove is 'documents' or 'spans'")

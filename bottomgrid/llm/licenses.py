@@ -17,7 +17,9 @@ results are replaced.
 
 from __future__ import annotations
 
+import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +71,8 @@ def template_grams(text: str) -> list[str]:
 
 def size_range(n: int, threshold: float) -> tuple[int, int]:
     """Sizes of a set whose Dice with a set of ``n`` can reach the threshold."""
-    k = (2 - threshold) / threshold
-    return -int(-(n / k) // 1), int(n * k)
+    t = Fraction(str(threshold))
+    return math.ceil(n * t / (2 - t)), math.floor(n * (2 - t) / t)
 
 
 def _grams(unit: Column) -> Column:

@@ -1,0 +1,120 @@
+"""Row-wise operators against the libraries and plain regular expressions,
+with nulls, empty, long and repeated texts, clashing columns, empty tables."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from bottomgrid.llm import queries as q
+from bottomgrid.llm.pii_anchors import BASE_KINDS, KINDS, Finder, find_pii, luhn
+from bottomgrid.llm.secret_scan import BASE_RULES, RULES, Rule, Scanner, find_secrets, trigram_query
+from bottomgrid.llm.sentencepiece_viterbi import sentencepiece_decode, sentencepiece_encode
+from bottomgrid.llm.token_counts import Counter, tables, token_counts
+
+SF = "/root/testdata/sf0.001"
+ODD = [None, "", " ", "a  b\n\n\n c", "x" * 3000, "日本語 😀é", "the the the", "the the the", "\x00\t\r\n", " " * 40 + "z",
+       "<|endoftext|>x<|endoftext|> y", "don't we'll I'M 123", "word " * 20_000]
+
+
+def frame(spark, texts, extra=""):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.selectExpr("*", *([extra] if extra else []))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+
+
+def test_sentencepiece_equals_library_and_round_trips(spark, corpus):
+    import sentencepiece
+    path = q.vocabulary(q.PIECE_MODEL)
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    rnd = random.Random(3)
+    texts = ODD + corpus + ["".join(rnd.choice("ab  cdeéß▁日\n.") for _ in range(rnd.randint(0, 60))) for _ in range(300)]
+    df = sentencepiece_encode(frame(spark, texts, "'mine' AS tokens"), path, decoded_col="decoded")
+    assert df.columns.count("tokens") == 1
+    got = {r.doc_id: r for r in sentencepiece_decode(df, path, "tokens", "again").collect()}
+    for i, x in enumerate(texts):
+        assert got[i].tokens == sp.encode(x or ""), repr(x)
+        assert got[i].decoded == got[i].again == (x or "").replace("▁", " ")
+    assert sentencepiece_encode(frame(spark, []), path).count() == 0
+
+
+def test_token_counts_equal_library(spark, corpus):
+    from tokenizers import Tokenizer
+    path = q.vocabulary(q.BYTE_BPE)
+    tok = Tokenizer.from_file(path)
+    rnd = random.Random(1)
+    texts = ODD + corpus + ["".join(rnd.choice("ab \n'1") for _ in range(rnd.randint(0, 60))) for _ in range(300)]
+    got = {r.doc_id: r for r in token_counts(frame(spark, texts, "'x' AS n_tokens"), path).collect()}
+    for i, x in enumerate(texts):
+        assert got[i].n_bytes == len((x or "").encode())
+        assert got[i].n_tokens == len(tok.encode(x or "", add_special_tokens=False).ids), repr(x)
+    assert Counter(tables(path))([])[1].sum() == 0
+
+
+PIECES = ["password", "TOKEN", "ſecret", "secret", "api_key", "apiKey", " = ", ":", '"', "abcd1234ef", "AKIA", "ABCDEFGH12345678",
+          "0123456789abcdef", "deadbeef", " ", "\n", "é", "@", "a.b", "+1 (017) 555-7713", "192.168.0.1", "4111 1111 1111 1111",
+          ".", "-", "1", "+", "256.1.1.1", "x@y.z", "https://a.b/c", "iban DE123456789", "ghp_" + "a1" * 20]
+
+
+def mixtures(n, seed):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(PIECES) for _ in range(rnd.randint(0, 25))) for _ in range(n)]
+
+
+def plain_secrets(x):
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    out = [(m.start(), 0, m.end()) for m in assign.finditer(x) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", x) if len(m[0]) >= 16]
+    return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", x) if len(m[0]) >= 32])
+
+
+def plain_pii(x):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", x)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", x)
+            if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", x):
+        d = re.sub("[ -]", "", m[0])
+        if 16 <= len(d) <= 19 and luhn(d):
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", x)
+                  if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+
+
+def test_trigram_queries_are_necessary_conditions():
+    assert trigram_query("[0-9a-f]+") is True
+    assert trigram_query("AKIA[A-Z]+") == ("and", (b"aki", b"kia"))
+    assert trigram_query("(abcd|xyz)?q") is True
+    texts = mixtures(3000, 5)
+    scanner = Scanner(RULES)
+    assert [[s for s in found if s[1] < 3] for found in scanner(texts)] == [plain_secrets(x) for x in texts]
+
+
+def test_secrets_query_columns(spark, corpus):
+    texts = ODD + mixtures(200, 6) + corpus[:50]
+    got = {r.doc_id: r for r in find_secrets(frame(spark, texts, "1 AS spans")).collect()}
+    for i, x in enumerate(texts):
+        base = [(BASE_RULES[k].kind, a, b) for a, k, b in plain_secrets(x or "")]
+        assert got[i].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        assert [got[i][f"n_{r.kind}"] for r in BASE_RULES] == [sum(s[0] == r.kind for s in base) for r in BASE_RULES]
+        assert set(f"{k}:{a}:{b}" for k, a, b in base) <= set(got[i].spans.split(","))
+    own = find_secrets(frame(spark, ["id=AB12"]), rules=(Rule("mine", r"id=[A-Z0-9]+", base=True),)).first()
+    assert (own.n_mine, own.spans) == (1, "mine:0:7")
+    assert find_secrets(frame(spark, [])).count() == 0
+
+
+def test_pii_equals_expressions_and_masks(spark, corpus):
+    finder = Finder()
+    for x in mixtures(5000, 2) + corpus:
+        assert [s for s in finder(x) if s[0] in BASE_KINDS] == plain_pii(x), repr(x)
+    text = "mail a.b@c.de, call +1 (017) 555-7713 or see https://x.y/z."
+    got = find_pii(frame(spark, [text, None, "clean"], "7 AS pii"), masked_col="text").orderBy("doc_id").collect()
+    assert got[0].text == "mail <EMAIL>, call <PHONE> or see <URL>."
+    assert got[1].text is None and got[1].spans == "" and got[2].text == "clean"
+    assert [s.kind for s in got[0].pii] == [k for k in KINDS if k in ("email", "phone", "url")]
+    assert find_pii(frame(spark, []), masked_col="text").count() == 0
