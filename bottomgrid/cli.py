@@ -2,9 +2,9 @@
 bottomgrid.cli ...``, or ``bottomgrid_job.py`` under spark-submit).
 
     python -m bottomgrid.cli step1  --landing L --grid G --raster R --staged S --run-log LOG [--date D] [--full]
-                                    [--gmgi CSV] [--study-fleet CSV]
+                                    [--gmgi CSV] [--study-fleet CSV] [--doi DOI] [--seabed-threshold M]
     python -m bottomgrid.cli step2  --staged S --product P --archive A --catalogue C --diagnostics D
-                                    [--version V] [--doi DOI] [--reload-type T]
+                                    [--version V] [--doi DOI] [--reload-type T] [--catalogue-csv CSV]
     python -m bottomgrid.cli stream --staged S --product P [--checkpoint CK]
     python -m bottomgrid.cli refresh --staged S --product P [--date D] [--full]
 
@@ -37,12 +37,15 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     s1.add_argument("--gmgi")
     s1.add_argument("--study-fleet")
     s1.add_argument("--version", default="1")
+    s1.add_argument("--doi", default="")
+    s1.add_argument("--seabed-threshold", type=float)
     s2 = sub.add_parser("step2", help="aggregate-and-publish (C13)")
     for a in ("--staged", "--product", "--archive", "--catalogue", "--diagnostics"):
         s2.add_argument(a, required=True)
     s2.add_argument("--version", default="1")
-    s2.add_argument("--doi", default="")
-    s2.add_argument("--reload-type", default="daily")
+    s2.add_argument("--doi", help="default: what step 1 handed over")
+    s2.add_argument("--reload-type", help="default: what step 1 handed over")
+    s2.add_argument("--catalogue-csv")
     st = sub.add_parser("stream", help="publish touched days as staged files land (T1)")
     st.add_argument("--staged", required=True)
     st.add_argument("--product", required=True)
@@ -66,13 +69,14 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         raster, _ = read_raster(spark, args.raster)
         res = run_step1(spark, args.landing, read_grid(spark, args.grid), raster, _date(args.date),
                         args.staged, args.run_log, version=args.version, sideloads=side,
-                        force_full=args.full)
+                        force_full=args.full, doi=args.doi,
+                        **({} if args.seabed_threshold is None else {"seabed_threshold": args.seabed_threshold}))
         out = {"reload_type": res.reload_type, "start": str(res.start), "statuses": res.statuses}
     elif args.cmd == "step2":
         from .plans.runs import run_step2
         days = run_step2(spark, args.staged, args.product, args.archive, args.catalogue,
                          args.diagnostics, version=args.version, reload_type=args.reload_type,
-                         doi=args.doi)
+                         doi=args.doi, catalogue_csv=args.catalogue_csv)
         out = {"days_published": len(days)}
     elif args.cmd == "stream":
         from .streaming.publish_stream import publish_stream

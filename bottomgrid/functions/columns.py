@@ -31,7 +31,8 @@ def to_standard(df: DataFrame, schema: T.StructType = STANDARD_SCHEMA,
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols, *[c for c in (keep or []) if c in df.columns])
+    # text such as "NaN" becomes NaN only in the cast above
+    return nan_to_null(df.select(*cols, *[c for c in (keep or []) if c in df.columns]))
 
 
 def empty_standard(spark, schema: T.StructType = STANDARD_SCHEMA) -> DataFrame:

@@ -46,31 +46,36 @@ def gross_range(df: DataFrame, depth: str = "depth", temperature: str = "tempera
                     & (t > temp_range[0]) & (t < temp_range[1]))
 
 
-def _group_stats(df: DataFrame, group: str, aggs: list[Column]) -> DataFrame:
+def _group_stats(df: DataFrame, group: str, aggs: list[Column],
+                 broadcast_limit: int | None = None) -> DataFrame:
     """Partial-aggregated statistics per group, joined back to every row.
 
-    The statistics pass reads only the group and value columns; with few
-    groups the statistics are broadcast back (planned, or by AQE from their
-    measured size), so rows are not shuffled at all; with many groups the
-    join shuffles and AQE splits a hot group on the row side. A window over
-    the group would instead shuffle every row and hold a whole group in one
-    task."""
-    stats = df.where(F.col(group).isNotNull()).groupBy(group).agg(*aggs)
+    The statistics pass reads only the group and value columns. They are
+    checkpointed and counted: few groups are broadcast back, so rows are not
+    shuffled at all; with many groups the join shuffles both sides, and as no
+    aggregate stands between the shuffle and the join, AQE can split a hot
+    group on the row side. A window over the group would instead shuffle
+    every row and hold a whole group in one task."""
+    checkpoint_dir(df.sparkSession)
+    stats = df.where(F.col(group).isNotNull()).groupBy(group).agg(*aggs).checkpoint()
+    stats, _ = broadcast_if_small(stats, stats.count(), limit=broadcast_limit)
     return df.join(stats, group, "left")
 
 
-def drop_outliers(df: DataFrame, group: str, col: str, k: float = 3.0) -> DataFrame:
+def drop_outliers(df: DataFrame, group: str, col: str, k: float = 3.0,
+                  broadcast_limit: int | None = None) -> DataFrame:
     """Drop rows with ``|x - mean| > k * std`` within their group (sample
     std). Missing values, one-row groups and rows without a group are kept."""
-    joined = _group_stats(df, group, [F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd")])
+    joined = _group_stats(df, group, [F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd")], broadcast_limit)
     flag = (F.col(group).isNotNull()
             & F.coalesce(F.abs(F.col(col) - F.col("_mu")) > F.lit(k) * F.col("_sd"), F.lit(False)))
     return joined.where(~flag).drop("_mu", "_sd")
 
 
-def min_group_size(df: DataFrame, group: str, n: int = 10) -> DataFrame:
+def min_group_size(df: DataFrame, group: str, n: int = 10,
+                   broadcast_limit: int | None = None) -> DataFrame:
     """Keep rows of groups with at least ``n`` rows; no group fails."""
-    joined = _group_stats(df, group, [F.count(F.lit(1)).alias("_n")])
+    joined = _group_stats(df, group, [F.count(F.lit(1)).alias("_n")], broadcast_limit)
     return joined.where(F.col(group).isNotNull() & (F.col("_n") >= n)).drop("_n")
 
 
@@ -91,7 +96,7 @@ def _median_by_window(df: DataFrame, group: str, order: list[str], col: str, out
     w = Window.partitionBy(group).orderBy(*order).rowsBetween(-half, half)
     med = _pad_median(F.col("_nbv"), width)
     return (df.withColumn("_nbv", F.collect_list(F.col(col)).over(w))
-              .withColumn(out, F.when(F.col(group).isNotNull() & F.col(col).isNotNull(), med))
+              .withColumn(out, med)
               .drop("_nbv"))
 
 
@@ -128,8 +133,8 @@ def _median_by_position(df: DataFrame, group: str, order: list[str], col: str, o
     nb = nb.where(F.col("_row").isNotNull())
     me = F.col("_row")[group]
     same = F.transform(F.filter("_nb", lambda e: e["g"] == me), lambda e: e["v"])
-    med = F.when(me.isNotNull() & F.col("_row")[col].isNotNull(), _pad_median(same, width))
-    return nb.select(*[F.col("_row")[c].alias(c) for c in row_cols if c != out], med.alias(out))
+    return nb.select(*[F.col("_row")[c].alias(c) for c in row_cols if c != out],
+                     _pad_median(same, width).alias(out))
 
 
 def running_median(df: DataFrame, group: str, order: list[str], col: str,
@@ -137,45 +142,61 @@ def running_median(df: DataFrame, group: str, order: list[str], col: str,
                    max_group_rows: int | None = None) -> DataFrame:
     """``width``-point running median of ``col`` along ``order`` within
     each group, zero-padded at both ends of the group (a group shorter than
-    the window is padded too). Rows without a group get NULL.
-
-    Hot groups are split off first: one partial aggregate counts the rows of
-    every group, and only groups above ``max_group_rows`` (at most
-    ``rows / max_group_rows`` of them, so the list is small) take the
-    range-sorted path that spreads one group over many tasks. All other
+    the window is padded too). Missing values and rows without a group are no
+    part of a series: they are taken out first and get NULL, whatever the
+    size of the group.
+
+    Hot groups are split off: one partial aggregate counts the rows of every
+    group, and only groups above ``max_group_rows`` take the range-sorted
+    path that spreads one group over many tasks (both paths give the same
+    values). Which groups are hot stays a table and is joined. All other
     groups use a per-group sliding window, where a task holds at most
     ``max_group_rows`` rows of one group."""
     out = out or col
     limit = MAX_WINDOW_GROUP_ROWS if max_group_rows is None else max_group_rows
-    sizes = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = [r[0] for r in sizes.where(F.col("_n") > limit).select(group).collect()]
-    if not hot:
-        return _median_by_window(df, group, order, col, out, width)
-    is_hot = F.col(group).isin(hot)
-    cold = df.where(~is_hot | F.col(group).isNull())
-    return (_median_by_window(cold, group, order, col, out, width)
-            .unionByName(_median_by_position(df.where(is_hot), group, order, col, out, width)))
-
-
-def retention_curve(df: DataFrame, diff_col: str, max_threshold: int = 500) -> DataFrame:
-    """For thresholds 1..max, the number and percent of rows with
+    member = F.col(group).isNotNull() & F.col(col).isNotNull()
+    series = df.where(member)
+    rest = df.where(~member).withColumn(out, F.lit(None).cast("double"))
+    hot = series.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(group)
+    checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint()
+    n_hot = hot.count()
+    if not n_hot:
+        return _median_by_window(series, group, order, col, out, width).unionByName(rest)
+    hot, _ = broadcast_if_small(hot, n_hot)
+    cold = _median_by_window(series.join(hot, group, "left_anti"), group, order, col, out, width)
+    by_pos = _median_by_position(series.join(hot, group, "left_semi"), group, order, col, out, width)
+    return cold.unionByName(by_pos).unionByName(rest)
+
+
+# fixed values: the thresholds of the published retention table
+RETENTION_THRESHOLDS = tuple(range(1, 501))
+
+
+def retention_curve(df: DataFrame, diff_col: str,
+                    thresholds: list[float] | tuple[float, ...] = RETENTION_THRESHOLDS) -> DataFrame:
+    """For each threshold, the number and percent of rows with
     ``|diff| <= t``; the denominator counts every row, missing ones too.
 
-    One pass: rows are counted per integer bucket ``ceil(|diff|)`` (at most
-    ``max + 2`` keys, partial-aggregated), then a running sum over the dense
-    bucket list gives every threshold (``|d| <= t`` iff ``ceil(|d|) <= t``)."""
+    One pass: rows are counted per bucket (unit buckets up to the largest
+    threshold, or one per threshold; partial-aggregated), then a running sum
+    over buckets and thresholds in order gives every count."""
     spark = df.sparkSession
-    b = F.least(F.ceil(F.abs(F.col(diff_col))), F.lit(max_threshold + 1))
-    hist = df.groupBy(b.alias("t")).agg(F.count(F.lit(1)).alias("_n"))
-    # the histogram has at most max + 3 rows, so unpartitioned windows over
-    # it (and over the dense threshold list) run on a bounded input
-    every = Window.partitionBy()
-    hist = hist.withColumn("_total", F.sum("_n").over(every))
-    dense = spark.range(0, max_threshold + 1).select(F.col("id").alias("t"))
-    w = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (dense.join(hist.where(F.col("t").isNotNull()), "t", "left")
-           .withColumn("count", F.sum(F.coalesce(F.col("_n"), F.lit(0))).over(w).cast("bigint"))
-           .withColumn("_total", F.max("_total").over(every)))
-    return cum.where(F.col("t") >= 1).select(
-        F.col("t").cast("int").alias("threshold"), "count",
-        (F.lit(100.0) * F.col("count") / F.col("_total")).alias("percent"))
+    ts = sorted(set(float(t) for t in thresholds))
+    whole = all(t == int(t) for t in ts)
+    d = F.abs(F.col(diff_col)).cast("double")
+    if whole:       # |d| <= t iff ceil(|d|) <= t
+        b = F.least(F.ceil(d), F.lit(int(ts[-1]) + 1)).cast("double")
+    else:           # the smallest threshold that keeps the row
+        b = F.coalesce(F.array_min(F.filter(F.array(*[F.lit(t) for t in ts]), lambda t: t >= d)), F.lit(ts[-1] + 1))
+    b = F.when(d.isNotNull() & ~F.isnan(d), b)
+    hist = df.groupBy(b.alias("t")).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(0))
+    # the buckets and the thresholds are bounded, so the windows over them are
+    marks = spark.createDataFrame([(t, 0, 1) for t in ts], "t double, n long, k int")
+    w = Window.orderBy("t", "k").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (hist.unionByName(marks)
+           .withColumns({"count": F.sum(F.when(F.col("t").isNotNull(), F.col("n")).otherwise(0)).over(w).cast("bigint"),
+                         "_total": F.sum("n").over(Window.partitionBy())}))
+    return cum.where("k = 1").select(
+        F.col("t").cast("int" if whole else "double").alias("threshold"), "count",
+        (F.lit(100.0) * F.col("count") / F.nullif(F.col("_total"), F.lit(0))).alias("percent"))

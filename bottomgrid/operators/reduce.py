@@ -1,7 +1,9 @@
 """Feed reductions: hourly means (A1, A2) and the deepest row per profile (A3).
 
-All three are single hash aggregations with map-side partial aggregation;
-none needs the rows of a group together in one task.
+All are single aggregations with map-side partial aggregation; none needs
+the rows of a group together in one task. The hourly means are hash
+aggregations; the deepest row carries its whole row as the aggregate's value,
+which Spark aggregates by sorting.
 """
 
 from __future__ import annotations

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,20 +21,10 @@ def feed_counts(raw: DataFrame, kept: DataFrame, feed: str = "dataset_id",
                       F.coalesce("post_filter_count", F.lit(0)).alias("post_filter_count"))
 
 
-def counted(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
-    """A8 without a second pass: the returned frame counts its rows while a
-    later action (the stage write) runs; read the count from the
-    observation after that action."""
-    obs = Observation(f"{label}-{uuid.uuid4().hex}")
-    return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
-
-
-def counts_frame(spark: SparkSession, raw: dict[str, Observation | int],
-                 kept: dict[str, Observation | int], feed: str = "dataset_id") -> DataFrame:
-    """A8 table from observed (or known) counts, one row per feed."""
-    def n(v):
-        return int(v.get["n"]) if isinstance(v, Observation) else int(v)
-    rows = [(k, n(raw[k]), n(kept.get(k, 0))) for k in raw]
+def counts_frame(spark: SparkSession, raw: dict[str, int], kept: dict[str, int],
+                 feed: str = "dataset_id") -> DataFrame:
+    """A8 table from known counts, one row per feed."""
+    rows = [(k, int(raw[k]), int(kept.get(k, 0))) for k in raw]
     return spark.createDataFrame(rows, f"{feed} string, observation_count long, post_filter_count long")
 
 

@@ -348,6 +348,8 @@ def nearest_centroid(points: DataFrame, areas: DataFrame, x: str = "x", y: str =
     rows, no shuffle. Beyond ``max_areas`` the exact tiled search
     :func:`nearest_centroid_tiled` runs instead."""
     n = areas.count()
+    if n == 0:      # the answer of both forms
+        return points.withColumn(out, F.lit(None).cast(areas.schema[key].dataType))
     if n > max_areas:
         return nearest_centroid_tiled(points, areas, x, y, px, py, key, out)
     rows = areas.select(F.col(key).alias("k"), F.col(x).alias("x"), F.col(y).alias("y")) \
@@ -363,7 +365,13 @@ def nearest_centroid(points: DataFrame, areas: DataFrame, x: str = "x", y: str =
         return F.when(take, F.struct(d.alias("d"), a["k"].alias("k"))).otherwise(acc)
 
     best = F.aggregate(arr, zero, better)["k"]
-    return points.withColumn(out, F.when(F.col(px).isNotNull() & F.col(py).isNotNull(), best))
+    return points.withColumn(out, F.when(_placed(px, py), best))
+
+
+def _placed(px: str, py: str) -> Column:
+    """Whether a point has a position (missing and NaN coordinates have none)."""
+    return (F.col(px).isNotNull() & F.col(py).isNotNull()
+            & ~F.isnan(F.col(px).cast("double")) & ~F.isnan(F.col(py).cast("double")))
 
 
 def nearest_centroid_tiled(points: DataFrame, areas: DataFrame, x: str = "x", y: str = "y",
@@ -372,52 +380,49 @@ def nearest_centroid_tiled(points: DataFrame, areas: DataFrame, x: str = "x", y:
     """J6 for an area table too large to ship whole: an exact search over
     square tiles.
 
-    Areas are keyed by tile. Each distinct point position looks at the tiles
-    within ``k`` tiles of its own (an equi-join on the tile key, so only
-    nearby areas are paired with it) and keeps the nearest by ``min_by``.
-    The answer is exact once the best distance is at most ``k * tile``: every
-    area outside the searched square is farther than that. Positions not yet
-    settled search again with ``k`` doubled, until ``k`` covers the whole
-    extent of the areas (then every area has been seen)."""
+    Areas are keyed by tile. Each distinct point position looks at its own
+    tile and the eight around it (an equi-join on the tile key, so only nearby
+    areas are paired with it) and keeps the nearest by ``min_by``. The answer
+    is exact once the best distance is at most the tile's side: every area
+    outside the nine tiles is farther than that. Positions not yet settled
+    search again with tiles twice as large, until one tile is as large as the
+    extent of everything (then every area has been seen). A position never
+    looks at more than nine tiles a round, however far away it is."""
     from ..session import checkpoint_dir
     checkpoint_dir(points.sparkSession)   # each round's settled points are checkpointed
-    a = areas.select(F.col(key).alias("_k"), F.col(x).alias("_ax"), F.col(y).alias("_ay"))
-    st = a.agg(F.count(F.lit(1)).alias("n"), F.min("_ax").alias("x0"), F.max("_ax").alias("x1"),
-               F.min("_ay").alias("y0"), F.max("_ay").alias("y1")).first()
-    pts_ext = points.agg(F.min(px).alias("x0"), F.max(px).alias("x1"),
-                         F.min(py).alias("y0"), F.max(py).alias("y1")).first()
-    if not st["n"] or pts_ext["x0"] is None:
-        return points.withColumn(out, F.lit(None).cast(areas.schema[key].dataType))
+    kind = areas.schema[key].dataType
+    a0 = areas.select(F.col(key).alias("_k"), F.col(x).alias("_ax"), F.col(y).alias("_ay"))
+    st = a0.agg(F.count(F.lit(1)).alias("n"), F.min("_ax").alias("x0"), F.max("_ax").alias("x1"),
+                F.min("_ay").alias("y0"), F.max("_ay").alias("y1")).first()
+    pos0 = points.where(_placed(px, py)).select(F.col(px).alias("_px"), F.col(py).alias("_py"))
+    ext = pos0.agg(F.min("_px").alias("x0"), F.max("_px").alias("x1"),
+                   F.min("_py").alias("y0"), F.max("_py").alias("y1")).first()
+    if not st["n"] or ext["x0"] is None:
+        return points.withColumn(out, F.lit(None).cast(kind))
     w, h = max(st["x1"] - st["x0"], 1e-9), max(st["y1"] - st["y0"], 1e-9)
-    tile = tile or max(math.sqrt(w * h / st["n"]) * 2, 1e-9)   # about four areas per tile
-    span = max(st["x1"], pts_ext["x1"]) - min(st["x0"], pts_ext["x0"])
-    span = max(span, max(st["y1"], pts_ext["y1"]) - min(st["y0"], pts_ext["y0"]))
-    k_max = int(math.ceil(span / tile)) + 1
-    t = F.lit(tile)
-    a = a.withColumn("_tx", F.floor(F.col("_ax") / t)).withColumn("_ty", F.floor(F.col("_ay") / t))
-    pos = (points.select(F.col(px).alias("_px"), F.col(py).alias("_py"))
-           .where(F.col("_px").isNotNull() & F.col("_py").isNotNull()).dropDuplicates())
-    pos = pos.withColumn("_ptx", F.floor(F.col("_px") / t)).withColumn("_pty", F.floor(F.col("_py") / t))
-    settled, k = None, 1
+    side = tile or max(math.sqrt(w * h / st["n"]) * 2, 1e-9)   # about four areas per tile
+    span = max(max(st["x1"], ext["x1"]) - min(st["x0"], ext["x0"]),
+               max(st["y1"], ext["y1"]) - min(st["y0"], ext["y0"]))
+    pos, settled = pos0.dropDuplicates(), None
+    near = F.array(*[F.lit(k) for k in (-1, 0, 1)])
     while True:
-        off = F.sequence(F.lit(-k), F.lit(k))
-        cand = (pos.withColumn("_dx", F.explode(off)).withColumn("_dy", F.explode(off))
-                   .withColumn("_tx", F.col("_ptx") + F.col("_dx"))
-                   .withColumn("_ty", F.col("_pty") + F.col("_dy")))
+        t = F.lit(side)
+        a = a0.withColumns({"_tx": F.floor(F.col("_ax") / t), "_ty": F.floor(F.col("_ay") / t)})
+        cand = (pos.withColumn("_dx", F.explode(near)).withColumn("_dy", F.explode(near))
+                .withColumns({"_tx": F.floor(F.col("_px") / t) + F.col("_dx"),
+                              "_ty": F.floor(F.col("_py") / t) + F.col("_dy")}).drop("_dx", "_dy"))
         d2 = (F.col("_px") - F.col("_ax")) ** 2 + (F.col("_py") - F.col("_ay")) ** 2
-        best = (cand.join(a, ["_tx", "_ty"])
-                    .groupBy("_px", "_py")
-                    .agg(F.min_by(F.struct(d2.alias("d"), F.col("_k").alias("k")),
-                                  F.struct(d2.alias("d"), F.col("_k").alias("k"))).alias("_b")))
-        last = k >= k_max
-        ok = best.where(F.lit(last) | (F.sqrt(F.col("_b.d")) <= F.lit(k * tile)))
+        rank = F.struct(d2.alias("d"), F.col("_k").alias("k"))
+        best = cand.join(a, ["_tx", "_ty"]).groupBy("_px", "_py").agg(F.min_by(rank, rank).alias("_b"))
+        last = side > span
+        ok = best.where(F.lit(last) | (F.sqrt(F.col("_b.d")) <= t))
         ok = ok.select("_px", "_py", F.col("_b.k").alias(out)).checkpoint()
         settled = ok if settled is None else settled.unionByName(ok)
         if last:
             break
         pos = pos.join(ok.select("_px", "_py"), ["_px", "_py"], "left_anti").checkpoint()
-        if pos.limit(1).count() == 0:
+        if pos.isEmpty():
             break
-        k = min(k * 2, k_max)
+        side *= 2
     cond = (points[px].eqNullSafe(settled["_px"])) & (points[py].eqNullSafe(settled["_py"]))
-    return points.join(settled, cond, "left").drop("_px", "_py")
+    return points.drop(*([out] if out in points.columns else [])).join(settled, cond, "left").drop("_px", "_py")

@@ -6,23 +6,24 @@ from __future__ import annotations
 
 import datetime as dt
 import time as _time
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import refresh_window
 from ..functions.columns import dataset_attributes, epoch_day, narrow, to_standard, with_metadata
 from ..operators.daily import daily_cell
-from ..operators.qc import gross_range
-from ..operators.runlog import counted, counts_frame
+from ..operators.qc import SEAFLOOR_THRESHOLD, gross_range
+from ..operators.runlog import counts_frame
 from ..operators.spatial import CELL_ATTRS, assign_grid, grid_tiles, raster_axes
 from ..operators.union import union_feeds, union_with_sideloads
 from ..registry import FEEDS
 from ..schemas import STANDARD_SCHEMA
-from ..session import path_exists
+from ..session import delete_path, path_exists, scratch_path
 from ..sinks.logs import append_diagnostics, append_run_log, diagnostics_rows, run_log_rows
-from ..sinks.publish import archive, log_archive, publish_days, stage
+from ..sinks.publish import archive, export_catalogue, log_archive, publish_days, stage
 from ..sources.feeds import read_feeds, sideload_frame
 from ..sources.staged import read_staged
 from .standardize import Dims, known_feed, standardize
@@ -46,18 +47,23 @@ class Step1Result:
 def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame,
               run_date: dt.date, staged_path: str, log_path: str, version: str = "1",
               sideloads: dict[str, DataFrame] | None = None, force_full: bool = False,
-              doi: str = "") -> Step1Result:
+              doi: str = "", seabed_threshold: float = SEAFLOOR_THRESHOLD) -> Step1Result:
     """R1 -> S1..S4 -> C1..C10 -> U1 -> C11 -> U2 (S5) -> K1, K2.
 
-    Side-load frames (``gmgi``, ``study_fleet``) carry a cell id and are
+    Each registered feed is standardized on its own and written to the shared
+    folder: a feed that lacks a column or has an unreadable file fails alone,
+    is logged with its status, and the others go on. The counts of the run log
+    are plain counts of the scans and of what was written. Side-load frames (``gmgi``, ``study_fleet``) carry a cell id and are
     processed even when no remote feed has rows."""
     t0 = _time.time()
     phases: dict[str, float] = {}
     kind, start = window_for(spark, run_date, force_full)
     hi = dt.datetime.combine(run_date, dt.time.max)
     scans = read_feeds(spark, root, start, hi)
-    dims = Dims(grid=grid, raster=raster, axes=raster_axes(raster))
+    dims = Dims(grid=grid, raster=raster, axes=raster_axes(raster), seabed_threshold=seabed_threshold)
     tiles = grid_tiles(grid, carry=CELL_ATTRS)   # one join locates and attaches (C11)
+    statuses = {fid: s.status for fid, s in scans.items()}
+    work = scratch_path(spark, f"step1-{uuid.uuid4().hex}")
     std, raw_n, kept_n = [], {}, {}
     for fid, scan in scans.items():
         if scan.frame is None:
@@ -65,25 +71,35 @@ def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame
         if not known_feed(fid):
             raw_n[fid], kept_n[fid] = 0, 0        # C10: nothing is standardized
             continue
-        frame, raw_n[fid] = counted(scan.frame, f"raw-{fid}")
-        s, kept_n[fid] = counted(standardize(fid, frame, dims), f"kept-{fid}")
-        std.append(s.withColumn("dataset_id", F.lit(fid)))
+        path = f"{work}/{fid}"
+        try:
+            raw = scan.frame.count()
+            standard_rows(fid, scan.frame, dims).write.parquet(path)
+        except Exception as e:  # noqa: BLE001  (one feed's failure, whatever it is, is logged as its status)
+            statuses[fid] = f"error: {type(e).__name__}: {str(e)[:200]}"
+            continue
+        s = spark.read.parquet(path)
+        raw_n[fid], kept_n[fid] = raw, s.count()
+        std.append(s)
     phases["standardize"] = _time.time() - t0
-    empty = spark.createDataFrame([], STANDARD_SCHEMA).withColumn("dataset_id", F.lit(None).cast("string"))
-    feeds = union_feeds(std) if std else empty
-    gridded = assign_grid(to_standard(feeds, keep=["dataset_id"]), grid, tiles=tiles)
+    empty = spark.createDataFrame([], STANDARD_SCHEMA).withColumns(
+        {"dataset_id": F.lit(None).cast("string"), "tie": F.lit(None).cast("bigint")})
+    gridded = assign_grid(union_feeds(std) if std else empty, grid, tiles=tiles)
     side = {}
     for k, v in (sideloads or {}).items():
-        side[k], raw_n[k] = counted(sideload_frame(v, grid, start), f"side-{k}")
-        kept_n[k] = raw_n[k]                       # side-loads are not filtered further
+        path = f"{work}/side-{k}"
+        rows = sideload_frame(v, grid, start)
+        rows.withColumn("tie", tie_of(rows)).write.parquet(path)
+        side[k] = spark.read.parquet(path)
+        raw_n[k] = kept_n[k] = side[k].count()     # side-loads are not filtered further
     allrows = union_with_sideloads(side.get("gmgi"), side.get("study_fleet"), gridded)
     stage(allrows, staged_path)
+    if path_exists(spark, work):
+        delete_path(spark, work)
     phases["stage"] = _time.time() - t0 - phases["standardize"]
-    # The counts were observed while the stage was written (no second pass)
     for f in FEEDS:
         raw_n.setdefault(f.feed_id, 0)
     counts = counts_frame(spark, raw_n, kept_n)
-    statuses = {fid: s.status for fid, s in scans.items()}
     providers = {f.feed_id: f.group for f in FEEDS}
     protocols = {f.feed_id: "erddap" for f in FEEDS}
     for k in side:
@@ -96,9 +112,33 @@ def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame
     # ahead of its own row (K6)
     diag = diagnostics_rows(spark, now, "step1", version, _time.time() - t0, phases)
     diag.write.mode("overwrite").parquet(upstream_diagnostics_path(staged_path))
+    (spark.createDataFrame([(kind, doi)], "reload_type string, doi string")
+     .write.mode("overwrite").parquet(handoff_path(staged_path)))
     return Step1Result(kind, start, statuses, staged_path, phases)
 
 
+def tie_of(df: DataFrame) -> Column:
+    """A content hash that orders rows of the same time: it depends on what a
+    row says, not on where it lies. Measured values take part rounded, as
+    means may differ in their last digits from run to run."""
+    text = [c for c in ("dataset_id", "data_provider", "fishery_dependent", "id") if c in df.columns]
+    real = [c for c in ("latitude", "longitude", "depth", "temperature", "salinity", "dissolved_oxygen") if c in df.columns]
+    return F.xxhash64(*[F.col(c) for c in text], *[F.round(F.col(c).cast("double"), 6) for c in real])
+
+
+def standard_rows(fid: str, scan: DataFrame, dims: Dims) -> DataFrame:
+    """One feed's standard rows with their feed and tie column. Rows of the
+    scan that tie in time are ordered by the hash of all their columns."""
+    raw = scan.withColumn("tie", F.xxhash64(*scan.columns))
+    out = to_standard(standardize(fid, raw, dims, tie="tie")).withColumn("dataset_id", F.lit(fid))
+    return out.withColumn("tie", tie_of(out))
+
+
+def handoff_path(staged_path: str) -> str:
+    """The run's reload type and doi, for step 2."""
+    return staged_path.rstrip("/") + "_handoff"
+
+
 def upstream_diagnostics_path(staged_path: str) -> str:
     return staged_path.rstrip("/") + "_diagnostics"
 
@@ -111,24 +151,31 @@ def attributes_path(product_path: str) -> str:
 
 def product_frame(staged: DataFrame, order: list[str] | None = None) -> DataFrame:
     """C13 without the write: A4 -> P12 -> P6 -> P8 -> P9."""
-    order = order or (["source_ord", "time"] if "source_ord" in staged.columns else ["time"])
+    order = order or [c for c in ("source_ord", "time", "tie") if c in staged.columns]
     daily = daily_cell(staged, order=order)
     return with_metadata(narrow(gross_range(epoch_day(daily))))
 
 
 def run_step2(spark: SparkSession, staged_path: str, product_path: str, archive_root: str,
               catalogue_path: str, diag_path: str, version: str = "1",
-              reload_type: str = "daily", doi: str = "",
-              now: dt.datetime | None = None) -> list[int]:
+              reload_type: str | None = None, doi: str | None = None,
+              now: dt.datetime | None = None, catalogue_csv: str | None = None) -> list[int]:
     """C13 (flagship): S8 -> A4 -> P12 -> P6 -> P8 -> P9 -> K3, with the
-    archive (K4, before any day is replaced), catalogue (K5) and
-    diagnostics (K6)."""
+    archive (K4, before any day is replaced), catalogue (K5, exported as CSV
+    next to it or to ``catalogue_csv``) and diagnostics (K6). Reload type and
+    doi come from step 1's hand-off unless they are given."""
     t0 = _time.time()
+    if reload_type is None or doi is None:
+        told = spark.read.parquet(handoff_path(staged_path)).first() \
+            if path_exists(spark, handoff_path(staged_path)) else None
+        reload_type = reload_type if reload_type is not None else told["reload_type"] if told else "daily"
+        doi = doi if doi is not None else (told["doi"] or "") if told else ""
     now = now or dt.datetime.now(dt.timezone.utc)
     phases = {}
     if path_exists(spark, product_path):
         snap, size = archive(spark, product_path, archive_root, version, now, doi)
         log_archive(spark, catalogue_path, snap, snap, now, version, doi, reload_type, size)
+        export_catalogue(spark.read.parquet(catalogue_path), catalogue_csv or catalogue_path.rstrip("/") + "_csv")
         phases["archive"] = _time.time() - t0
     days = publish_days(product_frame(read_staged(spark, staged_path)), product_path)
     dataset_attributes(spark, version).write.mode("overwrite").parquet(attributes_path(product_path))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes and
@@ -54,7 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as the cluster names it; a
-    private folder is created only when the setting is absent (local tests).
+    private folder is made only for a local master (tests). Elsewhere an unset
+    folder is an error: a machine-local one would not be seen by the others.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -64,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="bottomgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -76,50 +80,57 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_dir(spark), *parts)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on whatever file system the path
-    names (local, HDFS, object store), through Hadoop's FileSystem API."""
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's FileSystem and Path for ``path``, on whatever file system it
+    names; None without a JVM gateway (Spark Connect)."""
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no classic context to ask)
+        return None
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists. False only if the file system says
+    so; any other failure is raised, so that nobody takes it for absence."""
+    found = _file_system(spark, path)
+    if found:
+        fs, p = found
         return bool(fs.exists(p))
-    except Exception:  # noqa: BLE001  (no JVM gateway, e.g. Spark Connect)
-        try:
-            spark.read.format("binaryFile").load(path).limit(1).count()
-            return True
-        except Exception:  # noqa: BLE001
+    try:
+        spark.read.format("binaryFile").load(path).limit(1).count()
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
             return False
+        raise
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
-    """Remove a folder recursively through Hadoop's FileSystem API (False
-    when it does not exist or no JVM gateway is available)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p) and fs.delete(p, True))
-    except Exception:  # noqa: BLE001
+    """Remove a folder recursively; False if there was none. A failure to
+    remove what exists is raised."""
+    found = _file_system(spark, path)
+    if not found:
+        raise RuntimeError("no file system access to remove " + path)
+    fs, p = found
+    if not fs.exists(p):
         return False
+    if not fs.delete(p, True):
+        raise OSError(f"could not remove {path}")
+    return True
 
 
 def content_bytes(spark: SparkSession, path: str) -> int | None:
-    """Bytes of the data files under ``path`` (files or folders whose names
-    start with ``_`` or ``.`` are bookkeeping and not counted); None without
-    a JVM gateway."""
-    try:
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        prefix = fs.makeQualified(root).toString().rstrip("/") + "/"
-        it = fs.listFiles(root, True)
-        total = 0
-        while it.hasNext():
-            st = it.next()
-            rel = st.getPath().toString()[len(prefix):]
-            if not any(part.startswith(("_", ".")) for part in rel.split("/")):
-                total += st.getLen()
-        return int(total)
-    except Exception:  # noqa: BLE001
+    """Bytes of the data files under ``path``, from the file system's content
+    summary of the folder less those of its bookkeeping entries (names that
+    start with ``_`` or ``.``); None without a JVM gateway."""
+    found = _file_system(spark, path)
+    if not found:
         return None
+    fs, p = found
+    total = fs.getContentSummary(p).getLength()
+    for entry in fs.listStatus(p):
+        if entry.getPath().getName().startswith(("_", ".")):
+            total -= fs.getContentSummary(entry.getPath()).getLength()
+    return int(total)

@@ -54,9 +54,14 @@ def publish_days(df: DataFrame, path: str, day_col: str = "time") -> list[int]:
              .sortWithinPartitions(day_col, *[c for c in ("grid_id",) if c in df.columns]))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", day_col).parquet(path))
-    # the day list is gathered while writing (one small set per task), so
-    # the product is not computed a second time to report it
-    return sorted(int(x) for x in (seen.get.get("days") or []))
+    # the day list is gathered while writing (one small set per task), so the
+    # product is not computed a second time to report it; a frame that turns
+    # out empty may lose the observing node, then its own keys are asked
+    try:
+        days = seen.get.get("days") or []
+    except AssertionError:
+        days = [r[0] for r in df.select(day_col).distinct().collect()]
+    return sorted(int(x) for x in days)
 
 
 def files_size_mb(spark: SparkSession, path: str) -> float:
@@ -86,10 +91,13 @@ def archive(spark: SparkSession, product_path: str, archive_root: str, version:
     Returns the snapshot path and its size in MB."""
     snap = f"{archive_root}/archive_date={when.date().isoformat()}"
     prev = spark.read.parquet(product_path)
-    (prev.withColumns({"version": F.lit(version),
-                       "archive_time": ntz_lit(when),
-                       "doi": F.lit(doi or ""), "citation_url": F.lit(citation_url(doi))})
-         .write.mode("overwrite").parquet(snap))
+    layout = [c for c in ("year", "month", "time") if c in prev.columns]
+    rows = prev.withColumns({"version": F.lit(version),
+                             "archive_time": ntz_lit(when),
+                             "doi": F.lit(doi or ""), "citation_url": F.lit(citation_url(doi))})
+    if layout:      # by day like the product, so a reader of some days prunes the rest
+        rows = rows.hint("rebalance", *layout)
+    rows.write.mode("overwrite").partitionBy(*layout).parquet(snap)
     return snap, files_size_mb(spark, snap)
 
 

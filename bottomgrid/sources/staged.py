@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import nan_to_null
 from ..functions.times import parse_time
 from ..schemas import STAGED_OPTIONAL, STAGED_REQUIRED, STAGED_TYPES
 
@@ -19,8 +20,8 @@ def reconcile(df: DataFrame, required: list[str] = STAGED_REQUIRED,
               optional: list[str] = STAGED_OPTIONAL,
               types: dict[str, T.DataType] = STAGED_TYPES) -> DataFrame:
     """Required columns must exist, optional ones are taken when present,
-    everything is cast with ``try_cast`` (text in a number column -> NULL) and
-    a text time is parsed (unparseable -> NULL). Extra columns are dropped."""
+    everything is cast with ``try_cast`` (text in a number column -> NULL), NaN
+    becomes NULL, and a text time is parsed (unparseable -> NULL). Extra columns are dropped."""
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"hand-off lacks required columns: {missing}")
@@ -38,14 +39,15 @@ def reconcile(df: DataFrame, required: list[str] = STAGED_REQUIRED,
             cols.append(F.col(c).try_cast(t).alias(c))
         else:
             cols.append(F.col(c))
-    return df.select(*cols)
+    return nan_to_null(df.select(*cols))     # NaN in the file or made by a cast
 
 
 def reconcile_staged(df: DataFrame) -> DataFrame:
     """S8 for the hand-off table; the union order of the sources
-    (``source_ord``) is kept when present, it defines "first"."""
-    types = dict(STAGED_TYPES, source_ord=T.IntegerType())
-    return reconcile(df, optional=STAGED_OPTIONAL + ["source_ord"], types=types)
+    (``source_ord``) and the tie column are kept when present, with the time
+    they define "first"."""
+    types = dict(STAGED_TYPES, source_ord=T.IntegerType(), tie=T.LongType())
+    return reconcile(df, optional=STAGED_OPTIONAL + ["source_ord", "tie"], types=types)
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
@@ -54,8 +56,8 @@ def read_staged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_previous(spark: SparkSession, path: str) -> DataFrame:
-    """The whole previous product (all days, all columns)."""
-    return spark.read.parquet(path)
+    """The whole previous product (all days, all columns), NaN as NULL."""
+    return nan_to_null(spark.read.parquet(path))
 
 
 def recent(product: DataFrame, cols: list[str] | None, days: int,

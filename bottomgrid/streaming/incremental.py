@@ -1,17 +1,23 @@
 """T2, incremental form: late rows merged as partial daily statistics.
 
-Each micro-batch writes its own daily partials (A4 plus the order key of
-each group's first row) into ``partials_root/batch_id=N``; overwriting that
-one partition makes a replayed batch idempotent. The days the batch touches
-are then re-published from the A7 merge of every stored partial of those
-days. A batch costs its own rows plus one row per (day, cell, batch) for the
-days it touches, instead of a recompute from all staged rows.
+Each micro-batch writes its own daily partials (A4 plus the order key of each
+group's first row) into ``partials_root/time=DAY/batch_id=N``; overwriting
+those partitions makes a replayed batch idempotent. The days the batch touches
+are read back from what it wrote, and re-published from the A7 merge of all
+stored partials of those days; only their folders are listed and read. A batch
+costs its own rows plus one row per (day, cell, batch) for the days it touches.
+
+Batch numbers mean something only together with the stream's checkpoint: a
+stream that starts over would count the same files again under other numbers.
+So the partials table remembers the checkpoint it belongs to, and the stream
+refuses to run with another one, or with partials whose checkpoint is gone.
+
+A touched day whose merged statistics no longer pass the gross-range test
+keeps what was published (the rule of T1 and of the refresh).
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import epoch_day, narrow, with_metadata
 from ..operators.daily import daily_cell, merge_daily
 from ..operators.qc import gross_range
-from ..session import checkpoint_dir, delete_path, scratch_path
+from ..session import path_exists
 from ..sinks.publish import publish_days
 from ..sources.staged import reconcile_staged
 
@@ -27,11 +33,11 @@ from ..sources.staged import reconcile_staged
 def stage_batch_partials(rows: DataFrame, partials_root: str, batch_id: int,
                          order: list[str] | None = None) -> None:
     """Daily partials of one batch, written to its own ``batch_id`` partition
-    (dynamic overwrite: running the same batch again replaces it)."""
-    order = order or (["source_ord", "time"] if "source_ord" in rows.columns else ["time"])
+    of each day (dynamic overwrite: running the same batch again replaces it)."""
+    order = order or [c for c in ("source_ord", "time", "tie") if c in rows.columns]
     parts = daily_cell(rows, order=order, keep_first_key=True).withColumn("batch_id", F.lit(int(batch_id)))
-    (parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("batch_id").parquet(partials_root))
+    (parts.hint("rebalance", "time").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("time", "batch_id").parquet(partials_root))
 
 
 def product_from_partials(parts: DataFrame) -> DataFrame:
@@ -40,42 +46,63 @@ def product_from_partials(parts: DataFrame) -> DataFrame:
     return with_metadata(narrow(gross_range(epoch_day(merged))))
 
 
+def partials_of(spark: SparkSession, partials_root: str) -> DataFrame:
+    return spark.read.parquet(partials_root).withColumn("time", F.col("time").cast("date"))
+
+
+def touched_days(spark: SparkSession, partials_root: str, batch_id: int) -> list:
+    """The days of a batch, from the partition folders it wrote."""
+    parts = partials_of(spark, partials_root)
+    return [r[0] for r in parts.where(F.col("batch_id") == batch_id).select("time").distinct().collect()]
+
+
 def publish_from_partials(spark: SparkSession, partials_root: str, product_path: str,
                           days: list) -> list[int]:
-    """Re-publish the given days (dates) from all stored partials of them.
-    The day list is small (a batch's distinct days); it is pushed to the
-    Parquet reader as an ``IN`` filter on the partials' date column.
-
-    A touched day whose merged statistics no longer pass the gross-range
-    test is removed from the product: an earlier batch may have published
-    it, and the product must equal the merge of all partials."""
+    """Re-publish the given days (dates) from all stored partials of them; the
+    list is a filter on the partition column."""
     parts = spark.read.parquet(partials_root).where(F.col("time").isin(days))
-    written = set(publish_days(product_from_partials(parts), product_path))
-    for d in days:
-        n = (d - dt.date(1970, 1, 1)).days
-        if n not in written:
-            delete_path(spark, f"{product_path}/year={d.year}/month={d.month}/time={n}")
-    return sorted(written)
+    return publish_days(product_from_partials(parts.withColumn("time", F.col("time").cast("date"))), product_path)
+
+
+def owner_path(partials_root: str) -> str:
+    """Which checkpoint the partials belong to (kept beside the table)."""
+    return partials_root.rstrip("/") + "_checkpoint"
+
+
+def _claim(spark: SparkSession, partials_root: str, checkpoint: str) -> None:
+    own = owner_path(partials_root)
+    if path_exists(spark, own):
+        was = spark.read.parquet(own).first()["checkpoint"]
+        if was != checkpoint:
+            raise ValueError(f"the partials in {partials_root} belong to the stream checkpoint {was}")
+        if path_exists(spark, partials_root) and not path_exists(spark, f"{checkpoint}/metadata"):
+            raise ValueError(f"the checkpoint {checkpoint} of the partials in {partials_root} is gone: "
+                             "start with an empty partials table, or its rows would count twice")
+        return
+    if path_exists(spark, partials_root):
+        raise ValueError(f"the partials in {partials_root} belong to no known stream checkpoint")
+    spark.createDataFrame([(checkpoint,)], "checkpoint string").write.parquet(own)
 
 
 def incremental_stream(spark: SparkSession, staged_path: str, partials_root: str,
-                       product_path: str, checkpoint: str | None = None,
-                       available_now: bool = True) -> StreamingQuery:
-    """T2 as a stream over the staged folder: per batch, stage its partials
-    (idempotent by batch id), then re-publish the days it touched."""
-    checkpoint_dir(spark)
-    checkpoint = checkpoint or scratch_path(spark, "streams", "incremental")
+                       product_path: str, checkpoint: str, available_now: bool = True,
+                       max_files: int = 1000) -> StreamingQuery:
+    """T2 as a stream over the staged folder: per batch of at most
+    ``max_files`` files, stage its partials (idempotent by batch id), then
+    re-publish the days it touched. ``checkpoint`` has no default: it and the
+    partials table live and die together."""
+    _claim(spark, partials_root, checkpoint)
     schema = spark.read.parquet(staged_path).schema
-    stream = spark.readStream.schema(schema).parquet(staged_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(staged_path)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = reconcile_staged(batch).checkpoint()   # the batch is read twice below
-        days = [r[0] for r in rows.select(F.to_date("time").alias("d")).where(F.col("d").isNotNull())
-                .distinct().collect()]
-        if not days:
+        session = batch.sparkSession
+        stage_batch_partials(reconcile_staged(batch), partials_root, batch_id)
+        if not path_exists(session, partials_root):
             return
-        stage_batch_partials(rows, partials_root, batch_id)
-        publish_from_partials(batch.sparkSession, partials_root, product_path, days)
+        days = touched_days(session, partials_root, batch_id)
+        if days:
+            publish_from_partials(session, partials_root, product_path, days)
 
     w = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

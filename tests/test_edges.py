@@ -222,7 +222,7 @@ def test_running_median_zero_padded(spark):
 
 def test_retention_curve(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (1.5,), (-2.0,), (600.0,), (None,)], "d double")
-    out = {r["threshold"]: (r["count"], r["percent"]) for r in retention_curve(df, "d", 3).collect()}
+    out = {r["threshold"]: (r["count"], r["percent"]) for r in retention_curve(df, "d", [1, 2, 3]).collect()}
     assert out[1] == (2, 100 * 2 / 6) and out[2] == (4, 100 * 4 / 6) and out[3][0] == 4
 
 
