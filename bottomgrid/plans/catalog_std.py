@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .catalog_ops import FIXTURE_CODES
 from .queries import GRID, LOCATED, OBS, RASTER, located, nearest_ctes, query, rounded, sql
+from ..operators.union import union_feeds
 from .standardize import Dims, standardize
 from ..operators.spatial import raster_axes
 
@@ -211,9 +212,12 @@ def q_std_gliders(spark, sf):
     return rounded(std_gliders(src, _dims(spark, sf), mapping=FIXTURE_CODES))
 
 
-@query("std_unknown", sql([OBS], """
-SELECT CAST(time AS TIMESTAMP) AS time, latitude, longitude, temperature, salinity, dissolved_oxygen,
-  data_provider, fishery_dependent FROM obs WHERE false"""))
+@query("std_unknown", sql([OBS, f"""s AS (SELECT time, latitude, longitude, temperature,
+  {_tagged('CFRF', 0)} FROM obs)"""], f"SELECT {STD_OUT} FROM s"))
 def q_std_unknown(spark, sf):
-    """A feed without a standardizer gives the empty standard frame."""
-    return standardize("not_registered", fx.obs(spark, sf), _dims(spark, sf))
+    """Of two feeds over the same observations, the one without a
+    standardizer adds nothing to the union of the standard rows."""
+    src = fx.obs(spark, sf).select("time", "latitude", "longitude",
+                                   F.col("dataset_id").alias("station_id"), "temperature")
+    known = standardize("wind_farm_acoustic_receivers", src, _dims(spark, sf))
+    return rounded(union_feeds([known, standardize("not_registered", src, _dims(spark, sf))]))

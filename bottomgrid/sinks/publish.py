@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def publish_days(df: DataFrame, path: str, day_col: str = "time") -> list[int]:
     # out empty may lose the observing node, then its own keys are asked
     try:
         days = seen.get.get("days") or []
-    except AssertionError:
+    except (AssertionError, Py4JJavaError):
         days = [r[0] for r in df.select(day_col).distinct().collect()]
     return sorted(int(x) for x in days)
 

@@ -104,6 +104,8 @@ def scan_feed(spark: SparkSession, f: Feed, root: str, lo=None, hi=None,
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return FeedScan(f, None, "missing")
         return FeedScan(f, None, f"error: {str(e)[:200]}")
+    except Exception as e:  # noqa: BLE001  (an unreadable footer: this feed's status, not the run's end)
+        return FeedScan(f, None, f"error: {type(e).__name__}: {str(e)[:200]}")
     try:
         df = normalize_scan(apply_constraints(strip_units(raw), f.constraints),
                             f.variables, f.time_col)
