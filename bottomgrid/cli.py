@@ -66,10 +66,10 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         for name, path in (("gmgi", args.gmgi), ("study_fleet", args.study_fleet)):
             if path:
                 side[name] = spark.read.schema(SIDELOAD_SCHEMA).option("header", True).csv(path)
-        raster, _ = read_raster(spark, args.raster)
+        raster, axes = read_raster(spark, args.raster)
         res = run_step1(spark, args.landing, read_grid(spark, args.grid), raster, _date(args.date),
                         args.staged, args.run_log, version=args.version, sideloads=side,
-                        force_full=args.full, doi=args.doi,
+                        force_full=args.full, doi=args.doi, axes=axes,
                         **({} if args.seabed_threshold is None else {"seabed_threshold": args.seabed_threshold}))
         out = {"reload_type": res.reload_type, "start": str(res.start), "statuses": res.statuses}
     elif args.cmd == "step2":

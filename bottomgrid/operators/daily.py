@@ -9,11 +9,14 @@ task and never a whole group in one place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import MEASURES
 
+# fixed shifts for pooled sums: typical values, any constant is right
+TYPICAL = {"temperature": 10.0, "dissolved_oxygen": 8.0, "salinity": 33.0}
+
 META = ["latitude", "longitude", "stat_area", "depth"]
 
 
@@ -111,29 +114,23 @@ def daily_cell_precounted(df: DataFrame, measures: list[str] | None = None,
 
 
 def merge_daily(df: DataFrame, measures: list[str] | None = None,
-                keys: tuple[str, str] = ("time", "grid_id"), sort: bool = True,
+                keys: tuple[str, str] = ("time", "grid_id"), sort: bool = False,
                 provider_sep: str = ", ", first_key: str | None = None) -> DataFrame:
     """Merge partial daily statistics of the same (day, cell).
 
     count-weighted mean, min of mins, max of maxes, summed counts and the
-    pooled sample standard deviation. The pooled M2 is
-    ``sum((n_i - 1) s_i^2) + sum(n_i (m_i - M)^2)`` with ``M`` the merged mean:
-    the same quantity as the textbook form, without its cancellation. ``M``
-    comes from a window over the same keys, so the window and the aggregate
-    share one shuffle. The std is NULL when the merged count is at most 1;
-    a zero total count gives a NULL mean. Metadata: first non-null by value;
-    with ``first_key`` (the earliest order key each partial kept), position,
-    area, depth and the fishery flag come from the partial whose first row is
-    earliest, so merged partials equal the statistics of all rows.
+    pooled sample standard deviation, in one aggregation. The pooled M2 is
+    ``sum((n_i - 1) s_i^2) + sum(n_i d_i^2) - sum(n_i d_i)^2 / N`` with
+    ``d_i = m_i - c``: it does not depend on the fixed shift ``c``, which only
+    keeps the sums small (a typical value of the measure). The std is NULL
+    when the merged count is at most 1; a zero total count gives a NULL mean.
+    Metadata: first non-null by value; with ``first_key`` (the earliest order
+    key each partial kept), position, area, depth and the fishery flag come
+    from the partial whose first row is earliest, so merged partials equal the
+    statistics of all rows. ``sort`` orders the result by the keys.
     """
     ms = _present(df, measures)
-    w = Window.partitionBy(*keys)
-    merged_means = {}
-    for m in ms:
-        n, mean = F.col(f"{m}_count"), F.col(m)
-        tot = F.sum(F.when(mean.isNotNull(), n)).over(w)
-        merged_means[f"_M_{m}"] = F.try_divide(F.sum(mean * n).over(w), tot)
-    base = df.withColumns(merged_means)    # one Window node for all measures
+    base = df
     if first_key and first_key in df.columns:
         carried = [c for c in META + ["fishery_dependent"] if c in df.columns]
         aggs = [F.min_by(F.col(c), F.col(first_key)).alias(c) for c in carried]
@@ -142,23 +139,25 @@ def merge_daily(df: DataFrame, measures: list[str] | None = None,
         aggs = [F.min(c).alias(c) for c in META if c in df.columns]
     for m in ms:
         n, mean, std = F.col(f"{m}_count"), F.col(m), F.col(f"{m}_std")
-        big_m = F.col(f"_M_{m}")
+        d = mean - F.lit(TYPICAL.get(m, 0.0))
         aggs += [
-            F.sum(mean * n).alias(f"_ws_{m}"),
+            F.sum(d * n).alias(f"_ws_{m}"),
             F.sum(F.when(mean.isNotNull(), n)).alias(f"_wn_{m}"),
             F.sum(n).cast("bigint").alias(f"{m}_count"),
             F.min(f"{m}_min").alias(f"{m}_min"),
             F.max(f"{m}_max").alias(f"{m}_max"),
             F.coalesce(F.sum((n - 1) * std * std), F.lit(0.0)).alias(f"_v1_{m}"),
-            F.coalesce(F.sum(n * (mean - big_m) * (mean - big_m)), F.lit(0.0)).alias(f"_v2_{m}"),
+            F.coalesce(F.sum(n * d * d), F.lit(0.0)).alias(f"_v2_{m}"),
         ]
     parts = F.flatten(F.collect_set(F.split(F.col("data_provider"), F.lit(provider_sep))))
     aggs.append(_providers(F.array_distinct(parts), provider_sep).alias("data_provider"))
     out = base.groupBy(*keys).agg(*aggs)
     for m in ms:
         n = F.col(f"{m}_count")
-        var = F.try_divide(F.col(f"_v1_{m}") + F.col(f"_v2_{m}"), n - 1)
-        out = (out.withColumn(m, F.try_divide(F.col(f"_ws_{m}"), F.col(f"_wn_{m}")))
+        shift = F.try_divide(F.col(f"_ws_{m}"), F.col(f"_wn_{m}"))
+        between = F.col(f"_v2_{m}") - F.coalesce(F.col(f"_ws_{m}") * shift, F.lit(0.0))
+        var = F.try_divide(F.col(f"_v1_{m}") + F.greatest(between, F.lit(0.0)), n - 1)
+        out = (out.withColumn(m, F.lit(TYPICAL.get(m, 0.0)) + shift)
                   .withColumn(f"{m}_std", F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))))
     out = out.drop(*[c for c in out.columns if c.startswith("_") and c != first_key])
     return out.orderBy(*keys) if sort else out

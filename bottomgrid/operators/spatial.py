@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import (UNROLL_MAX_POINTS, ring_bbox, strictly_within,
                                   strictly_within_vertices, vertex_columns)
-from .sizing import broadcast_if_small
+from .sizing import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+
+STRIP_OVERHEAD = 128     # bytes of a packed raster row besides its values
 
 
 # --------------------------------------------------------------------------
@@ -65,8 +67,29 @@ def raster_axes(raster: DataFrame, lat_idx="lat_idx", lon_idx="lon_idx",
     ).first()
     if r["n"] == 0:
         raise ValueError("raster is empty")
-    return RasterAxes(Axis(lat_idx, lat, r["a"], r["b"], r["c"], r["d"]),
-                      Axis(lon_idx, lon, r["e"], r["f"], r["g"], r["h"]), r["n"])
+    axes = (Axis(lat_idx, lat, r["a"], r["b"], r["c"], r["d"]),
+            Axis(lon_idx, lon, r["e"], r["f"], r["g"], r["h"]))
+    for axis in axes:
+        check_axis(raster, axis)
+    return RasterAxes(*axes, r["n"])
+
+
+def check_axis(raster: DataFrame, axis: Axis, tolerance: float = 1e-3) -> None:
+    """Refuse an axis on which the nearest value cannot be found from its two
+    ends: an index without a value, two values for one index, or a value more
+    than ``tolerance`` steps away from where a regular axis has it. One
+    aggregate over the raster, one over the axis."""
+    vals = raster.groupBy(F.col(axis.idx_col).alias("i")).agg(
+        F.min(axis.val_col).alias("lo"), F.max(axis.val_col).alias("hi"))
+    step = (axis.hi_val - axis.lo_val) / max(axis.hi_idx - axis.lo_idx, 1)
+    at = F.lit(axis.lo_val) + (F.col("i") - F.lit(axis.lo_idx)) * F.lit(step)
+    off = F.greatest(F.abs(F.col("lo") - at), F.abs(F.col("hi") - at))
+    r = vals.agg(F.count(F.lit(1)).alias("n"), F.max(off).alias("off"),
+                 F.max(F.col("hi") - F.col("lo")).alias("apart")).first()
+    if r["n"] != axis.n:
+        raise ValueError(f"raster axis {axis.idx_col} has {axis.n - r['n']} indices without a value")
+    if axis.n > 1 and (not step or r["off"] > tolerance * abs(step)) or r["apart"]:
+        raise ValueError(f"raster axis {axis.val_col} is not regular")
 
 
 def axis_pairs(raster: DataFrame, axis: Axis, limit: int | None = None) -> DataFrame:
@@ -111,13 +134,25 @@ def nearest_raster(df: DataFrame, raster: DataFrame, axes: RasterAxes | None = N
                    broadcast_limit: int | None = None) -> DataFrame:
     """Attach ``abs(value)`` of the nearest raster cell, truncated to int.
 
-    Nearest is taken on each axis independently. The raster join is an
-    equi-join on the two indices: broadcast when the raster's counted size
-    allows (``broadcast_limit`` bytes, default ``sizing.DEFAULT_BROADCAST_BYTES``),
-    otherwise a shuffle join (AQE splits a hot cell)."""
+    Nearest is taken on each axis independently. A raster without holes is
+    packed into one row per latitude index, with the values along the
+    longitude as an int array: 4 bytes a cell, so rasters of tens of millions
+    of cells pass the size check and are broadcast
+    (``broadcast_limit`` bytes, default ``sizing.DEFAULT_BROADCAST_BYTES``).
+    A larger raster, or one with holes, is joined cell by cell on the two
+    indices (a shuffle join if it is too large; AQE splits a hot cell)."""
     axes = axes or raster_axes(raster)
     out_df = _nearest_on_axis(df, raster, axes.lat, lat, "_lat_i", broadcast_limit)
     out_df = _nearest_on_axis(out_df, raster, axes.lon, lon, "_lon_i", broadcast_limit)
+    limit = DEFAULT_BROADCAST_BYTES if broadcast_limit is None else broadcast_limit
+    if axes.cells == axes.lat.n * axes.lon.n and axes.cells * 4 + axes.lat.n * STRIP_OVERHEAD <= limit:
+        strips = raster.groupBy(F.col(axes.lat.idx_col).alias("_lat_i")).agg(F.transform(
+            F.array_sort(F.collect_list(F.struct(F.col(axes.lon.idx_col).alias("i"),
+                                                 F.abs(F.col(value)).cast("int").alias("v")))),
+            lambda c: c["v"]).alias("_strip"))
+        return (out_df.join(F.broadcast(strips), "_lat_i", "left")
+                .withColumn(out, F.get("_strip", (F.col("_lon_i") - F.lit(axes.lon.lo_idx)).cast("int")))
+                .drop("_lat_i", "_lon_i", "_strip"))
     cells = raster.select(F.col(axes.lat.idx_col).alias("_lat_i"),
                           F.col(axes.lon.idx_col).alias("_lon_i"),
                           F.abs(F.col(value)).cast("int").alias(out))

@@ -17,7 +17,7 @@ from ..functions.columns import dataset_attributes, epoch_day, narrow, to_standa
 from ..operators.daily import daily_cell
 from ..operators.qc import SEAFLOOR_THRESHOLD, gross_range
 from ..operators.runlog import counts_frame
-from ..operators.spatial import CELL_ATTRS, assign_grid, grid_tiles, raster_axes
+from ..operators.spatial import CELL_ATTRS, RasterAxes, assign_grid, grid_tiles, raster_axes
 from ..operators.union import union_feeds, union_with_sideloads
 from ..registry import FEEDS
 from ..schemas import STANDARD_SCHEMA
@@ -47,7 +47,8 @@ class Step1Result:
 def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame,
               run_date: dt.date, staged_path: str, log_path: str, version: str = "1",
               sideloads: dict[str, DataFrame] | None = None, force_full: bool = False,
-              doi: str = "", seabed_threshold: float = SEAFLOOR_THRESHOLD) -> Step1Result:
+              doi: str = "", seabed_threshold: float = SEAFLOOR_THRESHOLD,
+              axes: RasterAxes | None = None) -> Step1Result:
     """R1 -> S1..S4 -> C1..C10 -> U1 -> C11 -> U2 (S5) -> K1, K2.
 
     Each registered feed is standardized on its own and written to the shared
@@ -60,7 +61,7 @@ def run_step1(spark: SparkSession, root: str, grid: DataFrame, raster: DataFrame
     kind, start = window_for(spark, run_date, force_full)
     hi = dt.datetime.combine(run_date, dt.time.max)
     scans = read_feeds(spark, root, start, hi)
-    dims = Dims(grid=grid, raster=raster, axes=raster_axes(raster), seabed_threshold=seabed_threshold)
+    dims = Dims(grid=grid, raster=raster, axes=axes or raster_axes(raster), seabed_threshold=seabed_threshold)
     tiles = grid_tiles(grid, carry=CELL_ATTRS)   # one join locates and attaches (C11)
     statuses = {fid: s.status for fid, s in scans.items()}
     work = scratch_path(spark, f"step1-{uuid.uuid4().hex}")
