@@ -2,7 +2,8 @@
 
 The queries are thin: each calls its operator with production parameters and
 derives the columns of its contract. ``ORACLES`` holds DuckDB SQL where SQL
-can express the result in reasonable time.
+can express the result; the others are tested against libraries and brute
+force, and the learned ones by held-out accuracy.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from .decontaminate import contaminated_items, mark_contamination
 from .jaccard_rtree import jaccard_groups
 from .licenses import scan_licenses
 from .line_rules import quality_rules
+from .oracles import ORACLES
 from .pii_anchors import BASE_KINDS, find_pii
 from .quality_zstd import score_quality, train_quality
 from .secret_scan import BASE_RULES, find_secrets
@@ -28,7 +30,8 @@ from .toxicity_chain import score_toxicity, train_toxicity
 from .training import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
