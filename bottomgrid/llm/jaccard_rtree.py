@@ -8,7 +8,7 @@ R-trees over these points are joined by that bound, and surviving pairs are
 verified on the sets themselves.
 
 One R-tree over the corpus would have to compare almost all of its leaves, as
-bounding boxes of 64 coordinates overlap. So the trees grow per key, and the
+bounding boxes of 256 coordinates overlap. So the trees grow per key, and the
 keys lose no pair: with Jaccard >= 0.8 two sets share at least ceil(0.8 n)
 shingles, so in any common order (here: by hash) the first
 n - ceil(0.8 n) + l shingles of both hold at least l common ones.
@@ -21,10 +21,11 @@ n - ceil(0.8 n) + l shingles of both hold at least l common ones.
    greatest shared key. A block is joined by its R-tree and verified, pairs
    already connected are skipped. A key with many nodes is cut into blocks at
    random, differently for the two keys, so that blocks grow together.
-4. The rest, exactly: a key whose nodes are in one component by now is done.
-   In the others every node outside the key's largest component is joined with
-   all nodes of the key, in bounded blocks, by R-trees; pairs of different
-   components are verified.
+4. The rest, exactly: a key whose nodes are in one component by now is done,
+   and so is a node with too few open keys. In the open keys every node outside
+   the key's largest component is joined with all nodes of the key, in bounded
+   blocks, by R-trees; pairs of different components with enough common keys
+   are verified. Of a node's open keys only the rarer ones are needed.
 
 So every pair of linked texts ends in the same component, and no step emits
 the pairs of a group of copies. Nodes and shingles are identified by 64-bit
@@ -42,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,12 +51,14 @@ from .common import WHITE, add_from_text, as_table, fresh, mix, slices, text_col
 from .components import components
 
 SHINGLE = 5
-GROUPS = 64
+GROUPS = 256
+CEILING = 65_535  # of a coordinate
 HOT = 64  # nodes of one key in one slice of texts, from which the key is salted
 SALTS = 64
 BLOCK = 1000
 BITS = 26  # of the filter that keeps sets of dropped nodes out of the shuffle
 _MARK = -(1 << 63)
+MAIN, LEFT, OTHER = 0, 1, 2  # sides of a block: a key's main component, the others, the others again
 _STEP = [np.uint64(int(pow(0xD1342543DE82EF95, k + 1, 2**64))) for k in range(SHINGLE)]
 
 
@@ -217,12 +220,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:
     """How many hashes fall into each group."""
-    return np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
+    counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    return np.minimum(counts, CEILING).astype(np.uint16)
 
 
 def may_link(bound: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Jaccard >= 0.8 for sizes a, b and an overlap of at most ``bound``."""
-    return 9 * bound >= 4 * (a + b)
+    """Jaccard >= 0.8 for sizes a, b and an overlap of at most ``bound``; sets
+    that may hold more in one group than a coordinate can say always may."""
+    return (9 * bound >= 4 * (a + b)) | (np.maximum(a, b) > CEILING)
 
 
 class CountRTree:
@@ -352,29 +357,58 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["node", "n", "vec"])
 
 
+def _leaf_pairs(starts: np.ndarray, ends: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every (left, right) pair of row numbers inside each small group, whose
+    two sides are single leaves."""
+    count = ends - starts
+    rows = np.repeat(starts, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    group = np.repeat(np.arange(len(starts)), count)
+    lefts, rights = rows[side[rows] == LEFT], rows[side[rows] != LEFT]
+    per = np.bincount(group[side[rows] != LEFT], minlength=len(starts))  # right rows of each group
+    first = np.cumsum(per) - per
+    of = group[side[rows] == LEFT]
+    x = np.repeat(lefts, per[of])
+    at = np.repeat(first[of], per[of]) + np.arange(len(x)) - np.repeat(np.cumsum(per[of]) - per[of], per[of])
+    return x, rights[at]
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes of different components that the R-trees of a block's
-    two sides let through."""
+    two sides let through, and how many of the keys seen here have them. Of
+    two nodes outside the key's main component only one order counts."""
     by = ["key", "i", "j"]
     for t in _groups(batches, by):
         t = t.combine_chunks()
-        node, comp, n, left = (t.column(c).to_numpy() for c in ("node", "component", "n", "left"))
-        vec = np.frombuffer(b"".join(x.as_py() for x in t.column("vec")), np.int32).reshape(-1, GROUPS)
+        node, comp, n, side = (t.column(c).to_numpy() for c in ("node", "component", "n", "side"))
+        vec = np.frombuffer(b"".join(x.as_py() for x in t.column("vec")), np.uint16).reshape(-1, GROUPS)
         starts = _starts(t, by)
-        pairs: set[tuple[int, int]] = set()
-        for a, b in zip(starts, np.append(starts[1:], t.num_rows)):
-            li, ri = a + np.flatnonzero(left[a:b] == 1), a + np.flatnonzero(left[a:b] == 0)
+        ends = np.append(starts[1:], t.num_rows)
+        small = ends - starts <= 2 * CountRTree.LEAF
+        xs, ys = [], []
+
+        def keep(x, y):
+            ok = (comp[x] != comp[y]) & ((side[y] == MAIN) | (node[x] < node[y]))
+            ok &= (5 * n[x] >= 4 * n[y]) & (5 * n[y] >= 4 * n[x])
+            return x[ok], y[ok]
+
+        x, y = keep(*_leaf_pairs(starts[small], ends[small], side))
+        for k in range(0, len(x), 1 << 14):
+            a, b = x[k:k + (1 << 14)], y[k:k + (1 << 14)]
+            ok = may_link(np.minimum(vec[a], vec[b]).sum(1, dtype=np.int64), n[a], n[b])
+            xs.append(a[ok])
+            ys.append(b[ok])
+        for a, b in zip(starts[~small], ends[~small]):
+            li, ri = a + np.flatnonzero(side[a:b] == LEFT), a + np.flatnonzero(side[a:b] != LEFT)
             if len(li) and len(ri):
                 x, y, _ = CountRTree(vec[li], n[li]).join(CountRTree(vec[ri], n[ri]))
-                x, y = li[x], ri[y]
-                ok = comp[x] != comp[y]
-                lo, hi = np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])
-                pairs.update(zip(lo.tolist(), hi.tolist()))
-            if len(pairs) > 200_000 or b == t.num_rows:
-                got = list(pairs)
-                pairs.clear()
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()),
-                                                  pa.array([p[1] for p in got], pa.int64())], names=["a", "b"])
+                x, y = keep(li[x], ri[y])
+                xs.append(x)
+                ys.append(y)
+        x, y = np.concatenate(xs or [np.empty(0, np.int64)]), np.concatenate(ys or [np.empty(0, np.int64)])
+        pairs, times = np.unique(np.column_stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])]),
+                                 axis=0, return_counts=True) if len(x) else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(times.astype(np.int64))],
+                                         names=["a", "b", "c"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,7 +423,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _only_these(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """``sets`` of (almost) only ``nodes``: a bitmap of 2**26 bits, 8 MB as a
     table whatever the corpus, meets each set before the shuffle. False hits
-    pass; the semi-join after it is exact."""
+    pass; the join with the distinct ``nodes`` after it is exact. (It is an
+    inner join, as the optimizer would move a semi-join before the filter.)"""
     def bit(c):
         return F.expr(f"pmod(xxhash64({c}), {1 << BITS})")
 
@@ -398,7 +433,7 @@ def _only_these(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     out = sets.withColumn("p", bit("node")).withColumn("m", F.expr("p div 32768")).join(F.broadcast(maps), "m")
     byte = F.conv(F.hex(F.expr("substring(bits, CAST((p % 32768) div 8 AS INT) + 1, 1)")), 16, 10).cast("int")
     out = out.where(byte.bitwiseAND(F.expr("shiftleft(1, CAST(p % 8 AS INT))")) != 0).drop("p", "m", "bits")
-    return out.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return out.join(nodes.select("node").distinct(), "node").dropDuplicates(["node"])
 
 
 def _shared_keys(docs: DataFrame) -> DataFrame:
@@ -418,10 +453,38 @@ def _first_links(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
             .mapInArrow(_links_of_blocks, "a long, b long"))
 
 
-def _open_pairs(rows: DataFrame, comps: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """Candidate pairs (a, b) across components, of keys that still join more
-    than one component."""
-    rows = rows.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _still_open(rows: DataFrame, rounds: int = 2) -> DataFrame:
+    """Rows (key, node, n, component) that a link between components can
+    still need: of keys with more than one component, and of nodes with as
+    many such keys as they share with any partner. Dropping some closes
+    others, so it is done more than once; each round is a written table."""
+    for _ in range(rounds):
+        keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        rows = rows.join(keys.where("x <> y").select("key"), "key", "left_semi")
+        rows = as_table(rows, "rows")
+        good = rows.groupBy("node").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+        rows = rows.join(good.where(F.col("c") >= least_shared(F.col("n"))).select("node"), "node", "left_semi")
+    return as_table(rows, "rows")
+
+
+def _rare_keys(rows: DataFrame) -> DataFrame:
+    """The prefix filter once more, on the open keys of each node, now with
+    the rarest first: of c open keys, m of which any partner shares, the first
+    c - m + s still hold s common ones; s is half of m, so frequent keys
+    (passages that many texts have) go and common keys can still be counted.
+    Adds ``least``, the s of the node."""
+    df = rows.groupBy("key").agg(F.count("*").alias("df"))
+    m = least_shared(F.col("n"))
+    s = F.floor((m + 1) / 2)
+    own = Window.partitionBy("node")
+    ranked = rows.join(df, "key").withColumns({
+        "rank": F.row_number().over(own.orderBy("df", "key")), "c": F.count("*").over(own), "least": s})
+    return ranked.where(F.col("rank") <= F.col("c") - m + F.col("least")).drop("rank", "c", "df")
+
+
+def _open_pairs(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Candidate pairs (a, b) across components."""
+    rows = as_table(_rare_keys(rows), "rare")
     sizes = rows.groupBy("key", "component").count()
     keys = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("count").alias("all"),
                                     F.max(F.struct("count", "component")).alias("main"))
@@ -432,11 +495,18 @@ def _open_pairs(rows: DataFrame, comps: DataFrame, sets: DataFrame, block: int)
     vecs = sets.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_vectors, "node long, n long, vec binary")
     own = [F.col(c) for c in ("key", "node", "component")]
     left = rows.where("component <> main").select(
-        *own, F.expr("pmod(xxhash64(node, 1), si)").alias("i"), F.explode(F.expr("sequence(0L, sj - 1)")).alias("j"), F.lit(1).alias("left"))
+        *own, F.expr("pmod(xxhash64(node, 1), si)").alias("i"), F.explode(F.expr("sequence(0L, sj - 1)")).alias("j"),
+        F.lit(LEFT).alias("side"))
     right = rows.select(
-        *own, F.expr("pmod(xxhash64(node, 2), sj)").alias("j"), F.explode(F.expr("sequence(0L, si - 1)")).alias("i"), F.lit(0).alias("left"))
-    return (left.unionByName(right).join(vecs, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_candidates, "a long, b long").distinct())
+        *own, F.explode(F.expr("sequence(0L, si - 1)")).alias("i"), F.expr("pmod(xxhash64(node, 2), sj)").alias("j"),
+        F.when(F.expr("component = main"), MAIN).otherwise(OTHER).alias("side"))
+    pairs = (left.unionByName(right).join(vecs, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+             .mapInArrow(_candidates, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")))
+    # as many common keys as the smaller need of the two
+    need = rows.groupBy("node").agg(F.max("least").alias("l"))
+    return (pairs.join(need.withColumnsRenamed({"node": "a", "l": "la"}), "a")
+            .join(need.withColumnsRenamed({"node": "b", "l": "lb"}), "b")
+            .where(F.col("c") >= F.least("la", "lb")).select("a", "b"))
 
 
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -449,18 +519,14 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = members.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"))
 
     shared = as_table(_shared_keys(docs), "shared")
-    nodes = (shared.groupBy("node").agg(F.count("*").alias("c")).join(classes.select("node", "n"), "node")
-             .where(F.col("c") >= least_shared(F.col("n"))).select("node", "n"))
-    nodes = as_table(nodes, "nodes")
-    rows = shared.join(nodes.select("node"), "node", "left_semi")
-    several = rows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
-    rows = as_table(rows.join(several, "key", "left_semi"), "rows")
+    rows = _still_open(shared.join(classes.select("node", "n"), "node").withColumn("component", F.col("node")))
     sets = docs.select("text").mapInArrow(_sets, "node long, n long, hashes binary")
     sets = as_table(_only_these(sets, rows.select("node").distinct()), "sets")
 
     links = as_table(_first_links(rows, sets, block), "links")
     comps = as_table(components(links), "comps")
-    pairs = _open_pairs(rows, comps, sets, block)
+    left = rows.drop("component").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    pairs = as_table(_open_pairs(_still_open(as_table(left, "rows")), sets, block), "pairs")
     own = sets.select("node", "hashes")
     more = (pairs.join(own.withColumnsRenamed({"node": "a", "hashes": "ha"}), "a")
             .join(own.withColumnsRenamed({"node": "b", "hashes": "hb"}), "b").mapInArrow(_verify, "a long, b long"))
