@@ -67,9 +67,11 @@ def daily_cell(df: DataFrame, measures: list[str] | None = None,
     base = (df.where(F.col(id_col).isNotNull() & F.col("time").isNotNull())
               .withColumn("_day", F.to_date("time")))
     aggs = []
-    for c in ("latitude", "longitude", "fishery_dependent", "stat_area", "depth"):
-        if c in base.columns:
-            aggs.append(_first(c, order, first_ignore_nulls).alias(c))
+    firsts = [c for c in ("latitude", "longitude", "fishery_dependent", "stat_area", "depth") if c in base.columns]
+    if first_ignore_nulls:      # each column from its own earliest row
+        aggs += [_first(c, order, True).alias(c) for c in firsts]
+    elif firsts:                # all from one row: one ordering for all of them
+        aggs.append(F.min_by(F.struct(*firsts), _order_struct(order)).alias("_row"))
     for m in ms:
         aggs.extend(measure_stats(m))
     if keep_first_key:
@@ -77,13 +79,16 @@ def daily_cell(df: DataFrame, measures: list[str] | None = None,
     if not providers_first_seen:
         aggs.append(_providers(F.collect_set("data_provider"), provider_sep).alias("data_provider"))
     out = base.groupBy("_day", F.col(id_col).alias("grid_id"), *by).agg(*aggs)
+    if "_row" in out.columns:
+        rest = [c for c in out.columns if c not in ("_day", "grid_id", *by, "_row")]
+        out = out.select("_day", "grid_id", *by, *[F.col(f"_row.{c}").alias(c) for c in firsts], *rest)
     if providers_first_seen:
         # Pre-aggregate to one row per (day, cell, provider) first, so the
         # list built per cell-day holds at most one entry per provider.
-        firsts = (base.where(F.col("data_provider").isNotNull())
+        seen = (base.where(F.col("data_provider").isNotNull())
                   .groupBy("_day", F.col(id_col).alias("grid_id"), *by, "data_provider")
                   .agg(F.min(_order_struct(order)).alias("_o")))
-        plist = (firsts.groupBy("_day", "grid_id", *by)
+        plist = (seen.groupBy("_day", "grid_id", *by)
                  .agg(F.array_sort(F.collect_list(F.struct("_o", "data_provider"))).alias("_p"))
                  .select("_day", "grid_id", *by,
                          F.array_join(F.transform("_p", lambda s: s["data_provider"]), provider_sep)
@@ -133,8 +138,7 @@ def merge_daily(df: DataFrame, measures: list[str] | None = None,
     base = df
     if first_key and first_key in df.columns:
         carried = [c for c in META + ["fishery_dependent"] if c in df.columns]
-        aggs = [F.min_by(F.col(c), F.col(first_key)).alias(c) for c in carried]
-        aggs.append(F.min(first_key).alias(first_key))
+        aggs = [F.min_by(F.struct(*carried), F.col(first_key)).alias("_row"), F.min(first_key).alias(first_key)]
     else:
         aggs = [F.min(c).alias(c) for c in META if c in df.columns]
     for m in ms:
@@ -152,6 +156,9 @@ def merge_daily(df: DataFrame, measures: list[str] | None = None,
     parts = F.flatten(F.collect_set(F.split(F.col("data_provider"), F.lit(provider_sep))))
     aggs.append(_providers(F.array_distinct(parts), provider_sep).alias("data_provider"))
     out = base.groupBy(*keys).agg(*aggs)
+    if "_row" in out.columns:
+        out = out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in carried],
+                         *[c for c in out.columns if c not in (*keys, "_row")])
     for m in ms:
         n = F.col(f"{m}_count")
         shift = F.try_divide(F.col(f"_ws_{m}"), F.col(f"_wn_{m}"))
