@@ -14,13 +14,14 @@ def components(edges: DataFrame) -> DataFrame:
     its least neighbour, first towards larger, then towards smaller nodes; a
     few rounds suffice, as the depth shrinks by squaring. Every round is a
     written table. A node with very many edges is a skewed key of an equi-join
-    with one row per node, which adaptive execution splits."""
+    with one row per node; both sides of it are tables, so adaptive execution
+    can split such a node."""
     e = as_table(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                  "edges")
     before = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = as_table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.explode(F.array(

@@ -108,7 +108,7 @@ def mark_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "tex
     length of each occurring window, sorted)."""
     windows = benchmark_windows(benchmark, text_col="text", window=window)
     size = windows.agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("c")).first()
-    w, hits = fresh("words"), fresh("hits")
+    w, hits, once = fresh("words"), fresh("hits"), fresh("once")
     out = df.withColumn(w, words_of(text_column(df, text_col)))
     if size["n"] <= max_windows and (size["c"] or 0) <= max_chars:
         rows = windows.select("n", "words", F.expr(
@@ -116,16 +116,18 @@ def mark_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "tex
         out = _by_literals(out, w, hits, rows)
     else:
         out = _by_join(out, w, hits, windows)
-    out = out.withColumn(hits, F.array_sort(hits))
+    # a column that differs from row to row keeps the optimizer from copying
+    # the hits, with the whole window set in them, into every later use
+    out = out.withColumns({hits: F.array_sort(hits), once: F.monotonically_increasing_id()})
     covered = F.aggregate(
         hits, F.struct(F.lit(0).alias("to"), F.lit(0).alias("sum")),
         lambda a, x: F.struct(F.greatest(a["to"], x["at"] + x["n"]).alias("to"),
                               (a["sum"] + F.greatest(F.lit(0), x["at"] + x["n"] - F.greatest(a["to"], x["at"]))).alias("sum")),
         lambda a: a["sum"])
     out = with_columns(out, {"n_words": F.size(w).cast("long"),
-                             "n_hit": F.when(F.size(hits) > 0, covered).otherwise(0).cast("long"),
+                             "n_hit": F.when((F.size(hits) > 0) & (F.col(once) >= 0), covered).otherwise(0).cast("long"),
                              hits_col: F.col(hits), **({words_col: F.col(w)} if words_col else {})})
-    return with_columns(out.drop(w, hits), {
+    return with_columns(out.drop(w, hits, once), {
         "contaminated": (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))})
 
 
@@ -167,7 +169,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text_col: str = "text", r
             array_remove(split({t}, '{_sql(RAW_BREAK)}'), ''), (x, i) -> CASE
               WHEN exists({hits}, h -> i >= h.at AND i < h.at + h.n) THEN NULL
               ELSE concat(x, split({t}, '{_sql(RAW_WORD)}')[i + 1]) END), x -> x IS NOT NULL)), '')""")
-        out = out.withColumn(text_col, F.when(F.size(hits) > 0, cut).otherwise(F.col(t)))
+        out = out.withColumn(text_col, F.when(F.col("n_hit") > 0, cut).otherwise(F.col(t)))
     else:
         raise ValueError("remove is 'documents' or 'spans'")
     out = out.drop("n_words", "n_hit", "contaminated", hits, w)

@@ -445,7 +445,7 @@ def _shared_keys(docs: DataFrame) -> DataFrame:
 def _first_links(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     homes = rows.groupBy("node").agg(F.min("key").alias("k0"), F.max("key").alias("k1"))
     homes = homes.select("node", F.posexplode(F.array("k0", "k1")).alias("which", "home"))
-    blocks = homes.groupBy("home").count().select("home", F.ceil(F.col("count") / block).alias("parts"))
+    blocks = as_table(homes.groupBy("home").count().select("home", F.ceil(F.col("count") / block).alias("parts")), "homes")
     placed = (homes.join(blocks, "home")
               .withColumn("salt", F.expr("pmod(xxhash64(node, which), parts)")).select("home", "salt", "node").distinct())
     return (placed.join(sets.select("node", "hashes"), "node")
@@ -457,11 +457,13 @@ def _still_open(rows: DataFrame, rounds: int = 2) -> DataFrame:
     """Rows (key, node, n, component) that a link between components can
     still need: of keys with more than one component, and of nodes with as
     many such keys as they share with any partner. Dropping some closes
-    others, so it is done more than once; each round is a written table."""
+    others, so it is done more than once; each round is a written table. The
+    keys are one too: a join of two tables can be split at a key that very
+    many nodes have, a join with an aggregate cannot."""
     for _ in range(rounds):
         keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        rows = rows.join(keys.where("x <> y").select("key"), "key", "left_semi")
-        rows = as_table(rows, "rows")
+        keys = as_table(keys.where("x <> y").select("key"), "keys")
+        rows = as_table(rows.join(keys, "key", "left_semi"), "rows")
         good = rows.groupBy("node").agg(F.count("*").alias("c"), F.max("n").alias("n"))
         rows = rows.join(good.where(F.col("c") >= least_shared(F.col("n"))).select("node"), "node", "left_semi")
     return as_table(rows, "rows")
@@ -473,7 +475,7 @@ def _rare_keys(rows: DataFrame) -> DataFrame:
     c - m + s still hold s common ones; s is half of m, so frequent keys
     (passages that many texts have) go and common keys can still be counted.
     Adds ``least``, the s of the node."""
-    df = rows.groupBy("key").agg(F.count("*").alias("df"))
+    df = as_table(rows.groupBy("key").agg(F.count("*").alias("df")), "df")
     m = least_shared(F.col("n"))
     s = F.floor((m + 1) / 2)
     own = Window.partitionBy("node")
@@ -488,9 +490,9 @@ def _open_pairs(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     sizes = rows.groupBy("key", "component").count()
     keys = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("count").alias("all"),
                                     F.max(F.struct("count", "component")).alias("main"))
-    keys = keys.where("parts > 1").select(
+    keys = as_table(keys.where("parts > 1").select(
         "key", F.col("main.component").alias("main"),
-        F.ceil((F.col("all") - F.col("main.count")) / block).alias("si"), F.ceil(F.col("all") / block).alias("sj"))
+        F.ceil((F.col("all") - F.col("main.count")) / block).alias("si"), F.ceil(F.col("all") / block).alias("sj")), "keys")
     rows = as_table(rows.join(keys, "key"), "open")
     vecs = sets.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_vectors, "node long, n long, vec binary")
     own = [F.col(c) for c in ("key", "node", "component")]

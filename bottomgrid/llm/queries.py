@@ -129,7 +129,7 @@ def op6_quality(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), sample=QUALITY_SAMPLE)
     out = score_quality(docs, model)
-    return out.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score",
+    return out.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -139,7 +139,7 @@ def op9_toxicity(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), sample=TOXICITY_SAMPLE)
     out = score_toxicity(docs, model)
-    return out.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "p_toxic_prose", "p_toxic_junk",
+    return out.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "p_toxic_prose", "p_toxic_junk",
                       "p_toxic", "is_toxic")
 
 

@@ -110,3 +110,50 @@ def test_sets_do_not_depend_on_the_batch():
     for k, x in enumerate(texts):
         _, s, n = shingle_sets([x])
         assert s[0] == size[k] and n[0] == node[k]
+
+
+def test_hot_keys_are_salted_and_stay_whole():
+    """Two tasks see a passage: hot in one, rare in the other. Its key comes
+    back with every node, and keys of one node do not come back."""
+    import collections
+
+    import pyarrow as pa
+
+    from bottomgrid.llm import jaccard_rtree as j
+    rnd = random.Random(11)
+    vocab = [f"v{k}" for k in range(5000)]
+    passage = " ".join(rnd.choice(vocab) for _ in range(40))
+    texts = [passage + " " + " ".join(rnd.choice(vocab) for _ in range(8)) for _ in range(150)]
+    texts += [" ".join(rnd.choice(vocab) for _ in range(30)) for _ in range(20)] + texts[:5] + [None, ""]
+    tasks = [texts[:100] + texts[150:], texts[100:103] + [None]]
+    rows, want = [], collections.defaultdict(set)
+    for part in tasks:
+        out = list(j._keys(iter([pa.RecordBatch.from_arrays([pa.array(part, pa.string())], names=["text"])])))
+        rows += [tuple(r.values()) for b in out for r in b.to_pylist()]
+        h, size, node = shingle_sets([x or "" for x in part])
+        at = 0
+        for n, who in zip(size, node):
+            for key in h[at:at + n][:j.prefix_length(np.array([n]))[0]].view(np.int64):
+                want[key].add(who)
+            at += n
+    assert max(s for _, s, _ in rows) > 0
+    rows.sort()
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part], pa.int32()),
+                                           pa.array([r[2] for r in part])], names=["key", "salt", "node"])
+               for part in (rows[k:k + 37] for k in range(0, len(rows), 37))]
+    got = collections.defaultdict(list)
+    for b in j._shared(iter(batches)):
+        for r in b.to_pylist():
+            got[r["key"]].append(r["node"])
+    assert {k: sorted(v) for k, v in got.items()} == {int(k): sorted(v) for k, v in want.items() if len(v) > 1}
+
+
+def test_groups_span_batches():
+    import pyarrow as pa
+
+    from bottomgrid.llm.jaccard_rtree import _groups
+    keys = [1] * 7 + [2] + [3] * 5
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[k:k + 3])], names=["k"]) for k in range(0, len(keys), 3)]
+    tables = [t.column("k").to_pylist() for t in _groups(iter(batches + [batches[0].slice(0, 0)]), ["k"])]
+    assert sum(tables, []) == keys and all(not set(a) & set(b) for k, a in enumerate(tables) for b in tables[:k])
+    assert list(_groups(iter([]), ["k"])) == []
