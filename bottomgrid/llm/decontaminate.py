@@ -165,10 +165,12 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text_col: str = "text", r
         out = out.where(~F.col("contaminated"))
     elif remove == "spans":
         t = f"`{text_col}`"
-        cut = F.expr(f"""array_join(concat(array(split({t}, '{_sql(RAW_WORD)}')[0]), filter(transform(
-            array_remove(split({t}, '{_sql(RAW_BREAK)}'), ''), (x, i) -> CASE
-              WHEN exists({hits}, h -> i >= h.at AND i < h.at + h.n) THEN NULL
-              ELSE concat(x, split({t}, '{_sql(RAW_WORD)}')[i + 1]) END), x -> x IS NOT NULL)), '')""")
+        # the parts of a text are cut once, then bound to a name
+        cut = F.expr(f"""aggregate(array(struct(split({t}, '{_sql(RAW_WORD)}') AS s,
+            array_remove(split({t}, '{_sql(RAW_BREAK)}'), '') AS w, {hits} AS h)), '', (z, d) ->
+          array_join(concat(array(d.s[0]), filter(transform(d.w, (x, i) -> CASE
+            WHEN exists(d.h, h -> i >= h.at AND i < h.at + h.n) THEN NULL
+            ELSE concat(x, d.s[i + 1]) END), x -> x IS NOT NULL)), ''))""")
         out = out.withColumn(text_col, F.when(F.col("n_hit") > 0, cut).otherwise(F.col(t)))
     else:
         raise ValueError("remove is 'documents' or 'spans'")
