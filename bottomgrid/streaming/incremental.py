@@ -12,12 +12,16 @@ stream that starts over would count the same files again under other numbers.
 So the partials table remembers the checkpoint it belongs to, and the stream
 refuses to run with another one, or with partials whose checkpoint is gone.
 
-A touched day whose merged statistics no longer pass the gross-range test
-keeps what was published (the rule of T1 and of the refresh).
+The product here is by definition the merge of all stored partials, so a
+touched day whose merged statistics no longer pass the gross-range test is
+removed: an earlier batch may have published it. (T1 and the refresh replace
+the days that a run has rows for and keep the others, like the daily job.)
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import epoch_day, narrow, with_metadata
 from ..operators.daily import daily_cell, merge_daily
 from ..operators.qc import gross_range
-from ..session import path_exists
+from ..session import delete_path, path_exists
 from ..sinks.publish import publish_days
 from ..sources.staged import reconcile_staged
 
@@ -59,9 +63,15 @@ def touched_days(spark: SparkSession, partials_root: str, batch_id: int) -> list
 def publish_from_partials(spark: SparkSession, partials_root: str, product_path: str,
                           days: list) -> list[int]:
     """Re-publish the given days (dates) from all stored partials of them; the
-    list is a filter on the partition column."""
+    list is a filter on the partition column. Days that merge to nothing are
+    removed from the product."""
     parts = spark.read.parquet(partials_root).where(F.col("time").isin(days))
-    return publish_days(product_from_partials(parts.withColumn("time", F.col("time").cast("date"))), product_path)
+    written = set(publish_days(product_from_partials(parts.withColumn("time", F.col("time").cast("date"))), product_path))
+    for d in days:
+        n = (d - dt.date(1970, 1, 1)).days
+        if n not in written:
+            delete_path(spark, f"{product_path}/year={d.year}/month={d.month}/time={n}")
+    return sorted(written)
 
 
 def owner_path(partials_root: str) -> str:
