@@ -120,7 +120,9 @@ def op10_licenses(spark, sf_dir):
     return out.select("doc_id", "license", F.round("dice", 6).alias("dice"), "n_matches", "licenses")
 
 
-QUALITY_SAMPLE = TOXICITY_SAMPLE = 6000  # labelled rows that a model learns from, at most
+# labelled rows that a model learns from, at most
+QUALITY_SAMPLE = 6000
+TOXICITY_SAMPLE = 10_000
 
 
 @query

@@ -11,7 +11,7 @@ of each (stems), as 64-bit hashes; the ``features`` with the clearest
 association with the last category are kept.
 
 Learning uses a bounded sample of labelled rows: at most ``sample``
-(documented parameter; 6,000 in the query), outside the held-out fold. The
+(documented parameter; 10,000 in the query), outside the held-out fold. The
 model has a fixed size. Scoring reads every whole text.
 
 Null and empty texts have no words and get the probabilities of the empty
@@ -26,11 +26,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_from_text, breaks_at, list_array, struct_of_text, text_column
+from .common import add_from_text, as_table, breaks_at, list_array, struct_of_text, text_column
 from .training import FOLDS, fold, sample_ids, sigmoid
 
 BREAKS = breaks_at((0, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
@@ -154,16 +155,31 @@ def fit_chain(row: np.ndarray, col: np.ndarray, k: int, labels: np.ndarray, fold
     return models
 
 
-def choose_features(hashes: np.ndarray, y_of: np.ndarray, n: int, positives: int, most: int) -> np.ndarray:
+def choose_features(sample: DataFrame, label: str, n: int, positives: int, most: int) -> np.ndarray:
     """The hashes whose documents are toxic most clearly more often, or less
-    often, than others (by a z-score of at least 4, in 4 documents or more)."""
-    values, inverse, df = np.unique(hashes, return_inverse=True, return_counts=True)
-    toxic = np.bincount(inverse, y_of, len(values))
+    often, than others (by a z-score of at least 4, in 4 documents or more);
+    counted by Spark, at most ``most`` of them come back, sorted."""
     p = positives / n
-    z = (toxic - df * p) / np.sqrt(df * p * (1 - p) + 1e-9)
-    z[df < 4] = 0
-    best = np.argsort(-np.abs(z), kind="stable")[:most]
-    return np.sort(values[best[np.abs(z[best]) >= 4]])
+    df, toxic = F.col("df"), F.col("toxic")
+    z = F.abs((toxic - df * p) / F.sqrt(df * (p * (1 - p))))
+    counts = (sample.select(F.explode("h").alias("h"), F.col(label).alias("y"))
+              .groupBy("h").agg(F.count("*").alias("df"), F.sum("y").alias("toxic")))
+    best = counts.where((df >= 4) & (z >= 4)).orderBy(z.desc(), "h").limit(most).select("h").collect()
+    return np.sort(np.array([r.h for r in best], np.int64).view(np.uint64))
+
+
+def columns_of(vocabulary: np.ndarray):
+    """An Arrow function: positions in the vocabulary of a list of hashes."""
+    def pick(lists: pa.Array) -> pa.Array:
+        ends = np.asarray(lists.offsets)
+        h = np.asarray(lists.flatten()).view(np.uint64)
+        row = np.repeat(np.arange(len(lists)), np.diff(ends))
+        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+        hit = vocabulary[at] == h
+        return list_array(at[hit].astype(np.int32), np.bincount(row[hit], minlength=len(lists)))
+
+    pick.__annotations__ = {"lists": pa.Array, "return": pa.Array}
+    return F.arrow_udf(pick, T.ArrayType(T.IntegerType()))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -188,30 +204,25 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     text = F.substring(F.coalesce(text_column(docs, text_col), F.lit("")), 1, sample_chars)
     own = (docs.select(id_col, text.alias("x")).join(F.broadcast(ids), id_col)
            .groupBy(id_col).agg(*[F.max(c).alias(c) for c in ys], F.max("x").alias("x")))
-    got = (own.select(id_col, fold(id_col).alias("f"), *ys, struct_of_text(F.col("x"), schema, distinct).alias("s"))
-           .select(id_col, "f", *ys, F.col("s.h").alias("h"))
-           .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(sample).toArrow())
-    n = got.num_rows
-    labels_ = np.column_stack([np.asarray(got[c]) for c in ys]) if n else np.zeros((0, len(ys)))
-    positives = int(labels_[:, -1].sum()) if n else 0
+    sampled = as_table(own.select(id_col, fold(id_col).alias("f"), *ys, struct_of_text(F.col("x"), schema, distinct).alias("s"))
+                       .select(id_col, "f", *ys, F.col("s.h").alias("h")), "sampled")
+    total = sampled.agg(F.count("*").alias("n"), F.sum(ys[-1]).alias("toxic")).first()
+    n, positives = total["n"], int(total["toxic"] or 0)
     if positives < 2 or positives > n - 2:
         return ChainModel(names, np.empty(0, np.uint64), [], positives / n if n else 0.0)
-    lists = got["h"].combine_chunks()
-    h = np.asarray(lists.flatten()).view(np.uint64)
+    vocabulary = choose_features(sampled, ys[-1], n, positives, features)
+    cols = columns_of(vocabulary)("h") if len(vocabulary) else F.array().cast("array<int>")
+    got = (sampled.select(id_col, "f", *ys, cols.alias("c"))
+           .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).toArrow())
+    labels_ = np.column_stack([np.asarray(got[c]) for c in ys])
+    lists = got["c"].combine_chunks()
+    col = np.asarray(lists.flatten()).astype(np.int64)
     row = np.repeat(np.arange(n), np.diff(np.asarray(lists.offsets)))
-    vocabulary = choose_features(h, labels_[:, -1][row].astype(float), n, positives, features)
-    model = ChainModel(names, vocabulary, [], positives / n)
-    if len(vocabulary):
-        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-        hit = vocabulary[at] == h
-        row, col = row[hit], at[hit]
-    else:
-        row = col = np.empty(0, np.int64)
-    model.models = fit_chain(row, col, max(len(vocabulary), 1), labels_, np.asarray(got["f"]) % FOLDS)
-    return model
+    models = fit_chain(row, col, max(len(vocabulary), 1), labels_, np.asarray(got["f"]) % FOLDS)
+    return ChainModel(names, vocabulary, models, positives / n)
 
 
-def score_toxicity(df: DataFrame, model: ChainModel, text_col: str = "text", threshold: float = 0.3,
+def score_toxicity(df: DataFrame, model: ChainModel, text_col: str = "text", threshold: float = 0.4,
                    prefix: str = "p_", verdict_col: str = "is_toxic") -> DataFrame:
     """``df`` plus the probability of each category and the verdict: whether
     that of the last category reaches ``threshold``."""
