@@ -13,7 +13,7 @@ from .queries import (GRID, LOCATED, OBS, RASTER, RUN_LOG, IN_CELL, _stats_sql,
 from ..functions.calendar import refresh_window
 from ..functions.columns import epoch_day, narrow, profile_key, scale, tag, to_standard, with_metadata
 from ..operators.daily import daily_cell, daily_cell_precounted, merge_daily
-from ..operators.lookup import map_default
+from ..operators.lookup import INSTITUTION_CODES, map_default
 from ..operators.qc import (drop_outliers, gross_range, min_group_size, missing_or_positive,
                             positive, retention_curve, running_median, seabed_check)
 from ..operators.reduce import deepest, hourly_by_station, hourly_mean
@@ -231,16 +231,19 @@ def q_grid_assignment(spark, sf):
                                              "stat_area", "depth"))
 
 
-# fixed values for the fixture: four providers get a code, one is left out
-FIXTURE_CODES = {"view": "glider_V", "click": "glider_C", "purchase": "glider_P", "signup": "glider_S"}
-_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FIXTURE_CODES.items())
+# institutions as the feed names them; one is not in the map
+INSTITUTION = ("CASE dataset_id WHEN 'view' THEN 'University of Maine' WHEN 'click' THEN 'Rutgers University' "
+               "WHEN 'purchase' THEN 'NAVOCEANO,University of Delaware' "
+               "WHEN 'signup' THEN 'OOI Coastal & Global Scale Nodes (CGSN)' ELSE dataset_id END")
+INSTITUTION_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in INSTITUTION_CODES.items())
 
 
 @query("map_default", sql([OBS], f"""
-SELECT obs_id, CASE dataset_id {_CASE} ELSE 'glider_other' END AS data_provider FROM obs"""))
+SELECT obs_id, CASE {INSTITUTION} {INSTITUTION_CASE} ELSE 'glider_other' END AS data_provider FROM obs"""))
 def q_map_default(spark, sf):
-    """Code from a small map, default for absent keys."""
-    return map_default(fx.obs(spark, sf), "dataset_id", FIXTURE_CODES).select("obs_id", "data_provider")
+    """Provider code of the institution, default for absent keys."""
+    o = fx.obs(spark, sf).withColumn("institution", F.expr(INSTITUTION))
+    return map_default(o.drop("data_provider"), "institution").select("obs_id", "data_provider")
 
 
 @query("distinct_key_join", sql([OBS, RASTER, *nearest_ctes("obs", ["obs_id"], "n")], """

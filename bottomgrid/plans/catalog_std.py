@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .catalog_ops import FIXTURE_CODES
+from .catalog_ops import INSTITUTION, INSTITUTION_CASE
 from .queries import GRID, LOCATED, OBS, RASTER, located, nearest_ctes, query, rounded, sql
 from ..operators.union import union_feeds
 from .standardize import Dims, standardize
@@ -133,9 +133,13 @@ def q_std_receivers(spark, sf):
 
 # C6, C7 --------------------------------------------------------------------
 
-@query("std_oleander", sql([OBS, RASTER, """k AS (
-  SELECT *, concat_ws('_', coalesce(dataset_id, 'nan'), coalesce(CAST(tow_id AS VARCHAR), 'nan')) AS pkey
-  FROM obs)""", """p AS (
+# profile numbers of a cruise; some are missing
+PROFILE_NO = "CASE WHEN obs_id % 97 = 0 THEN NULL ELSE CAST(obs_id % 211 AS INT) END"
+
+
+@query("std_oleander", sql([OBS, RASTER, f"""k AS (
+  SELECT *, concat_ws('_', coalesce(dataset_id, 'nan'), coalesce(CAST(profile_no AS VARCHAR), 'nan')) AS pkey
+  FROM (SELECT *, {PROFILE_NO} AS profile_no FROM obs))""", """p AS (
   SELECT obs_id, time, latitude, longitude, temperature, depth FROM (
     SELECT *, row_number() OVER (PARTITION BY pkey ORDER BY depth DESC, obs_id) AS rn
     FROM k WHERE depth IS NOT NULL) WHERE rn = 1)""", *nearest_ctes("p", ["obs_id"], "n"), f"""s AS (
@@ -148,14 +152,14 @@ def q_std_oleander(spark, sf):
     nearest seabed depth -> seabed check -> tags."""
     src = fx.obs(spark, sf).select("obs_id", "time", "latitude", "longitude",
                                    F.col("temperature").alias("temp"), "depth",
-                                   F.col("tow_id").cast("int").alias("profile_number"),
+                                   F.expr(PROFILE_NO).alias("profile_number"),
                                    F.col("dataset_id").alias("cruise_num"))
     return rounded(standardize("oleanderXbt", src, _dims(spark, sf), tie="obs_id"))
 
 
-@query("std_ecomon", sql([OBS, RASTER, """k AS (
-  SELECT *, concat_ws('_', coalesce(dataset_id, 'nan'), coalesce(CAST(tow_id AS VARCHAR), 'nan')) AS pkey
-  FROM obs WHERE dissolved_oxygen IS NULL OR dissolved_oxygen > 0)""", """p AS (
+@query("std_ecomon", sql([OBS, RASTER, f"""k AS (
+  SELECT *, concat_ws('_', coalesce(dataset_id, 'nan'), coalesce(CAST(profile_no AS VARCHAR), 'nan')) AS pkey
+  FROM (SELECT *, {PROFILE_NO} AS profile_no FROM obs) o WHERE dissolved_oxygen IS NULL OR dissolved_oxygen > 0)""", """p AS (
   SELECT obs_id, time, latitude, longitude, temperature, salinity, dissolved_oxygen, depth FROM (
     SELECT *, row_number() OVER (PARTITION BY pkey ORDER BY depth DESC, obs_id) AS rn
     FROM k WHERE depth IS NOT NULL) WHERE rn = 1)""", *nearest_ctes("p", ["obs_id"], "n"), f"""s AS (
@@ -171,7 +175,7 @@ def q_std_ecomon(spark, sf):
                                    F.col("temperature").alias("sea_water_temperature"),
                                    F.col("depth").alias("pressure_dbars"), "dissolved_oxygen",
                                    F.col("salinity").alias("sea_water_salinity"),
-                                   F.col("tow_id").cast("int").alias("cast_number"),
+                                   F.expr(PROFILE_NO).alias("cast_number"),
                                    F.col("dataset_id").alias("cruise_id"))
     return rounded(standardize("ocdbs_v_erddap1", src, _dims(spark, sf), tie="obs_id"))
 
@@ -193,23 +197,21 @@ def q_std_ooi(spark, sf):
     return rounded(std_ooi(src, _dims(spark, sf)))
 
 
-_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FIXTURE_CODES.items())
 
 
 @query("std_gliders", sql([OBS, GRID, LOCATED, f"""s AS (
   SELECT l.time, g.centroid_lat AS latitude, g.centroid_lon AS longitude, l.temperature,
-    CASE l.dataset_id {_CASE} ELSE 'glider_other' END AS data_provider, 0 AS fishery_dependent,
+    CASE {INSTITUTION} {INSTITUTION_CASE} ELSE 'glider_other' END AS data_provider, 0 AS fishery_dependent,
     l.salinity, l.dissolved_oxygen
   FROM located l LEFT JOIN grid g ON g.id = l.id
   WHERE l.dissolved_oxygen IS NULL OR l.dissolved_oxygen > 0)"""], f"SELECT {STD_OUT} FROM s"))
 def q_std_gliders(spark, sf):
     """Institution -> provider code -> oxygen missing or > 0 -> cell
     attributes by the feed's grid id -> flag 0."""
-    from .standardize import std_gliders
     src = located(spark, sf).select("time", F.col("id").alias("grid_id"), "temperature",
                                     "salinity", "dissolved_oxygen",
-                                    F.col("dataset_id").alias("institution"))
-    return rounded(std_gliders(src, _dims(spark, sf), mapping=FIXTURE_CODES))
+                                    F.expr(INSTITUTION).alias("institution"))
+    return rounded(standardize("demersal_gliders_aggregated", src, _dims(spark, sf)))
 
 
 @query("std_unknown", sql([OBS, f"""s AS (SELECT time, latitude, longitude, temperature,

@@ -136,3 +136,41 @@ def test_raster_axes_are_checked(spark):
         raster_axes(_raster(spark, [0, 1, 2], [0, 1, 2, 10]))
     with pytest.raises(ValueError, match="without a value"):
         raster_axes(full.where("lat_idx <> 1"))
+
+
+class _Cluster:
+    """A session on a cluster whose checkpoint folder is not set."""
+
+    class conf:
+        @staticmethod
+        def get(_key, default=None):
+            return default
+
+    class sparkContext:
+        master = "yarn"
+
+        @staticmethod
+        def getConf():
+            return _Cluster.conf
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(_Cluster())
+
+
+def test_incremental_stream_refuses_foreign_partials(spark, tmp_out):
+    from bottomgrid.streaming.incremental import _claim, owner_path
+    parts = f"{tmp_out}/partials"
+    _claim(spark, parts, f"{tmp_out}/a")
+    _claim(spark, parts, f"{tmp_out}/a")          # nothing written yet: the same stream may start again
+    with pytest.raises(ValueError, match="belong to the stream checkpoint"):
+        _claim(spark, parts, f"{tmp_out}/b")
+    spark.range(1).write.parquet(parts)
+    with pytest.raises(ValueError, match="is gone"):
+        _claim(spark, parts, f"{tmp_out}/a")
+    other = f"{tmp_out}/other"
+    spark.range(1).write.parquet(other)
+    with pytest.raises(ValueError, match="no known"):
+        _claim(spark, other, f"{tmp_out}/a")
+    assert session.path_exists(spark, owner_path(parts))
