@@ -189,9 +189,16 @@ def _starts(t: pa.Table, by: list[str]) -> np.ndarray:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node) without repeats, of keys that more than one node has."""
-    for t in _groups(batches, ["key", "salt"]):
+    """(key, node) without repeats, of keys that more than one node has. The
+    rows come sorted by key alone (one long, which sorts fastest); most keys
+    have one row and go at once, the others are sorted here."""
+    for t in _groups(batches, ["key"]):
         key, salt, node = (t.column(c).to_numpy() for c in ("key", "salt", "node"))
+        at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.append(at, len(key)))
+        some = np.flatnonzero((np.repeat(count, count) > 1) | (salt > 0))
+        some = some[np.lexsort((node[some], salt[some], key[some]))]
+        key, salt, node = key[some], salt[some], node[some]
         first = np.ones(len(key), bool)
         first[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | (node[1:] != node[:-1])
         key, salt, node = key[first], salt[first], node[first]
@@ -438,7 +445,7 @@ def _only_these(sets: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _shared_keys(docs: DataFrame) -> DataFrame:
     keys = docs.select("text").mapInArrow(_keys, "key long, salt int, node long")
-    return (keys.repartition("key", "salt").sortWithinPartitions("key", "salt", "node")
+    return (keys.repartition("key", "salt").sortWithinPartitions("key")
             .mapInArrow(_shared, "key long, node long"))
 
 
