@@ -10,9 +10,17 @@ Features are the distinct words of the whole text and the first 4 to 7 bytes
 of each (stems), as 64-bit hashes; the ``features`` with the clearest
 association with the last category are kept.
 
+A text is judged by passages of ``PASSAGE`` words, each overlapping the next
+by half, the same at every length of text: the weights of all features present
+add up, so weak ones would pile up in a long text. A category's probability is
+that of the text's highest passage.
+
 Learning uses a bounded sample of labelled rows: at most ``sample``
-(documented parameter; 10,000 in the query), outside the held-out fold. The
-model has a fixed size. Scoring reads every whole text.
+(documented parameter; 10,000 in the query), outside the held-out fold. Each
+row trains with one passage: a first model, of one passage per row chosen by
+hash, finds each row's highest passage, and the chain learns from those, as
+they decide when texts are scored. The model has a fixed size. Scoring reads
+every whole text.
 
 Null and empty texts have no words and get the probabilities of the empty
 feature set. Without labelled rows of both kinds every probability is the
@@ -31,11 +39,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_from_text, as_table, breaks_at, list_array, struct_of_text, text_column
+from .common import add_from_text, as_table, breaks_at, list_array, mix, struct_of_text, text_column
 from .training import FOLDS, fold, sample_ids, sigmoid
 
 BREAKS = breaks_at((0, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 STEMS = (4, 5, 6, 7)
+PASSAGE = 256  # words
 
 # The chain over the columns of the labels: abuse inside otherwise good text,
 # abuse inside junk, abuse of any kind.
@@ -46,12 +55,23 @@ CATEGORIES: dict[str, Column | str] = {
 }
 
 
-def feature_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Word and stem hashes of all texts and the row of each."""
+def feature_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word and stem hashes of the passages of all texts, the passage of each,
+    and the text of each passage (a text of no word has one, empty, passage).
+    Passage k of a text has its words from k half passages on; the last one is
+    shorter, but longer than a half."""
     words, counts, *stems = word_parts(texts)
     row = np.repeat(np.arange(len(texts)), counts)
+    half = (np.arange(len(words)) - (np.cumsum(counts) - counts)[row]) // (PASSAGE // 2)
+    many = np.maximum(-(-counts // (PASSAGE // 2)) - 1, 1)
+    base = (np.cumsum(many) - many)[row]
+    one, two = base + np.minimum(half, many[row] - 1), base + np.maximum(half - 1, 0)
+    more = np.flatnonzero(one != two)  # words of two passages
     salt = [np.uint64(k * 0x9E3779B97F4A7C15 & (2**64 - 1)) for k in range(len(stems) + 1)]
-    return np.concatenate([h ^ s for h, s in zip([words, *stems], salt)]), np.tile(row, len(stems) + 1)
+    hashes = [h ^ s for h, s in zip([words, *stems], salt)]
+    return (np.concatenate([*hashes, *[h[more] for h in hashes]]),
+            np.concatenate([np.tile(one, len(hashes)), np.tile(two[more], len(hashes))]),
+            np.repeat(np.arange(len(texts)), many))
 
 
 def word_parts(texts: list[str]) -> tuple[np.ndarray, ...]:
@@ -82,23 +102,29 @@ class ChainModel:
         self.slot = np.zeros(1 << 18, bool)
         self.slot[(self.vocabulary & np.uint64((1 << 18) - 1)).astype(np.int64)] = True
 
-    def presence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(row, feature) of the vocabulary's features in each text, once."""
-        h, row = feature_hashes(texts)
+    def presence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, feature) of the vocabulary's features in each passage,
+        once, and the text of each passage."""
+        h, row, text = feature_hashes(texts)
         near = self.slot[(h & np.uint64((1 << 18) - 1)).astype(np.int64)]
         h, row = h[near], row[near]
         if not len(self.vocabulary):
-            return row[:0], row[:0]
+            return row[:0], row[:0], text
         at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
         hit = self.vocabulary[at] == h
         pairs = np.unique(row[hit] * len(self.vocabulary) + at[hit])
-        return pairs // len(self.vocabulary), pairs % len(self.vocabulary)
+        return pairs // len(self.vocabulary), pairs % len(self.vocabulary), text
+
+    def passages(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of each passage, and the first passage of each text."""
+        row, col, text = self.presence(texts)
+        return run_chain(self.models, row, col, len(text)), np.flatnonzero(np.diff(text, prepend=-1))
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
-        if not self.models:
+        if not self.models or not texts:
             return np.full((len(texts), len(self.categories)), self.prior)
-        row, col = self.presence(texts)
-        return run_chain(self.models, row, col, len(texts))
+        p, first = self.passages(texts)
+        return np.maximum.reduceat(p, first, axis=0)
 
 
 def run_chain(models: list[Linear], row: np.ndarray, col: np.ndarray, n: int) -> np.ndarray:
@@ -182,42 +208,69 @@ def columns_of(vocabulary: np.ndarray):
     return F.arrow_udf(pick, T.ArrayType(T.IntegerType()))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   categories: dict[str, str] = CATEGORIES, sample: int = 6000, features: int = 3000,
-                   sample_chars: int = 20_000) -> ChainModel:
-    """Learn the chain from a bounded sample of the labelled documents (of
-    each text at most ``sample_chars`` characters)."""
-    names = list(categories)
-    marked = labels.select(id_col, *[F.expr(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())])
-    ys = [f"y{k}" for k in range(len(names))]
-    ids = sample_ids(marked, id_col, ys, sample)
+def one_passage(finder) -> Column:
+    """Distinct feature hashes of one passage of each text ``x``: the highest
+    by the broadcast model ``finder`` (of equals the first), without one the
+    passage whose hash is the least."""
     schema = T.StructType([T.StructField("h", T.ArrayType(T.LongType()))])
 
     def distinct(texts: list[str]) -> dict:
-        h, row = feature_hashes(texts)
+        h, passage, text = feature_hashes(texts)
+        if finder is None:
+            mixed = np.zeros(len(text), np.uint64)
+            np.add.at(mixed, passage, h)
+            order = np.lexsort((mix(mixed), text))
+        else:
+            order = np.lexsort((-finder.value.passages(texts)[0][:, -1], text))
+        chosen = np.full(len(text), -1)
+        best = order[np.diff(text[order], prepend=-1) != 0]
+        chosen[best] = text[best]
+        row = chosen[passage]
+        h, row = h[row >= 0], row[row >= 0]
         order = np.lexsort((h, row))
         h, row = h[order], row[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
         return {"h": list_array(h[new].view(np.int64), np.bincount(row[new], minlength=len(texts)))}
 
+    return struct_of_text(F.col("x"), schema, distinct)["h"]
+
+
+def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   categories: dict[str, str] = CATEGORIES, sample: int = 6000, features: int = 3000,
+                   sample_chars: int = 20_000) -> ChainModel:
+    """Learn the chain from a bounded sample of the labelled documents (of
+    each text at most ``sample_chars`` characters)."""
+    names = list(categories)
+    marked = labels.select(id_col, *[F.expr(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())])
+    ys = [f"y{k}" for k in range(len(names))]
+    ids = sample_ids(marked, id_col, ys, sample)
     text = F.substring(F.coalesce(text_column(docs, text_col), F.lit("")), 1, sample_chars)
     own = (docs.select(id_col, text.alias("x")).join(F.broadcast(ids), id_col)
-           .groupBy(id_col).agg(*[F.max(c).alias(c) for c in ys], F.max("x").alias("x")))
-    sampled = as_table(own.select(id_col, fold(id_col).alias("f"), *ys, struct_of_text(F.col("x"), schema, distinct).alias("s"))
-                       .select(id_col, "f", *ys, F.col("s.h").alias("h")), "sampled")
+           .groupBy(id_col).agg(*[F.max(c).alias(c) for c in ys], F.max("x").alias("x"))
+           .select(id_col, fold(id_col).alias("f"), *ys, "x"))
+    own = as_table(own, "labelled")
+    sampled = as_table(own.withColumn("h", one_passage(None)).drop("x"), "sampled")
     total = sampled.agg(F.count("*").alias("n"), F.sum(ys[-1]).alias("toxic")).first()
     n, positives = total["n"], int(total["toxic"] or 0)
     if positives < 2 or positives > n - 2:
         return ChainModel(names, np.empty(0, np.uint64), [], positives / n if n else 0.0)
-    vocabulary = choose_features(sampled, ys[-1], n, positives, features)
-    cols = columns_of(vocabulary)("h") if len(vocabulary) else F.array().cast("array<int>")
-    got = (sampled.select(id_col, "f", *ys, cols.alias("c"))
-           .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).toArrow())
+
+    def columns(sampled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]:
+        vocabulary = choose_features(sampled, ys[-1], n, positives, features)
+        cols = columns_of(vocabulary)("h") if len(vocabulary) else F.array().cast("array<int>")
+        got = (sampled.select(id_col, "f", *ys, cols.alias("c"))
+               .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).toArrow())
+        lists = got["c"].combine_chunks()
+        row = np.repeat(np.arange(n), np.diff(np.asarray(lists.offsets)))
+        return vocabulary, row, np.asarray(lists.flatten()).astype(np.int64), got
+
+    vocabulary, row, col, got = columns(sampled)
+    finder = fit_linear(row, col, max(len(vocabulary), 1), np.zeros((n, 0)), np.asarray(got[ys[-1]]).astype(float))
+    finder = docs.sparkSession.sparkContext.broadcast(ChainModel(names[-1:], vocabulary, [finder], positives / n))
+    sampled = as_table(own.withColumn("h", one_passage(finder)).drop("x"), "sampled")
+    vocabulary, row, col, got = columns(sampled)
     labels_ = np.column_stack([np.asarray(got[c]) for c in ys])
-    lists = got["c"].combine_chunks()
-    col = np.asarray(lists.flatten()).astype(np.int64)
-    row = np.repeat(np.arange(n), np.diff(np.asarray(lists.offsets)))
     models = fit_chain(row, col, max(len(vocabulary), 1), labels_, np.asarray(got["f"]) % FOLDS)
     return ChainModel(names, vocabulary, models, positives / n)
 

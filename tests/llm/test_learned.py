@@ -34,6 +34,46 @@ def test_toxicity_held_out(spark, labels):
     assert np.mean(toxic) > 0.5 and np.mean(clean) < 0.05
 
 
+def test_toxicity_of_long_texts(spark):
+    """Clean texts stay clean however many are joined, and one toxic text
+    among them is found; all of the held-out fold, in the language's words."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = train_toxicity(docs.drop("lang"), labels, sample=q.TOXICITY_SAMPLE)
+    held = [r for r in docs.join(labels, "doc_id").orderBy("doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    p = model.probabilities([r.text for r in held])[:, -1]
+    assert np.mean([x >= 0.4 for x, r in zip(p, held) if r.toxic]) > 0.85
+    assert np.mean([x >= 0.4 for x, r in zip(p, held) if not r.toxic]) < 0.01
+    rng = np.random.default_rng(0)
+    clean, mixed = [], []
+    for lang in ("en", "de", "fr", "es"):
+        # a text that is misjudged by itself says nothing about length
+        good = [r.text for x, r in zip(p, held) if r.lang == lang and not r.toxic and x < 0.4]
+        bad = [r.text for x, r in zip(p, held) if r.lang == lang and r.toxic and x >= 0.4]
+        for chars in (60_000, 200_000):
+            for _ in range(5):
+                parts = []
+                while sum(map(len, parts)) < chars:
+                    parts.append(good[rng.integers(len(good))])
+                clean.append("\n".join(parts))
+                if bad:
+                    half = len(parts) // 2
+                    mixed.append("\n".join([*parts[:half], bad[rng.integers(len(bad))], *parts[half:]]))
+    rejected = [np.mean(model.probabilities(x)[:, -1] >= 0.4) for x in (clean, mixed)]
+    print("rejected: clean, mixed", rejected, len(clean), len(mixed))
+    assert rejected[0] <= 0.05 and rejected[1] >= 0.9
+
+
+def test_passages_cover_every_word_and_overlap():
+    from bottomgrid.llm.toxicity_chain import PASSAGE, feature_hashes
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (0, 1, PASSAGE, PASSAGE + 1, 5 * PASSAGE + 3)]
+    h, passage, text = feature_hashes(texts)
+    assert list(np.bincount(text)) == [1, 1, 1, 2, 10]
+    sizes = np.bincount(passage, minlength=len(text)) // 5
+    assert sizes.max() == PASSAGE and list(sizes[:4]) == [0, 1, PASSAGE, PASSAGE]
+
+
 def test_without_labels_and_odd_rows(spark):
     docs = spark.createDataFrame(ODD, "doc_id long, text string").selectExpr("*", "'s' AS score", "'p' AS p_toxic")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
