@@ -158,3 +158,34 @@ def test_license_scores_equal_all_pairs(spark):
         else:
             assert got[r.doc_id].license is None
     assert size_range(6, 0.8) == (4, 9) and size_range(5, 0.8) == (4, 7)
+
+
+NEAR = [
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 1.", None),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License.", "CC-BY-NC-SA-3.0"),
+    ("This work is licensed under a Creative Commons Attribution 3.0 International License.", "CC-BY-3.0"),
+    ("This work is licensed under a Creative Commons Attribution 1.0 International License.", None),
+    ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+    ("This project is licensed under the terms of the BSD license.", "BSD"),
+    ("This project is licensed under the terms of the ACME license.", None),
+    ("Licensed under the Apache License, Version 1.1.", "Apache-1.1"),
+]
+
+
+def test_license_siblings_are_not_taken_for_each_other(spark):
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(NEAR)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(NEAR))] == [name for _, name in NEAR]
+
+
+def test_license_key_words_lose_no_match():
+    from bottomgrid.llm.licenses import key_words
+    sets = [template_grams(t) for _, t in TEMPLATES]
+    keys = set(key_words(sets, 0.8))
+    for g in sets:
+        touched = sum(bool(keys & set(x.split(" "))) for x in g)
+        assert touched + size_range(len(g), 0.8)[0] > len(g)
