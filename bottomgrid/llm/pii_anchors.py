@@ -12,8 +12,11 @@ these expressions, failing matches dropped without a retry:
     card   [0-9]([\\x20-]?[0-9])+                          16-19 digits, Luhn
     phone  \\+[0-9][\\x20().0-9-]+[0-9]                     8-15 digits
 
-Added kinds: url (scheme "://" rest) and account (cue word, then a token of 6
-or more letters and digits with at least 4 digits).
+Added kinds: url (scheme "://" rest) and account: a cue word, up to three
+filler words (number, no, nr, num, id, code, is), then an identifier. That is an IBAN
+whose check digits are right, in one piece or in groups with single spaces or
+hyphens between; or else groups of digits of 6 to 34 digits in all; or else one
+token of 6 to 40 letters, digits and hyphens with at least 4 digits.
 
 Null and empty texts have no spans. Rows are independent: repeated rows agree
 and an empty table stays empty; input columns with the names of the results
@@ -46,7 +49,10 @@ _QUAD = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\x00-\x20\x7F\"'<>|`{}\\^]+")
-_AFTER_CUE = re.compile(r"[\x20:#=.]{1,4}([A-Za-z0-9-]{6,40})(?![A-Za-z0-9-])")
+_AFTER_CUE = re.compile(r"(?:[\x20\t:#=.-]{0,4}(?<![A-Za-z0-9])(?:numbers?|num|no|nr|id|code|is)(?![A-Za-z0-9])){0,3}[\x20\t:#=.-]{1,4}", re.I | re.A)
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,30}")
+_GROUPS = re.compile(r"[0-9]+(?:[\x20-][0-9]+)+(?![A-Za-z0-9-])")
+_TOKEN = re.compile(r"[A-Za-z0-9-]{6,40}(?![A-Za-z0-9-])")
 
 
 def luhn(digits: str) -> bool:
@@ -59,6 +65,22 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban_end(text: str, at: int) -> int:
+    """End of the longest IBAN of whole groups from ``at`` on, 0 without one."""
+    m = _IBAN.match(text, at)
+    end = m.end() if m else at
+    while end > at:
+        compact = re.sub("[\\x20-]", "", text[at:end]).upper()
+        if len(compact) < 15:
+            break
+        if not text[end:end + 1].isalnum() and int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1:
+            return end
+        end -= 1
+        while end > at and text[end - 1] in " -":
+            end -= 1
+    return 0
+
+
 def _octet(x: str) -> bool:
     x = x.lstrip("0")
     return len(x) < 4 and int(x or "0") <= 255
@@ -135,10 +157,18 @@ class Finder:
     def _account(text: str, at: int, end: int, out: list, free: dict) -> None:
         if at < free["account"] or at and (text[at - 1].isalnum() or text[at - 1] == "_"):
             return
-        m = _AFTER_CUE.match(text, end)
-        if m and sum(c in DIGITS for c in m[1]) >= 4:
-            free["account"] = m.end()
-            out.append(m.span(1))
+        cue = _AFTER_CUE.match(text, end)
+        if not cue:
+            return
+        start = cue.end()
+        stop = iban_end(text, start)
+        if not stop and (m := _GROUPS.match(text, start)) and 6 <= sum(c in DIGITS for c in m[0]) <= 34:
+            stop = m.end()
+        if not stop and (m := _TOKEN.match(text, start)) and sum(c in DIGITS for c in m[0]) >= 4:
+            stop = m.end()
+        if stop:
+            free["account"] = stop
+            out.append((start, stop))
 
 
 def mask_text(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -118,3 +118,25 @@ def test_pii_equals_expressions_and_masks(spark, corpus):
     assert got[1].text is None and got[1].spans == "" and got[2].text == "clean"
     assert [s.kind for s in got[0].pii] == [k for k in KINDS if k in ("email", "phone", "url")]
     assert find_pii(frame(spark, []), masked_col="text").count() == 0
+
+
+@pytest.mark.parametrize("text, masked", [
+    ("account number: 12345678 ok", "account number: <ACCOUNT> ok"),
+    ("passport number X1234567.", "passport number <ACCOUNT>."),
+    ("Account No. 12345678", "Account No. <ACCOUNT>"),
+    ("Account No. is 12 345 678, paid", "Account No. is <ACCOUNT>, paid"),
+    ("account id #ab-1234-cd", "account id #<ACCOUNT>"),
+    ("IBAN: DE89 3704 0044 0532 0130 00", "IBAN: <ACCOUNT>"),
+    ("IBAN DE89-3704-0044-0532-0130-00 and more", "IBAN <ACCOUNT> and more"),
+    ("iban nr: DE89 3704 0044 0532 0130 00 2024", "iban nr: <ACCOUNT> 2024"),
+    ("iban DE89370400440532013000", "iban <ACCOUNT>"),
+    ("SSN: 078-05-1120", "SSN: <ACCOUNT>"),
+    ("iban DE123456789", "iban <ACCOUNT>"),
+    ("IBAN: DE88 3704 0044 0532 0130 00", "IBAN: DE88 3704 0044 0532 0130 00"),
+    ("account nobody 12", "account nobody 12"),
+    ("account number of 12345678 people", "account number of 12345678 people"),
+    ("the accounts: 12345678", "the accounts: 12345678"),
+])
+def test_account_wordings(text, masked):
+    from bottomgrid.llm.pii_anchors import mask_text
+    assert mask_text(text, Finder()(text)) == masked
