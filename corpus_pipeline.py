@@ -12,7 +12,8 @@ empty text pass every stage unchanged, and an empty table stays empty.
 3. decontamination: documents that a benchmark contaminates go.
 4. pii: personal data in the texts is replaced by its kind; ``n_chars``, where
    the table has it, follows the changed texts.
-5. sentencepiece: token ids of each text (``tokens``) and how many (``n_tokens``).
+5. sentencepiece: token ids of each text (``tokens``), how many (``n_tokens``),
+   and whether decoding them gives the text back (``round_trip``).
 """
 
 from __future__ import annotations
@@ -67,8 +68,10 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = sentencepiece_encode(docs, vocabulary(PIECE_MODEL), TEXT)
-    return with_columns(out, {"n_tokens": F.size("tokens").cast("long")})
+    decoded = fresh("decoded")
+    out = sentencepiece_encode(docs, vocabulary(PIECE_MODEL), TEXT, decoded_col=decoded)
+    same = F.col(decoded) == F.coalesce(F.col(TEXT), F.lit(""))
+    return with_columns(out, {"n_tokens": F.size("tokens").cast("long"), "round_trip": same}).drop(decoded)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -59,3 +59,12 @@ def test_stages_keep_columns_and_odd_rows(spark):
 @pytest.mark.parametrize("name", [n for n, _ in cp.STAGES])
 def test_stage_names(name):
     assert name in ("toxicity", "jaccard", "decontamination", "pii", "sentencepiece")
+
+
+def test_last_stage_decodes(spark):
+    texts = [None, "", "a  b\n c", "mail <EMAIL> é 😀", "a\u2581b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'x' AS round_trip")
+    out = cp.sentencepiece(spark, docs, SF)
+    assert sorted(out.columns) == ["doc_id", "n_tokens", "round_trip", "text", "tokens"]
+    # the model writes spaces as U+2581, so that one comes back as a space
+    assert [r.round_trip for r in out.orderBy("doc_id").collect()] == [True, True, True, True, False]
