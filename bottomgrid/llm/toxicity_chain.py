@@ -163,18 +163,24 @@ def fit_linear(row: np.ndarray, col: np.ndarray, k: int, earlier: np.ndarray, y:
 
 
 def fit_chain(row: np.ndarray, col: np.ndarray, k: int, labels: np.ndarray, folds: np.ndarray) -> list[Linear]:
-    """One model per label column; earlier probabilities are out-of-fold."""
+    """One model per label column, of the rows where that label is known (not
+    NaN); earlier probabilities are out-of-fold."""
     n = len(labels)
     earlier = np.zeros((n, 0))
     models = []
+
+    def fit(rows: np.ndarray, y: np.ndarray) -> Linear:
+        renumber = np.cumsum(rows) - 1
+        inside = rows[row]
+        return fit_linear(renumber[row[inside]], col[inside], k, earlier[rows], y[rows])
+
     for y in labels.T.astype(float):
-        models.append(fit_linear(row, col, k, earlier, y))
+        known = ~np.isnan(y)
+        models.append(fit(known, y))
         out = np.zeros(n)
         for f in np.unique(folds):
-            seen, own = folds != f, folds == f
-            renumber = np.cumsum(seen) - 1
-            inside = seen[row]
-            part = fit_linear(renumber[row[inside]], col[inside], k, earlier[seen], y[seen])
+            own = folds == f
+            part = fit(known & ~own, y)
             sums = np.bincount(row, part.w[col], n)
             out[own] = sigmoid(part.logit(sums, earlier))[own]
         earlier = np.column_stack([earlier, log_odds(out)])
@@ -242,6 +248,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """Learn the chain from a bounded sample of the labelled documents (of
     each text at most ``sample_chars`` characters)."""
     names = list(categories)
+    # a finer category that the labels leave open is null, and not learned from
     marked = labels.select(id_col, *[F.expr(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())])
     ys = [f"y{k}" for k in range(len(names))]
     ids = sample_ids(marked, id_col, ys, sample)

@@ -17,10 +17,11 @@ def fold(id_col: str) -> Column:
 
 def sample_ids(labels: DataFrame, id_col: str, label_cols: list[str], bound: int) -> DataFrame:
     """At most ``bound`` labelled ids outside the held-out fold, one row per
-    id (of contradicting labels the larger), chosen by a hash of the id."""
+    id (of contradicting labels the larger), chosen by a hash of the id. Only
+    the last label must be known."""
     one = (labels.where(F.col(id_col).isNotNull() & (fold(id_col) != 0))
            .groupBy(id_col).agg(*[F.max(c).alias(c) for c in label_cols]))
-    known = one.dropna(subset=label_cols)
+    known = one.dropna(subset=label_cols[-1:])
     return known.orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(bound)
 
 

@@ -104,3 +104,15 @@ def test_chain_feeds_earlier_categories():
     assert models[1].chain[0] > 0.3 and len(models[0].chain) == 0
     p = run_chain(models, row, col, 600)
     assert ((p[:, 1] > 0.5) == first).mean() > 0.98
+
+
+def test_toxic_rows_without_quality_are_learned(spark, labels):
+    """Toxic rows whose finer category is unknown still train the verdict."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    own = spark.read.parquet(f"{SF}/labels.parquet").selectExpr("doc_id", "toxic", "if(toxic = 1, null, quality) AS quality")
+    model = train_toxicity(docs, own)
+    assert model.models and model.prior > 0
+    held = [r for r in docs.collect() if r.doc_id in labels and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    p = model.probabilities([r.text for r in held])[:, -1]
+    toxic = np.array([labels[r.doc_id].toxic == 1 for r in held])
+    assert np.mean(p[toxic] >= 0.4) > 0.5 and np.mean(p[~toxic] >= 0.4) < 0.05
