@@ -83,11 +83,11 @@ def _arrow_type(t: T.DataType) -> pa.DataType:
     return to_arrow_type(t)
 
 
-def list_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+def list_array(values: np.ndarray | pa.Array, lengths: np.ndarray) -> pa.Array:
     """Arrow lists from flat values and the length of each list."""
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values))
 
 
 def table_path(spark: SparkSession, name: str) -> str:

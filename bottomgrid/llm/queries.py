@@ -15,12 +15,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe_duckdb import bpe_encode
 from .common import as_table
 from .decontaminate import contaminated_items, mark_contamination
 from .jaccard_rtree import jaccard_groups
 from .licenses import scan_licenses
 from .line_rules import quality_rules
+from .merkle_manifest import merkle_manifest
 from .oracles import ORACLES
+from .periodic_runs import periodic_runs
 from .pii_anchors import BASE_KINDS, find_pii
 from .quality_zstd import score_quality, train_quality
 from .secret_scan import BASE_RULES, find_secrets
@@ -35,6 +38,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 TOKEN_LIMIT = 1024
 
 
@@ -150,3 +154,57 @@ def op2_ngram_jaccard(spark, sf_dir):
     """Set size and component of every text."""
     out = jaccard_groups(documents(spark, sf_dir))
     return out.select("doc_id", "n_shingles", "component_id")
+
+
+def id_crc(id_col: str = "doc_id"):
+    """Unsigned crc32 of the id in decimal; null for a null id."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary"))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    """Leaf, roots and proof of every document; every second one is checked
+    against a copy that lost its line breaks."""
+    docs = documents(spark, sf_dir)
+    spoilt = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    copy = F.when(id_crc() % 2 == 0, spoilt).otherwise(F.col("text"))
+    return merkle_manifest(docs, altered={"text": copy})
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """The documents, of which a tenth repeat the words of a stretch from some
+    word on; such texts have their words joined by one space."""
+    words = F.filter(F.split(F.col("text"), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
+    out = docs.withColumns({"h": id_crc(), "words": F.when(id_crc() % 10 == 0, words)}).withColumn("n", F.size("words"))
+    chosen = F.col("n") > 0
+    out = out.withColumn("a", F.when(chosen, F.expr("(h div 10) % n")))
+    out = out.withColumn("p", F.when(chosen, F.expr("1 + (n - a) div (3 + (h div 10) % 8)")))
+    from_word = F.expr("transform(sequence(0, n - 1), i -> words[CAST(IF(i < a, i, a + (i - a) % p) AS INT)])")
+    return out.withColumn("text", F.when(chosen, F.array_join(from_word, " ")).otherwise(F.col("text"))).select("doc_id", "text")
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of the words of every document, and the text without
+    their repetitions."""
+    out = periodic_runs(looped(documents(spark, sf_dir)))
+    # the greatest length / period, compared without rounding; runs come by
+    # start and period, so of equals the first stays
+    best = F.aggregate(F.col("runs"), F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    out = out.withColumn("best", best)
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_byte_bpe(spark, sf_dir):
+    """Ids of every text by the multilingual ranks, and what they decode to."""
+    out = bpe_encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary(BYTE_BPE_RANKS),
+                     tokens_col=None, packed_col="ids", decoded_col="decoded")
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

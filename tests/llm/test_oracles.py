@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from tools.check_oracle import rows_of
 
 SF = "/root/testdata/sf0.001"
-NAMES = ("op10_licenses", "op2_ngram_jaccard", "op3_decontamination", "op7_quality_rules")
+NAMES = ("op10_licenses", "op11_merkle_manifest", "op2_ngram_jaccard", "op3_decontamination", "op7_quality_rules")
 
 
 @pytest.mark.parametrize("name", NAMES)
