@@ -2,8 +2,7 @@
 
 All are single aggregations with map-side partial aggregation; none needs
 the rows of a group together in one task. The hourly means are hash
-aggregations; the deepest row carries its whole row as the aggregate's value,
-which Spark aggregates by sorting.
+aggregations; the deepest row is found on narrow rows and fetched by its number.
 """
 
 from __future__ import annotations
@@ -12,6 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
+from .sizing import broadcast_if_small
+
 
 def hour_start(time: str = "time"):
     """Start of the calendar hour as ``timestamp_ntz`` (no session zone)."""
@@ -47,17 +49,54 @@ def hourly_by_station(df: DataFrame, station: str = "dataset_id", time: str = "t
               .agg(*[F.avg(m).alias(m) for m in measures]))
 
 
-def deepest(df: DataFrame, key: str, value: str, tie: str | None = None) -> DataFrame:
+FILE, ROW = "_metadata.file_path", "_metadata.row_index"
+
+
+# what may stand between a file scan and the reduction without making or
+# merging rows
+ROW_WISE = {"Project", "Filter", "SubqueryAlias", "Repartition", "RepartitionByExpression", "RebalancePartitions"}
+
+
+def rows_have_numbers(df: DataFrame) -> bool:
+    """Whether every row of ``df`` is one row of one Parquet file, which its
+    file and number name."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+    except AttributeError:      # Spark Connect: the plan is on the server
+        return False
+    while plan.nodeName() in ROW_WISE:
+        plan = plan.children().apply(0)
+    return plan.nodeName() == "LogicalRelation" and "parquet" in plan.simpleString(100).lower()
+
+
+def deepest(df: DataFrame, key: str, value: str, tie: str | None = None,
+            broadcast_limit: int | None = None) -> DataFrame:
     """A3: the row with the largest ``value`` per ``key``; on a tie the row
     with the smallest ``tie`` wins (the first row). Rows without a key are
     dropped, and so is a profile whose values are all missing.
 
-    ``min_by`` over the row as a struct keeps one candidate per key per map
-    task, so a huge profile is reduced before the shuffle."""
+    Over files whose rows have numbers (Parquet), the winners are found on
+    key, value, tie and the row's file and number alone, one candidate per key
+    per map task, and the whole rows are fetched by file and number: wide rows
+    are neither aggregated nor sorted. The winners are broadcast if they are
+    few enough (they are counted), else hashed on their side of a shuffle.
+    Without such numbers ``min_by`` carries the whole row, which Spark
+    aggregates by sorting."""
     cols = df.columns
     order = [(-F.col(value)).alias("v")] + ([F.col(tie).alias("t")] if tie else [])
     rank = F.when(F.col(value).isNotNull(), F.struct(*order))
-    best = (df.where(F.col(key).isNotNull())
-              .groupBy(F.col(key).alias("_key"))
-              .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_r")))
-    return best.where(F.col("_r").isNotNull()).select("_r.*")
+    keyed = df.where(F.col(key).isNotNull())
+    if not rows_have_numbers(df):
+        best = keyed.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_r"))
+        return best.where(F.col("_r").isNotNull()).select("_r.*")
+    where = F.struct(F.col(FILE).alias("f"), F.col(ROW).alias("n"))
+    # of rows that tie in all but their place, the first in the files
+    place = F.when(rank.isNotNull(), F.struct(rank.alias("r"), where.alias("w")))
+    best = keyed.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_p")).where(F.col("_p").isNotNull())
+    checkpoint_dir(df.sparkSession)
+    best = best.select(F.col("_p.w.f").alias("_file"), F.col("_p.w.n").alias("_row")).checkpoint()
+    few, small = broadcast_if_small(best, best.count(), 256, broadcast_limit)
+    if not small:
+        few = few.hint("shuffle_hash")
+    placed = keyed.select("*", F.col(FILE).alias("_f"), F.col(ROW).alias("_n"))
+    return placed.join(few, (F.col("_f") == F.col("_file")) & (F.col("_n") == F.col("_row"))).select(*cols)

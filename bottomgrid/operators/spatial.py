@@ -9,17 +9,21 @@ shuffle-hash joins; the side that is broadcast is sized first.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import (UNROLL_MAX_POINTS, ring_bbox, strictly_within,
                                   strictly_within_vertices, vertex_columns)
-from .sizing import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+from ..session import scratch_path
+from .sizing import broadcast_if_small
 
-STRIP_OVERHEAD = 128     # bytes of a packed raster row besides its values
+BLOCK = 64               # cells along each side of a packed raster block
+BLOCK_OVERHEAD = 256     # bytes of a packed block besides its values
 
 
 # --------------------------------------------------------------------------
@@ -54,49 +58,108 @@ class RasterAxes:
     cells: int
 
 
-def raster_axes(raster: DataFrame, lat_idx="lat_idx", lon_idx="lon_idx",
-                lat="lat", lon="lon") -> RasterAxes:
-    """One aggregate over the raster (a fixed-size dimension) gives both axes
-    and the cell count used to size the broadcast."""
-    r = raster.agg(
-        F.min(lat_idx).alias("a"), F.max(lat_idx).alias("b"),
-        F.min_by(lat, lat_idx).alias("c"), F.max_by(lat, lat_idx).alias("d"),
-        F.min(lon_idx).alias("e"), F.max(lon_idx).alias("f"),
-        F.min_by(lon, lon_idx).alias("g"), F.max_by(lon, lon_idx).alias("h"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    if r["n"] == 0:
+@dataclass(frozen=True)
+class PackedRaster:
+    """A raster as written blocks, with its axes beside them. ``table`` has a
+    row per block (``kind`` block: block numbers ``k1, k2`` and the ``cells``
+    as one array, row by row, NULL where there is none) and per axis value
+    (``kind`` lat or lon: index ``k1`` and coordinate ``lo``)."""
+    table: DataFrame
+    axes: RasterAxes
+    blocks: int
+    width: int             # bytes of one value
+
+    def axis_values(self, axis: Axis) -> DataFrame:
+        kind = "lat" if axis == self.axes.lat else "lon"
+        return self.table.where(F.col("kind") == kind).select(F.col("k1").alias(axis.idx_col), F.col("lo").alias(axis.val_col))
+
+
+def _packed_rows(raster: DataFrame, lat_idx: str, lon_idx: str, lat: str, lon: str, value: str) -> DataFrame:
+    """Blocks and axis values in one aggregation: a cell goes into its block
+    and, pre-aggregated by each task, into its two axis values."""
+    i, j = F.col(lat_idx).cast("bigint"), F.col(lon_idx).cast("bigint")
+    kind = dict(raster.dtypes)[value]
+    at = (F.pmod(i, F.lit(BLOCK)) * BLOCK + F.pmod(j, F.lit(BLOCK))).cast("int")
+    none, no_cell = F.lit(None).cast("double"), F.lit(None).cast(f"struct<at:int,v:{kind}>")
+
+    def row(kind: str, k1, k2, x, cell):
+        return F.struct(F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"), x.alias("x"), cell.alias("cell"))
+
+    zero = F.lit(0).cast("bigint")
+    rows = raster.where(F.col(lat_idx).isNotNull() & F.col(lon_idx).isNotNull()).select(F.explode(F.array(
+        row("block", F.floor(i / BLOCK), F.floor(j / BLOCK), none, F.struct(at.alias("at"), F.col(value).alias("v"))),
+        row("lat", i, zero, F.col(lat).cast("double"), no_cell),
+        row("lon", j, zero, F.col(lon).cast("double"), no_cell))).alias("r"))
+    out = rows.select("r.*").groupBy("kind", "k1", "k2").agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"), F.collect_list("cell").alias("cells"))
+    have = F.transform("cells", lambda c: c["at"])
+    rest = F.array_except(F.sequence(F.lit(0), F.lit(BLOCK * BLOCK - 1)), have)
+    full = F.concat(F.col("cells"), F.transform(rest, lambda k: F.struct(k.alias("at"), F.lit(None).cast(kind).alias("v"))))
+    twice = F.size("cells") - F.size(F.array_distinct(have))
+    dense = F.when(F.col("kind") == "block", F.transform(F.array_sort(full), lambda c: c["v"]))
+    return out.select("kind", "k1", "k2", "lo", "hi", "n", F.when(F.col("kind") == "block", twice).alias("twice"),
+                      dense.alias("cells"))
+
+
+def pack_raster(raster: DataFrame, path: str | None = None, lat_idx="lat_idx", lon_idx="lon_idx",
+                lat="lat", lon="lon", value: str = "elevation") -> PackedRaster:
+    """Pack a raster, given as a long table, into square blocks, and keep its
+    axes beside them: one pass over the raster, one written table (``path``,
+    by default in the shared checkpoint folder), from which the axes are taken
+    and checked. ``open_packed`` opens it again."""
+    spark = raster.sparkSession
+    path = path or scratch_path(spark, f"raster-{uuid.uuid4().hex}")
+    (_packed_rows(raster, lat_idx, lon_idx, lat, lon, value).write.mode("overwrite").partitionBy("kind").parquet(path))
+    return open_packed(spark, path, lat_idx, lon_idx, lat, lon)
+
+
+def open_packed(spark: SparkSession, path: str, lat_idx="lat_idx", lon_idx="lon_idx", lat="lat", lon="lon") -> PackedRaster:
+    """A packed raster that ``pack_raster`` wrote. An axis is refused on which
+    the nearest value cannot be found from its two ends: an index without a
+    value, two values for one index, or a value off the place where a regular
+    axis has it; so is a raster with two values for a cell."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):    # nothing was written
+            raise ValueError("raster is empty") from e
+        raise
+    if not table.columns or "kind" not in table.columns:
+        raise ValueError("raster is empty")
+    ends = {r["kind"]: r for r in table.groupBy("kind").agg(
+        F.min("k1").alias("a"), F.max("k1").alias("b"), F.min_by("lo", "k1").alias("c"), F.max_by("lo", "k1").alias("d"),
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), F.sum("twice").alias("twice")).collect()}
+    if "lat" not in ends:
         raise ValueError("raster is empty")
-    axes = (Axis(lat_idx, lat, r["a"], r["b"], r["c"], r["d"]),
-            Axis(lon_idx, lon, r["e"], r["f"], r["g"], r["h"]))
-    for axis in axes:
-        check_axis(raster, axis)
-    return RasterAxes(*axes, r["n"])
-
-
-def check_axis(raster: DataFrame, axis: Axis, tolerance: float = 1e-3) -> None:
-    """Refuse an axis on which the nearest value cannot be found from its two
-    ends: an index without a value, two values for one index, or a value more
-    than ``tolerance`` steps away from where a regular axis has it. One
-    aggregate over the raster, one over the axis."""
-    vals = raster.groupBy(F.col(axis.idx_col).alias("i")).agg(
-        F.min(axis.val_col).alias("lo"), F.max(axis.val_col).alias("hi"))
-    step = (axis.hi_val - axis.lo_val) / max(axis.hi_idx - axis.lo_idx, 1)
-    at = F.lit(axis.lo_val) + (F.col("i") - F.lit(axis.lo_idx)) * F.lit(step)
+    axes = [Axis(idx, val, r["a"], r["b"], r["c"], r["d"])
+            for idx, val, r in ((lat_idx, lat, ends["lat"]), (lon_idx, lon, ends["lon"]))]
+    if ends["block"]["twice"]:
+        raise ValueError(f"raster has {ends['block']['twice']} cells twice")
+    _check_axes(table, dict(zip(("lat", "lon"), axes)))
+    width = 8 if dict(table.dtypes)["cells"] in ("array<bigint>", "array<double>") else 4
+    return PackedRaster(table, RasterAxes(*axes, ends["lat"]["n"]), ends["block"]["rows"], width)
+
+
+def _check_axes(table: DataFrame, axes: dict[str, Axis], tolerance: float = 1e-3) -> None:
+    step = {k: (x.hi_val - x.lo_val) / max(x.hi_idx - x.lo_idx, 1) for k, x in axes.items()}
+    at = F.lit(None).cast("double")
+    for k, x in axes.items():
+        at = F.when(F.col("kind") == k, F.lit(x.lo_val) + (F.col("k1") - F.lit(x.lo_idx)) * F.lit(step[k])).otherwise(at)
     off = F.greatest(F.abs(F.col("lo") - at), F.abs(F.col("hi") - at))
-    r = vals.agg(F.count(F.lit(1)).alias("n"), F.max(off).alias("off"),
-                 F.max(F.col("hi") - F.col("lo")).alias("apart")).first()
-    if r["n"] != axis.n:
-        raise ValueError(f"raster axis {axis.idx_col} has {axis.n - r['n']} indices without a value")
-    if axis.n > 1 and (not step or r["off"] > tolerance * abs(step)) or r["apart"]:
-        raise ValueError(f"raster axis {axis.val_col} is not regular")
+    for r in table.where("kind <> 'block'").groupBy("kind").agg(
+            F.count(F.lit(1)).alias("n"), F.max(off).alias("off"), F.max(F.col("hi") - F.col("lo")).alias("apart")).collect():
+        axis = axes[r["kind"]]
+        if r["n"] != axis.n:
+            raise ValueError(f"raster axis {axis.idx_col} has {axis.n - r['n']} indices without a value")
+        if axis.n > 1 and (not step[r["kind"]] or r["off"] > tolerance * abs(step[r["kind"]])) or r["apart"]:
+            raise ValueError(f"raster axis {axis.val_col} is not regular")
 
 
-def axis_pairs(raster: DataFrame, axis: Axis, limit: int | None = None) -> DataFrame:
+def axis_pairs(values: DataFrame, axis: Axis, limit: int | None = None) -> DataFrame:
     """``(_c0, _v0, _c1, _v1)``: every axis index with its coordinate and the
     next index (clamped at the top end) with its coordinate. Built from the
     raster's own axis values (a dimension of ``axis.n`` rows)."""
-    vals = raster.select(F.col(axis.idx_col).alias("_i"), F.col(axis.val_col).alias("_v")).distinct()
+    vals = values.select(F.col(axis.idx_col).alias("_i"), F.col(axis.val_col).alias("_v"))
     nxt = vals.select(F.col("_i").alias("_c1"), F.col("_v").alias("_v1"))
     nxt, _ = broadcast_if_small(nxt, axis.n, 24, limit)
     c1 = F.least(F.col("_i") + 1, F.lit(axis.hi_idx))
@@ -104,7 +167,7 @@ def axis_pairs(raster: DataFrame, axis: Axis, limit: int | None = None) -> DataF
                 .select(F.col("_i").alias("_c0"), F.col("_v").alias("_v0"), "_c1", "_v1"))
 
 
-def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out: str,
+def _nearest_on_axis(df: DataFrame, values: DataFrame, axis: Axis, x: str, out: str,
                      limit: int | None = None) -> DataFrame:
     """Index of the axis value nearest to ``x``; a tie goes to the larger
     axis value and points beyond the ends clamp to the edge.
@@ -114,7 +177,7 @@ def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out:
     coordinates of both candidates, so the distance comparison uses the
     raster's own values, not a re-computed step.
     """
-    pairs, _ = broadcast_if_small(axis_pairs(raster, axis, limit), axis.n, 40, limit)
+    pairs, _ = broadcast_if_small(axis_pairs(values, axis, limit), axis.n, 40, limit)
     lo, hi = F.lit(axis.lo_idx), F.lit(axis.hi_idx)
     c0 = F.least(F.greatest(F.floor(axis.approx_index(F.col(x))), lo), hi)
     df = df.withColumn("_c0", c0).join(pairs, "_c0", "left")
@@ -128,89 +191,151 @@ def _nearest_on_axis(df: DataFrame, raster: DataFrame, axis: Axis, x: str, out:
     return df.withColumn(out, pick.cast("bigint")).drop("_c0", "_c1", "_v0", "_v1")
 
 
-def nearest_raster(df: DataFrame, raster: DataFrame, axes: RasterAxes | None = None,
+def nearest_raster(df: DataFrame, raster: DataFrame | PackedRaster,
                    lat: str = "latitude", lon: str = "longitude",
                    value: str = "elevation", out: str = "inferred_depth",
                    broadcast_limit: int | None = None) -> DataFrame:
-    """Attach ``abs(value)`` of the nearest raster cell, truncated to int.
-
-    Nearest is taken on each axis independently. A raster without holes is
-    packed into one row per latitude index, with the values along the
-    longitude as an int array: 4 bytes a cell, so rasters of tens of millions
-    of cells pass the size check and are broadcast
-    (``broadcast_limit`` bytes, default ``sizing.DEFAULT_BROADCAST_BYTES``).
-    A larger raster, or one with holes, is joined cell by cell on the two
-    indices (a shuffle join if it is too large; AQE splits a hot cell)."""
-    axes = axes or raster_axes(raster)
-    out_df = _nearest_on_axis(df, raster, axes.lat, lat, "_lat_i", broadcast_limit)
-    out_df = _nearest_on_axis(out_df, raster, axes.lon, lon, "_lon_i", broadcast_limit)
-    limit = DEFAULT_BROADCAST_BYTES if broadcast_limit is None else broadcast_limit
-    if axes.cells == axes.lat.n * axes.lon.n and axes.cells * 4 + axes.lat.n * STRIP_OVERHEAD <= limit:
-        strips = raster.groupBy(F.col(axes.lat.idx_col).alias("_lat_i")).agg(F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(axes.lon.idx_col).alias("i"),
-                                                 F.abs(F.col(value)).cast("int").alias("v")))),
-            lambda c: c["v"]).alias("_strip"))
-        return (out_df.join(F.broadcast(strips), "_lat_i", "left")
-                .withColumn(out, F.get("_strip", (F.col("_lon_i") - F.lit(axes.lon.lo_idx)).cast("int")))
-                .drop("_lat_i", "_lon_i", "_strip"))
-    cells = raster.select(F.col(axes.lat.idx_col).alias("_lat_i"),
-                          F.col(axes.lon.idx_col).alias("_lon_i"),
-                          F.abs(F.col(value)).cast("int").alias(out))
-    cells, _ = broadcast_if_small(cells, axes.cells, 40, broadcast_limit)
-    return out_df.join(cells, ["_lat_i", "_lon_i"], "left").drop("_lat_i", "_lon_i")
+    """Attach ``abs(value)`` of the nearest raster cell, truncated to int;
+    NULL where the raster has no such cell.
+
+    Nearest is taken on each axis independently. The raster is packed first
+    (one pass; give a ``PackedRaster`` to use it again). A point finds its
+    block by number and its cell in the block by position. Blocks take 4 or 8
+    bytes a cell, so rasters of tens of millions of cells pass the size check
+    and are broadcast (``broadcast_limit`` bytes, default
+    ``sizing.DEFAULT_BROADCAST_BYTES``); beyond it the blocks, not the cells,
+    are shuffled, and AQE splits a block in which very many points lie."""
+    p = raster if isinstance(raster, PackedRaster) else pack_raster(raster, value=value)
+    i, j = F.col("_lat_i"), F.col("_lon_i")
+    located = df
+    for axis, x, name in ((p.axes.lat, lat, "_lat_i"), (p.axes.lon, lon, "_lon_i")):
+        located = _nearest_on_axis(located, p.axis_values(axis), axis, x, name, broadcast_limit)
+    located = located.withColumns({
+        "_bi": F.floor(i / BLOCK), "_bj": F.floor(j / BLOCK),
+        "_at": (F.pmod(i, F.lit(BLOCK)) * BLOCK + F.pmod(j, F.lit(BLOCK))).cast("int")}).drop("_lat_i", "_lon_i")
+    blocks = p.table.where("kind = 'block'").select(F.col("k1").alias("_bi"), F.col("k2").alias("_bj"), F.col("cells").alias("_cells"))
+    blocks, _ = broadcast_if_small(blocks, p.blocks, BLOCK * BLOCK * p.width + BLOCK_OVERHEAD, broadcast_limit)
+    return (located.join(blocks, ["_bi", "_bj"], "left")
+            .withColumn(out, F.abs(F.get("_cells", "_at")).cast("int")).drop("_bi", "_bj", "_at", "_cells"))
 
 
 # --------------------------------------------------------------------------
 # J2 point in polygon
 # --------------------------------------------------------------------------
 
+@dataclass(frozen=True)
+class TileLevel:
+    """Cells of one size class, listed per tile: ``_tx, _ty`` and ``_cells``,
+    an array of structs (id, bbox, ring, carried columns)."""
+    tiles: DataFrame
+    tile: float
+    broadcast: bool
+
+
 @dataclass(frozen=True)
 class GridTiles:
     tiles: DataFrame       # (_tx, _ty, id, bbox, ring or vertex columns) per cell x tile
     tile: float
     broadcast: bool
     cells: int             # number of grid cells (sizes the attribute broadcast)
-    max_points: int        # longest ring (chooses the unrolled containment test)
+    max_points: int        # longest ring of the main level (chooses the unrolled containment test)
+    others: tuple[TileLevel, ...] = ()   # the other size classes, if there are any
+
+
+SMALL, LARGE = 0.125, 4.0   # of the median extent: cells between them are one level
+
+
+def _level(extent: Column, median: float) -> Column:
+    """Size class of a cell: 0 for those near the median, then one per factor
+    of four on either side. A cell without extent contains nothing."""
+    up = F.ceil(F.log(4.0, extent / (LARGE * median)))
+    down = -F.greatest(F.ceil(F.log(4.0, F.lit(SMALL * median) / extent)), F.lit(1))
+    level = F.when(extent > LARGE * median, up).when((extent > 0) & (extent <= SMALL * median), down).otherwise(0)
+    return level.cast("int")
+
+
+def _edge(level: int, median: float) -> float:
+    """Tile edge of a level other than 0; no cell of the level is longer."""
+    return median * (LARGE * 4.0 ** level if level > 0 else SMALL * 4.0 ** (level + 1))
 
 
 def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
                ring: str = "ring", broadcast_limit: int | None = None,
                carry: list[str] | None = None) -> GridTiles:
-    """Explode each cell's bounding box into the square tiles it touches.
-
-    One aggregate over the grid (a dimension) gives the mean cell extent
-    (the tile edge when none is given), the cell count, the largest extents
-    and the longest ring. From these the number of tile rows is bounded by
-    ``cells * (max_w / t + 2) * (max_h / t + 2)``, which decides broadcast
-    versus shuffle before anything is shipped. ``carry`` lists cell columns
-    (e.g. the attributes J4 adds) that travel with every tile row, so one
-    join both locates a point and attaches its cell."""
+    """List each cell under the square tiles that its bounding box touches.
+
+    Cells are keyed at the level of their own extent: tiles of the level with
+    the most cells have the median extent as their edge (or ``tile``), and a
+    cell many times larger or smaller than that goes to a level whose edge
+    fits it, where it touches four tiles at most. So a few odd cells neither
+    multiply the tile rows nor crowd one tile. Two aggregates over the grid (a
+    dimension) give the median and, per level, the count, the largest extents
+    and the longest ring; they bound each level's tile rows, which decides
+    broadcast versus shuffle before anything is shipped. ``carry`` lists cell
+    columns (e.g. the attributes J4 adds) that travel with every tile row, so
+    one join both locates a point and attaches its cell."""
     bb = ring_bbox(F.col(ring))
     carry = list(carry or [])
     cells = grid.select(F.col(id_col).alias("id"), F.col(ring).alias("ring"),
                         *[v.alias(k) for k, v in bb.items()], *carry)
     w, h = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
-    st = cells.agg(F.avg(F.greatest(w, h)).alias("t"),
-                   F.count(F.lit(1)).alias("n"), F.max(w).alias("mw"), F.max(h).alias("mh"),
-                   F.max(F.size("ring")).alias("verts")).first()
-    n = int(st["n"] or 0)
-    if tile is None:
-        tile = float(st["t"] or 1.0) or 1.0
+    extent = F.greatest(w, h)
+    median = float(cells.agg(F.percentile_approx(F.when(extent > 0, extent), 0.5, 1000)).first()[0] or 1.0)
+    cells = cells.withColumn("_level", _level(extent, median))
+    levels = {r["_level"]: r for r in cells.groupBy("_level").agg(
+        F.count(F.lit(1)).alias("n"), F.max(w).alias("mw"), F.max(h).alias("mh"), F.max(F.size("ring")).alias("verts")).collect()}
+    main = max(levels, key=lambda k: (levels[k]["n"], -abs(k)), default=0)
+
+    def listed(level: int, edge: float) -> tuple[DataFrame, int, int]:
+        """Tile rows of a level, a bound of their number, and the bytes of one."""
+        st = levels.get(level)
+        n, mw, mh, verts = (st["n"], st["mw"] or 0, st["mh"] or 0, st["verts"] or 5) if st else (0, 0, 0, 5)
+        t = F.lit(edge)
+        span = {k: F.sequence(F.floor(F.col(f"min_{c}") / t), F.floor(F.col(f"max_{c}") / t)) for k, c in (("_tx", "x"), ("_ty", "y"))}
+        own = cells.where(F.col("_level") == level).drop("_level")
+        if level == main and verts <= UNROLL_MAX_POINTS:
+            # short rings (grid cells): vertices unpacked once here, so the join
+            # condition is plain column arithmetic
+            own = own.withColumns(vertex_columns(F.col("ring"), verts)).drop("ring")
+        for k, v in span.items():
+            own = own.withColumn(k, F.explode(v))
+        return own, n * (int(mw / edge) + 2) * (int(mh / edge) + 2), 72 + 24 * verts + 16 * len(carry)
+
+    edge = tile or (median if main == 0 else _edge(main, median))
+    tiles, is_bc = broadcast_if_small(*listed(main, edge), broadcast_limit)
+    others = []
+    for k in sorted(levels):
+        if k == main:
+            continue
+        size = _edge(k, median) if k else median
+        rows, bound, width = listed(k, size)
+        per = rows.groupBy("_tx", "_ty").agg(F.collect_list(F.struct(
+            "id", "ring", "min_x", "max_x", "min_y", "max_y", *carry)).alias("_cells"))
+        per, bc = broadcast_if_small(per, bound, width, broadcast_limit)
+        others.append(TileLevel(per, size, bc))
+    count = sum(r["n"] for r in levels.values())
+    return GridTiles(tiles, edge, is_bc, count, int(levels[main]["verts"] or 5) if levels else 5, tuple(others))
+
+
+def _tile_keys(points: DataFrame, tile: float, lat: str, lon: str) -> dict[str, Column]:
     t = F.lit(tile)
-    tx0, tx1 = F.floor(F.col("min_x") / t), F.floor(F.col("max_x") / t)
-    ty0, ty1 = F.floor(F.col("min_y") / t), F.floor(F.col("max_y") / t)
-    verts = int(st["verts"] or 5)
-    if verts <= UNROLL_MAX_POINTS:
-        # short rings (grid cells): vertices unpacked once here, so the join
-        # condition is plain column arithmetic
-        cells = cells.withColumns(vertex_columns(F.col("ring"), verts)).drop("ring")
-    tiles = (cells
-             .withColumn("_tx", F.explode(F.sequence(tx0, tx1)))
-             .withColumn("_ty", F.explode(F.sequence(ty0, ty1))))
-    bound = n * (int((st["mw"] or 0) / tile) + 2) * (int((st["mh"] or 0) / tile) + 2)
-    tiles, is_bc = broadcast_if_small(tiles, bound, 72 + 24 * verts + 16 * len(carry),
-                                      broadcast_limit)
-    return GridTiles(tiles, tile, is_bc, n, verts)
+    return {"_tx": F.floor(points[lon] / t), "_ty": F.floor(points[lat] / t)}
+
+
+def _cells_of_other_levels(points: DataFrame, gt: GridTiles, lat: str, lon: str) -> DataFrame:
+    """``points`` with ``_more``: the cells of the other levels that strictly
+    contain each point. One lookup per occupied level, by a unique key."""
+    out, found = points, []
+    for k, level in enumerate(gt.others):
+        cells = f"_cells{k}"
+        out = (out.withColumns(_tile_keys(out, level.tile, lat, lon))
+               .join(level.tiles.withColumnRenamed("_cells", cells), ["_tx", "_ty"], "left").drop("_tx", "_ty"))
+        px, py = out[lon], out[lat]
+        hit = F.filter(F.col(cells), lambda c: (px > c["min_x"]) & (px < c["max_x"]) & (py > c["min_y"]) & (py < c["max_y"])
+                       & strictly_within(c["ring"], px, py))
+        out = out.withColumn(cells, F.coalesce(hit, F.array()))
+        found.append(cells)
+    return out.withColumn("_more", F.concat(*found)).drop(*found)
 
 
 def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | None = None,
@@ -220,12 +345,22 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
 
     The point gets one tile key, the cells are listed under every tile their
     box touches, and the equi-join on the tile carries the exact containment
-    test as its join condition. Points on an edge or vertex match nothing;
-    overlapping cells give one row each; NULL positions keep a NULL id."""
+    test as its join condition. Where the grid has cells of very different
+    sizes, the point also looks up one tile per other level; what it finds
+    there travels as rows of its own, which take no part in the join. Points
+    on an edge or vertex match nothing; overlapping cells give one row each;
+    NULL positions keep a NULL id (with ``how="inner"`` they go)."""
     gt = grid if isinstance(grid, GridTiles) else grid_tiles(grid, tile)
-    t = F.lit(gt.tile)
-    p = (points.withColumn("_tx", F.floor(F.col(lon) / t))
-               .withColumn("_ty", F.floor(F.col(lat) / t)))
+    p = points
+    if gt.others:
+        # the marker row (NULL) takes part in the join below, the others carry their cell
+        p = _cells_of_other_levels(p, gt, lat, lon)
+        marker = F.array(F.get("_more", F.lit(-1)))    # one NULL of the elements' type
+        p = p.withColumns({"_matched": F.size("_more") > 0, "_other": F.explode(F.concat(marker, F.col("_more")))}).drop("_more")
+    keys = _tile_keys(p, gt.tile, lat, lon)
+    if gt.others:
+        keys = {k: F.when(F.col("_other").isNull(), v) for k, v in keys.items()}
+    p = p.withColumns(keys)
     g = gt.tiles.withColumnRenamed("id", "_cell_id")
     px, py = p[lon], p[lat]
     # open bounding box first: cheap comparisons reject most candidates
@@ -238,10 +373,16 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
         exact = strictly_within_vertices([g[f"_x{i}"] for i in range(m)],
                                          [g[f"_y{i}"] for i in range(m)], px, py)
     cond = (p["_tx"] == g["_tx"]) & (p["_ty"] == g["_ty"]) & in_box & exact
-    joined = p.join(g, cond, how)
+    joined = p.join(g, cond, "left" if gt.others else how)
     extra = [c for c in gt.tiles.columns if c not in ("id", "_tx", "_ty", *(keep or []))]
-    return (joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"])
-            .drop(*extra).withColumnRenamed("_cell_id", id_col))
+    joined = joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"])
+    if gt.others:
+        lost = F.col("_cell_id").isNull() & F.col("_other").isNull()
+        joined = joined.where(~lost if how == "inner" else ~(lost & F.col("_matched")))
+        joined = joined.withColumns({"_cell_id": F.coalesce("_cell_id", "_other.id"),
+                                     **{c: F.coalesce(c, f"_other.{c}") for c in keep or [] if c in g.columns}})
+        joined = joined.drop("_other", "_matched")
+    return joined.drop(*extra).withColumnRenamed("_cell_id", id_col)
 
 
 # --------------------------------------------------------------------------

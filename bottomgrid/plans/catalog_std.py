@@ -10,7 +10,6 @@ from .catalog_ops import INSTITUTION, INSTITUTION_CASE
 from .queries import GRID, LOCATED, OBS, RASTER, located, nearest_ctes, query, rounded, sql
 from ..operators.union import union_feeds
 from .standardize import Dims, standardize
-from ..operators.spatial import raster_axes
 
 STD_OUT = ("time, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, "
            "round(temperature, 6) AS temperature, round(salinity, 6) AS salinity, "
@@ -18,8 +17,7 @@ STD_OUT = ("time, round(latitude, 6) AS latitude, round(longitude, 6) AS longitu
 
 
 def _dims(spark, sf) -> Dims:
-    r = fx.raster(spark, sf)
-    return Dims(grid=fx.grid(spark, sf), raster=r, axes=raster_axes(r))
+    return Dims(grid=fx.grid(spark, sf), raster=fx.raster(spark, sf))
 
 
 def _tagged(provider: str, flag: int, salinity: str = "CAST(NULL AS DOUBLE)",

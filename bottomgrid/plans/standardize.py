@@ -14,7 +14,7 @@ from ..operators.lookup import map_default
 from ..operators.qc import (SEAFLOOR_THRESHOLD, drop_outliers, min_group_size, missing_or_positive, positive,
                             running_median, seabed_check)
 from ..operators.reduce import deepest, hourly_by_station, hourly_mean
-from ..operators.spatial import RasterAxes, attach_cell, nearest_raster
+from ..operators.spatial import PackedRaster, attach_cell, nearest_raster
 
 
 @dataclass
@@ -22,8 +22,7 @@ class Dims:
     """Dimension tables a standardizer may need."""
     grid: DataFrame | None = None
     grid_rows: int | None = None
-    raster: DataFrame | None = None
-    axes: RasterAxes | None = None
+    raster: DataFrame | PackedRaster | None = None
     seabed_threshold: float = SEAFLOOR_THRESHOLD
 
 
@@ -35,7 +34,7 @@ def std_emolt_rt(df: DataFrame, dims: Dims, tie: str | None = None,
                  keep: list[str] | None = None) -> DataFrame:
     """Hourly mean per tow -> seabed depth -> seabed check -> tags."""
     h = hourly_mean(df, "tow_id", ["latitude", "longitude", "temperature", "depth"])
-    h = nearest_raster(h, dims.raster, dims.axes)
+    h = nearest_raster(h, dims.raster)
     h = seabed_check(h, "depth", threshold=dims.seabed_threshold)
     return _finish(tag(h, "eMOLT", 1), keep)
 
@@ -60,7 +59,7 @@ def std_profiles(flag: int) -> Callable:
         """Deepest bin per profile -> seabed depth -> seabed check on
         pressure -> renames -> tags (CFRF; shelf fleet 1, wind farm 0)."""
         d = deepest(df, "profile_id", "sea_pressure", tie)
-        d = seabed_check(nearest_raster(d, dims.raster, dims.axes), "sea_pressure", threshold=dims.seabed_threshold)
+        d = seabed_check(nearest_raster(d, dims.raster), "sea_pressure", threshold=dims.seabed_threshold)
         d = tag(d, "CFRF", flag, {"conservative_temperature": "temperature",
                                   "absolute_salinity": "salinity"})
         return _finish(d, keep)
@@ -86,7 +85,7 @@ def std_oleander(df: DataFrame, dims: Dims, tie: str | None = None,
     -> seabed check -> tags."""
     d = profile_key(tag(df, renames={"temp": "temperature"}), "cruise_num", "profile_number")
     d = deepest(d, "profile_id", "depth", tie)
-    d = seabed_check(nearest_raster(d, dims.raster, dims.axes), "depth", threshold=dims.seabed_threshold)
+    d = seabed_check(nearest_raster(d, dims.raster), "depth", threshold=dims.seabed_threshold)
     return _finish(tag(d, "Oleander", 0), keep)
 
 
@@ -98,7 +97,7 @@ def std_ecomon(df: DataFrame, dims: Dims, tie: str | None = None,
                          "sea_water_salinity": "salinity", "pressure_dbars": "sea_pressure"})
     d = missing_or_positive(profile_key(d, "cruise_id", "cast_number"), "dissolved_oxygen")
     d = deepest(d, "profile_id", "sea_pressure", tie)
-    d = seabed_check(nearest_raster(d, dims.raster, dims.axes), "sea_pressure", threshold=dims.seabed_threshold)
+    d = seabed_check(nearest_raster(d, dims.raster), "sea_pressure", threshold=dims.seabed_threshold)
     return _finish(tag(d, "ECOMON", 0), keep)
 
 

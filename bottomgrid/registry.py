@@ -16,6 +16,12 @@ class Feed:
     time_col: str = "time"
     fmt: str = "parquet"
     protocol: str = "tabledap"
+    day_col: str = "day"        # a landed feed may carry the UTC day of each row (a partition column)
+
+    @property
+    def iso_times(self) -> bool:
+        """Text times begin ``YYYY-MM-DD``: the protocol's only form."""
+        return self.protocol == "tabledap"
 
 
 _OOI_VARS = ("time", "latitude", "longitude", "sea_water_temperature",

@@ -134,3 +134,21 @@ def content_bytes(spark: SparkSession, path: str) -> int | None:
         if entry.getPath().getName().startswith(("_", ".")):
             total -= fs.getContentSummary(entry.getPath()).getLength()
     return int(total)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, sorted; none if it does not exist."""
+    found = _file_system(spark, path)
+    if not found:
+        raise RuntimeError("no file system access to list " + path)
+    fs, p = found
+    return sorted(e.getPath().getName() for e in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (again is no error)."""
+    found = _file_system(spark, path)
+    if not found:
+        raise RuntimeError("no file system access to write " + path)
+    fs, p = found
+    fs.create(p, True).close()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.times import ntz_lit, utc_naive
 from ..schemas import DIAG_SCHEMA, RUN_LOG_SCHEMA
+from ..session import path_exists
 
 
 def run_log_rows(counts: DataFrame, runtime: dt.datetime, version: str, reload_type: str,
@@ -45,9 +48,42 @@ def run_log_rows(counts: DataFrame, runtime: dt.datetime, version: str, reload_t
     return out.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG_SCHEMA.fields])
 
 
-def append_run_log(rows: DataFrame, path: str) -> None:
-    """K2: append to the run-log table."""
-    rows.write.mode("append").parquet(path)
+RUN_ID = "run_id"
+
+
+def append_once(rows: DataFrame, path: str, run_id: str | None, keys: list[str]) -> None:
+    """Append the rows that the table does not have yet under this run id: a
+    retried job gives the id of its first try and adds only what that one did
+    not write. Without an id every call is a run of its own. Tables written
+    before there were run ids are read on."""
+    spark = rows.sparkSession
+    new = rows.withColumn(RUN_ID, F.lit(run_id or uuid.uuid4().hex))
+    if run_id and path_exists(spark, path):
+        have = spark.read.option("mergeSchema", "true").parquet(path)
+        if RUN_ID in have.columns:
+            have = have.where(F.col(RUN_ID) == run_id).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            new = new.join(have, reduce(lambda a, b: a & b, same), "left_anti").checkpoint()
+            if new.isEmpty():
+                return
+    new.write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A log table without its run ids, also where older files have none."""
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(RUN_ID)
+
+
+def append_run_log(rows: DataFrame, path: str, run_id: str | None = None) -> None:
+    """K2: append to the run-log table, once per run and feed."""
+    append_once(rows, path, run_id, ["dataset_id"])
+
+
+def append_quarantine(spark: SparkSession, set_aside: list[tuple[str, str, str]], runtime: dt.datetime, path: str,
+                      run_id: str | None = None) -> None:
+    """Files that a run could not read: (feed, file, error), once per run."""
+    rows = spark.createDataFrame(set_aside, "dataset_id string, file string, error string")
+    append_once(rows.withColumn("runtime", ntz_lit(runtime)), path, run_id, ["dataset_id", "file"])
 
 
 def diagnostics_rows(spark: SparkSession, runtime: dt.datetime, program: str, version: str,
@@ -67,7 +103,9 @@ def diagnostics_rows(spark: SparkSession, runtime: dt.datetime, program: str, ve
                       F.to_json("phases").alias("phase_durations"), "nc_files_created")
 
 
-def append_diagnostics(rows: DataFrame, path: str, upstream: DataFrame | None = None) -> None:
-    """K6: upstream rows first, then our own, appended."""
+def append_diagnostics(rows: DataFrame, path: str, upstream: DataFrame | None = None,
+                       run_id: str | None = None) -> None:
+    """K6: upstream rows first, then our own, appended once per run and
+    program."""
     out = rows if upstream is None else upstream.select(*DIAG_SCHEMA.names).unionByName(rows)
-    out.write.mode("append").parquet(path)
+    append_once(out, path, run_id, ["program"])

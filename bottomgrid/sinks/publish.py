@@ -1,5 +1,5 @@
-"""Sinks of the product: staged hand-off (K1), day-partitioned product (K3),
-archive snapshot (K4) and archive catalogue (K5)."""
+"""Sinks of the product: staged hand-off (K1), day-partitioned product (K3)
+and archive catalogue (K5; the snapshots themselves are in ``snapshots.py``)."""
 
 from __future__ import annotations
 
@@ -10,9 +10,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import ntz_lit, utc_naive
+from ..functions.times import utc_naive
 from ..session import content_bytes
 from ..schemas import ARCHIVE_SCHEMA
+from .logs import append_once
+from .snapshots import citation_url
 
 
 STAGE_DAY = "day"
@@ -80,36 +82,14 @@ def files_size_mb(spark: SparkSession, path: str) -> float:
     return round(total / (1024 * 1024), 1)
 
 
-def citation_url(doi: str | None) -> str:
-    return f"https://zenodo.org/records/{doi.split('.')[-1]}" if doi else ""
-
-
-def archive(spark: SparkSession, product_path: str, archive_root: str, version: str,
-            when: dt.datetime, doi: str | None = "") -> tuple[str, float]:
-    """K4: snapshot the whole previous product under
-    ``archive_root/archive_date=YYYY-MM-DD`` stamped with version, archive
-    time, doi and citation URL. Must run before K3 replaces any day.
-    Returns the snapshot path and its size in MB."""
-    snap = f"{archive_root}/archive_date={when.date().isoformat()}"
-    prev = spark.read.parquet(product_path)
-    layout = [c for c in ("year", "month", "time") if c in prev.columns]
-    rows = prev.withColumns({"version": F.lit(version),
-                             "archive_time": ntz_lit(when),
-                             "doi": F.lit(doi or ""), "citation_url": F.lit(citation_url(doi))})
-    if layout:      # by day like the product, so a reader of some days prunes the rest
-        rows = rows.hint("rebalance", *layout)
-    rows.write.mode("overwrite").partitionBy(*layout).parquet(snap)
-    return snap, files_size_mb(spark, snap)
-
-
 def log_archive(spark: SparkSession, catalogue_path: str, snapshot: str, public_url: str,
                 when: dt.datetime, version: str, doi: str | None, reload_type: str,
-                size_mb: float) -> DataFrame:
-    """K5: append one catalogue row per archive."""
+                size_mb: float, run_id: str | None = None) -> DataFrame:
+    """K5: append one catalogue row per archive (once per run)."""
     row = [(snapshot, public_url, utc_naive(when), version, doi or "",
             citation_url(doi), reload_type, float(size_mb))]
     df = spark.createDataFrame(row, ARCHIVE_SCHEMA)
-    df.write.mode("append").parquet(catalogue_path)
+    append_once(df, catalogue_path, run_id, ["archive_s3_key"])
     return df
 
 

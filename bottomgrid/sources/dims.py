@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import ring_is_closed
-from ..operators.spatial import RasterAxes, raster_axes
+from ..operators.spatial import PackedRaster, pack_raster
 
 
 def validate_grid(grid: DataFrame, id_col: str = "id", ring: str = "ring") -> DataFrame:
@@ -36,12 +36,13 @@ def read_grid(spark: SparkSession, path: str, check_unique: bool = False) -> Dat
     return grid
 
 
-def read_raster(spark: SparkSession, path: str) -> tuple[DataFrame, RasterAxes]:
+def read_raster(spark: SparkSession, path: str, packed_path: str | None = None) -> tuple[DataFrame, PackedRaster]:
     """A raster stored as a long table ``(lat_idx, lon_idx, lat, lon,
-    elevation)``; the axes come from one aggregate over it."""
+    elevation)``, and its packed form with the axes beside it
+    (``packed_path``, by default in the shared checkpoint folder)."""
     r = spark.read.parquet(path).select(
         F.col("lat_idx").cast("bigint").alias("lat_idx"),
         F.col("lon_idx").cast("bigint").alias("lon_idx"),
         F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"),
         "elevation")
-    return r, raster_axes(r)
+    return r, pack_raster(r, packed_path)

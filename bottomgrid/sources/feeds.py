@@ -5,6 +5,7 @@ pushes them into the Parquet reader (``PushedFilters``) and prunes columns."""
 
 from __future__ import annotations
 
+import datetime as dt
 import operator
 import re
 from dataclasses import dataclass
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.columns import nan_to_null
-from ..functions.times import ntz_lit, parse_time
+from ..functions.times import ntz_lit, parse_time, utc_naive
 from ..operators.sizing import spread_small_input
 from ..registry import FEEDS, Feed
 from ..session import path_exists
@@ -59,6 +60,43 @@ def time_window(df: DataFrame, lo, hi=None, time: str = "time",
     return df.where(cond)
 
 
+def day_window(df: DataFrame, lo, hi=None, day: str = "day") -> DataFrame:
+    """S3 for feeds that land with the UTC day of each row, as a column or as
+    partition folders: the same window by day, which prunes the folders. Rows
+    without a day stay and are left to the window on their time."""
+    kind = dict(df.dtypes).get(day)
+    if kind not in ("date", "string"):
+        return df
+    d = F.col(day)
+
+    def bound(x):
+        at = F.to_date(ntz_lit(x))
+        return at if kind == "date" else F.date_format(at, "yyyy-MM-dd")
+
+    cond = d >= bound(lo)
+    if hi is not None:
+        cond = cond & (d <= bound(hi))
+    return df.where(cond | d.isNull())
+
+
+def text_window(df: DataFrame, lo, hi=None, time: str = "time") -> DataFrame:
+    """S3 for times landed as ISO 8601 text: a range of text that holds the
+    window whatever the zone of a text (a day is left on either side), so that
+    the reader can skip row groups before a text is parsed."""
+    if dict(df.dtypes).get(time) != "string":
+        return df
+    day = dt.timedelta(days=1)
+
+    def date_of(x) -> dt.date:
+        x = dt.datetime.fromisoformat(x) if isinstance(x, str) else x
+        return utc_naive(x).date() if isinstance(x, dt.datetime) else x
+
+    cond = F.col(time) >= (date_of(lo) - day).isoformat()
+    if hi is not None:
+        cond = cond & (F.col(time) < (date_of(hi) + 2 * day).isoformat())
+    return df.where(cond)
+
+
 def strip_units(df: DataFrame) -> DataFrame:
     """``"temperature (degree_C)"`` -> ``temperature``."""
     return df.toDF(*[c.split(" ")[0] for c in df.columns])
@@ -83,40 +121,76 @@ def normalize_scan(df: DataFrame, variables: list[str] | tuple[str, ...],
 class FeedScan:
     feed: Feed
     frame: DataFrame | None
-    status: str          # ok | empty-source | missing | error: ...
+    status: str          # ok | missing | error: ...
+
+
+def error_status(e: Exception) -> str:
+    return f"error: {type(e).__name__}: {str(e)[:200]}"
+
+
+def _load(spark: SparkSession, f: Feed, paths: list[str], schema: T.StructType | None, base: str | None = None) -> DataFrame:
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    if f.fmt == "csv":
+        return reader.option("header", True).csv(paths)
+    return reader.format(f.fmt).load(paths)
 
 
 def scan_feed(spark: SparkSession, f: Feed, root: str, lo=None, hi=None,
-              schema: T.StructType | None = None) -> FeedScan:
-    """One feed: read the landed files, constrain, normalize, window."""
+              schema: T.StructType | None = None, files: list[str] | None = None) -> FeedScan:
+    """One feed: read the landed files (or only ``files`` of them), constrain,
+    prune by day or text where the feed allows it, normalize, window. Whatever
+    fails, be it the file system, is this feed's status."""
     path = f"{root}/{f.feed_id}"
-    if not path_exists(spark, path):
-        return FeedScan(f, None, "missing")
     try:
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        if f.fmt == "csv":
-            raw = reader.option("header", True).csv(path)
-        else:
-            raw = reader.format(f.fmt).load(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+        if not path_exists(spark, path):
             return FeedScan(f, None, "missing")
-        return FeedScan(f, None, f"error: {str(e)[:200]}")
-    except Exception as e:  # noqa: BLE001  (an unreadable footer: this feed's status, not the run's end)
-        return FeedScan(f, None, f"error: {type(e).__name__}: {str(e)[:200]}")
-    try:
-        df = normalize_scan(apply_constraints(strip_units(raw), f.constraints),
-                            f.variables, f.time_col)
+        raw = strip_units(_load(spark, f, files or [path], schema, path if files else None))
+        raw = apply_constraints(raw, f.constraints)
+        if lo is not None:
+            raw = day_window(raw, lo, hi, f.day_col)
+            if f.iso_times:
+                raw = text_window(raw, lo, hi, f.time_col)
+        df = normalize_scan(raw, f.variables, f.time_col)
         if lo is not None:
             df = time_window(df, lo, hi)
         df = spread_small_input(df)
     except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return FeedScan(f, None, "missing")
         return FeedScan(f, None, f"error: {str(e)[:200]}")
+    except Exception as e:  # noqa: BLE001  (an unreadable footer or location: this feed's status, not the run's end)
+        return FeedScan(f, None, error_status(e))
     return FeedScan(f, df, "ok")
 
 
+def landed_files(spark: SparkSession, f: Feed, root: str) -> list[str]:
+    """The files of a feed, from a listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/{f.feed_id}")
+    return sorted(r["path"] for r in files.select("path").collect())
+
+
+def unreadable_files(spark: SparkSession, f: Feed, root: str, files: list[str],
+                     schema: T.StructType | None = None) -> dict[str, str]:
+    """Files of a feed that cannot be read to their end, with the error. Asked
+    only about a feed that failed: the files are read together, and halves of
+    a set that fails are read on their own, so a few bad files among many cost
+    a few reads each."""
+    if not files:
+        return {}
+    try:
+        _load(spark, f, files, schema, f"{root}/{f.feed_id}").write.format("noop").mode("overwrite").save()
+        return {}
+    except Exception as e:  # noqa: BLE001  (whatever a bad file raises)
+        if len(files) == 1:
+            return {files[0]: error_status(e)}
+    half = len(files) // 2
+    return {**unreadable_files(spark, f, root, files[:half], schema), **unreadable_files(spark, f, root, files[half:], schema)}
+
+
 def read_feeds(spark: SparkSession, root: str, lo=None, hi=None,
                feeds: tuple[Feed, ...] = FEEDS,
                schemas: dict[str, T.StructType] | None = None) -> dict[str, FeedScan]:

@@ -18,10 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.runs import product_frame, window_for
 from ..functions.times import ntz_lit
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir
 from ..operators.sizing import broadcast_if_small
 from ..sinks.publish import STAGE_DAY, publish_days
 from ..sources.staged import reconcile_staged
+from .ownership import own_checkpoint
 
 
 def staged_schema(spark: SparkSession, staged_path: str):
@@ -30,6 +31,8 @@ def staged_schema(spark: SparkSession, staged_path: str):
 
 # Day lists up to this size become a static IN filter on the partition column.
 MAX_LISTED_DAYS = 10_000
+# New staged files that one micro-batch takes.
+MAX_FILES = 1000
 
 
 def publish_touched_days(spark: SparkSession, staged_path: str, product_path: str,
@@ -49,14 +52,26 @@ def publish_touched_days(spark: SparkSession, staged_path: str, product_path: st
     return publish_days(product_frame(reconcile_staged(touched)), product_path)
 
 
+def stream_checkpoint(product_path: str) -> str:
+    """The checkpoint of the one stream that publishes a product, beside it."""
+    return product_path.rstrip("/") + "_stream/checkpoint"
+
+
 def publish_stream(spark: SparkSession, staged_path: str, product_path: str,
-                   checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+                   checkpoint: str | None = None, available_now: bool = True,
+                   max_files: int = MAX_FILES) -> StreamingQuery:
     """File-source stream over the staged folder -> per batch, distinct
-    days -> recompute those days from all staged rows -> publish."""
+    days -> recompute those days from all staged rows -> publish.
+
+    The checkpoint (by default beside the product, so each product has its
+    own) is bound to the two tables: streams over different tables run side
+    by side, and none continues another's. A batch takes at most
+    ``max_files`` new files, so a backlog is drained in bounded steps."""
     checkpoint_dir(spark)   # each batch checkpoints its (small) day list
-    checkpoint = checkpoint or scratch_path(spark, "streams", "publish")
+    checkpoint = checkpoint or stream_checkpoint(product_path)
+    own_checkpoint(spark, checkpoint, {"staged": staged_path, "product": product_path})
     schema = staged_schema(spark, staged_path)
-    stream = spark.readStream.schema(schema).parquet(staged_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(staged_path)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         days = (batch.select(F.col(STAGE_DAY).alias("day")).where(F.col("day").isNotNull())
