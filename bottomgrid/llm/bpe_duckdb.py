@@ -34,7 +34,9 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -63,8 +65,8 @@ NEWER = f"[{NEWER_LETTERS}{NEWER_NUMBERS}]"
 STRICT = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?(?:(?!{NEWER})\p{{L}})+| ?(?:(?!{NEWER})\p{{N}})+"
           rf"| ?(?:{NEWER}|[^\s\p{{L}}\p{{N}}])+|\s+(?!\S)|\s+")
 
-WORD_BYTES = 1 << 18  # of the words of one recursive query, unless one word is longer
-CACHED_WORDS = 400_000  # of a task, about
+WORD_BYTES = 1 << 20  # of the words of one recursive query, unless one word is longer
+CACHED_WORDS = 300_000  # of a Python worker, in each of two generations
 
 SHORT_WORD = 64  # bytes; longer words are worth cutting into parts
 
@@ -77,8 +79,8 @@ WITH RECURSIVE t(g, pos, tok, done) AS (
     SELECT g, pos, tok, lead(tok) OVER w AS b, lead(pos) OVER w AS after
     FROM t WHERE NOT done WINDOW w AS (PARTITION BY g ORDER BY pos)),
   ranked AS (
-    SELECT n.*, CASE WHEN p.made IS NOT NULL THEN p.made::BIGINT << 32 | n.pos END AS key
-    FROM near n LEFT JOIN pairs p ON p.a = n.tok AND p.b = n.b),
+    SELECT n.*, m.made::BIGINT << 32 | n.pos::BIGINT AS key
+    FROM near n LEFT JOIN merges m ON m.ab = n.tok::BIGINT << 32 | n.b::BIGINT),
   best AS (SELECT g, min(key) AS key, arg_min(after, key) AS gone FROM ranked GROUP BY g)
   SELECT r.g, r.pos, CASE WHEN r.key = b.key THEN (b.key >> 32)::INT ELSE r.tok END, b.key IS NULL
   FROM ranked r JOIN best b USING (g) WHERE b.gone IS NULL OR r.pos <> b.gone))
@@ -116,7 +118,7 @@ SELECT pos, tok FROM t WHERE done ORDER BY pos
 """
 
 EXPAND = """
-SELECT s.doc, string_agg(v.piece, '' ORDER BY s.pos) AS piece
+SELECT s.doc, array_to_string(list(v.piece ORDER BY s.pos), '') AS piece
 FROM ids s JOIN vocabulary v ON v.id = s.id GROUP BY s.doc
 """
 
@@ -127,10 +129,12 @@ class Vocabulary:
     def __init__(self, rank_file: str):
         ranks: dict[bytes, int] = {}
         with open(rank_file, "rb") as f:
-            for line in f:
-                if line.strip():
-                    token, rank = line.split()
-                    ranks[base64.b64decode(token)] = int(rank)
+            data = f.read()
+        self.key = hashlib.sha256(data).hexdigest()
+        for line in data.splitlines():
+            if line.strip():
+                token, rank = line.split()
+                ranks[base64.b64decode(token)] = int(rank)
         self.ids = ranks
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         inside = {t[i:j] for t in ranks for i in range(len(t)) for j in range(i + 2, len(t) + 1)}
@@ -153,24 +157,31 @@ def load(rank_file: str) -> Vocabulary:
 
 
 class Tokenizer:
-    """A task's connection, and the words that it has encoded so far."""
+    """A connection with the merge table, and words encoded before. A full
+    generation of words becomes the old one; old words that come again move
+    into the new one."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.plain, self.strict = regex.compile(PRE_TOKEN).findall, regex.compile(STRICT).findall
         self.newer = regex.compile(NEWER).search
         self.words: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
+        self.old: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "temp_directory": ""})
         for name, table in (("pairs", vocabulary.pairs), ("vocabulary", vocabulary.tokens)):
             self.db.register("loaded", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM loaded")
             self.db.unregister("loaded")
+        self.db.execute("CREATE TABLE merges AS SELECT a::BIGINT << 32 | b::BIGINT AS ab, made FROM pairs WHERE made IS NOT NULL")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [(self.strict if not x.isascii() and self.newer(x) else self.plain)(x) for x in texts]
         if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        new = list(dict.fromkeys(w for ws in split for w in ws if w not in self.words))
+            self.old, self.words = self.words, {}
+        new = set(chain.from_iterable(split)).difference(self.words)
+        again = new.intersection(self.old)
+        self.words.update((w, self.old[w]) for w in again)
+        new -= again
         short: list[tuple[str, bytes]] = []
         long: list[tuple[str, bytes]] = []
         for w in new:
@@ -195,7 +206,9 @@ class Tokenizer:
             size = np.array([len(b) for _, b in part], np.int64)
             at = np.cumsum(size) - size
             data = np.frombuffer(b"".join(b for _, b in part), np.uint8)
-            self.db.register("start", pa.table({"g": np.repeat(at, size), "pos": np.arange(len(data)), "tok": self.v.byte[data]}))
+            kind = np.int32 if len(data) < 1 << 31 else np.int64
+            self.db.register("start", pa.table({
+                "g": np.repeat(at, size).astype(kind), "pos": np.arange(len(data), dtype=kind), "tok": self.v.byte[data]}))
             out = self.db.sql(query).to_arrow_table()
             self.db.unregister("start")
             ids = out.column("tok").to_numpy().astype("<u4").tobytes()
@@ -220,10 +233,16 @@ class Tokenizer:
         return out
 
 
-def _tokenizer(state: dict, shared) -> Tokenizer:
-    if "tokenizer" not in state:
-        state["tokenizer"] = Tokenizer(shared.value)
-    return state["tokenizer"]
+# One per vocabulary and Python worker, so that the tasks of a worker share
+# the words that they have encoded.
+_WORKER: dict[str, Tokenizer] = {}
+
+
+def _tokenizer(shared) -> Tokenizer:
+    v: Vocabulary = shared.value
+    if v.key not in _WORKER:
+        _WORKER[v.key] = Tokenizer(v)
+    return _WORKER[v.key]
 
 
 def bpe_encode(df: DataFrame, rank_file: str, text_col: str = "text", tokens_col: str | None = "tokens",
@@ -234,10 +253,9 @@ def bpe_encode(df: DataFrame, rank_file: str, text_col: str = "text", tokens_col
     shared = df.sparkSession.sparkContext.broadcast(load(rank_file))
     kinds = {tokens_col: T.ArrayType(T.IntegerType(), False), packed_col: T.BinaryType(), decoded_col: T.BinaryType()}
     schema = T.StructType([T.StructField(c, k) for c, k in kinds.items() if c])
-    state: dict[str, Tokenizer] = {}
 
     def run(texts: list[str]) -> dict:
-        tokenizer = _tokenizer(state, shared)
+        tokenizer = _tokenizer(shared)
         packed = tokenizer.encode(texts)
         out: dict = {}
         if tokens_col:
@@ -255,12 +273,11 @@ def bpe_encode(df: DataFrame, rank_file: str, text_col: str = "text", tokens_col
 def bpe_decode(df: DataFrame, rank_file: str, tokens_col: str = "tokens", decoded_col: str = "decoded") -> DataFrame:
     """``df`` plus the bytes that an array of ids stands for (null: none)."""
     shared = df.sparkSession.sparkContext.broadcast(load(rank_file))
-    state: dict[str, Tokenizer] = {}
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in arrays:
             packed = [np.array(x.as_py() or [], "<u4").tobytes() for x in arr]
-            yield pa.array(_tokenizer(state, shared).decode(packed), pa.binary())
+            yield pa.array(_tokenizer(shared).decode(packed), pa.binary())
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     ids: Column = F.col(f"`{tokens_col}`").cast("array<int>")
