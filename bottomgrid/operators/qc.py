@@ -157,12 +157,12 @@ def running_median(df: DataFrame, group: str, order: list[str], col: str,
     member = F.col(group).isNotNull() & F.col(col).isNotNull()
     series = df.where(member)
     rest = df.where(~member).withColumn(out, F.lit(None).cast("double"))
-    hot = series.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(group)
+    counts = series.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    if (counts.agg(F.max("_n")).first()[0] or 0) <= limit:      # nothing is hot: no table, no join
+        return _median_by_window(series, group, order, col, out, width).unionByName(rest)
     checkpoint_dir(df.sparkSession)
-    hot = hot.checkpoint()
+    hot = counts.where(F.col("_n") > limit).select(group).checkpoint()
     n_hot = hot.count()
-    if not n_hot:
-        return _median_by_window(series, group, order, col, out, width).unionByName(rest)
     hot, _ = broadcast_if_small(hot, n_hot)
     cold = _median_by_window(series.join(hot, group, "left_anti"), group, order, col, out, width)
     by_pos = _median_by_position(series.join(hot, group, "left_semi"), group, order, col, out, width)
