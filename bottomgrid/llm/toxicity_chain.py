@@ -7,8 +7,9 @@ probabilities come from models that did not see its fold, so later models
 learn to trust them as far as they deserve. The last category is the verdict.
 
 Features are the distinct words of the whole text and the first 4 to 7 bytes
-of each (stems), as 64-bit hashes; the ``features`` with the clearest
-association with the last category are kept.
+of each (stems), as 64-bit hashes; of those whose association with the last
+category is clear (``CLEAR`` standard deviations, after a continuity correction
+that tells chance from habit where rows are few), the ``features`` clearest.
 
 A text is judged by passages of ``PASSAGE`` words, each overlapping the next
 by half, the same at every length of text: the weights of all features present
@@ -16,21 +17,23 @@ add up, so weak ones would pile up in a long text. A category's probability is
 that of the text's highest passage.
 
 Learning uses a bounded sample of labelled rows: at most ``sample``
-(documented parameter; 10,000 in the query), outside the held-out fold. Each
-row trains with one passage: a first model, of one passage per row chosen by
-hash, finds each row's highest passage, and the chain learns from those, as
+(documented parameter; 10,000 in the query), outside the held-out fold; rows
+are the only bound, their texts are read whole. A first model, of all words of
+each row, finds each row's highest passage, and the chain learns from those, as
 they decide when texts are scored. The model has a fixed size. Scoring reads
 every whole text.
 
 Null and empty texts have no words and get the probabilities of the empty
-feature set. Without labelled rows of both kinds every probability is the
-share of toxic rows (0 without any). Rows are independent: repeated rows
+feature set. Without labelled rows of both kinds, or without any feature that
+tells them apart, there is no model: training warns, ``model.missing`` says why,
+and every probability is the share of toxic rows (0 without any). Rows are independent: repeated rows
 agree, an empty table stays empty, and input columns with the names of the
 results are replaced.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,12 +42,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_from_text, as_table, breaks_at, list_array, mix, struct_of_text, text_column
+from .common import add_from_text, as_table, breaks_at, list_array, struct_of_text, text_column
 from .training import FOLDS, fold, sample_ids, sigmoid
 
 BREAKS = breaks_at((0, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 STEMS = (4, 5, 6, 7)
 PASSAGE = 256  # words
+CLEAR = 3.0  # standard deviations
 
 # The chain over the columns of the labels: abuse inside otherwise good text,
 # abuse inside junk, abuse of any kind.
@@ -97,6 +101,7 @@ class ChainModel:
     vocabulary: np.ndarray
     models: list[Linear] = field(default_factory=list)
     prior: float = 0.0
+    missing: str = ""  # why there is no model
 
     def __post_init__(self):
         self.slot = np.zeros(1 << 18, bool)
@@ -189,14 +194,15 @@ def fit_chain(row: np.ndarray, col: np.ndarray, k: int, labels: np.ndarray, fold
 
 def choose_features(sample: DataFrame, label: str, n: int, positives: int, most: int) -> np.ndarray:
     """The hashes whose documents are toxic most clearly more often, or less
-    often, than others (by a z-score of at least 4, in 4 documents or more);
-    counted by Spark, at most ``most`` of them come back, sorted."""
+    often, than others: by a z-score with continuity correction of at least
+    ``CLEAR``, in 2 documents or more; counted by Spark, at most ``most`` of
+    them come back, sorted."""
     p = positives / n
     df, toxic = F.col("df"), F.col("toxic")
-    z = F.abs((toxic - df * p) / F.sqrt(df * (p * (1 - p))))
+    z = (F.abs(toxic - df * p) - 0.5) / F.sqrt(df * (p * (1 - p)))
     counts = (sample.select(F.explode("h").alias("h"), F.col(label).alias("y"))
               .groupBy("h").agg(F.count("*").alias("df"), F.sum("y").alias("toxic")))
-    best = counts.where((df >= 4) & (z >= 4)).orderBy(z.desc(), "h").limit(most).select("h").collect()
+    best = counts.where((df >= 2) & (z >= CLEAR)).orderBy(z.desc(), "h").limit(most).select("h").collect()
     return np.sort(np.array([r.h for r in best], np.int64).view(np.uint64))
 
 
@@ -214,23 +220,20 @@ def columns_of(vocabulary: np.ndarray):
     return F.arrow_udf(pick, T.ArrayType(T.IntegerType()))
 
 
-def one_passage(finder) -> Column:
-    """Distinct feature hashes of one passage of each text ``x``: the highest
-    by the broadcast model ``finder`` (of equals the first), without one the
-    passage whose hash is the least."""
+def distinct_features(finder=None) -> Column:
+    """Distinct feature hashes of each text ``x``: of its highest passage by
+    the broadcast model ``finder`` (of equals the first), without one of the
+    whole text."""
     schema = T.StructType([T.StructField("h", T.ArrayType(T.LongType()))])
 
     def distinct(texts: list[str]) -> dict:
         h, passage, text = feature_hashes(texts)
-        if finder is None:
-            mixed = np.zeros(len(text), np.uint64)
-            np.add.at(mixed, passage, h)
-            order = np.lexsort((mix(mixed), text))
-        else:
+        chosen = text
+        if finder is not None:
             order = np.lexsort((-finder.value.passages(texts)[0][:, -1], text))
-        chosen = np.full(len(text), -1)
-        best = order[np.diff(text[order], prepend=-1) != 0]
-        chosen[best] = text[best]
+            chosen = np.full(len(text), -1)
+            best = order[np.diff(text[order], prepend=-1) != 0]
+            chosen[best] = text[best]
         row = chosen[passage]
         h, row = h[row >= 0], row[row >= 0]
         order = np.lexsort((h, row))
@@ -243,42 +246,50 @@ def one_passage(finder) -> Column:
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   categories: dict[str, str] = CATEGORIES, sample: int = 6000, features: int = 3000,
-                   sample_chars: int = 20_000) -> ChainModel:
-    """Learn the chain from a bounded sample of the labelled documents (of
-    each text at most ``sample_chars`` characters)."""
+                   categories: dict[str, str] = CATEGORIES, sample: int = 6000, features: int = 3000) -> ChainModel:
+    """Learn the chain from a bounded sample of the labelled documents."""
     names = list(categories)
     # a finer category that the labels leave open is null, and not learned from
     marked = labels.select(id_col, *[F.expr(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())])
     ys = [f"y{k}" for k in range(len(names))]
     ids = sample_ids(marked, id_col, ys, sample)
-    text = F.substring(F.coalesce(text_column(docs, text_col), F.lit("")), 1, sample_chars)
+    text = F.coalesce(text_column(docs, text_col), F.lit(""))
     own = (docs.select(id_col, text.alias("x")).join(F.broadcast(ids), id_col)
            .groupBy(id_col).agg(*[F.max(c).alias(c) for c in ys], F.max("x").alias("x"))
            .select(id_col, fold(id_col).alias("f"), *ys, "x"))
     own = as_table(own, "labelled")
-    sampled = as_table(own.withColumn("h", one_passage(None)).drop("x"), "sampled")
+    sampled = as_table(own.withColumn("h", distinct_features()).drop("x"), "sampled")
     total = sampled.agg(F.count("*").alias("n"), F.sum(ys[-1]).alias("toxic")).first()
     n, positives = total["n"], int(total["toxic"] or 0)
+
+    def no_model(why: str) -> ChainModel:
+        warnings.warn(f"no toxicity model: {why}", stacklevel=2)
+        return ChainModel(names, np.empty(0, np.uint64), [], positives / n if n else 0.0, why)
+
     if positives < 2 or positives > n - 2:
-        return ChainModel(names, np.empty(0, np.uint64), [], positives / n if n else 0.0)
+        return no_model(f"{positives} toxic of {n} labelled rows")
 
     def columns(sampled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]:
         vocabulary = choose_features(sampled, ys[-1], n, positives, features)
-        cols = columns_of(vocabulary)("h") if len(vocabulary) else F.array().cast("array<int>")
-        got = (sampled.select(id_col, "f", *ys, cols.alias("c"))
+        if not len(vocabulary):
+            return vocabulary, vocabulary, vocabulary, None
+        got = (sampled.select(id_col, "f", *ys, columns_of(vocabulary)("h").alias("c"))
                .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).toArrow())
         lists = got["c"].combine_chunks()
         row = np.repeat(np.arange(n), np.diff(np.asarray(lists.offsets)))
         return vocabulary, row, np.asarray(lists.flatten()).astype(np.int64), got
 
     vocabulary, row, col, got = columns(sampled)
-    finder = fit_linear(row, col, max(len(vocabulary), 1), np.zeros((n, 0)), np.asarray(got[ys[-1]]).astype(float))
+    if not len(vocabulary):
+        return no_model("no word or stem tells toxic rows from others")
+    finder = fit_linear(row, col, len(vocabulary), np.zeros((n, 0)), np.asarray(got[ys[-1]]).astype(float))
     finder = docs.sparkSession.sparkContext.broadcast(ChainModel(names[-1:], vocabulary, [finder], positives / n))
-    sampled = as_table(own.withColumn("h", one_passage(finder)).drop("x"), "sampled")
+    sampled = as_table(own.withColumn("h", distinct_features(finder)).drop("x"), "sampled")
     vocabulary, row, col, got = columns(sampled)
+    if not len(vocabulary):
+        return no_model("no word or stem tells toxic passages from others")
     labels_ = np.column_stack([np.asarray(got[c]) for c in ys])
-    models = fit_chain(row, col, max(len(vocabulary), 1), labels_, np.asarray(got["f"]) % FOLDS)
+    models = fit_chain(row, col, len(vocabulary), labels_, np.asarray(got["f"]) % FOLDS)
     return ChainModel(names, vocabulary, models, positives / n)
 
 
