@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 
 SLICE_BYTES = 3 << 20
 
@@ -95,15 +96,39 @@ def table_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+_temporary: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("temporary", default=None)
+
+
 def as_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     and a lost executor costs nothing that was already written."""
     spark = df.sparkSession
     path = table_path(spark, name)
+    if _temporary.get() is not None:
+        _temporary.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def last_table(make: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """The result of ``make()`` as a table; the tables that it made on the way
+    are removed, whether it ends well or not."""
+    token = _temporary.set([])
+    try:
+        out = make()
+        path = table_path(spark, name)
+        out.write.parquet(path)
+        schema = out.schema
+    finally:
+        made = _temporary.get()
+        _temporary.reset(token)
+        for old in made:
+            delete_path(spark, old)
+    if _temporary.get() is not None:
+        _temporary.get().append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 # --- words as 64-bit hashes ------------------------------------------------
 
 _rng = np.random.default_rng(20240229)

@@ -4,8 +4,10 @@ Texts are sets of distinct 5-word shingles (64-bit hashes). A set's count
 vector says how many of its shingles fall into each of ``GROUPS`` hash groups;
 the summed coordinate minima of two vectors bound the overlap of the sets from
 above, and the same sum over two bounding boxes bounds every pair below them.
-R-trees over these points are joined by that bound, and surviving pairs are
-verified on the sets themselves.
+R-trees over these points are joined by that bound. What survives is bounded
+once more by vectors whose groups grow with the set (four groups a shingle, up
+to ``FINE`` of them), which see through nearly all pairs that fall just short;
+the rest is verified on the sets themselves.
 
 One R-tree over the corpus would have to compare almost all of its leaves, as
 bounding boxes of 256 coordinates overlap. So the trees grow per key, and the
@@ -24,12 +26,17 @@ n - ceil(0.8 n) + l shingles of both hold at least l common ones.
 4. The rest, exactly: a key whose nodes are in one component by now is done,
    and so is a node with too few open keys. In the open keys every node outside
    the key's largest component is joined with all nodes of the key, in bounded
-   blocks, by R-trees; pairs of different components with enough common keys
-   are verified. Of a node's open keys only the rarer ones are needed.
+   blocks, by R-trees and the finer vectors; pairs of different components with
+   enough common keys are verified. Of a node's open keys only the rarer ones
+   are needed.
 
 So every pair of linked texts ends in the same component, and no step emits
-the pairs of a group of copies. Nodes and shingles are identified by 64-bit
-hashes; nothing is sampled or capped.
+the pairs of a group of copies, or those of a family of near misses. A key that
+very many nodes share is found by a global count and its rows are salted; the
+count looks at one distinct text in ``COUNTED`` (by hash) and only decides where
+rows are dealt. Shingles are 64-bit hashes. Nodes are too, and every node keeps a
+second hash of its set: should two sets meet in one node, all nodes are hashed
+anew. Nothing is sampled or capped. All tables made on the way are removed.
 
 Nulls, empty texts and texts of white space have no shingles and are linked
 with nothing; texts of fewer than five words are one shingle. Repeated rows
@@ -47,24 +54,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WHITE, add_from_text, as_table, fresh, mix, slices, text_column, word_hashes
+from .common import WHITE, add_from_text, as_table, fresh, last_table, mix, slices, text_column, word_hashes
 from .components import components
 
 SHINGLE = 5
 GROUPS = 256
 CEILING = 65_535  # of a coordinate
-HOT = 64  # nodes of one key in one slice of texts, from which the key is salted
+FINE = 4096  # groups of the finer vectors, at most
+COUNTED = 64  # of so many distinct texts one takes part in the count of keys
+HOT = 64  # counted nodes of one key, from which the key is salted
 SALTS = 64
+HOT_KEYS = 1_000_000  # hot keys that are broadcast, at most; more are joined
 BLOCK = 1000
 BITS = 26  # of the filter that keeps sets of dropped nodes out of the shuffle
-_MARK = -(1 << 63)
 MAIN, LEFT, OTHER = 0, 1, 2  # sides of a block: a key's main component, the others, the others again
 _STEP = [np.uint64(int(pow(0xD1342543DE82EF95, k + 1, 2**64))) for k in range(SHINGLE)]
 
 
 # --- sets ------------------------------------------------------------------
 
-def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+_NODE, _CHECK = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
+_ODD = 0x9E3779B97F4A7C15
+
+
+def shingle_sets(texts: list[str], salt: int = _NODE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct shingles of all texts in order, the size of each set,
     and the node (a hash of the set)."""
     words, counts = word_hashes(texts, WHITE)
@@ -88,11 +101,16 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     h, size = h[new], np.bincount(doc[new], minlength=len(texts))
-    node = np.zeros(len(texts), np.uint64)
+    return h, size, set_hashes(h, size, salt)
+
+
+def set_hashes(h: np.ndarray, size: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of each set, whatever the order of its shingles."""
+    node = np.zeros(len(size), np.uint64)
     some = size > 0
     if some.any():
-        node[some] = np.add.reduceat(mix(h ^ np.uint64(0xA0761D6478BD642F)), (np.cumsum(size) - size)[some])
-    return h, size, mix(node + size.astype(np.uint64)).view(np.int64)
+        node[some] = np.add.reduceat(mix(h ^ np.uint64(salt)), (np.cumsum(size) - size)[some])
+    return mix(node + size.astype(np.uint64)).view(np.int64)
 
 
 def needed(n: np.ndarray) -> np.ndarray:
@@ -118,11 +136,11 @@ def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
             at += len(texts)
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _members(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[pa.RecordBatch]:
     for b, texts in _texts(batches, "text"):
-        _, size, node = shingle_sets(texts)
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node), pa.array(size.astype(np.int64))],
-                                         names=["id", "node", "n"])
+        h, size, node = shingle_sets(texts, salt)
+        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node), pa.array(size.astype(np.int64)),
+                                          pa.array(set_hashes(h, size, _CHECK))], names=["id", "node", "n", "again"])
 
 
 def _new_nodes(node: np.ndarray, size: np.ndarray, seen: set[int]) -> np.ndarray:
@@ -135,25 +153,16 @@ def _new_nodes(node: np.ndarray, size: np.ndarray, seen: set[int]) -> np.ndarray
     return keep
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, salt, node) of every prefix shingle. A key that many nodes of a
-    slice have is known to be shared: its rows are salted, and a marker in
-    salt 0 tells other tasks' rows of it."""
+def _keys(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[pa.RecordBatch]:
+    """(key, node) of every prefix shingle, once per task and node."""
     seen: set[int] = set()
     for _, texts in _texts(batches, "text"):
-        h, size, node = shingle_sets(texts)
+        h, size, node = shingle_sets(texts, salt)
         keep = _new_nodes(node, size, seen)
         doc = np.repeat(np.arange(len(size)), size)
         rank = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
         own = keep[doc] & (rank < prefix_length(size)[doc])
-        key, who = h[own].view(np.int64), node[doc[own]]
-        values, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
-        hot = counts >= HOT
-        salt = np.where(hot[inverse], 1 + (mix(who.view(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
-        marks = values[hot]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([key, marks])), pa.array(np.concatenate([salt, np.zeros(len(marks), np.int64)]).astype(np.int32)),
-             pa.array(np.concatenate([who, np.full(len(marks), _MARK)]))], names=["key", "salt", "node"])
+        yield pa.RecordBatch.from_arrays([pa.array(h[own].view(np.int64)), pa.array(node[doc[own]])], names=["key", "node"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
@@ -189,9 +198,10 @@ def _starts(t: pa.Table, by: list[str]) -> np.ndarray:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node) without repeats, of keys that more than one node has. The
-    rows come sorted by key alone (one long, which sorts fastest); most keys
-    have one row and go at once, the others are sorted here."""
+    """(key, node) without repeats, of keys that more than one node has; the
+    rows of a salted key are known to. The rows come sorted by key alone (one
+    long, which sorts fastest); most keys have one row and go at once, the
+    others are sorted here."""
     for t in _groups(batches, ["key"]):
         key, salt, node = (t.column(c).to_numpy() for c in ("key", "salt", "node"))
         at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -206,14 +216,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
         at = np.flatnonzero(new)
         count = np.diff(np.append(at, len(key)))
-        keep = ((np.repeat(count, count) > 1) | (salt > 0)) & (node != _MARK)
+        keep = (np.repeat(count, count) > 1) | (salt > 0)
         yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], names=["key", "node"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for _, texts in _texts(batches, "text"):
-        h, size, node = shingle_sets(texts)
+        h, size, node = shingle_sets(texts, salt)
         keep = _new_nodes(node, size, seen)
         data, at = h.tobytes(), np.cumsum(size) - size
         rows = np.flatnonzero(keep)
@@ -231,6 +241,62 @@ def count_vector(hashes: np.ndarray) -> np.ndarray:
     return np.minimum(counts, CEILING).astype(np.uint16)
 
 
+def groups_of(n: np.ndarray) -> np.ndarray:
+    """Groups of the finer vector of sets of n shingles: four for each, as a
+    power of two; sets that would need more than ``FINE`` have none (0)."""
+    n = np.asarray(n)
+    g = np.maximum(GROUPS, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+    return np.where(g > FINE, 0, g)
+
+
+def packed_vector(hashes: np.ndarray) -> bytes:
+    """The finer count vector with two bits a group (3 says 3 or more), or
+    the plain one of a set that is too large for it."""
+    g = int(groups_of(len(hashes)))
+    if not g:
+        return count_vector(hashes).tobytes()
+    counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % g, minlength=g)
+    four = np.minimum(counts, 3).astype(np.uint8).reshape(-1, 4)
+    return (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes()
+
+
+class Vectors:
+    """Count vectors of some sets, decoded. ``points`` has them in ``GROUPS``
+    groups (a finer one folds into fewer groups by summing); ``slack`` is how
+    many shingles of a set the two bits of its groups leave out."""
+
+    def __init__(self, packed: list[bytes], n: np.ndarray):
+        self.groups = groups_of(n)
+        self.points = np.zeros((len(packed), GROUPS), np.uint16)
+        self.slack = np.zeros(len(packed), np.int64)
+        self.fine: dict[int, np.ndarray] = {}
+        self.row = np.zeros(len(packed), np.int64)
+        for g in np.unique(self.groups).tolist():
+            rows = np.flatnonzero(self.groups == g)
+            data = np.frombuffer(b"".join(packed[k] for k in rows), np.uint8 if g else np.uint16).reshape(len(rows), -1)
+            if not g:
+                self.points[rows] = data
+                continue
+            counts = ((data[:, :, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3).reshape(len(rows), g)
+            self.fine[g], self.row[rows] = counts, np.arange(len(rows))
+            self.points[rows] = counts.reshape(len(rows), -1, GROUPS).sum(1)
+            self.slack[rows] = n[rows] - counts.sum(1, dtype=np.int64)
+
+    def overlap(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bounds of the overlaps of pairs, by the finer vectors where both
+        sets have one (in the fewer groups of the two)."""
+        out = np.minimum(self.points[a], self.points[b]).sum(1, dtype=np.int64)
+        for ga in self.fine:
+            for gb in self.fine:
+                here = np.flatnonzero((self.groups[a] == ga) & (self.groups[b] == gb))
+                g = min(ga, gb)
+                for k in range(0, len(here), 2048):
+                    at = here[k:k + 2048]
+                    x, y = (self.fine[h][self.row[i[at]]].reshape(len(at), -1, g).sum(1, dtype=np.uint8) for h, i in ((ga, a), (gb, b)))
+                    out[at] = np.minimum(x, y).sum(1, dtype=np.int64)
+        return out + self.slack[a] + self.slack[b]
+
+
 def may_link(bound: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Jaccard >= 0.8 for sizes a, b and an overlap of at most ``bound``; sets
     that may hold more in one group than a coordinate can say always may."""
@@ -244,8 +310,9 @@ class CountRTree:
 
     LEAF, FAN = 16, 8
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, slack: int = 0):
         m = len(points)
+        self.slack = slack  # what any point's coordinates may leave out
         order = np.argsort(sizes, kind="stable")
         slab = self.LEAF * max(1, int(np.ceil(np.sqrt(m / self.LEAF))))
         for a in range(0, m, slab):
@@ -280,7 +347,7 @@ class CountRTree:
             (ha, na, ta), (hb, nb, tb) = self.levels[la], other.levels[lb]
             ok = (5 * ta[a] >= 4 * nb[b]) & (5 * tb[b] >= 4 * na[a])
             a, b = a[ok], b[ok]
-            bound = np.minimum(ha[a], hb[b]).sum(1, dtype=np.int64)
+            bound = np.minimum(ha[a], hb[b]).sum(1, dtype=np.int64) + self.slack + other.slack
             ok = may_link(bound, na[a], nb[b])
             a, b, bound = a[ok], b[ok], bound[ok]
             if not len(a):
@@ -359,7 +426,7 @@ def _links_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        vec = [count_vector(np.frombuffer(x.as_py(), np.uint64)).tobytes() for x in b.column("hashes")]
+        vec = [packed_vector(np.frombuffer(x.as_py(), np.uint64)) for x in b.column("hashes")]
         yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(vec, pa.binary())],
                                          names=["node", "n", "vec"])
 
@@ -381,13 +448,15 @@ def _leaf_pairs(starts: np.ndarray, ends: np.ndarray, side: np.ndarray) -> tuple
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes of different components that the R-trees of a block's
-    two sides let through, and how many of the keys seen here have them. Of
-    two nodes outside the key's main component only one order counts."""
+    two sides and then the finer vectors let through, and how many of the keys
+    seen here have them. Of two nodes outside the key's main component only
+    one order counts."""
     by = ["key", "i", "j"]
     for t in _groups(batches, by):
         t = t.combine_chunks()
         node, comp, n, side = (t.column(c).to_numpy() for c in ("node", "component", "n", "side"))
-        vec = np.frombuffer(b"".join(x.as_py() for x in t.column("vec")), np.uint16).reshape(-1, GROUPS)
+        vectors = Vectors(t.column("vec").to_pylist(), n)
+        vec, slack = vectors.points, vectors.slack
         starts = _starts(t, by)
         ends = np.append(starts[1:], t.num_rows)
         small = ends - starts <= 2 * CountRTree.LEAF
@@ -401,17 +470,19 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y = keep(*_leaf_pairs(starts[small], ends[small], side))
         for k in range(0, len(x), 1 << 14):
             a, b = x[k:k + (1 << 14)], y[k:k + (1 << 14)]
-            ok = may_link(np.minimum(vec[a], vec[b]).sum(1, dtype=np.int64), n[a], n[b])
+            ok = may_link(np.minimum(vec[a], vec[b]).sum(1, dtype=np.int64) + slack[a] + slack[b], n[a], n[b])
             xs.append(a[ok])
             ys.append(b[ok])
         for a, b in zip(starts[~small], ends[~small]):
             li, ri = a + np.flatnonzero(side[a:b] == LEFT), a + np.flatnonzero(side[a:b] != LEFT)
             if len(li) and len(ri):
-                x, y, _ = CountRTree(vec[li], n[li]).join(CountRTree(vec[ri], n[ri]))
+                x, y, _ = CountRTree(vec[li], n[li], int(slack[li].max())).join(CountRTree(vec[ri], n[ri], int(slack[ri].max())))
                 x, y = keep(li[x], ri[y])
                 xs.append(x)
                 ys.append(y)
         x, y = np.concatenate(xs or [np.empty(0, np.int64)]), np.concatenate(ys or [np.empty(0, np.int64)])
+        fine = may_link(vectors.overlap(x, y), n[x], n[y])
+        x, y = x[fine], y[fine]
         pairs, times = np.unique(np.column_stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])]),
                                  axis=0, return_counts=True) if len(x) else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(times.astype(np.int64))],
@@ -443,9 +514,23 @@ def _only_these(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     return out.join(nodes.select("node").distinct(), "node").dropDuplicates(["node"])
 
 
-def _shared_keys(docs: DataFrame) -> DataFrame:
-    keys = docs.select("text").mapInArrow(_keys, "key long, salt int, node long")
-    return (keys.repartition("key", "salt").sortWithinPartitions("key")
+def _shared_keys(docs: DataFrame, salt: int) -> DataFrame:
+    """(key, node) of keys that more than one node has. The rows of hot keys
+    are salted: keys are counted over one distinct text in ``COUNTED``."""
+    def keys(texts: DataFrame) -> DataFrame:
+        return texts.select("text").mapInArrow(lambda it: _keys(it, salt), "key long, node long")
+
+    counted = keys(docs.where(F.expr(f"pmod(xxhash64(text), {COUNTED})") == 0)).distinct()
+    hot = as_table(counted.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= HOT).select("key"), "hot-keys")
+    n = hot.count()
+    rows = keys(docs)
+    if n:
+        hot = hot.withColumn("hot", F.lit(True))
+        rows = rows.join(F.broadcast(hot) if n <= HOT_KEYS else hot, "key", "left")
+        rows = rows.select("key", F.when(F.col("hot"), F.expr(f"CAST(1 + pmod(xxhash64(node), {SALTS}) AS INT)")).otherwise(0).alias("salt"), "node")
+    else:
+        rows = rows.select("key", F.lit(0).alias("salt"), "node")
+    return (rows.repartition("key", "salt").sortWithinPartitions("key")
             .mapInArrow(_shared, "key long, node long"))
 
 
@@ -523,13 +608,30 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     from it, itself included), node (its set) and component (of nodes; null
     without shingles)."""
     docs = df.select(F.col(f"`{id_col}`").alias("id"), text_column(df, text_col).alias("text"))
-    kind = dict(docs.dtypes)["id"]
-    members = as_table(docs.mapInArrow(_members, f"id {kind}, node long, n long"), "members")
-    classes = members.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"))
+    return last_table(lambda: _groups_of(docs, id_col, block), df.sparkSession, "jaccard-groups")
 
-    shared = as_table(_shared_keys(docs), "shared")
+
+def _nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Members (id, node, n), classes (node, id, n), and the salt of the node
+    hash under which no two different sets met in one node."""
+    kind = dict(docs.dtypes)["id"]
+    salt = _NODE
+    while True:
+        own = salt
+        members = as_table(docs.mapInArrow(lambda it: _members(it, own), f"id {kind}, node long, n long, again long"), "members")
+        classes = members.where("n > 0").groupBy("node").agg(
+            F.min("id").alias("id"), F.max("n").alias("n"), F.min("again").alias("x"), F.max("again").alias("y"))
+        classes = as_table(classes.select("node", "id", "n", (F.col("x") != F.col("y")).alias("met")), "classes")
+        if classes.where("met").isEmpty():
+            return members.drop("again"), classes.drop("met"), salt
+        salt = (salt + _ODD) % 2**64
+
+
+def _groups_of(docs: DataFrame, id_col: str, block: int) -> DataFrame:
+    members, classes, salt = _nodes(docs)
+    shared = as_table(_shared_keys(docs, salt), "shared")
     rows = _still_open(shared.join(classes.select("node", "n"), "node").withColumn("component", F.col("node")))
-    sets = docs.select("text").mapInArrow(_sets, "node long, n long, hashes binary")
+    sets = docs.select("text").mapInArrow(lambda it: _sets(it, salt), "node long, n long, hashes binary")
     sets = as_table(_only_these(sets, rows.select("node").distinct()), "sets")
 
     links = as_table(_first_links(rows, sets, block), "links")
@@ -559,7 +661,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with one row of every group of linked texts: the one whose id is
     least (one of them where rows repeat an id). Rows without shingles stay."""
-    groups = as_table(jaccard_groups(df, id_col, text_col), "groups")
+    groups = jaccard_groups(df, id_col, text_col)
     i, node, rows = fresh("id"), fresh("node"), fresh("rows")
     mine = F.col(id_col).eqNullSafe(F.col("component_id"))
     ids = groups.groupBy(F.col(id_col).alias(i)).agg(F.count("*").alias(rows), F.max(mine).alias("stay"))

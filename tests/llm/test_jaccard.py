@@ -112,41 +112,136 @@ def test_sets_do_not_depend_on_the_batch():
         assert s[0] == size[k] and n[0] == node[k]
 
 
-def test_hot_keys_are_salted_and_stay_whole():
-    """Two tasks see a passage: hot in one, rare in the other. Its key comes
-    back with every node, and keys of one node do not come back."""
+def test_hot_keys_are_salted_and_stay_whole(spark, monkeypatch):
+    """A passage that a few texts of every batch have: its key is found by the
+    global count, dealt over salts, and comes back with every node; keys of one
+    node do not come back."""
     import collections
 
-    import pyarrow as pa
-
     from bottomgrid.llm import jaccard_rtree as j
+    monkeypatch.setattr(j, "COUNTED", 2)
+    monkeypatch.setattr(j, "HOT", 16)
     rnd = random.Random(11)
     vocab = [f"v{k}" for k in range(5000)]
-    passage = " ".join(rnd.choice(vocab) for _ in range(40))
-    texts = [passage + " " + " ".join(rnd.choice(vocab) for _ in range(8)) for _ in range(150)]
-    texts += [" ".join(rnd.choice(vocab) for _ in range(30)) for _ in range(20)] + texts[:5] + [None, ""]
-    tasks = [texts[:100] + texts[150:], texts[100:103] + [None]]
-    rows, want = [], collections.defaultdict(set)
-    for part in tasks:
-        out = list(j._keys(iter([pa.RecordBatch.from_arrays([pa.array(part, pa.string())], names=["text"])])))
-        rows += [tuple(r.values()) for b in out for r in b.to_pylist()]
-        h, size, node = shingle_sets([x or "" for x in part])
-        at = 0
-        for n, who in zip(size, node):
-            for key in h[at:at + n][:j.prefix_length(np.array([n]))[0]].view(np.int64):
-                want[key].add(who)
-            at += n
-    assert max(s for _, s, _ in rows) > 0
-    rnd.shuffle(rows)
-    rows.sort(key=lambda r: r[0])      # by key alone
-    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part], pa.int32()),
-                                           pa.array([r[2] for r in part])], names=["key", "salt", "node"])
-               for part in (rows[k:k + 37] for k in range(0, len(rows), 37))]
-    got = collections.defaultdict(list)
-    for b in j._shared(iter(batches)):
-        for r in b.to_pylist():
-            got[r["key"]].append(r["node"])
-    assert {k: sorted(v) for k, v in got.items()} == {int(k): sorted(v) for k, v in want.items() if len(v) > 1}
+    new = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    passage = new(40)
+    texts = [passage + " " + new(8) for _ in range(150)] + [new(30) for _ in range(300)]
+    rnd.shuffle(texts)
+    texts += texts[:5] + [None, ""]
+    want = collections.defaultdict(set)
+    h, size, node = shingle_sets([x or "" for x in texts])
+    ends = np.cumsum(size)
+    for a, n, who in zip(ends - size, size, node):
+        for key in h[a:a + n][:j.prefix_length(np.array([n]))[0]].view(np.int64):
+            want[int(key)].add(int(who))
+    df = spark.createDataFrame([(x,) for x in texts], "text string").repartition(30)
+    for few in (j.HOT_KEYS, 0):      # hot keys broadcast, and joined
+        monkeypatch.setattr(j, "HOT_KEYS", few)
+        got = collections.defaultdict(list)
+        rows = j._shared_keys(df, j._NODE)
+        for r in rows.collect():
+            got[r.key].append(r.node)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if len(v) > 1}
+    assert max(map(len, got.values())) > 20
+
+
+def test_finer_vectors_lose_no_link():
+    from bottomgrid.llm.jaccard_rtree import FINE, Vectors, groups_of, packed_vector
+    rng = np.random.default_rng(8)
+    base = [np.unique(rng.integers(0, 2**63, int(n), dtype=np.uint64)) for n in (1, 3, 40, 63, 65, 200, 500, 900, 1024, 1100, 3000)]
+    sets = base + [np.unique(np.concatenate([s[: max(1, int(len(s) * f))], rng.integers(0, 2**63, max(1, int(len(s) * (1 - f))), dtype=np.uint64)]))
+                   for s in base for f in (0.95, 0.9, 0.88, 0.85, 0.8, 0.75, 0.6)]
+    n = np.array([len(s) for s in sets])
+    v = Vectors([packed_vector(s) for s in sets], n)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    true = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    bound = v.overlap(a, b)
+    coarse = np.minimum(v.points[a], v.points[b]).sum(1, dtype=np.int64) + v.slack[a] + v.slack[b]
+    assert (bound >= true).all() and (coarse >= true).all()
+    # and they tell near misses from links, where sets are of middle size
+    near = (n[a] > 60) & (groups_of(n[a]) > 0) & (groups_of(n[b]) > 0) & (true / (n[a] + n[b] - true) > 0.6) & (a != b)
+    assert near.any() and (bound[near] - true[near] <= 0.08 * n[a][near] + 3).all()
+    assert groups_of(np.array([1, 64, 65, 1024, 1025])).tolist() == [256, 256, 512, FINE, 0]
+
+
+def test_a_family_of_near_misses(spark, monkeypatch):
+    """2,000 texts that share a common base but for a stretch of their own, so
+    that most pairs have a Jaccard of 0.64 to 0.8 and only those with the same
+    stretch are linked. Results as of all pairs, and hardly more pairs leave
+    the blocks than are links between components."""
+    from bottomgrid.llm import jaccard_rtree as j
+    rnd = random.Random(4)
+    base = [f"b{k}" for k in range(300)]
+    texts, at = [], []
+    for k in range(2000):
+        at.append(rnd.randrange(240))
+        w = list(base)
+        w[at[-1]:at[-1] + 28] = [f"x{k}_{i}" for i in range(28)]
+        texts.append(" ".join(w))
+    # common shingles of all pairs: those of the base that both still have
+    has = np.ones((2000, 296), np.int32)
+    for k, p in enumerate(at):
+        has[k, max(p - 4, 0):p + 28] = 0
+    own = 296 - has.sum(1)
+    both = has @ has.T
+    union = (296 * 2) - both
+    link = 100 * both >= 80 * union
+    assert own.min() >= 28 and ((both / union > 0.7) & ~link).sum() > 500_000
+    least = np.arange(2000)
+    while True:
+        new = np.array([least[row].min() for row in link | np.eye(2000, dtype=bool)])
+        if (new == least).all():
+            break
+        least = new
+    counts = {}
+    real = j.as_table
+
+    def noted(df, name):
+        out = real(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(j, "as_table", noted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in jaccard_groups(df, block=200).collect()}
+    assert [got[k] for k in range(2000)] == least.tolist() and len(set(least.tolist())) > 200
+    assert counts["pairs"] < 20_000, counts
+
+
+def test_no_table_stays_behind_but_the_result(spark):
+    from bottomgrid.session import checkpoint_dir, child_names
+    before = set(child_names(spark, checkpoint_dir(spark)))
+    df = spark.createDataFrame(corpus(3, 10)[:60], "doc_id long, text string")
+    out = jaccard_groups(df)
+    new = set(child_names(spark, checkpoint_dir(spark))) - before
+    assert len(new) == 1 and out.count() == 60
+
+
+def test_nodes_that_meet_are_hashed_anew(spark, monkeypatch):
+    """A node hash under which all sets meet is given up."""
+    from bottomgrid.llm import jaccard_rtree as j
+    real = j.set_hashes
+
+    def weak(h, size, salt):
+        return real(h, size, salt) if salt != j._NODE else np.ones(len(size), np.int64)
+
+    monkeypatch.setattr(j, "set_hashes", weak)
+    import pyarrow as pa
+    texts = ["a b c d e f", "g h i j k l", "a b c d e f"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], names=["id", "text"])
+    first = pa.Table.from_batches(j._members(iter([batch]), j._NODE)).to_pydict()
+    assert first["node"] == [1, 1, 1] and first["again"][0] == first["again"][2] != first["again"][1]
+    second = pa.Table.from_batches(j._members(iter([batch]), (j._NODE + j._ODD) % 2**64)).to_pydict()
+    assert second["node"][0] == second["node"][2] != second["node"][1]
+
+
+def test_columns_of_the_input_may_clash(spark):
+    rows = [(1, "a b c d e f", "n"), (2, "a b c d e f", "n"), (3, None, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node string").selectExpr(
+        "*", "'x' AS component_id", "5 AS n_shingles", "7 AS id", "'k' AS key")
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_groups(df).collect()) == [(1, 2, 1), (2, 2, 1), (3, 0, 3)]
+    kept = keep_one_of_each_group(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
 def test_groups_span_batches():
