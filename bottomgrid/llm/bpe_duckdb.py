@@ -68,6 +68,7 @@ STRICT = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?(?:(?!{NEWER})\p{{L}})+| ?(?:(?!{NEWER})\
 WORD_BYTES = 1 << 20  # of the words of one recursive query, unless one word is longer
 CACHED_WORDS = 300_000  # of a Python worker, in each of two generations
 
+TEXT_BYTES = 6 << 20  # of the texts that are encoded together, about
 SHORT_WORD = 64  # bytes; longer words are worth cutting into parts
 
 # One pair per word and round.
@@ -267,7 +268,7 @@ def bpe_encode(df: DataFrame, rank_file: str, text_col: str = "text", tokens_col
             out[decoded_col] = pa.array(tokenizer.decode(packed), pa.binary())
         return out
 
-    return add_from_text(df, text_col, schema, run)
+    return add_from_text(df, text_col, schema, run, TEXT_BYTES)
 
 
 def bpe_decode(df: DataFrame, rank_file: str, tokens_col: str = "tokens", decoded_col: str = "decoded") -> DataFrame:

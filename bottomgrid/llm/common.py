@@ -51,16 +51,17 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[str]]:
 
 
 def struct_of_text(text: Column, schema: T.StructType,
-                   fn: Callable[[list[str]], dict[str, pa.Array | np.ndarray | list]]) -> Column:
+                   fn: Callable[[list[str]], dict[str, pa.Array | np.ndarray | list]], limit: int = SLICE_BYTES) -> Column:
     """An Arrow-batched function of one text column that returns a struct.
-    ``fn`` gets bounded lists of texts and returns one array per field."""
+    ``fn`` gets lists of texts of about ``limit`` bytes and returns one array
+    per field."""
     names = schema.names
     kinds = [_arrow_type(f.dataType) for f in schema]
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in arrays:
             parts: list[list[pa.Array]] = [[] for _ in names]
-            for texts in slices(arr):
+            for texts in slices(arr, limit):
                 got = fn(texts)
                 for p, n, k in zip(parts, names, kinds):
                     p.append(got[n] if isinstance(got[n], pa.Array) else pa.array(got[n], k))
@@ -71,10 +72,10 @@ def struct_of_text(text: Column, schema: T.StructType,
     return F.arrow_udf(run, schema)(text)
 
 
-def add_from_text(df: DataFrame, text_col: str, schema: T.StructType, fn: Callable) -> DataFrame:
+def add_from_text(df: DataFrame, text_col: str, schema: T.StructType, fn: Callable, limit: int = SLICE_BYTES) -> DataFrame:
     """``df`` plus the fields of ``struct_of_text`` (same names are replaced)."""
     tmp = fresh("s")
-    out = df.withColumn(tmp, struct_of_text(text_column(df, text_col), schema, fn))
+    out = df.withColumn(tmp, struct_of_text(text_column(df, text_col), schema, fn, limit))
     return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in schema.names],
                       *[F.col(f"{tmp}.{n}").alias(n) for n in schema.names])
 

@@ -1,9 +1,10 @@
 """Licence scanning with DataFrame functions only.
 
-Units of a text (its lines, and its paragraphs between blank lines) are
-normalised to lower-case letter and digit words and compared with licence
-templates by the Dice coefficient over distinct word bigrams,
-2 * common / (unit + template). Sizes bound it: with Dice >= t one size is at
+Units of a text (its lines, its paragraphs between blank lines, the sentences
+of each paragraph and every two neighbouring ones, so that a notice between
+other words is a unit too) are normalised to lower-case letter and digit words
+and compared with licence templates by the Dice coefficient over distinct word
+bigrams, 2 * common / (unit + template). Sizes bound it: with Dice >= t one size is at
 most (2 - t) / t times the other, so a template is compared only with units in
 its size range. Such a pair also shares at least t / (2 - t) of the template's
 bigrams; ``key_words`` are chosen so that more than the remaining share of every
@@ -14,9 +15,11 @@ Sibling licences differ in one word, so a template counts only if the unit also
 has the markers of its licence (version, variant words) and none that speak for
 another; a licence without a template is left out, not taken for its neighbour.
 
-The templates are few and fixed, so they are part of the plan; a row is judged
+The templates are few and fixed, so they are one constant of the plan; a row is judged
 from its own text without a shuffle. Null and empty texts, and units of no
-word, match nothing; a unit of one word has that word as its only gram. Ties
+word, match nothing; a unit of one word has that word as its only gram; units
+that read the same count once. A notice that is more than two sentences inside
+a longer paragraph is found sentence by sentence. Ties
 in Dice go to the template listed first. Rows are independent: repeated rows
 agree, an empty table stays empty, and input columns with the names of the
 results are replaced.
@@ -24,6 +27,7 @@ results are replaced.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from fractions import Fraction
@@ -109,6 +113,23 @@ TEMPLATES += tuple(t for v, port in _PORTS.items() for c, words in _CC.items() f
     (f"CC-{c}-{v}", f"This work is licensed under a Creative Commons {words} {v} {port} License."),
     (f"CC-{c}-{v}", f"Licensed under CC {c} {v}.")) if t not in TEMPLATES)
 
+# headings of licence files, and tags in sources
+TEMPLATES += (
+    ("MIT", "MIT License"), ("MIT", "The MIT License"), ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MIT", "Distributed under the MIT License."), ("MIT", "Licensed under the MIT License."),
+    ("Apache-2.0", "Apache License, Version 2.0"), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD", "BSD 3-Clause License"), ("BSD", "BSD 2-Clause License"), ("BSD", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD", "SPDX-License-Identifier: BSD-2-Clause"), ("ISC", "ISC License"), ("ISC", "SPDX-License-Identifier: ISC"),
+    ("GPL-3.0", "GNU General Public License, Version 3"), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("GPL-2.0", "GNU General Public License, Version 2"), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("LGPL-3.0", "GNU Lesser General Public License, Version 3"), ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0"),
+    ("LGPL-2.1", "GNU Lesser General Public License, Version 2.1"), ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1"),
+    ("AGPL-3.0", "GNU Affero General Public License, Version 3"), ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0"),
+    ("MPL-2.0", "Mozilla Public License, Version 2.0"), ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"), ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+)
+
 # Licence: expressions that a unit must all have, and one that it must not
 # have, over its bigrams joined by bars.
 _SA, _NC, _ND = r"sharealike|share alike|\bsa\b", r"non ?commercial|\bnc\b", r"no ?deriv|\bnd\b"
@@ -119,15 +140,15 @@ MARKERS: dict[str, tuple[tuple[str, ...], str | None]] = {
     "Apache-1.1": ((r"\bapache\b", r"\b1 1\b"), None),
     "BSD": ((r"\bbsd\b|binary forms|its contributors|(and|or) contributors",), None),
     "ISC": ((r"\bisc\b|without fee|author disclaims",), None),
-    "GPL-3.0": ((r"general public", r"\b(version|v|license) 3\b"), _OTHER_GPL),
-    "GPL-2.0": ((r"general public", r"\b(version|v|license) 2\b"), _OTHER_GPL),
+    "GPL-3.0": ((r"general public|\bgpl\b", r"\b(version|v|license|gpl) 3\b"), _OTHER_GPL),
+    "GPL-2.0": ((r"general public|\bgpl\b", r"\b(version|v|license|gpl) 2\b"), _OTHER_GPL),
     "GPL": ((r"general public",), _OTHER_GPL),
-    "AGPL-3.0": ((r"\baffero\b", r"\b(version|v|license) 3\b"), None),
+    "AGPL-3.0": ((r"\baffero\b|\bagpl\b", r"\b(version|v|license|agpl) 3\b"), None),
     "AGPL": ((r"\baffero\b",), None),
-    "LGPL-3.0": ((r"\blesser\b", r"\b(version|v|license) 3\b"), None),
-    "LGPL-2.1": ((r"\blesser\b", r"\b2 1\b"), None),
+    "LGPL-3.0": ((r"\blesser\b|\blgpl\b", r"\b(version|v|license|lgpl) 3\b"), None),
+    "LGPL-2.1": ((r"\blesser\b|\blgpl\b", r"\b2 1\b"), None),
     "LGPL": ((r"\blesser\b|\blibrary general\b",), r"\baffero\b"),
-    "MPL-2.0": ((r"\bmozilla\b", r"\b2 0\b|\b(version|v|license) 2\b"), None),
+    "MPL-2.0": ((r"\bmozilla\b|\bmpl\b", r"\b2 0\b|\b(version|v|license) 2\b"), None),
     "MPL-1.1": ((r"\bmozilla\b", r"\b1 1\b"), None),
     "CC0-1.0": ((r"\bwaived\b|\bcc0\b",), None),
     **{f"CC-{c}-{v}": ((r"\b" + v.replace(".", " ") + r"\b", *[x for n, x in (("SA", _SA), ("NC", _NC), ("ND", _ND)) if n in c]),
@@ -136,6 +157,9 @@ MARKERS: dict[str, tuple[tuple[str, ...], str | None]] = {
 }
 THRESHOLD = 0.8
 SEPARATOR = "[^a-z0-9]+"
+PARAGRAPH = r"\n[\x20\t\r]*\n"
+SENTENCE_END = r"([.!?])[\x20\t\r\n]+"
+CUT = "\x01"
 
 
 def bigrams(words: list[str]) -> list[str]:
@@ -192,28 +216,32 @@ def scan_licenses(df: DataFrame, text_col: str = "text", templates=TEMPLATES,
     out = df.withColumn(t, text)
     # a unit of n distinct bigrams has at least n words of 1 or more letters;
     # too many characters alone do not exclude it, as words may repeat
-    parts = F.array_distinct(F.concat(F.split(t, "\n"), F.split(t, r"\n[\x20\t\r]*\n")))
-    norm = F.transform(parts, lambda u: F.trim(F.regexp_replace(F.lower(u), SEPARATOR, " ")))
+    paragraphs = F.split(t, PARAGRAPH)
+    cut = F.transform(paragraphs, lambda u: F.split(F.regexp_replace(u, SENTENCE_END, f"$1{CUT}"), CUT))
+    two = lambda s: F.zip_with(F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s) - 1),
+                               lambda a, b: F.concat_ws(" ", a, b))
+    parts = F.array_distinct(F.concat(F.split(t, "\n"), paragraphs, F.flatten(cut),
+                                      F.flatten(F.transform(F.filter(cut, lambda s: F.size(s) > 1), two))))
+    parts = F.filter(parts, lambda u: F.lower(u).rlike(some))
+    norm = F.array_distinct(F.transform(parts, lambda u: F.trim(F.regexp_replace(F.lower(u), SEPARATOR, " "))))
     words = lambda u: F.size(F.split(u, " "))
     out = out.withColumn(units, norm)
     out = out.withColumn(units, F.filter(units, lambda u: (u != "") & u.rlike(some) & (words(u) >= (low if low == 1 else low + 1))))
     out = out.withColumn(grams, F.filter(F.transform(units, _grams), lambda g: F.size(g).between(low, high)))
 
+    table = F.from_json(F.lit(json.dumps([
+        {"k": -k, "lo": lo, "hi": hi, "grams": mine, "must": list(MARKERS.get(name, ((), None))[0]), "never": MARKERS.get(name, ((), None))[1]}
+        for k, ((name, mine), (lo, hi)) in enumerate(zip(sets, ranges))])),
+        "array<struct<k:int,lo:int,hi:int,grams:array<string>,must:array<string>,never:string>>")
+
     def score(g: Column) -> Column:
         """(dice, -template) of the best template for a unit; null if none."""
-        each = []
-        for k, ((_, mine), (a, b)) in enumerate(zip(sets, ranges)):
-            lit = F.array(*[F.lit(x) for x in mine])
-            dice = F.size(F.array_intersect(g, lit)) * 2.0 / (F.size(g) + F.lit(len(mine)))
-            must, never = MARKERS.get(sets[k][0], ((), None))
-            joined = F.array_join(g, " | ")
-            ok = dice >= threshold
-            for m in must:
-                ok = ok & joined.rlike(m)
-            ok = ok & ~joined.rlike(never) if never else ok
-            each.append(F.when(F.size(g).between(a, b) & ok,
-                               F.struct(dice.alias("dice"), F.lit(-k).alias("k"))))
-        return F.greatest(*each)
+        dice = lambda m: F.size(F.array_intersect(g, m["grams"])) * 2.0 / (F.size(g) + F.size(m["grams"]))
+        near = F.filter(F.filter(table, lambda m: F.size(g).between(m["lo"], m["hi"])), lambda m: dice(m) >= threshold)
+        joined = F.array_join(g, " | ")
+        ours = F.filter(near, lambda m: F.forall(m["must"], lambda x: F.rlike(joined, x))
+                        & F.coalesce(~F.rlike(joined, m["never"]), F.lit(True)))
+        return F.array_max(F.transform(ours, lambda m: F.struct(dice(m).alias("dice"), m["k"].alias("k"))))
 
     out = out.withColumn(best, F.filter(F.transform(grams, score), lambda s: s.isNotNull()))
     names = F.array(*[F.lit(n) for n, _ in sets])

@@ -32,8 +32,32 @@ MAX_LOST_PERCENT = 40
 END_MARK = r"[.!?:;,\"')\]…。！？»”]\s*$"
 SHOUT = r"\p{Lu}{2}[^\p{Ll}]*!!"
 SEPARATORS = r"(?:\|.*){3}|(?:[»›•·].*){3}"
-NOTICES = (r"(?i)\b(?:all rights reserved|cookies?|javascript|privacy policy|terms of (?:use|service)|"
-           r"click here|subscribe now|sign (?:in|up)|log ?in)\b")
+# Notices of web pages in English, German, French and Spanish. A line is one if
+# it reserves all rights, or if it has cues of two kinds; one word that prose
+# may have as well (cookies, to log in) says nothing. Accented letters are dots,
+# as capitals fold in ASCII only.
+_EDGE, _END = r"(?:^|[^a-zà-ÿ])", r"(?:[^a-zà-ÿ]|$)"
+
+
+def _cue(*words: str) -> str:
+    return f"(?i){_EDGE}(?:{'|'.join(words)}){_END}"
+
+
+RIGHTS = _cue("all rights reserved", "alle rechte vorbehalten", "tous droits r.serv.s", "todos los derechos reservados")
+CUES = (
+    _cue("copyright", r"\(c\) [0-9]{4}", "© ?[0-9]{4}"),
+    _cue("cookies?"),
+    _cue("accept(?: all)?", "akzeptieren", "zustimmen", "accepter", "aceptar", "consent", "by (?:using|continuing)"),
+    _cue("privacy policy", "datenschutz(?:erkl.rung)?", "politique de confidentialit.", "pol.tica de privacidad",
+         "terms of (?:use|service)", "nutzungsbedingungen", "conditions d.utilisation", "t.rminos de uso"),
+    _cue("log ?in", "sign in", "anmelden", "einloggen", "se connecter", "iniciar sesi.n"),
+    _cue("sign up", "register", "registrieren", "s.inscrire", "registrarse", "forgot (?:your )?password", "passwort vergessen"),
+    _cue("click here", "hier klicken", "cliquez ici", "haga clic"),
+    _cue("subscribe", "newsletter", "abonnieren", "s.abonner", "suscr.bete", "suscribirse"),
+    _cue("javascript", "browser", "navigateur", "navegador"),
+    _cue("website", "web site", "webseite", "site web", "sitio web"),
+)
+ANY_CUE = "(?i)" + "|".join(c.removeprefix("(?i)") for c in (RIGHTS, *CUES))
 MIN_LINE_WORDS = 4
 MAX_SYMBOLS_PER_WORD = 0.3
 
@@ -56,6 +80,12 @@ def _repeat_words(w: str) -> Column:
         END) END""").cast("long")
 
 
+def is_notice(line: Column) -> Column:
+    """All rights reserved, or cues of two kinds."""
+    cues = sum((F.rlike(line, F.lit(c)).cast("int") for c in CUES[1:]), F.rlike(line, F.lit(CUES[0])).cast("int"))
+    return F.rlike(line, F.lit(RIGHTS)) | (cues > 1)
+
+
 def line_verdict(line: Column) -> Column:
     """Why a line fails: navigation, boilerplate, punctuation; null if it
     passes (as lines without a word do, which hold nothing to lose)."""
@@ -63,7 +93,7 @@ def line_verdict(line: Column) -> Column:
     return (F.when(words == 0, F.lit(None))
             .when(F.rlike(line, F.lit(SEPARATORS)), F.lit("navigation"))
             .when(_count(line, SYMBOLS) > words * MAX_SYMBOLS_PER_WORD, F.lit("boilerplate"))
-            .when((words < 25) & F.rlike(line, F.lit(NOTICES)), F.lit("boilerplate"))
+            .when((words < 25) & F.rlike(line, F.lit(ANY_CUE)) & is_notice(line), F.lit("boilerplate"))
             .when(F.rlike(line, F.lit(SHOUT)), F.lit("punctuation"))
             .when((words < MIN_LINE_WORDS) & ~F.rlike(line, F.lit(END_MARK)), F.lit("punctuation")))
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from . import line_rules as lr
-from .licenses import TEMPLATES, THRESHOLD, template_grams
+from .licenses import MARKERS, PARAGRAPH, SENTENCE_END, TEMPLATES, THRESHOLD, template_grams
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WHITE = r"[^\x20\x09-\x0D]+"
+NOTHING = "[^\\x00-\\x{10FFFF}]"  # matches no text
 _ITEM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 NGRAM_JACCARD = rf"""
@@ -46,6 +47,9 @@ def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
+_NOTICE = (f"regexp_matches(line, '{_q(lr.RIGHTS)}') OR "
+           + " + ".join(f"CAST(regexp_matches(line, '{_q(c)}') AS INT)" for c in lr.CUES) + " > 1")
+
 QUALITY_RULES = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '{_WHITE}') AS w FROM documents),
 l AS (SELECT doc_id, line, regexp_extract_all(line, '{_WHITE}') AS lw
@@ -53,7 +57,7 @@ l AS (SELECT doc_id, line, regexp_extract_all(line, '{_WHITE}') AS lw
 v AS (SELECT doc_id, line, len(lw) AS n, length(array_to_string(lw, '')) AS chars,
   len(lw) > 0 AND (regexp_matches(line, '{_q(lr.SEPARATORS)}')
     OR len(regexp_extract_all(line, '{lr.SYMBOLS}')) > len(lw) * {lr.MAX_SYMBOLS_PER_WORD}
-    OR (len(lw) < 25 AND regexp_matches(line, '{_q(lr.NOTICES)}'))
+    OR (len(lw) < 25 AND ({_NOTICE}))
     OR regexp_matches(line, '{_q(lr.SHOUT)}')
     OR (len(lw) < {lr.MIN_LINE_WORDS} AND NOT regexp_matches(line, '{_q(lr.END_MARK)}'))) AS fails FROM l),
 per AS (SELECT doc_id, sum(CASE WHEN fails THEN chars ELSE 0 END) AS lost,
@@ -70,20 +74,30 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND lost * 100 <= word_chars * {lr.MAX_LOST_PERCENT} AS kept FROM f"""
 
+def _texts(xs) -> str:
+    return "[" + ", ".join(f"'{_q(x)}'" for x in xs) + "]::VARCHAR[]"
+
+
 _LICENSE_ROWS = ", ".join(
-    f"({k}, '{_q(name)}', [{', '.join(repr(g) for g in template_grams(text))}])" for k, (name, text) in enumerate(TEMPLATES))
+    f"({k}, '{_q(name)}', {_texts(template_grams(text))}, {_texts(MARKERS.get(name, ((), None))[0])}, "
+    f"'{_q(MARKERS.get(name, ((), None))[1] or NOTHING)}')" for k, (name, text) in enumerate(TEMPLATES))
 
 LICENSES = rf"""
-WITH tpl(k, name, g) AS (VALUES {_LICENSE_ROWS}),
-u AS (SELECT DISTINCT doc_id, unit FROM (
-  SELECT doc_id, unnest(list_concat(string_split(coalesce(text, ''), chr(10)),
-    regexp_split_to_array(coalesce(text, ''), '\n[\x20\t\r]*\n'))) AS unit FROM documents)),
-w AS (SELECT row_number() OVER () AS u, doc_id, list_filter(string_split(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g'), ' '),
-  lambda x: x <> '') AS w FROM u),
+WITH tpl(k, name, g, must, never) AS (VALUES {_LICENSE_ROWS}),
+p AS (SELECT doc_id, coalesce(text, '') AS x, unnest(regexp_split_to_array(coalesce(text, ''), '{PARAGRAPH}')) AS para FROM documents),
+s AS (SELECT doc_id, para, string_split(regexp_replace(para, '{SENTENCE_END}', '\1' || chr(1), 'g'), chr(1)) AS s FROM p),
+u AS (SELECT DISTINCT doc_id, trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')) AS unit FROM (
+  SELECT doc_id, unnest(string_split(x, chr(10))) AS unit FROM p
+  UNION ALL SELECT doc_id, unnest(list_concat([para], s, list_transform(generate_series(1, len(s) - 1), lambda i: s[i] || ' ' || s[i + 1]))) FROM s)),
+w AS (SELECT row_number() OVER () AS u, doc_id, string_split(unit, ' ') AS w FROM u WHERE unit <> ''),
 g AS (SELECT u, doc_id, CASE WHEN len(w) = 1 THEN w ELSE list_distinct(list_transform(generate_series(1, len(w) - 1),
-  lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM w WHERE len(w) > 0),
-m AS (SELECT u, doc_id, k, name, 2e0 * len(list_intersect(g.g, tpl.g)) / (len(g.g) + len(tpl.g)) AS dice FROM g, tpl),
-best AS (SELECT * FROM m WHERE dice >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY u ORDER BY dice DESC, k) = 1),
+  lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM w),
+hit AS (SELECT DISTINCT g.u, k FROM (SELECT u, unnest(g) AS x FROM g) g JOIN (SELECT k, unnest(g) AS x FROM tpl) t ON g.x = t.x),
+m AS (SELECT g.u, doc_id, k, name, 2e0 * len(list_intersect(g.g, tpl.g)) / (len(g.g) + len(tpl.g)) AS dice,
+  array_to_string(g.g, ' | ') AS j, must, never FROM hit JOIN g USING (u) JOIN tpl USING (k)),
+ok AS (SELECT * FROM m WHERE dice >= {THRESHOLD} AND NOT regexp_matches(j, never)
+  AND len(list_filter(must, lambda x: NOT regexp_matches(j, x))) = 0),
+best AS (SELECT * FROM ok QUALIFY row_number() OVER (PARTITION BY u ORDER BY dice DESC, k) = 1),
 per AS (SELECT doc_id, first(name ORDER BY dice DESC, k) AS license, max(dice) AS dice, count(*) AS n,
   array_to_string(list_sort(list(DISTINCT name)), ',') AS licenses FROM best GROUP BY 1)
 SELECT doc_id, license, round(per.dice, 6) AS dice, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses

@@ -5,10 +5,11 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from bottomgrid.llm import queries as q
 from bottomgrid.llm.decontaminate import contaminated_items, decontaminate, mark_contamination
-from bottomgrid.llm.licenses import TEMPLATES, bigrams, scan_licenses, size_range, template_grams
+from bottomgrid.llm.licenses import MARKERS, TEMPLATES, bigrams, scan_licenses, size_range, template_grams
 from bottomgrid.llm.line_rules import quality_rules
 
 SF = "/root/testdata/sf0.001"
@@ -140,16 +141,37 @@ def test_license_templates_match_and_others_do_not(spark):
     assert scan_licenses(df.limit(0)).count() == 0
 
 
-def test_license_scores_equal_all_pairs(spark):
-    """Size bounds prune nothing that could reach the threshold."""
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+def plain_units(text):
+    """Normalised lines, paragraphs, sentences and neighbouring sentences."""
+    paras = re.split(r"\n[\x20\t\r]*\n", text)
+    cut = [re.sub(r"([.!?])[\x20\t\r\n]+", "\\1\x01", p).split("\x01") for p in paras]
+    units = text.split("\n") + paras + [x for s in cut for x in s + [f"{a} {b}" for a, b in zip(s, s[1:])]]
+    return [u for u in dict.fromkeys(" ".join(w for w in re.split("[^a-z0-9]+", u.lower()) if w) for u in units) if u]
+
+
+def _order(w):
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:]))) or w
+
+
+def allowed(name, joined):
+    must, never = MARKERS.get(name, ((), None))
+    return all(re.search(m, joined) for m in must) and not (never and re.search(never, joined))
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_license_scores_equal_all_pairs(spark, sf):
+    """Size bounds and key words prune nothing that could reach the threshold."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    if sf == "sf0.1":      # whatever names a licence at all
+        docs = docs.where("lower(text) rlike 'licen|gnu |copyright|apache|spdx|creative commons'")
     got = {r.doc_id: r for r in scan_licenses(docs).collect()}
     grams = [(name, set(template_grams(t))) for name, t in TEMPLATES]
     for r in docs.collect():
         hits = []
-        for unit in dict.fromkeys(r.text.split("\n") + re.split(r"\n[\x20\t\r]*\n", r.text)):
-            g = set(bigrams([w for w in re.split("[^a-z0-9]+", unit.lower()) if w]))
-            best = max((2 * len(g & t) / (len(g) + len(t)), -k) for k, (_, t) in enumerate(grams)) if g else (0, 0)
+        for unit in plain_units(r.text):
+            g = set(bigrams(unit.split()))
+            j = " | ".join(_order(unit.split()))
+            best = max(((2 * len(g & t) / (len(g) + len(t)), -k) for k, (n, t) in enumerate(grams) if allowed(n, j)), default=(0, 0))
             if best[0] >= 0.8:
                 hits.append(best)
         assert got[r.doc_id].n_matches == len(hits)
@@ -182,6 +204,52 @@ def test_license_siblings_are_not_taken_for_each_other(spark):
     assert [got[i] for i in range(len(NEAR))] == [name for _, name in NEAR]
 
 
+INSIDE = [
+    ("Copyright (c) 2020 Some Body. Released under the MIT License.", "MIT"),
+    ("The tables below are kept by volunteers. This project is licensed under the terms of the MIT license. Please report mistakes.", "MIT"),
+    ("Words before it.\nLicensed under the Apache\nLicense, Version 2.0. Words after it,\nand more of them.", "Apache-2.0"),
+    ("Read this! Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+     "with the License. You may obtain a copy of the License at the usual place. Thanks for reading.", "Apache-2.0"),
+    ("MIT License", "MIT"), ("The MIT License (MIT)", "MIT"), ("# MIT License\n\nCopyright (c) 2020 Some Body", "MIT"),
+    ("// SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+    ("/* SPDX-License-Identifier: Apache-2.0 */", "Apache-2.0"), ("SPDX-License-Identifier: ACME", None),
+    ("SPDX-License-Identifier: LGPL-3.0", "LGPL-3.0"), ("SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0"),
+    ("He went to MIT. His license was taken away.", None), ("GNU General Public License, Version 4", None),
+    ("BSD 3-Clause License", "BSD"), ("Mozilla Public License Version 2.0", "MPL-2.0"),
+]
+
+
+def test_license_notices_between_other_words(spark):
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(INSIDE)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(INSIDE))] == [name for _, name in INSIDE]
+
+
+PROSE = [
+    "The children baked cookies with their mother.", "He wants to log in every evening from home now.",
+    "She asked him to click here and there on the old map.", "Der Browser war ein alter Mann aus dem Dorf.",
+    "Wir wollen uns morgen im Rathaus anmelden.", "Elle voulait accepter son invitation au bal.",
+    "Quiero aceptar el regalo de mi abuela.", "The author holds the copyright of every picture in it.",
+    "Sie lasen das Newsletter ihrer Schule am Abend."]
+NOTICE_LINES = [
+    "All rights reserved.", "© 2024 Example Ltd. Privacy policy", "This website uses cookies. Accept all", "Log in or sign up to comment",
+    "Diese Webseite verwendet Cookies. Akzeptieren", "Alle Rechte vorbehalten.", "Anmelden oder registrieren",
+    "Ce site web utilise des cookies. Accepter", "TOUS DROITS RÉSERVÉS", "Iniciar sesión o registrarse",
+    "Este sitio web usa cookies: política de privacidad", "Subscribe to our newsletter: click here",
+    "Please enable JavaScript to view this website."]
+
+
+def test_notices_go_and_prose_stays(spark):
+    from bottomgrid.llm.line_rules import line_verdict
+    lines = PROSE + NOTICE_LINES
+    df = spark.createDataFrame(list(enumerate(lines)), "i long, x string").select("i", line_verdict(F.col("x")).alias("v"))
+    got = {r.i: r.v for r in df.collect()}
+    assert [got[i] for i in range(len(lines))] == [None] * len(PROSE) + ["boilerplate"] * len(NOTICE_LINES)
+    text = "\n".join(PROSE * 3)
+    kept = quality_rules(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert kept.lost_chars == 0 and kept.cleaned == text
+
+
 def test_license_key_words_lose_no_match():
     from bottomgrid.llm.licenses import key_words
     sets = [template_grams(t) for _, t in TEMPLATES]
