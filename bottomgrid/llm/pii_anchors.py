@@ -13,7 +13,8 @@ these expressions, failing matches dropped without a retry:
     phone  \\+[0-9][\\x20().0-9-]+[0-9]                     8-15 digits
 
 Added kinds: url (scheme "://" rest) and account: a cue word, up to three
-filler words (number, no, nr, num, id, code, is), then an identifier. That is an IBAN
+filler words (number, no, nr, id, code, is and the like, in four languages, also
+in brackets), then an identifier. That is an IBAN
 whose check digits are right, in one piece or in groups with single spaces or
 hyphens between; or else groups of digits of 6 to 34 digits in all; or else one
 token of 6 to 40 letters, digits and hyphens with at least 4 digits.
@@ -38,7 +39,14 @@ from .secret_scan import SPAN, span_result
 # Fixed values.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
-CUES = ("account", "acct", "iban", "passport", "ssn")
+# words that announce an identifier; of words that prose has before any number
+# (French compte, Spanish cuenta) only the longer names
+CUES = ("account", "acct", "iban", "passport", "ssn", "social security", "tax id", "driver's license", "national insurance",
+        "kontonummer", "kontonr", "konto", "reisepass", "reisepassnummer", "personalausweis", "ausweisnummer", "steuernummer",
+        "steuer-id", "sozialversicherungsnummer", "versicherungsnummer", "bankverbindung",
+        "numéro de compte", "n° de compte", "compte bancaire", "passeport", "numéro de sécurité sociale", "sécurité sociale",
+        "carte d'identité", "numéro fiscal",
+        "número de cuenta", "cuenta bancaria", "cuenta corriente", "pasaporte", "seguridad social", "documento de identidad", "dni", "nif")
 DIGITS = "0123456789"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -49,7 +57,9 @@ _QUAD = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\x00-\x20\x7F\"'<>|`{}\\^]+")
-_AFTER_CUE = re.compile(r"(?:[\x20\t:#=.-]{0,4}(?<![A-Za-z0-9])(?:numbers?|num|no|nr|id|code|is)(?![A-Za-z0-9])){0,3}[\x20\t:#=.-]{1,4}", re.I | re.A)
+_FILL = r"[\x20\t:#=.()\[\]°º-]"
+_AFTER_CUE = re.compile(rf"(?:{_FILL}{{0,4}}(?<![A-Za-z0-9])(?:numbers?|num|no|nr|id|code|is|nummer|lautet|ist|numéro|número|numero|es|est)"
+                        rf"(?![A-Za-z0-9])){{0,3}}{_FILL}{{1,4}}", re.I | re.A)
 _IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,30}")
 _GROUPS = re.compile(r"[0-9]+(?:[\x20-][0-9]+)+(?![A-Za-z0-9-])")
 _TOKEN = re.compile(r"[A-Za-z0-9-]{6,40}(?![A-Za-z0-9-])")

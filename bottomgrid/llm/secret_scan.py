@@ -53,6 +53,37 @@ MORE_RULES = (
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("code_host_pat", r"github_pat_[A-Za-z0-9_]{40,}"),
+    Rule("git_server", r"glpat-[A-Za-z0-9_-]{20,}"),
+    Rule("maps_key", r"AIza[A-Za-z0-9_-]{35}"),
+    Rule("oauth_access", r"ya29\.[A-Za-z0-9_-]{20,}"),
+    Rule("oauth_client", r"GOCSPX-[A-Za-z0-9_-]{28}"),
+    Rule("payment", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
+    Rule("payment_hook", r"whsec_[A-Za-z0-9]{32,}"),
+    Rule("chat_hook", r"hooks\.slack\.com/services/T[A-Z0-9]{8,}/B[A-Z0-9]{8,}/[A-Za-z0-9]{20,}"),
+    Rule("forum_hook", r"discord(?:app)?\.com/api/webhooks/[0-9]{17,20}/[A-Za-z0-9_-]{60,}"),
+    Rule("bot", r"[0-9]{8,10}:AA[A-Za-z0-9_-]{33}"),
+    Rule("mail_api", r"SG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43}"),
+    Rule("mail_key", r"key-[0-9a-f]{32}"),
+    Rule("mail_list", r"[0-9a-f]{32}-us[0-9]{1,2}"),
+    Rule("js_packages", r"npm_[A-Za-z0-9]{36}"),
+    Rule("py_packages", r"pypi-AgEIcHlwaS5vcmc[A-Za-z0-9_-]{50,}"),
+    Rule("images", r"dckr_pat_[A-Za-z0-9_-]{27,}"),
+    Rule("model_hub", r"hf_[A-Za-z0-9]{34,}"),
+    Rule("model_api", r"sk-(?:proj-)?[A-Za-z0-9_-]{40,}"),
+    Rule("shop", r"shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32}"),
+    Rule("till", r"sq0(?:atp|csp|idp)-[A-Za-z0-9_-]{22,}"),
+    Rule("cloud_token", r"do[op]_v1_[0-9a-f]{64}"),
+    Rule("tracker", r"lin_api_[A-Za-z0-9]{40}"),
+    Rule("api_client", r"PMAK-[0-9a-f]{24}-[0-9a-f]{34}"),
+    Rule("lakehouse", r"dapi[0-9a-f]{32}"),
+    Rule("age_key", r"AGE-SECRET-KEY-1[0-9A-Z]{58}"),
+    Rule("storage_key", r"AccountKey=[A-Za-z0-9+/]{86}=="),
+    Rule("vault", r"hvs\.[A-Za-z0-9_-]{24,}"),
+    Rule("dashboard", r"glsa_[A-Za-z0-9]{32}_[0-9a-f]{8}"),
+    Rule("monitor", r"NRAK-[A-Z0-9]{27}"),
+    Rule("secrets_store", r"dp\.pt\.[A-Za-z0-9]{40,}"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{0,20}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@[A-Za-z0-9.-]+"),
 )
 RULES = BASE_RULES + MORE_RULES
 

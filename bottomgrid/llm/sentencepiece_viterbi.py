@@ -9,6 +9,10 @@ is a BPE model, whose result is not the path of highest summed score. With
 that condition every prefix has exactly one admissible last piece, and the
 path is what the library returns.
 
+A long word without spaces (a line of Japanese, base64, a URL) is cut into
+chunks that advance together, and every seam is checked; the ids stay those of
+the whole word.
+
 Nulls and empty texts have no tokens and decode to the empty string. Text is
 treated row by row, so repeated rows get the same result, an empty table
 gives an empty table, and input columns of the same names are replaced.
@@ -156,9 +160,10 @@ def tables(model_file: str) -> PieceTables:
     return PieceTables(model_file)
 
 
-def _viterbi(t: PieceTables, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces of equally long words (rows of code points): the tokens, word by
-    word, and the number of tokens of each word."""
+def _states(t: PieceTables, words: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The last piece of every prefix of equally long words (rows of code
+    points) and its length; a row per character and one before. ``known`` has
+    the first rows of both, where they are known already."""
     n, length = words.shape
     codes = np.ascontiguousarray(words.T).astype(np.uint64)  # one row per character
     codes += np.uint64(1)
@@ -167,8 +172,14 @@ def _viterbi(t: PieceTables, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     power = powers(_P, t.max_len + 1)
     last = np.full((length + 1, n), -1, np.int32)
     back = np.zeros((length + 1, n), np.int16)
+    first = 1
+    if known:
+        first = len(known[0])
+        last[:first], back[:first] = known
     for j in range(1, length + 1):
         np.add(acc[j - 1] * _P, codes[j - 1], out=acc[j])
+        if j < first:
+            continue
         for k in range(1, min(j, t.max_len) + 1):
             i = j - k
             rows, ids = t.ends_with(acc[j] - acc[i] * power[k], k)
@@ -182,6 +193,12 @@ def _viterbi(t: PieceTables, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             better = k > back[j][rows]  # the maximum; the longest of equals
             back[j][rows[better]] = k
             last[j][rows[better]] = ids[better]
+    return last, back
+
+
+def _trace(last: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of all words, word by word, and how many each word has."""
+    length, n = last.shape[0] - 1, last.shape[1]
     out = np.full((n, length), -1, np.int64)
     pos = np.full(n, length)
     live = np.arange(n)
@@ -194,6 +211,52 @@ def _viterbi(t: PieceTables, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return flat[keep], keep.reshape(n, length).sum(1)
 
 
+def _viterbi(t: PieceTables, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of equally long words (rows of code points): the tokens, word by
+    word, and the number of tokens of each word."""
+    if words.shape[1] < 2 * CHUNK:
+        return _trace(*_states(t, words))
+    parts = [_long_word(t, w) for w in words]
+    return np.concatenate(parts), np.array([len(x) for x in parts])
+
+
+# A word without a space may be as long as its text. Its chunks advance
+# together like words: each begins RUN_UP characters inside the one before, as
+# if a word began there. Once both have the same last pieces for as many
+# characters in a row as a piece can have, they have the same ones for good, as
+# no step looks further back; then the chunk stands, else it is done again from
+# what the one before knows. CHUNK is a multiple of most piece lengths, so that
+# repeats of one character fall into step as well.
+CHUNK, RUN_UP = 2520, 256
+
+
+def _long_word(t: PieceTables, word: np.ndarray) -> np.ndarray:
+    whole = (len(word) - RUN_UP) // CHUNK  # chunks of full length
+    rows = np.stack([word[c * CHUNK:c * CHUNK + CHUNK + RUN_UP] for c in range(whole)])
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    for k in range(0, whole, 512):
+        last, back = _states(t, rows[k:k + 512])
+        done += [(last[:, c], back[:, c]) for c in range(last.shape[1])]
+    tail = word[whole * CHUNK:]
+    if len(tail) > RUN_UP:
+        last, back = _states(t, tail[None, :])
+        done.append((last[:, 0], back[:, 0]))
+    same = slice(RUN_UP - t.max_len + 1, RUN_UP + 1)
+    for c in range(1, len(done)):
+        before = [x[CHUNK:CHUNK + RUN_UP + 1] for x in done[c - 1]]
+        if not all((x[same] == y[same]).all() for x, y in zip(before, done[c])):
+            text = word[c * CHUNK:c * CHUNK + len(done[c][0]) - 1]
+            last, back = _states(t, text[None, :], tuple(x[:, None] for x in before))
+            done[c] = last[:, 0], back[:, 0]
+    out, pos = [], len(word)
+    while pos:
+        c = min(max((pos - RUN_UP - 1) // CHUNK, 0), len(done) - 1)
+        at = pos - c * CHUNK
+        out.append(done[c][0][at])
+        pos -= int(done[c][1][at])
+    return np.array(out[::-1], np.int64)
+
+
 def _encode_units(t: PieceTables, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of distinct units (runs of spaces with what follows them)."""
     cores = [u[max(len(u) - len(u.lstrip(SPACE)) - 1, 0):] for u in units]
