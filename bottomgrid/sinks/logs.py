@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.times import ntz_lit, utc_naive
 from ..schemas import DIAG_SCHEMA, RUN_LOG_SCHEMA
-from ..session import path_exists
+from ..session import checkpoint_dir, path_exists
 
 
 def run_log_rows(counts: DataFrame, runtime: dt.datetime, version: str, reload_type: str,
@@ -63,6 +63,7 @@ def append_once(rows: DataFrame, path: str, run_id: str | None, keys: list[str])
         if RUN_ID in have.columns:
             have = have.where(F.col(RUN_ID) == run_id).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
             same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            checkpoint_dir(spark)
             new = new.join(have, reduce(lambda a, b: a & b, same), "left_anti").checkpoint()
             if new.isEmpty():
                 return

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import ntz_lit
 from ..operators.sizing import broadcast_if_small
-from ..session import child_names, path_exists
+from ..session import checkpoint_dir, child_names, path_exists
 
 # Day lists up to this size become a static filter on the partition column.
 MAX_LISTED_DAYS = 10_000
@@ -76,6 +76,7 @@ def archive(spark: SparkSession, product_path: str, archive_root: str, version:
         now = now.join(last.select("time", "day_version", "folder"), ["time", "day_version"], "left")
     else:
         now = now.withColumn("folder", F.lit(None).cast("string"))
+    checkpoint_dir(spark)
     now = now.checkpoint()      # one row per day; the product must not be listed twice
     changed = now.where("folder IS NULL").select("time")
     n = changed.count()
