@@ -130,6 +130,23 @@ def last_table(make: Callable[[], DataFrame], spark: SparkSession, name: str) ->
     return spark.read.schema(schema).parquet(path)
 
 
+BITS = 26  # of a filter; 8 MB, whatever the tables
+
+
+def may_have(df: DataFrame, values: DataFrame, on: list[str]) -> DataFrame:
+    """``df`` without most rows whose ``on`` columns no row of ``values`` has:
+    a bitmap of 2**26 bits, broadcast as 2,048 rows, meets each row before any
+    shuffle. False hits pass, so an exact join must follow."""
+    p, m, bits = fresh("p"), fresh("m"), fresh("bits")
+    bit = F.pmod(F.xxhash64(*on), F.lit(1 << BITS))
+    maps = values.select(bit.alias(p)).groupBy(F.expr(f"{p} div 32768").alias(m)).agg(
+        F.bitmap_construct_agg(F.expr(f"{p} % 32768")).alias(bits))
+    out = df.withColumn(p, bit).withColumn(m, F.expr(f"{p} div 32768")).join(F.broadcast(maps), m)
+    byte = F.conv(F.hex(F.expr(f"substring({bits}, CAST(({p} % 32768) div 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    out = out.where(byte.bitwiseAND(F.expr(f"shiftleft(1, CAST({p} % 8 AS INT))")) != 0)
+    return out.drop(p, m, bits)
+
+
 # --- words as 64-bit hashes ------------------------------------------------
 
 _rng = np.random.default_rng(20240229)

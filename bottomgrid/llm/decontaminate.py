@@ -10,7 +10,8 @@ and never rests on a hash alone. Text never leaves its row: no shuffle.
 The set is shipped as literals of the plan while it stays under
 ``MAX_WINDOWS`` windows and ``MAX_CHARS`` characters, both counted before. A
 larger benchmark takes an equi-join of the texts' exploded windows with the
-table of windows; both ways give the same rows (tested).
+table of windows, behind a bitmap filter of bounded size that keeps nearly all
+other windows out of the shuffle; both ways give the same rows (tested).
 
 Null and empty texts have no words, no hits, and are not contaminated; items
 without words have no window; an empty benchmark hits nothing and an empty
@@ -25,7 +26,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, text_column, with_columns
+from .common import fresh, may_have, text_column, with_columns
 
 # The words of the contamination rule.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -83,7 +84,9 @@ def _by_literals(df: DataFrame, w: str, hits: str, windows: list) -> DataFrame:
 
 def _by_join(df: DataFrame, w: str, hits: str, windows: DataFrame) -> DataFrame:
     """The same hits for a benchmark of any size: windows of the distinct
-    texts, exploded, meet the table of windows on their text."""
+    texts, exploded, meet the table of windows on their text. Of the windows
+    that the benchmark does not have only those pass to the shuffle that a
+    bitmap of its windows takes for some."""
     key = fresh("key")
     keyed = df.withColumn(key, F.sha2(F.array_join(w, " "), 256))
     sizes = [r["n"] for r in windows.select("n").distinct().collect()]  # at most WINDOW of them
@@ -92,8 +95,9 @@ def _by_join(df: DataFrame, w: str, hits: str, windows: DataFrame) -> DataFrame:
             for n in sizes]
     if not each:
         return keyed.withColumn(hits, F.expr("CAST(array() AS array<struct<at: int, n: int>>)")).drop(key)
-    at = (keyed.dropDuplicates([key]).select(F.col(key).alias("k"), F.explode(F.concat(*each)).alias("x"))
-          .select("k", "x.*").join(windows.select("n", "words").distinct(), ["n", "words"], "left_semi"))
+    known = windows.select("n", "words").distinct()
+    own = keyed.dropDuplicates([key]).select(F.col(key).alias("k"), F.explode(F.concat(*each)).alias("x")).select("k", "x.*")
+    at = may_have(own, known, ["n", "words"]).join(known, ["n", "words"], "left_semi")
     found = at.groupBy("k").agg(F.collect_list(F.struct("at", "n")).alias(hits))
     out = keyed.join(found, keyed[key] == found["k"], "left").drop("k", key)
     return out.withColumn(hits, F.coalesce(hits, F.expr("CAST(array() AS array<struct<at: int, n: int>>)")))

@@ -4,7 +4,10 @@ The distinct pre-tokens of a batch are held as one ragged numpy array. In each
 round every pre-token finds its own lowest-ranked adjacent pair and all of
 them merge theirs at once; pre-tokens without a mergeable pair are done, and
 the symbols that survive are the tokens. Only counts come back, weighted by
-how often each text holds each pre-token.
+how often each text holds each pre-token. A pre-token falls apart between two
+symbols that no token of the vocabulary holds side by side, and its parts merge
+side by side as well: a line without spaces takes the rounds of its longest
+part, not of its length.
 
 Special strings of the vocabulary inside a text count as one token each, as
 the library does by default. Null and empty texts have 0 bytes and 0 tokens.
@@ -48,17 +51,23 @@ class MergeTables:
         char = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + k) for k, b in enumerate(others)}
         self.byte = np.array([vocab[char[b]] for b in range(256)], np.int64)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        keys = np.array([vocab[a] << 24 | vocab[b] for a, b in merges], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.key, self.rank = keys[order], order.astype(np.int64)
+        rank = {vocab[a] << 24 | vocab[b]: k for k, (a, b) in enumerate(merges)}
+        # pairs inside some token, which may come to lie in one even where they
+        # do not merge themselves
+        inside = {w[i:j] for w in vocab for i in range(len(w)) for j in range(i + 2, len(w) + 1)}
+        near = {vocab[w[:k]] << 24 | vocab[w[k:]] for w in inside for k in range(1, len(w)) if w[:k] in vocab and w[k:] in vocab}
+        keys = np.array(sorted(near | rank.keys()), np.int64)
+        self.key, self.rank = keys, np.array([rank.get(k, _MAX) for k in keys.tolist()], np.int64)
         self.made = np.array([vocab[a + b] for a, b in merges], np.int64)
         self.maybe = np.zeros(1 << _BITS, bool)
         self.maybe[_slot(self.key)] = True
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair; ``_MAX`` of one that does not merge, more where
+        no token holds the two symbols."""
         key = a << 24 | b
-        out = np.full(len(key), _MAX)
+        out = np.full(len(key), _MAX + 1)
         rows = np.flatnonzero(self.maybe[_slot(key)])
         at = np.minimum(np.searchsorted(self.key, key[rows]), len(self.key) - 1)
         hit = self.key[at] == key[rows]
@@ -78,26 +87,28 @@ def tables(tokenizer_file: str) -> MergeTables:
 def merge_counts(t: MergeTables, tokens: list[bytes]) -> np.ndarray:
     """Number of symbols of each pre-token after all merges."""
     size = np.array([len(x) for x in tokens], np.int64)
-    counts = size.copy()
+    counts = np.zeros(len(tokens), np.int64)
     sym = t.byte[np.frombuffer(b"".join(tokens), np.uint8)]
     row = np.repeat(np.arange(len(tokens)), size)
-    rank = _pair_ranks(t, sym, row)
+    end = np.ones(len(sym), bool)  # the last symbol of a part
+    end[:-1] = row[:-1] != row[1:]
+    rank = np.empty(len(sym), np.int64)
+    _rank_at(t, sym, end, rank, np.arange(len(sym)))
     while len(sym):
-        starts = np.flatnonzero(np.diff(row, prepend=-1))
-        best = np.minimum.reduceat(rank, starts)
-        here = np.repeat(best, np.diff(np.append(starts, len(row))))
+        starts = np.flatnonzero(np.concatenate(([True], end[:-1])))
+        here = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(sym))))
         live = here < _MAX
-        counts[row[starts]] = np.diff(np.append(starts, len(row)))
-        if not live.any():
-            break
-        if not live.all():  # finished pre-tokens leave
-            sym, row, rank, here = sym[live], row[live], rank[live], here[live]
+        if not live.all():  # finished parts leave
+            counts += np.bincount(row[~live], minlength=len(counts))
+            sym, row, end, rank, here = sym[live], row[live], end[live], rank[live], here[live]
+            if not len(sym):
+                break
         at = np.flatnonzero(rank == here)
         # of overlapping occurrences (a a a) every second one merges
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
-        sym = sym.copy()
         sym[at] = t.made[rank[at]]
+        end[at] = end[at + 1]
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
         # pairs that hold a merged symbol get a new rank
@@ -106,22 +117,19 @@ def merge_counts(t: MergeTables, tokens: list[bytes]) -> np.ndarray:
         stale[at[at > 0] - 1] = True
         two = at[at > 1] - 2
         stale[two[~keep[two + 1]]] = True
-        sym, row, rank, stale = sym[keep], row[keep], rank[keep], np.flatnonzero(stale[keep])
-        rank[stale] = _ranks_at(t, sym, row, stale)
+        sym, row, end, rank, stale = sym[keep], row[keep], end[keep], rank[keep], np.flatnonzero(stale[keep])
+        _rank_at(t, sym, end, rank, stale)
     return counts
 
 
-def _pair_ranks(t: MergeTables, sym: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return _ranks_at(t, sym, row, np.arange(len(sym)))
-
-
-def _ranks_at(t: MergeTables, sym: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Rank of the pair that starts at each position (none across rows)."""
-    out = np.full(len(at), _MAX)
-    ok = np.flatnonzero(at < len(sym) - 1)
-    ok = ok[row[at[ok]] == row[at[ok] + 1]]
-    out[ok] = t.ranks(sym[at[ok]], sym[at[ok] + 1])
-    return out
+def _rank_at(t: MergeTables, sym: np.ndarray, end: np.ndarray, rank: np.ndarray, at: np.ndarray) -> None:
+    """Sets the rank of the pair that starts at each position. Where no token
+    can come to hold both symbols, the part ends."""
+    rank[at] = _MAX
+    at = at[~end[at]]
+    got = t.ranks(sym[at], sym[at + 1])
+    rank[at] = np.minimum(got, _MAX)
+    end[at[got > _MAX]] = True
 
 
 class Counter:

@@ -57,6 +57,18 @@ def test_token_counts_equal_library(spark, corpus):
     assert Counter(tables(path))([])[1].sum() == 0
 
 
+def test_long_pre_tokens_count_exactly():
+    from tokenizers import Tokenizer
+    path = q.vocabulary(q.BYTE_BPE)
+    tok, count = Tokenizer.from_file(path), Counter(tables(path))
+    rnd = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rnd.choice(a) for _ in range(n)) for a, n in ((letters, 30_000), ("ab", 5000), ("ACGT", 8000), ("=-_", 3000), ("あいうえおかきくけこ", 4000))]
+    texts += ["x" * 20_001, "the" * 5000, "0123456789abcdef" * 600, "aaab" * 3000]
+    _, got = count(texts)
+    assert got.tolist() == [len(tok.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
 PIECES = ["password", "TOKEN", "ſecret", "secret", "api_key", "apiKey", " = ", ":", '"', "abcd1234ef", "AKIA", "ABCDEFGH12345678",
           "0123456789abcdef", "deadbeef", " ", "\n", "é", "@", "a.b", "+1 (017) 555-7713", "192.168.0.1", "4111 1111 1111 1111",
           ".", "-", "1", "+", "256.1.1.1", "x@y.z", "https://a.b/c", "iban DE123456789", "ghp_" + "a1" * 20]
