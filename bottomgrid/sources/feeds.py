@@ -64,18 +64,12 @@ def day_window(df: DataFrame, lo, hi=None, day: str = "day") -> DataFrame:
     """S3 for feeds that land with the UTC day of each row, as a column or as
     partition folders: the same window by day, which prunes the folders. Rows
     without a day stay and are left to the window on their time."""
-    kind = dict(df.dtypes).get(day)
-    if kind not in ("date", "string"):
+    if dict(df.dtypes).get(day) != "date":       # a column of that name with another meaning
         return df
     d = F.col(day)
-
-    def bound(x):
-        at = F.to_date(ntz_lit(x))
-        return at if kind == "date" else F.date_format(at, "yyyy-MM-dd")
-
-    cond = d >= bound(lo)
+    cond = d >= F.to_date(ntz_lit(lo))
     if hi is not None:
-        cond = cond & (d <= bound(hi))
+        cond = cond & (d <= F.to_date(ntz_lit(hi)))
     return df.where(cond | d.isNull())
 
 
