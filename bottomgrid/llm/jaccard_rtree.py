@@ -40,8 +40,8 @@ anew. Nothing is sampled or capped. All tables made on the way are removed.
 
 Nulls, empty texts and texts of white space have no shingles and are linked
 with nothing; texts of fewer than five words are one shingle. Repeated rows
-are copies of each other. An empty table stays empty. Input columns with the
-names of the results are replaced.
+are copies of each other. An empty table stays empty. The result has only its
+own columns, whatever the input's are called.
 """
 
 from __future__ import annotations

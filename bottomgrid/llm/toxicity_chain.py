@@ -49,6 +49,7 @@ BREAKS = breaks_at((0, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 STEMS = (4, 5, 6, 7)
 PASSAGE = 256  # words
 CLEAR = 3.0  # standard deviations
+TEXT_BYTES = 1 << 20  # of the texts that are judged together, about
 
 # The chain over the columns of the labels: abuse inside otherwise good text,
 # abuse inside junk, abuse of any kind.
@@ -242,7 +243,7 @@ def distinct_features(finder=None) -> Column:
         new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
         return {"h": list_array(h[new].view(np.int64), np.bincount(row[new], minlength=len(texts)))}
 
-    return struct_of_text(F.col("x"), schema, distinct)["h"]
+    return struct_of_text(F.col("x"), schema, distinct, TEXT_BYTES)["h"]
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -305,4 +306,4 @@ def score_toxicity(df: DataFrame, model: ChainModel, text_col: str = "text", thr
         p = shared.value.probabilities(texts)
         return {c: p[:, k] for k, c in enumerate(names)}
 
-    return add_from_text(df, text_col, schema, run).withColumn(verdict_col, F.col(names[-1]) >= threshold)
+    return add_from_text(df, text_col, schema, run, TEXT_BYTES).withColumn(verdict_col, F.col(names[-1]) >= threshold)

@@ -78,6 +78,19 @@ def test_contamination_empty_inputs(spark):
         assert len(none) == len(TEXTS) and not any(r.contaminated or r.n_hit for r in none)
 
 
+def test_contamination_of_repeated_items(spark):
+    """Rows that share an item_id are one item with the windows of both; equal
+    rows are one row."""
+    a, b = " ".join(f"a{k}" for k in range(15)), " ".join(f"b{k}" for k in range(14))
+    bench = spark.createDataFrame([(1, a), (1, b), (1, b), (None, "lone words here"), (2, None)], "item_id int, text string")
+    docs = spark.createDataFrame([(1, a + " x " + b), (2, "x y lone words here"), (3, b)], "doc_id long, text string")
+    for most in (1000, 0):
+        marked = mark_contamination(docs, bench, words_col="words", max_windows=most)
+        got = {r.doc_id: r for r in contaminated_items(marked, bench, "doc_id").collect()}
+        assert [(got[k].n_hit, got[k]["items"], got[k].contaminated) for k in (1, 3)] == [(29, ["1"], True), (14, ["1"], True)]
+        assert got[2].n_hit == 3 and got[2].contaminated
+
+
 def test_contamination_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
