@@ -9,7 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from bottomgrid.session import build_session
-    s = build_session("local[*]", app="bottomgrid-tests", shuffle_partitions=8)
+    # one session for all tests: what their plans broadcast adds up
+    s = build_session("local[*]", app="bottomgrid-tests", shuffle_partitions=8, extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()
 
