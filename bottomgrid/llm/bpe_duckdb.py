@@ -35,6 +35,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -148,6 +149,8 @@ class Vocabulary:
         np.minimum.at(next_rank, b[merge], made[merge])
         calm = merge & (next_rank[np.maximum(made, 0)] > made)
         self.pairs = pa.table({"a": a, "b": b, "made": pa.array(made, mask=~merge), "calm": calm})
+        self.known = np.zeros(max(ranks.values()) + 1, bool)
+        self.known[list(ranks.values())] = True
         self.tokens = pa.table({"id": pa.array(ranks.values(), pa.int32()),
                                 "piece": [t.decode("latin-1") for t in ranks]})  # a character for each byte
 
@@ -165,7 +168,7 @@ class Tokenizer:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.plain, self.strict = regex.compile(PRE_TOKEN).findall, regex.compile(STRICT).findall
-        self.newer = regex.compile(NEWER).search
+        self.newer = re.compile(NEWER).search
         self.words: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
         self.old: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "temp_directory": ""})
@@ -176,7 +179,7 @@ class Tokenizer:
         self.db.execute("CREATE TABLE merges AS SELECT a::BIGINT << 32 | b::BIGINT AS ab, made FROM pairs WHERE made IS NOT NULL")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [(self.strict if not x.isascii() and self.newer(x) else self.plain)(x) for x in texts]
+        split = [(self.plain if self._is_old(x) else self.strict)(x) for x in texts]
         if len(self.words) > CACHED_WORDS:
             self.old, self.words = self.words, {}
         new = set(chain.from_iterable(split)).difference(self.words)
@@ -197,6 +200,14 @@ class Tokenizer:
         get = self.words.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
+    def _is_old(self, x: str) -> bool:
+        """Whether a text has none of the newer letters and numbers."""
+        try:
+            x.encode("latin-1")  # at memory speed; most texts
+            return True
+        except UnicodeEncodeError:
+            return self.newer(x) is None
+
     def _contract(self, words: list[tuple[str, bytes]], query: str) -> None:
         ends = np.cumsum([len(b) for _, b in words])
         first = 0
@@ -222,8 +233,8 @@ class Tokenizer:
         ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
         out = [b""] * len(packed)
         if len(ids):
-            unknown = np.setdiff1d(ids, self.v.tokens.column("id").to_numpy())
-            if len(unknown):
+            if ids.min() < 0 or ids.max() >= len(self.v.known) or not self.v.known[ids].all():
+                unknown = np.setdiff1d(ids, np.flatnonzero(self.v.known))
                 raise ValueError(f"not in the vocabulary: {unknown[:5].tolist()}")
             self.db.register("ids", pa.table({"doc": np.repeat(np.arange(len(packed)), count),
                                               "pos": np.arange(len(ids)), "id": ids}))

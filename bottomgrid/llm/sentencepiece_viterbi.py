@@ -37,6 +37,7 @@ _UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 _P = np.uint64(0xD6E8FEB86659FD93)
 _BITS = 20
 _NONE = np.int64(1) << 40
+TEXT_BYTES = 1 << 20  # of the texts that are encoded together, about
 
 
 class PieceTables:
@@ -266,7 +267,7 @@ def _encode_units(t: PieceTables, units: list[str]) -> tuple[np.ndarray, np.ndar
     step = 1 << 15
     for length in np.unique(lengths):
         rows = np.flatnonzero(lengths == length)
-        per = max(1, min(step, (1 << 21) // int(length)))
+        per = max(1, min(step, (1 << 19) // int(length)))
         for k in range(0, len(rows), per):
             part = rows[k:k + per]
             codes = np.frombuffer("".join(cores[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -413,7 +414,7 @@ def sentencepiece_encode(df: DataFrame, model_file: str, text_col: str = "text",
             out[decoded_col] = decode_ids(tab.value, ids, counts)
         return out
 
-    return add_from_text(df, text_col, schema, run)
+    return add_from_text(df, text_col, schema, run, TEXT_BYTES)
 
 
 def sentencepiece_decode(df: DataFrame, model_file: str, tokens_col: str = "tokens",
