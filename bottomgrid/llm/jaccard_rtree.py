@@ -66,6 +66,7 @@ HOT = 64  # counted nodes of one key, from which the key is salted
 SALTS = 64
 HOT_KEYS = 1_000_000  # hot keys that are broadcast, at most; more are joined
 BLOCK = 1000
+TEXT_BYTES = 1 << 20  # of the texts that are hashed together, about
 BITS = 26  # of the filter that keeps sets of dropped nodes out of the shuffle
 MAIN, LEFT, OTHER = 0, 1, 2  # sides of a block: a key's main component, the others, the others again
 _STEP = [np.uint64(int(pow(0xD1342543DE82EF95, k + 1, 2**64))) for k in range(SHINGLE)]
@@ -131,7 +132,7 @@ def least_shared(n):
 def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     for b in batches:
         at = 0
-        for texts in slices(b.column(column)):
+        for texts in slices(b.column(column), TEXT_BYTES):
             yield b.slice(at, len(texts)), texts
             at += len(texts)
 
