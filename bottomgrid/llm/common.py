@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import contextvars
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -32,6 +34,14 @@ def with_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in new.items()])
 
 
+def give_back() -> None:
+    """Hand memory that is free by now back to the system. Python workers are
+    used again by later tasks, and what one task freed would stay theirs."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):      # not the GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[str]]:
     """The texts of an Arrow array (null: empty) in lists of about ``limit``
     bytes, so that what a task holds does not follow the batch size; one
@@ -59,6 +69,7 @@ def struct_of_text(text: Column, schema: T.StructType,
     kinds = [_arrow_type(f.dataType) for f in schema]
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
         for arr in arrays:
             parts: list[list[pa.Array]] = [[] for _ in names]
             for texts in slices(arr, limit):
@@ -67,6 +78,7 @@ def struct_of_text(text: Column, schema: T.StructType,
                     p.append(got[n] if isinstance(got[n], pa.Array) else pa.array(got[n], k))
             cols = [pa.concat_arrays(p) if p else pa.array([], k) for p, k in zip(parts, kinds)]
             yield pa.StructArray.from_arrays(cols, names=names)
+        give_back()
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, schema)(text)

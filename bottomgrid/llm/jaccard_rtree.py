@@ -54,7 +54,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WHITE, add_from_text, as_table, fresh, last_table, mix, slices, text_column, word_hashes
+from .common import WHITE, add_from_text, as_table, fresh, give_back, last_table, mix, slices, text_column, word_hashes
 from .components import components
 
 SHINGLE = 5
@@ -130,11 +130,13 @@ def least_shared(n):
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    give_back()
     for b in batches:
         at = 0
         for texts in slices(b.column(column), TEXT_BYTES):
             yield b.slice(at, len(texts)), texts
             at += len(texts)
+    give_back()
 
 
 def _members(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[pa.RecordBatch]:
@@ -187,6 +189,8 @@ def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Tab
             held.append(b)
     if held:
         yield pa.Table.from_batches(held)
+    del held
+    give_back()
 
 
 def _starts(t: pa.Table, by: list[str]) -> np.ndarray:
