@@ -46,30 +46,37 @@ def on_boundary(ring: Column, px: Column, py: Column) -> Column:
 UNROLL_MAX_POINTS = 8
 
 
-def vertex_columns(ring: Column, max_points: int) -> dict[str, Column]:
+def vertex_columns(ring: Column, max_points: int, whole: bool = False) -> dict[str, Column]:
     """``_x0.._x{m-1}``, ``_y0..``: the ring's vertices as plain columns,
-    NULL past the ring's own length. Computed once on the dimension side."""
+    NULL past the ring's own length. Computed once on the dimension side.
+
+    Where every ring is known to be ``whole`` (no coordinate is NULL), its last
+    point is repeated instead: an edge from a point to itself changes nothing,
+    and the columns are never NULL, which shortens the code of a test on them."""
     out = {}
     for i in range(max_points):
-        v = F.get(ring, F.lit(i))
-        out[f"_x{i}"], out[f"_y{i}"] = v["x"], v["y"]
+        v, last = F.get(ring, F.lit(i)), F.get(ring, F.size(ring) - 1)
+        for c in ("x", "y"):
+            out[f"_{c}{i}"] = F.coalesce(v[c], last[c], F.lit(0.0)) if whole else v[c]
     return out
 
 
 def strictly_within_vertices(xs: list[Column], ys: list[Column], px: Column, py: Column) -> Column:
     """Same predicate as :func:`strictly_within` on vertex columns: plain
     arithmetic, so it compiles inside whole-stage code generation. An edge
-    whose end vertex is NULL (past the ring's length) is switched off."""
+    whose end vertex is NULL (past the ring's length) is switched off. The
+    tests are written out shortly (no nested calls), so that the code of the
+    join around them stays short enough to be compiled."""
     parity, boundary = F.lit(False), F.lit(False)
     for i in range(len(xs) - 1):
         ax, ay, bx, by = xs[i], ys[i], xs[i + 1], ys[i + 1]
         straddles = (ay > py) != (by > py)
-        x_cross = (bx - ax) * (py - ay) / F.nullif(by - ay, F.lit(0.0)) + ax
+        x_cross = F.try_divide((bx - ax) * (py - ay), by - ay) + ax
         crosses = F.coalesce(straddles & (px < x_cross), F.lit(False))
         cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
-        touches = F.coalesce((cross == F.lit(0.0))
-                             & px.between(F.least(ax, bx), F.greatest(ax, bx))
-                             & py.between(F.least(ay, by), F.greatest(ay, by)), F.lit(False))
+        beside = (((px < ax) & (px < bx)) | ((px > ax) & (px > bx))
+                  | ((py < ay) & (py < by)) | ((py > ay) & (py > by)))
+        touches = F.coalesce((cross == F.lit(0.0)) & ~beside, F.lit(False))
         parity = parity != crosses
         boundary = boundary | touches
     return parity & ~boundary

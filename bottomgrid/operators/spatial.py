@@ -259,6 +259,14 @@ def _edge(level: int, median: float) -> float:
     return median * (LARGE * 4.0 ** level if level > 0 else SMALL * 4.0 ** (level + 1))
 
 
+def _rows_of_their_own(df: DataFrame) -> DataFrame:
+    """The same rows, behind a generator: what is asked of the columns is not
+    moved below it. Otherwise each of the many tests of a box or a level, and
+    those that the planner infers, holds the whole expression of the ring, and
+    the code of the listing becomes one method too long to be compiled."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_r")).select("_r.*")
+
+
 def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
                ring: str = "ring", broadcast_limit: int | None = None,
                carry: list[str] | None = None) -> GridTiles:
@@ -276,14 +284,15 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
     one join both locates a point and attaches its cell."""
     bb = ring_bbox(F.col(ring))
     carry = list(carry or [])
-    cells = grid.select(F.col(id_col).alias("id"), F.col(ring).alias("ring"),
-                        *[v.alias(k) for k, v in bb.items()], *carry)
+    cells = _rows_of_their_own(grid.select(F.col(id_col).alias("id"), F.col(ring).alias("ring"),
+                                           *[v.alias(k) for k, v in bb.items()], *carry))
     w, h = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
     extent = F.greatest(w, h)
     median = float(cells.agg(F.percentile_approx(F.when(extent > 0, extent), 0.5, 1000)).first()[0] or 1.0)
     cells = cells.withColumn("_level", _level(extent, median))
     levels = {r["_level"]: r for r in cells.groupBy("_level").agg(
-        F.count(F.lit(1)).alias("n"), F.max(w).alias("mw"), F.max(h).alias("mh"), F.max(F.size("ring")).alias("verts")).collect()}
+        F.count(F.lit(1)).alias("n"), F.max(w).alias("mw"), F.max(h).alias("mh"), F.max(F.size("ring")).alias("verts"),
+        F.max(F.coalesce(F.exists("ring", lambda v: v["x"].isNull() | v["y"].isNull()), F.lit(False))).alias("holes")).collect()}
     main = max(levels, key=lambda k: (levels[k]["n"], -abs(k)), default=0)
 
     def listed(level: int, edge: float) -> tuple[DataFrame, int, int]:
@@ -296,13 +305,19 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
         if level == main and verts <= UNROLL_MAX_POINTS:
             # short rings (grid cells): vertices unpacked once here, so the join
             # condition is plain column arithmetic
-            own = own.withColumns(vertex_columns(F.col("ring"), verts)).drop("ring")
+            own = own.withColumns(vertex_columns(F.col("ring"), verts, st is not None and not st["holes"])).drop("ring")
         for k, v in span.items():
             own = own.withColumn(k, F.explode(v))
         return own, n * (int(mw / edge) + 2) * (int(mh / edge) + 2), 72 + 24 * verts + 16 * len(carry)
 
     edge = tile or (median if main == 0 else _edge(main, median))
-    tiles, is_bc = broadcast_if_small(*listed(main, edge), broadcast_limit)
+    def sized(rows: DataFrame, bound: int, width: int) -> tuple[DataFrame, bool]:
+        """Broadcast if proven small; else kept from a broadcast by the planner's
+        own guess, which knows the size of the grid's files and not of its tiles."""
+        rows, bc = broadcast_if_small(rows, bound, width, broadcast_limit)
+        return (rows if bc else rows.hint("merge")), bc
+
+    tiles, is_bc = sized(*listed(main, edge))
     others = []
     for k in sorted(levels):
         if k == main:
@@ -311,7 +326,7 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
         rows, bound, width = listed(k, size)
         per = rows.groupBy("_tx", "_ty").agg(F.collect_list(F.struct(
             "id", "ring", "min_x", "max_x", "min_y", "max_y", *carry)).alias("_cells"))
-        per, bc = broadcast_if_small(per, bound, width, broadcast_limit)
+        per, bc = sized(per, bound, width)
         others.append(TileLevel(per, size, bc))
     count = sum(r["n"] for r in levels.values())
     return GridTiles(tiles, edge, is_bc, count, int(levels[main]["verts"] or 5) if levels else 5, tuple(others))
@@ -322,9 +337,10 @@ def _tile_keys(points: DataFrame, tile: float, lat: str, lon: str) -> dict[str,
     return {"_tx": F.floor(points[lon] / t), "_ty": F.floor(points[lat] / t)}
 
 
-def _cells_of_other_levels(points: DataFrame, gt: GridTiles, lat: str, lon: str) -> DataFrame:
+def _cells_of_other_levels(points: DataFrame, gt: GridTiles, lat: str, lon: str, keep: list[str]) -> DataFrame:
     """``points`` with ``_more``: the cells of the other levels that strictly
-    contain each point. One lookup per occupied level, by a unique key."""
+    contain each point (their id and the columns to ``keep``). One lookup per
+    occupied level, by a unique key."""
     out, found = points, []
     for k, level in enumerate(gt.others):
         cells = f"_cells{k}"
@@ -333,6 +349,7 @@ def _cells_of_other_levels(points: DataFrame, gt: GridTiles, lat: str, lon: str)
         px, py = out[lon], out[lat]
         hit = F.filter(F.col(cells), lambda c: (px > c["min_x"]) & (px < c["max_x"]) & (py > c["min_y"]) & (py < c["max_y"])
                        & strictly_within(c["ring"], px, py))
+        hit = F.transform(hit, lambda c: F.struct(*[c[k].alias(k) for k in ("id", *keep)]))
         out = out.withColumn(cells, F.coalesce(hit, F.array()))
         found.append(cells)
     return out.withColumn("_more", F.concat(*found)).drop(*found)
@@ -347,19 +364,22 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
     box touches, and the equi-join on the tile carries the exact containment
     test as its join condition. Where the grid has cells of very different
     sizes, the point also looks up one tile per other level; what it finds
-    there travels as rows of its own, which take no part in the join. Points
+    there travels as rows of its own, which match nothing in the join. Points
     on an edge or vertex match nothing; overlapping cells give one row each;
     NULL positions keep a NULL id (with ``how="inner"`` they go)."""
     gt = grid if isinstance(grid, GridTiles) else grid_tiles(grid, tile)
     p = points
     if gt.others:
         # the marker row (NULL) takes part in the join below, the others carry their cell
-        p = _cells_of_other_levels(p, gt, lat, lon)
+        p = _cells_of_other_levels(p, gt, lat, lon, [c for c in keep or [] if c in gt.tiles.columns])
         marker = F.array(F.get("_more", F.lit(-1)))    # one NULL of the elements' type
         p = p.withColumns({"_matched": F.size("_more") > 0, "_other": F.explode(F.concat(marker, F.col("_more")))}).drop("_more")
     keys = _tile_keys(p, gt.tile, lat, lon)
     if gt.others:
-        keys = {k: F.when(F.col("_other").isNull(), v) for k, v in keys.items()}
+        # rows that carry their cell match no tile; keys of their own spread
+        # them over the tasks of the join (NULL keys would all go to one)
+        own = F.xxhash64(points[lon], points[lat], F.col("_other.id"))
+        keys = {k: F.when(F.col("_other").isNull(), v).otherwise(own) for k, v in keys.items()}
     p = p.withColumns(keys)
     g = gt.tiles.withColumnRenamed("id", "_cell_id")
     px, py = p[lon], p[lat]
@@ -373,6 +393,8 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
         exact = strictly_within_vertices([g[f"_x{i}"] for i in range(m)],
                                          [g[f"_y{i}"] for i in range(m)], px, py)
     cond = (p["_tx"] == g["_tx"]) & (p["_ty"] == g["_ty"]) & in_box & exact
+    if gt.others:
+        cond = cond & p["_other"].isNull()
     joined = p.join(g, cond, "left" if gt.others else how)
     extra = [c for c in gt.tiles.columns if c not in ("id", "_tx", "_ty", *(keep or []))]
     joined = joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"])
