@@ -48,18 +48,20 @@ def publish_days(df: DataFrame, path: str, day_col: str = "time") -> list[int]:
 
     The REBALANCE hint shuffles by day and lets AQE split a day with many
     rows into several files and merge small days, so neither a hot day nor
-    many tiny days dictate the task layout. Returns the written days."""
+    many tiny days dictate the task layout. The days are observed above the
+    shuffle, where a frame that turns out empty still has its observing node.
+    Returns the written days."""
     d = F.date_from_unix_date(F.col(day_col))
     seen = Observation(f"published-days-{uuid.uuid4().hex}")
-    out = (df.observe(seen, F.collect_set(F.col(day_col)).alias("days"))
-             .withColumn("year", F.year(d)).withColumn("month", F.month(d))
+    out = (df.withColumn("year", F.year(d)).withColumn("month", F.month(d))
              .hint("rebalance", day_col)
-             .sortWithinPartitions(day_col, *[c for c in ("grid_id",) if c in df.columns]))
+             .sortWithinPartitions(day_col, *[c for c in ("grid_id",) if c in df.columns])
+             .observe(seen, F.collect_set(F.col(day_col)).alias("days")))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", day_col).parquet(path))
     # the day list is gathered while writing (one small set per task), so the
-    # product is not computed a second time to report it; a frame that turns
-    # out empty may lose the observing node, then its own keys are asked
+    # product is not computed a second time to report it; where a plan lost
+    # the observing node all the same, its own keys are asked
     try:
         days = seen.get.get("days") or []
     except (AssertionError, Py4JJavaError):
