@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
-from .sizing import broadcast_if_small
+from .sizing import ROW_WISE, broadcast_if_small
 
 
 def hour_start(time: str = "time"):
@@ -52,11 +52,6 @@ def hourly_by_station(df: DataFrame, station: str = "dataset_id", time: str = "t
 FILE, ROW = "_metadata.file_path", "_metadata.row_index"
 
 
-# what may stand between a file scan and the reduction without making or
-# merging rows
-ROW_WISE = {"Project", "Filter", "SubqueryAlias", "Repartition", "RepartitionByExpression", "RebalancePartitions"}
-
-
 def rows_have_numbers(df: DataFrame) -> bool:
     """Whether every row of ``df`` is one row of one Parquet file, which its
     file and number name."""

@@ -46,6 +46,30 @@ def broadcast_if_small(df: DataFrame, rows: int, width: int | None = None,
     return df, False
 
 
+# what may stand between a scan and a reader without changing what its rows say
+ROW_WISE = {"Project", "Filter", "SubqueryAlias", "Repartition", "RepartitionByExpression", "RebalancePartitions"}
+
+
+def read_again_alike(df: DataFrame) -> bool:
+    """Whether ``df`` is nothing but files or given rows, read and computed row
+    by row (or several such, one after the other): a second reading is cheap and
+    gives every value to its last digit, unlike a mean summed anew."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+    except AttributeError:      # Spark Connect: the plan is on the server
+        return False
+    if plan.isStreaming() or not plan.deterministic():
+        return False
+    open_ = [plan]
+    while open_:
+        p = open_.pop()
+        if p.nodeName() in ROW_WISE or p.nodeName() == "Union":
+            open_.extend(p.children().apply(i) for i in range(p.children().size()))
+        elif p.nodeName() not in ("LogicalRelation", "LocalRelation", "Range"):
+            return False
+    return True
+
+
 # A scan with at least this many splits is never re-spread.
 SPREAD_MAX_SPLITS = 32
 

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import (UNROLL_MAX_POINTS, ring_bbox, strictly_within,
                                   strictly_within_vertices, vertex_columns)
-from ..session import scratch_path
-from .sizing import broadcast_if_small
+from ..session import checkpoint_dir, scratch_path
+from .sizing import broadcast_if_small, read_again_alike
 
 BLOCK = 64               # cells along each side of a packed raster block
 BLOCK_OVERHEAD = 256     # bytes of a packed block besides its values
@@ -240,6 +240,8 @@ class GridTiles:
     cells: int             # number of grid cells (sizes the attribute broadcast)
     max_points: int        # longest ring of the main level (chooses the unrolled containment test)
     others: tuple[TileLevel, ...] = ()   # the other size classes, if there are any
+    width: int = 256       # bytes of a tile row
+    limit: int | None = None    # bytes that may be broadcast
 
 
 SMALL, LARGE = 0.125, 4.0   # of the median extent: cells between them are one level
@@ -308,6 +310,8 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
             own = own.withColumns(vertex_columns(F.col("ring"), verts, st is not None and not st["holes"])).drop("ring")
         for k, v in span.items():
             own = own.withColumn(k, F.explode(v))
+        if level == main:       # a cell without a box has no tile
+            own = own.withColumns({k: F.coalesce(k, F.lit(0.0)) for k in bb})
         return own, n * (int(mw / edge) + 2) * (int(mh / edge) + 2), 72 + 24 * verts + 16 * len(carry)
 
     edge = tile or (median if main == 0 else _edge(main, median))
@@ -317,7 +321,8 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
         rows, bc = broadcast_if_small(rows, bound, width, broadcast_limit)
         return (rows if bc else rows.hint("merge")), bc
 
-    tiles, is_bc = sized(*listed(main, edge))
+    rows, bound, main_width = listed(main, edge)
+    tiles, is_bc = sized(rows, bound, main_width)
     others = []
     for k in sorted(levels):
         if k == main:
@@ -329,7 +334,8 @@ def grid_tiles(grid: DataFrame, tile: float | None = None, id_col: str = "id",
         per, bc = sized(per, bound, width)
         others.append(TileLevel(per, size, bc))
     count = sum(r["n"] for r in levels.values())
-    return GridTiles(tiles, edge, is_bc, count, int(levels[main]["verts"] or 5) if levels else 5, tuple(others))
+    return GridTiles(tiles, edge, is_bc, count, int(levels[main]["verts"] or 5) if levels else 5, tuple(others),
+                     main_width, broadcast_limit)
 
 
 def _tile_keys(points: DataFrame, tile: float, lat: str, lon: str) -> dict[str, Column]:
@@ -337,6 +343,27 @@ def _tile_keys(points: DataFrame, tile: float, lat: str, lon: str) -> dict[str,
     return {"_tx": F.floor(points[lon] / t), "_ty": F.floor(points[lat] / t)}
 
 
+def _tiles_with_points(points: DataFrame, gt: GridTiles, lat: str, lon: str) -> DataFrame:
+    """The tile rows for the join with ``points``. A grid too large to ship may
+    have far more tiles than these points lie in: where reading the points twice
+    is cheap and sure, their distinct tiles are found first (one narrow pass,
+    pre-aggregated by each task), and the rows of those tiles are counted. If
+    they are few enough they alone are broadcast, and the points, rows as wide
+    as they come, are neither shuffled nor sorted. Otherwise the join stays a
+    shuffle of both sides. No tile without a point can match, so the rows are
+    the same."""
+    if gt.broadcast or not read_again_alike(points):
+        return gt.tiles
+    checkpoint_dir(points.sparkSession)
+    keys = points.select(*[c.alias(k) for k, c in _tile_keys(points, gt.tile, lat, lon).items()]).distinct().checkpoint()
+    keys, few = broadcast_if_small(keys, keys.count(), 32, gt.limit)
+    if not few:
+        return gt.tiles
+    rows = gt.tiles.join(keys, ["_tx", "_ty"], "left_semi")
+    kept, few = broadcast_if_small(rows, rows.count(), gt.width, gt.limit)
+    return F.broadcast(kept.checkpoint()) if few else gt.tiles
+
+
 def _cells_of_other_levels(points: DataFrame, gt: GridTiles, lat: str, lon: str, keep: list[str]) -> DataFrame:
     """``points`` with ``_more``: the cells of the other levels that strictly
     contain each point (their id and the columns to ``keep``). One lookup per
@@ -380,9 +407,12 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
         # them over the tasks of the join (NULL keys would all go to one)
         own = F.xxhash64(points[lon], points[lat], F.col("_other.id"))
         keys = {k: F.when(F.col("_other").isNull(), v).otherwise(own) for k, v in keys.items()}
-    p = p.withColumns(keys)
-    g = gt.tiles.withColumnRenamed("id", "_cell_id")
-    px, py = p[lon], p[lat]
+    # a point without a position has no key and meets no cell; known not to be
+    # NULL, the position keeps the code of the tests short enough to be compiled
+    # together with what follows the join
+    p = p.withColumns({**keys, "_at_x": F.coalesce(points[lon], F.lit(0.0)), "_at_y": F.coalesce(points[lat], F.lit(0.0))})
+    g = _tiles_with_points(points, gt, lat, lon).withColumnRenamed("id", "_cell_id")
+    px, py = p["_at_x"], p["_at_y"]
     # open bounding box first: cheap comparisons reject most candidates
     # before the exact ring test runs
     in_box = (px > g["min_x"]) & (px < g["max_x"]) & (py > g["min_y"]) & (py < g["max_y"])
@@ -397,7 +427,7 @@ def within_cells(points: DataFrame, grid: DataFrame | GridTiles, tile: float | N
         cond = cond & p["_other"].isNull()
     joined = p.join(g, cond, "left" if gt.others else how)
     extra = [c for c in gt.tiles.columns if c not in ("id", "_tx", "_ty", *(keep or []))]
-    joined = joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"])
+    joined = joined.drop(p["_tx"]).drop(p["_ty"]).drop(g["_tx"]).drop(g["_ty"]).drop("_at_x", "_at_y")
     if gt.others:
         lost = F.col("_cell_id").isNull() & F.col("_other").isNull()
         joined = joined.where(~lost if how == "inner" else ~(lost & F.col("_matched")))
@@ -586,7 +616,6 @@ def nearest_centroid_tiled(points: DataFrame, areas: DataFrame, x: str = "x", y:
     search again with tiles twice as large, until one tile is as large as the
     extent of everything (then every area has been seen). A position never
     looks at more than nine tiles a round, however far away it is."""
-    from ..session import checkpoint_dir
     checkpoint_dir(points.sparkSession)   # each round's settled points are checkpointed
     kind = areas.schema[key].dataType
     a0 = areas.select(F.col(key).alias("_k"), F.col(x).alias("_ax"), F.col(y).alias("_ay"))
