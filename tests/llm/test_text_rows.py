@@ -5,8 +5,11 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
+from bottomgrid.llm import common
 from bottomgrid.llm import queries as q
 from bottomgrid.llm.pii_anchors import BASE_KINDS, KINDS, Finder, find_pii, luhn
 from bottomgrid.llm.secret_scan import BASE_RULES, RULES, Rule, Scanner, find_secrets, trigram_query
@@ -223,3 +226,31 @@ def test_long_words_are_cut_exactly():
         took.append(time.time() - at)
     print("seconds of 300,000 letters without and with spaces", took)
     assert took[0] < 20
+
+
+LENGTH = T.StructType([T.StructField("n", T.LongType())])
+
+
+def test_results_go_out_before_the_next_slice(monkeypatch):
+    monkeypatch.setattr(common.F, "arrow_udf", lambda fn, _: lambda _: fn)
+    begun = []
+
+    def lengths(texts):
+        begun.append(texts)
+        return {"n": [len(x) for x in texts]}
+
+    run = common.struct_of_text("text", LENGTH, lengths, 10)
+    batches = [pa.array(["a" * 6, None, "b" * 6, "", "c" * 30]), pa.array([], pa.string()), pa.array(["d"])]
+    out = run(iter(batches))
+    got = [next(out).to_pylist()]
+    assert got == [[{"n": 6}, {"n": 0}]] and len(begun) == 1  # a whole batch was held before
+    got += [x.to_pylist() for x in out]
+    assert got[1:] == [[{"n": 6}, {"n": 0}], [{"n": 30}], [{"n": 1}]] and len(begun) == 4
+
+
+def test_rows_keep_their_results_over_slices(spark):
+    rows = [(i, None if i % 7 == 0 else "x" * (i % 30)) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for frame in (docs, docs.where("doc_id = 8 OR text IS NULL"), docs.where("doc_id < 0")):
+        got = common.add_from_text(frame, "text", LENGTH, lambda texts: {"n": [len(x) for x in texts]}, 40).collect()
+        assert all(r.n == len(r.text or "") for r in got) and len(got) == frame.count()
